@@ -1,0 +1 @@
+"""Structured Streaming: the reference processes no streams; see README."""
