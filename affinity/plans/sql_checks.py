@@ -62,3 +62,151 @@ rel AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = '{on}'),
     "hits AS (SELECT rel.user_id, ranked.rank FROM rel JOIN ranked USING (item_id))",
     "users AS (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY user_id)", k)}
 """
+
+
+# ---------------------------------------------------------------- profiling
+
+def ratings_profile() -> str:
+    return f"""WITH r AS ({RATINGS_SQL})
+SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_user_id,
+       count(DISTINCT item_id) AS n_item_id FROM r"""
+
+
+def null_counts_documents() -> str:
+    cols = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+    sel = ", ".join(f"sum(CAST({c} IS NULL AS INT)) AS {c}" for c in cols)
+    return f"WITH d AS ({LABELLED_DOCUMENTS_SQL}) SELECT {sel} FROM d"
+
+
+def rating_distribution() -> str:
+    return f"""WITH r AS ({RATINGS_SQL})
+SELECT rating, count(*) AS "count" FROM r GROUP BY rating ORDER BY rating"""
+
+
+def part_name_word_counts() -> str:
+    return """SELECT value, count(*) AS "count"
+FROM (SELECT unnest(string_split(p_name, ' ')) AS value FROM part)
+GROUP BY value ORDER BY "count" DESC, value"""
+
+
+def describe_sql(source_cte: str, col: str) -> str:
+    return f"""WITH src AS ({source_cte})
+SELECT '{col}' AS "column", count({col}) AS "count", avg({col}::DOUBLE) AS mean,
+       stddev_samp({col}::DOUBLE) AS stddev, min({col})::DOUBLE AS "min",
+       quantile_cont({col}::DOUBLE, 0.25) AS p25, quantile_cont({col}::DOUBLE, 0.5) AS p50,
+       quantile_cont({col}::DOUBLE, 0.75) AS p75, max({col})::DOUBLE AS "max" FROM src"""
+
+
+def rating_summary() -> str:
+    return describe_sql(RATINGS_SQL, "rating")
+
+
+def doc_set_size_summary() -> str:
+    return describe_sql(
+        f"SELECT doc_id, count(*) AS n_items FROM ({DOC_WORDS_SQL}) GROUP BY doc_id", "n_items")
+
+
+def ratings_sample(n: int = 20) -> str:
+    return f"""WITH r AS ({RATINGS_SQL})
+SELECT * FROM r ORDER BY user_id, item_id LIMIT {n}"""
+
+
+def sparse_filter_report() -> str:
+    return f"""WITH {split_cte()},
+b AS (SELECT count(*) AS rows_before, count(DISTINCT user_id) AS users_before,
+             count(DISTINCT item_id) AS items_before FROM r),
+a AS (SELECT count(*) AS rows_after, count(DISTINCT user_id) AS users_after,
+             count(DISTINCT item_id) AS items_after FROM f)
+SELECT *, rows_before - rows_after AS rows_dropped, users_before - users_after AS users_dropped,
+       items_before - items_after AS items_dropped FROM b, a"""
+
+
+# ---------------------------------------------------------------- MinHash / LSH
+
+def sig_ctes(src_sql: str, user: str, min_items: int = 3, n_bands: int = 32,
+             rows: int = 4) -> str:
+    """CTEs: sets, sizes, hp, h (user, i, h), sig (user, n_items, sig list),
+    bnd (user, band_idx, band list)."""
+    return f"""
+src AS ({src_sql}),
+sets AS (SELECT DISTINCT {user} AS u, item_id FROM src WHERE item_id IS NOT NULL),
+sizes AS (SELECT u, count(*) AS n_items FROM sets GROUP BY u HAVING count(*) >= {min_items}),
+hp AS (SELECT * FROM (VALUES {params_values_sql()}) t(i, a, b)),
+h AS (SELECT s.u, hp.i, min((hp.a::BIGINT * s.item_id + hp.b) % {PRIME}) AS h
+      FROM sets s JOIN sizes USING (u) CROSS JOIN hp GROUP BY s.u, hp.i),
+sig AS (SELECT h.u, sizes.n_items, list(h.h ORDER BY h.i) AS sig
+        FROM h JOIN sizes USING (u) GROUP BY h.u, sizes.n_items),
+bnd AS (SELECT u, i // {rows} AS band_idx, list(h ORDER BY i) AS band FROM h
+        GROUP BY u, i // {rows}),
+cand AS (SELECT x.u AS user1, y.u AS user2, count(*) AS "count"
+         FROM bnd x JOIN bnd y ON x.band_idx = y.band_idx AND x.band = y.band AND x.u < y.u
+         GROUP BY x.u, y.u)"""
+
+
+def signature_digest(src_sql: str, user: str) -> str:
+    return f"""WITH {sig_ctes(src_sql, user)}
+SELECT u AS {user}, n_items, sig[1]::INT AS h_first, sig[128]::INT AS h_last,
+       list_sum(sig)::BIGINT AS h_sum FROM sig"""
+
+
+def signature_clusters(src_sql: str, user: str, k: int = 10) -> str:
+    return f"""WITH {sig_ctes(src_sql, user)}
+SELECT min(u) AS rep, count(*) AS n_users, sig[1]::INT AS h_first FROM sig GROUP BY sig
+ORDER BY n_users DESC, rep LIMIT {k}"""
+
+
+def cluster_members(src_sql: str, user: str, k: int = 1) -> str:
+    return f"""WITH {sig_ctes(src_sql, user)},
+top AS (SELECT sig, min(u) AS rep FROM sig GROUP BY sig ORDER BY count(*) DESC, rep LIMIT {k}),
+who AS (SELECT top.rep, sig.u FROM sig JOIN top ON sig.sig = top.sig)
+SELECT who.rep, who.u AS {user}, src.item_id FROM who JOIN src ON src.{user} = who.u"""
+
+
+def lsh_buckets(src_sql: str, user: str) -> str:
+    return f"""WITH {sig_ctes(src_sql, user)}
+SELECT band_idx, band[1]::INT AS b0, band[2]::INT AS b1, band[3]::INT AS b2, band[4]::INT AS b3,
+       count(*) AS n_users, min(u) AS min_user, max(u) AS max_user
+FROM bnd GROUP BY band_idx, band"""
+
+
+def bucket_stats(src_sql: str, user: str) -> str:
+    return f"""WITH {sig_ctes(src_sql, user)},
+bk AS (SELECT count(*) AS n_users FROM bnd GROUP BY band_idx, band)
+SELECT count(*) AS n_buckets, avg(n_users) AS mean_size, stddev_samp(n_users) AS stddev_size,
+       min(n_users) AS min_size, quantile_cont(n_users, 0.5) AS median_size,
+       sum(CAST(n_users > 1 AS BIGINT)) AS n_shared_buckets, max(n_users) AS max_size FROM bk"""
+
+
+def candidate_pairs(src_sql: str, user: str) -> str:
+    return f"WITH {sig_ctes(src_sql, user)} SELECT * FROM cand"
+
+
+def top_pairs(src_sql: str, user: str, k: int = K) -> str:
+    return f"""WITH {sig_ctes(src_sql, user)}
+SELECT * FROM cand ORDER BY "count" DESC, user1, user2 LIMIT {k}"""
+
+
+def top_pairs_cte(src_sql: str, user: str, k: int = K) -> str:
+    return f"""{sig_ctes(src_sql, user)},
+top AS (SELECT * FROM cand ORDER BY "count" DESC, user1, user2 LIMIT {k})"""
+
+
+def similar_pairs(src_sql: str, user: str, k: int = K) -> str:
+    return f"""WITH {top_pairs_cte(src_sql, user, k)},
+allsz AS (SELECT u, count(*) AS n FROM sets GROUP BY u),
+sh AS (SELECT t.user1, t.user2, count(*) AS n_shared FROM top t
+       JOIN sets a ON a.u = t.user1 JOIN sets b ON b.u = t.user2 AND b.item_id = a.item_id
+       GROUP BY t.user1, t.user2)
+SELECT t.user1, t.user2, t."count", s1.n AS n_items1, s2.n AS n_items2,
+       coalesce(sh.n_shared, 0) AS n_shared,
+       coalesce(sh.n_shared, 0)::DOUBLE / (s1.n + s2.n - coalesce(sh.n_shared, 0)) AS jaccard
+FROM top t JOIN allsz s1 ON s1.u = t.user1 JOIN allsz s2 ON s2.u = t.user2
+LEFT JOIN sh ON sh.user1 = t.user1 AND sh.user2 = t.user2"""
+
+
+def jaccard_summary(src_sql: str, user: str, k: int = K) -> str:
+    return f"""WITH sp AS ({similar_pairs(src_sql, user, k)})
+SELECT 'jaccard' AS "column", count(jaccard) AS "count", avg(jaccard) AS mean,
+       stddev_samp(jaccard) AS stddev, min(jaccard) AS "min",
+       quantile_cont(jaccard, 0.25) AS p25, quantile_cont(jaccard, 0.5) AS p50,
+       quantile_cont(jaccard, 0.75) AS p75, max(jaccard) AS "max" FROM sp"""
