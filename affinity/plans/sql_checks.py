@@ -210,3 +210,130 @@ SELECT 'jaccard' AS "column", count(jaccard) AS "count", avg(jaccard) AS mean,
        stddev_samp(jaccard) AS stddev, min(jaccard) AS "min",
        quantile_cont(jaccard, 0.25) AS p25, quantile_cont(jaccard, 0.5) AS p50,
        quantile_cont(jaccard, 0.75) AS p75, max(jaccard) AS "max" FROM sp"""
+
+
+# ---------------------------------------------------------------- pair validation
+
+def _pearson(x: str, y: str) -> str:
+    return f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0)"
+
+
+def _hash_order_sql(src: str, ab, n: int) -> str:
+    a, b = ab
+    return (f"SELECT user_id, row_number() OVER (ORDER BY ({a}::BIGINT * user_id + {b}) % {PRIME}, "
+            f"user_id) AS i FROM (SELECT DISTINCT user_id FROM {src}) "
+            f"QUALIFY i <= {n}")
+
+
+def random_pairs_cte(src: str, n: int) -> str:
+    from affinity.operators.pairs import ORDER_A, ORDER_B
+    return f"""
+o1 AS ({_hash_order_sql(src, ORDER_A, n)}),
+o2 AS ({_hash_order_sql(src, ORDER_B, n)}),
+rp AS (SELECT DISTINCT least(o1.user_id, o2.user_id) AS user1,
+              greatest(o1.user_id, o2.user_id) AS user2
+       FROM o1 JOIN o2 USING (i) WHERE o1.user_id <> o2.user_id)"""
+
+
+def shared_cte(pairs: str, src: str, name: str = "sh") -> str:
+    return f"""{name} AS (SELECT p.user1, p.user2, a.item_id, a.rating AS rating1, b.rating AS rating2
+       FROM {pairs} p JOIN {src} a ON a.user_id = p.user1
+       JOIN {src} b ON b.user_id = p.user2 AND b.item_id = a.item_id)"""
+
+
+def corr_cte(shared: str, name: str) -> str:
+    return f"""{name} AS (SELECT user1, user2, {_pearson('rating1', 'rating2')} AS rating_correlation,
+       count(*) AS overlap_count FROM {shared} GROUP BY user1, user2)"""
+
+
+def summary_select(src: str) -> str:
+    return f"""SELECT count(*) AS num_pairs, round(avg(rating_correlation), 6) AS avg_corr,
+       round(stddev_samp(rating_correlation), 6) AS stddev_corr,
+       round(min(rating_correlation), 6) AS min_corr, round(max(rating_correlation), 6) AS max_corr,
+       round(avg(overlap_count), 6) AS avg_overlap_items FROM {src}"""
+
+
+def _events_top() -> str:
+    return f"""{top_pairs_cte(EVENT_ITEMS_SQL, 'user_id')},
+{shared_cte('top', 'src')},
+c AS (SELECT user1, user2, {_pearson('rating1', 'rating2')} AS rating_correlation,
+             count(*) AS overlap_count FROM sh GROUP BY user1, user2)"""
+
+
+def similar_pair_correlations() -> str:
+    return f"""WITH {_events_top()}
+SELECT user1, user2, round(rating_correlation, 6) AS rating_correlation, overlap_count FROM c"""
+
+
+def similar_correlation_summary() -> str:
+    return f"""WITH {_events_top()}
+{summary_select('c WHERE rating_correlation IS NOT NULL')}"""
+
+
+def _pick(src: str, n: int = 100) -> str:
+    from affinity.operators.pairs import ORDER_PICK
+    a, b = ORDER_PICK
+    return (f"SELECT * FROM {src} ORDER BY ({a}::BIGINT * user1 + user2 + {b}) % {PRIME}, "
+            f"user1, user2 LIMIT {n}")
+
+
+def random_pairs_ratings(n: int = 1000) -> str:
+    return f"WITH r AS ({RATINGS_SQL}), {random_pairs_cte('r', n)} SELECT * FROM rp"
+
+
+def random_correlation_summary(n: int = 1000) -> str:
+    return f"""WITH r AS ({RATINGS_SQL}), {random_pairs_cte('r', n)},
+{shared_cte('rp', 'r', 'rsh')},
+{corr_cte('rsh', 'rc')},
+pick AS ({_pick('(SELECT * FROM rc WHERE rating_correlation IS NOT NULL)')})
+{summary_select('pick')}"""
+
+
+def _dropped_ctes(n: int = 1000) -> str:
+    return f"""r AS ({RATINGS_SQL}), {random_pairs_cte('r', n)},
+{shared_cte('rp', 'r', 'rsh')},
+{corr_cte('rsh', 'rc')},
+ov AS (SELECT user1, user2, count(item_id) AS overlap_count FROM rsh GROUP BY user1, user2),
+dropped AS (SELECT rp.user1, rp.user2, ov.overlap_count FROM rp
+            LEFT JOIN ov USING (user1, user2)
+            WHERE NOT EXISTS (SELECT 1 FROM rc WHERE rc.user1 = rp.user1 AND rc.user2 = rp.user2
+                              AND rc.rating_correlation IS NOT NULL)),
+{shared_cte('dropped', 'r', 'dsh')}"""
+
+
+def dropped_pairs_ratings() -> str:
+    return f"WITH {_dropped_ctes()} SELECT user1, user2, overlap_count FROM dropped"
+
+
+def dropped_overlap_summary() -> str:
+    return f"""WITH {_dropped_ctes()}
+SELECT count(*) AS num_dropped_pairs, round(avg(overlap_count), 6) AS avg_overlap_dropped,
+       min(overlap_count) AS min_overlap_dropped, max(overlap_count) AS max_overlap_dropped,
+       round(stddev_samp(overlap_count), 6) AS stddev_overlap_dropped FROM dropped"""
+
+
+def zero_variance_pairs() -> str:
+    return f"""WITH {_dropped_ctes()},
+z AS (SELECT user1, user2, count(DISTINCT item_id) AS num_shared_items,
+             stddev_samp(rating1) AS s1, stddev_samp(rating2) AS s2 FROM dsh GROUP BY user1, user2)
+SELECT user1, user2, num_shared_items, round(s1, 6) AS stddev_user1, round(s2, 6) AS stddev_user2
+FROM z WHERE s1 IS NULL OR s2 IS NULL OR s1 = 0 OR s2 = 0"""
+
+
+def rating_gap() -> str:
+    return f"""WITH {_dropped_ctes()}
+SELECT user1, user2, round(avg(rating1), 6) AS avg_rating_user1,
+       round(avg(rating2), 6) AS avg_rating_user2,
+       round(abs(avg(rating1) - avg(rating2)), 6) AS rating_diff
+FROM dsh GROUP BY user1, user2"""
+
+
+def similar_vs_random(n: int = 1000) -> str:
+    return f"""WITH {_events_top()},
+{random_pairs_cte('src', n)},
+{shared_cte('rp', 'src', 'rsh')},
+{corr_cte('rsh', 'rc')},
+pick AS ({_pick('(SELECT * FROM rc WHERE rating_correlation IS NOT NULL)')})
+SELECT *, 'similar' AS "group" FROM ({summary_select('c WHERE rating_correlation IS NOT NULL')})
+UNION ALL
+SELECT *, 'random' AS "group" FROM ({summary_select('pick')})"""
