@@ -70,3 +70,89 @@ def tune_and_test(split_df: DataFrame, implicit: bool, k: int = TOP_K, seed: int
                                               k=k, seed=seed)
     test_metrics = recommend.evaluate(recommend.recommend_als(model, k), test, k)
     return best, results, test_metrics
+
+
+# ---------------------------------------------------------------- registered queries
+
+def time_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + F2 + F3: every filtered rating with its split."""
+    return fixture_splits(spark, sf_dir).select("user_id", "item_id", "split")
+
+
+def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.split_sizes(fixture_splits(spark, sf_dir))
+
+
+def split_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.split_overlap(fixture_splits(spark, sf_dir))
+
+
+def split_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.split_ranges(fixture_splits(spark, sf_dir))
+
+
+def split_order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splits.split_order_violations(fixture_splits(spark, sf_dir))
+
+
+def popular_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = fixture_splits(spark, sf_dir).filter(F.col("split") == "train")
+    return recommend.popular_items(train, TOP_K)
+
+
+def popular_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: the popularity list for every test user."""
+    s = fixture_splits(spark, sf_dir)
+    top = recommend.popular_items(s.filter(F.col("split") == "train"), TOP_K)
+    return recommend.recommend_popular(s.filter(F.col("split") == "test"), top)
+
+
+def popularity_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = fixture_splits(spark, sf_dir)
+    top = recommend.popular_items(s.filter(F.col("split") == "train"), TOP_K)
+    pu = metrics.ranking_metrics_shared(top, s.filter(F.col("split") == "test"), TOP_K,
+                                        per_user=True)
+    return pu.select("user_id", "n_rel", "n_hits",
+                     *[F.round(c, 6).alias(c) for c in metrics.METRIC_COLS])
+
+
+def implicit_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 on the train split."""
+    return recommend.to_implicit(fixture_splits(spark, sf_dir).filter(F.col("split") == "train"))
+
+
+def als_explicit_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 + R7 + R9 at the explicit study's best point (rank 30, reg 0.05)."""
+    return als_quality(fixture_splits(spark, sf_dir), implicit=False, rank=30, reg=0.05)
+
+
+def als_implicit_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6 + R7 + R9 at the implicit study's best point (rank 25, reg 0.15, alpha 5)."""
+    return als_quality(fixture_splits(spark, sf_dir), implicit=True, rank=25, reg=0.15, alpha=5.0)
+
+
+def als_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-100 lists of the explicit model (user, rank, item, score)."""
+    s = fixture_splits(spark, sf_dir)
+    model = recommend.fit_als(s.filter(F.col("split") == "train"), rank=30, reg=0.05)
+    return recommend.recommend_als(model, TOP_K)
+
+
+def als_explicit_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R8 + R9: the explicit grid on val, best model on test, one table."""
+    best, results, test = tune_and_test(fixture_splits(spark, sf_dir), implicit=False)
+    return _tuning_table(results, test, best)
+
+
+def als_implicit_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best, results, test = tune_and_test(fixture_splits(spark, sf_dir), implicit=True)
+    return _tuning_table(results, test, best)
+
+
+def _tuning_table(results: DataFrame, test: DataFrame, best: dict) -> DataFrame:
+    val_rows = results.withColumn("split", F.lit("val"))
+    test_row = test.select(
+        F.lit(best["rank"]).cast("int").alias("rank"), F.lit(float(best["reg"])).alias("reg"),
+        F.lit(best["alpha"]).cast("double").alias("alpha"), "n_users",
+        *metrics.METRIC_COLS).withColumn("split", F.lit("test"))
+    return val_rows.unionByName(test_row)

@@ -337,3 +337,76 @@ pick AS ({_pick('(SELECT * FROM rc WHERE rating_correlation IS NOT NULL)')})
 SELECT *, 'similar' AS "group" FROM ({summary_select('c WHERE rating_correlation IS NOT NULL')})
 UNION ALL
 SELECT *, 'random' AS "group" FROM ({summary_select('pick')})"""
+
+
+# ---------------------------------------------------------------- splits and popularity
+
+def time_split_rows() -> str:
+    return f"WITH {split_cte()} SELECT user_id, item_id, split FROM s"
+
+
+def split_sizes() -> str:
+    return f"WITH {split_cte()} SELECT split, count(*) AS n_rows FROM s GROUP BY split"
+
+
+def split_overlap() -> str:
+    return f"""WITH {split_cte()},
+tr AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'train'),
+va AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'val'),
+te AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'test')
+SELECT (SELECT count(*) FROM (SELECT * FROM tr INTERSECT SELECT * FROM va)) AS train_val,
+       (SELECT count(*) FROM (SELECT * FROM tr INTERSECT SELECT * FROM te)) AS train_test,
+       (SELECT count(*) FROM (SELECT * FROM va INTERSECT SELECT * FROM te)) AS val_test"""
+
+
+def split_ranges() -> str:
+    return f"WITH {split_cte()} SELECT split, min(ts) AS min_ts, max(ts) AS max_ts FROM s GROUP BY split"
+
+
+def split_order_violations() -> str:
+    return f"""WITH {split_cte()},
+pu AS (SELECT user_id,
+              max(CASE WHEN split = 'train' THEN ts END) AS train_max,
+              min(CASE WHEN split = 'val' THEN ts END) AS val_min,
+              max(CASE WHEN split = 'val' THEN ts END) AS val_max,
+              min(CASE WHEN split = 'test' THEN ts END) AS test_min FROM s GROUP BY user_id)
+SELECT * FROM pu WHERE train_max > val_min OR val_max > test_min OR train_max > test_min"""
+
+
+def _pop_cte(k: int = K) -> str:
+    return f"""{split_cte()},
+pop AS (SELECT item_id, count(user_id) AS popularity FROM s WHERE split = 'train'
+        GROUP BY item_id ORDER BY popularity DESC, item_id LIMIT {k}),
+ranked AS (SELECT item_id, popularity,
+                  row_number() OVER (ORDER BY popularity DESC, item_id) AS rank FROM pop)"""
+
+
+def popular_items() -> str:
+    return f"WITH {_pop_cte()} SELECT item_id, popularity, rank FROM ranked"
+
+
+def popular_recommendations() -> str:
+    return f"""WITH {_pop_cte()}
+SELECT u.user_id, ranked.rank, ranked.item_id
+FROM (SELECT DISTINCT user_id FROM s WHERE split = 'test') u CROSS JOIN ranked"""
+
+
+def popularity_per_user(k: int = K) -> str:
+    return f"""WITH {_pop_cte(k)},
+rel AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'test'),
+hits AS (SELECT rel.user_id, ranked.rank FROM rel JOIN ranked USING (item_id)),
+users AS (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY user_id),
+hj AS (SELECT user_id, rank, row_number() OVER (PARTITION BY user_id ORDER BY rank) AS j FROM hits),
+st AS (SELECT user_id, count(*) AS n_hits, sum(1.0 / ln(rank + 1)) AS dcg, sum(j / rank) AS ap
+       FROM hj GROUP BY user_id),
+idcg AS (SELECT m, sum(1.0 / ln(m + 1)) OVER (ORDER BY m) AS idcg FROM range(1, {k + 1}) t(m))
+SELECT u.user_id, u.n_rel, coalesce(st.n_hits, 0) AS n_hits,
+       round(coalesce(st.n_hits, 0) / {float(k)}, 6) AS precision_at_k,
+       round(coalesce(st.n_hits, 0) / u.n_rel, 6) AS recall_at_k,
+       round(coalesce(st.dcg, 0) / idcg.idcg, 6) AS ndcg_at_k,
+       round(coalesce(st.ap, 0) / least(u.n_rel, {k}), 6) AS map_at_k
+FROM users u LEFT JOIN st USING (user_id) JOIN idcg ON idcg.m = least(u.n_rel, {k})"""
+
+
+def implicit_ratings() -> str:
+    return f"WITH {split_cte()} SELECT user_id, item_id, 1.0 AS rating FROM s WHERE split = 'train'"
