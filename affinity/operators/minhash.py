@@ -31,7 +31,7 @@ ROWS_PER_BAND = 4
 MIN_ITEMS = 3
 TOP_K = 100
 # Thresholds tried by top_pairs, from identical signatures downwards.
-DESCENT = (1.0, 0.5, 0.125, 0.0)
+DESCENT = (0.5, 0.125, 0.0)
 
 
 # ---------------------------------------------------------------- sets (M1, M2)
@@ -66,26 +66,101 @@ def min_set_size(df: DataFrame, n: int = MIN_ITEMS, user: str = "user_id",
 # ---------------------------------------------------------------- signatures (M3, M4)
 
 def signatures(df: DataFrame, user: str = "user_id", item: str = "item_id",
-               n_hashes: int = NUM_HASHES, min_items: int = 0) -> DataFrame:
+               n_hashes: int = NUM_HASHES, min_items: int = 0, engine: str = "numpy",
+               distinct_input: bool = False) -> DataFrame:
     """M4: (user, n_items, sig array<int>, sig_key bigint).
 
     sig[i] = min over the user's items of (a_i * item + b_i) mod p; an empty
     set (all items null) gives p everywhere. ``sig_key`` is a 64-bit hash of
     the signature for cheap shuffles; joins still compare the array itself.
     Items must be non-negative and below 9e9 so products stay in bigint.
+
+    ``engine="numpy"``: each task folds its Arrow batches into per-user
+    partial minima (numpy, a bounded buffer), then a ``min`` aggregate merges
+    the partials by user. ``engine="sql"``: 128 ``min`` aggregates over the
+    rows, JVM only. Both are partial-then-final aggregations, so a user with a
+    huge set is spread over all map tasks. ``distinct_input`` skips the
+    (user, item) de-duplication when the caller guarantees it.
     """
-    a, b = hash_params(n_hashes)
-    rows = df.select(user, item).distinct()
-    x = F.col(item)
-    mins = [F.coalesce(F.min(hash_mod(x, a[i], b[i])), F.lit(PRIME)).cast("int").alias(f"_h{i}")
-            for i in range(n_hashes)]
-    agg = rows.groupBy(user).agg(F.count(x).alias("n_items"), *mins)
+    rows = df.select(user, item).filter(F.col(item).isNotNull())
+    if not distinct_input:
+        rows = rows.distinct()
+    if engine == "numpy":
+        partial = _numpy_partials(rows, user, item, n_hashes)
+        agg = partial.groupBy(user).agg(
+            F.sum("_n").alias("n_items"),
+            *[F.min(F.col("_s")[i]).alias(f"_h{i}") for i in range(n_hashes)])
+    else:
+        a, b = hash_params(n_hashes)
+        x = F.col(item)
+        agg = rows.groupBy(user).agg(
+            F.count(x).alias("n_items"),
+            *[F.min(hash_mod(x, a[i], b[i])).cast("int").alias(f"_h{i}")
+              for i in range(n_hashes)])
     if min_items:
         agg = agg.filter(F.col("n_items") >= min_items)
-    sig = F.array(*[F.col(f"_h{i}") for i in range(n_hashes)])
+    sig = F.array(*[F.coalesce(F.col(f"_h{i}"), F.lit(PRIME)).cast("int")
+                    for i in range(n_hashes)])
     return agg.select(user, "n_items", sig.alias("sig")).withColumn("sig_key", F.xxhash64("sig"))
 
 
+# Rows of per-user partial state a task keeps before handing it on.
+PARTIAL_BUFFER_USERS = 100_000
+
+
+def _numpy_partials(rows: DataFrame, user: str, item: str, n_hashes: int) -> DataFrame:
+    """Per task: (user, _n rows, _s partial signature) folded over its batches."""
+    import numpy as np
+    import pandas as pd
+
+    a, b = hash_params(n_hashes)
+    user_type = rows.schema[user].dataType.simpleString()
+
+    def fold(batches):
+        av = np.asarray(a, dtype=np.int64)
+        bv = np.asarray(b, dtype=np.int64)
+        keys, counts, mins, held = [], [], [], 0
+
+        def compact():
+            u = np.concatenate(keys)
+            n = np.concatenate(counts)
+            m = np.concatenate(mins)
+            o = np.argsort(u, kind="stable")
+            u, n, m = u[o], n[o], m[o]
+            st = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+            return u[st], np.add.reduceat(n, st), np.minimum.reduceat(m, st, axis=0)
+
+        def emit(u, n, m):
+            return pd.DataFrame({user: u, "_n": n, "_s": list(m.astype(np.int32))})
+
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            u = pdf[user].to_numpy()
+            x = pdf[item].to_numpy().astype(np.int64)
+            o = np.argsort(u, kind="stable")
+            u, x = u[o], x[o]
+            st = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+            for lo in range(0, len(x), 8192):  # bound the (rows x hashes) matrix
+                hi = min(len(x), lo + 8192)
+                h = (x[lo:hi, None] * av[None, :] + bv[None, :]) % PRIME
+                s2 = np.flatnonzero(np.r_[True, u[lo + 1:hi] != u[lo:hi - 1]])
+                keys.append(u[lo:hi][s2])
+                counts.append(np.diff(np.r_[s2, hi - lo]))
+                mins.append(np.minimum.reduceat(h, s2, axis=0))
+                held += len(s2)
+            if held > PARTIAL_BUFFER_USERS:
+                cu, cn, cm = compact()
+                keys, counts, mins, held = [cu], [cn], [cm], len(cu)
+                if held > PARTIAL_BUFFER_USERS:
+                    yield emit(cu, cn, cm)
+                    keys, counts, mins, held = [], [], [], 0
+        if held:
+            yield emit(*compact())
+
+    return rows.mapInPandas(fold, f"{user} {user_type}, _n bigint, _s array<int>")
+
+
 # ---------------------------------------------------------------- clusters (M5, M6)
 
 def clusters(sigs: DataFrame, user: str = "user_id") -> DataFrame:
@@ -298,19 +373,30 @@ def with_sets(pairs: DataFrame, df: DataFrame, user: str = "user_id",
 
 
 def jaccard(pairs: DataFrame, df: DataFrame, user: str = "user_id",
-            item: str = "item_id") -> DataFrame:
-    """Exact Jaccard of each pair: |A and B| / |A or B|, from joins on
-    (user, item) rows, so no set is ever collected. Adds n_items1, n_items2,
-    n_shared, jaccard (NULL when both sets are empty)."""
-    rows = df.select(user, item).filter(F.col(item).isNotNull()).distinct()
-    sizes = rows.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-    p = pairs.select("user1", "user2").distinct()
+            item: str = "item_id", sizes: DataFrame | None = None) -> DataFrame:
+    """Exact Jaccard of each pair of a bounded pair list:
+    |A and B| / |A or B|, from joins on (user, item) rows, so no set is ever
+    collected. Adds n_items1, n_items2, n_shared, jaccard (NULL when both sets
+    are empty). ``sizes`` (user, n_items) saves a pass when already known.
+
+    The pair list (top-k) is broadcast; only rows of its users are read past
+    the scan.
+    """
+    p = F.broadcast(pairs.select("user1", "user2").distinct())
+    who = F.broadcast(p.select(F.col("user1").alias(user))
+                      .union(p.select(F.col("user2").alias(user))).distinct())
+    rows = (df.select(user, item).filter(F.col(item).isNotNull())
+            .join(who, user, "left_semi").distinct())
+    if sizes is None:
+        sizes = rows.groupBy(user).agg(F.count(F.lit(1)).alias("n_items"))
+    else:
+        sizes = sizes.select(user, "n_items").join(who, user, "left_semi")
     r1 = rows.select(F.col(user).alias("user1"), item)
     r2 = rows.select(F.col(user).alias("user2"), item)
-    shared = (F.broadcast(p).join(r1, "user1").join(r2, ["user2", item])
+    shared = (p.join(r1, "user1").join(r2, ["user2", item])
               .groupBy("user1", "user2").agg(F.count(F.lit(1)).alias("n_shared")))
-    n1 = sizes.select(F.col(user).alias("user1"), F.col("_n").alias("n_items1"))
-    n2 = sizes.select(F.col(user).alias("user2"), F.col("_n").alias("n_items2"))
+    n1 = sizes.select(F.col(user).alias("user1"), F.col("n_items").alias("n_items1"))
+    n2 = sizes.select(F.col(user).alias("user2"), F.col("n_items").alias("n_items2"))
     out = (pairs.join(n1, "user1", "left").join(n2, "user2", "left")
            .join(shared, ["user1", "user2"], "left")
            .fillna(0, subset=["n_items1", "n_items2", "n_shared"]))
@@ -331,4 +417,4 @@ def similar_pairs(df: DataFrame, user: str = "user_id", item: str = "item_id",
     sigs = signatures(df, user, item, n_hashes, min_items=min_items)
     sigs = sigs.checkpoint(eager=True) if checkpoint else sigs.persist()
     top = top_pairs(sigs, k, n_bands, rows, user)
-    return jaccard(top, df, user, item)
+    return jaccard(top, df, user, item, sizes=sigs)

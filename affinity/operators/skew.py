@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +64,11 @@ def number_within(df: DataFrame, key: str, order: Sequence[str | Column],
               .sortWithinPartitions(F.col(key), *order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
+    # Task ids and positions must be the same for both readers below (the
+    # segment table and the join back), so the numbered slices are stored
+    # once. A lost cached partition is recomputed by the same task over the
+    # same shuffle output, so it gets the same ids.
+    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
     # One row per (task, key) slice: at most partitions + hot keys rows.
     seg = ranged.groupBy("_pid", key).agg(F.min("_mid").alias("_first"),
                                           F.count(F.lit(1)).alias("_cnt"))
