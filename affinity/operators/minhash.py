@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -254,7 +255,30 @@ def _shared_bands(s1: Column, s2: Column, n_bands: int, rows: int) -> Column:
 
 def _rep_pairs(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFrame:
     """Pairs of distinct signatures sharing >= min_count bands:
-    (rep1 < rep2, count, n1, n2)."""
+    (rep1 < rep2, count, n1, n2).
+
+    High thresholds (more than half the bands): pigeonhole groups of several
+    bands give few candidates, which are then scored exactly against both
+    signatures. Low thresholds: groups are single bands anyway, so the band
+    self-join itself is counted (an exact band comparison per joined row,
+    partial-aggregated), with no signature join.
+    """
+    if min_count * 2 > n_bands:
+        return _rep_pairs_grouped(cl, min_count, n_bands, rows)
+    keyed = cl.select("rep", "n_users",
+                      F.explode(_band_expr(F.col("sig"), n_bands, rows)).alias("_g"))
+    keyed = keyed.select("rep", "n_users", F.col("_g.g").alias("g"), F.col("_g.key").alias("key"),
+                         F.xxhash64(F.col("_g.g"), F.col("_g.key")).alias("gk"))
+    l, r = keyed.alias("l"), keyed.alias("r")
+    hits = l.join(r, (F.col("l.gk") == F.col("r.gk")) & (F.col("l.g") == F.col("r.g"))
+                  & (F.col("l.key") == F.col("r.key")) & (F.col("l.rep") < F.col("r.rep")))
+    counted = hits.groupBy(F.col("l.rep").alias("rep1"), F.col("r.rep").alias("rep2")).agg(
+        F.count(F.lit(1)).alias("count"), F.first(F.col("l.n_users")).alias("n1"),
+        F.first(F.col("r.n_users")).alias("n2"))
+    return counted.filter(F.col("count") >= min_count).select("rep1", "rep2", "n1", "n2", "count")
+
+
+def _rep_pairs_grouped(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFrame:
     n_groups = n_bands - min_count + 1
     keyed = cl.select("rep", "n_users", "sig",
                       F.explode(_band_expr(F.col("sig"), n_bands, rows, n_groups)).alias("_g"))
@@ -407,14 +431,21 @@ def jaccard(pairs: DataFrame, df: DataFrame, user: str = "user_id",
 def similar_pairs(df: DataFrame, user: str = "user_id", item: str = "item_id",
                   k: int = TOP_K, min_items: int = MIN_ITEMS, n_bands: int = N_BANDS,
                   rows: int = ROWS_PER_BAND, n_hashes: int = NUM_HASHES,
-                  checkpoint: bool = True) -> DataFrame:
+                  checkpoint: bool = True, distinct_input: bool = False,
+                  persist_input: bool = False) -> DataFrame:
     """Sets -> size filter -> signatures -> top-k pairs -> Jaccard.
 
     Signatures are checkpointed to the session's checkpoint folder: the pair
     search reads them several times, and a lost executor must not send the
-    job back to the raw interactions.
+    job back to the raw interactions. ``persist_input`` keeps the (user,
+    item) rows for the Jaccard step when the input is expensive to derive
+    (a plain Parquet scan is cheaper to read twice).
     """
-    sigs = signatures(df, user, item, n_hashes, min_items=min_items)
+    df = df.select(user, item)
+    if persist_input:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    sigs = signatures(df, user, item, n_hashes, min_items=min_items,
+                      distinct_input=distinct_input)
     sigs = sigs.checkpoint(eager=True) if checkpoint else sigs.persist()
     top = top_pairs(sigs, k, n_bands, rows, user)
     return jaccard(top, df, user, item, sizes=sigs)

@@ -24,7 +24,9 @@ def _src(spark: SparkSession, sf_dir: str, name: str):
 
 def _sigs(spark: SparkSession, sf_dir: str, name: str):
     df, user = _src(spark, sf_dir, name)
-    sigs = minhash.signatures(df, user, "item_id", min_items=minhash.MIN_ITEMS)
+    # Both derived tables are distinct (user, item) rows by construction.
+    sigs = minhash.signatures(df, user, "item_id", min_items=minhash.MIN_ITEMS,
+                              distinct_input=True)
     return df, user, sigs
 
 
@@ -82,7 +84,8 @@ def top_pairs(spark, sf_dir, name):
 
 def similar_pairs(spark, sf_dir, name):
     df, user = _src(spark, sf_dir, name)
-    return minhash.similar_pairs(df, user, "item_id", k=K)
+    return minhash.similar_pairs(df, user, "item_id", k=K, distinct_input=True,
+                                 persist_input=True)
 
 
 def jaccard_summary(spark, sf_dir, name):

@@ -60,7 +60,9 @@ def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id bigint): distinct hashed lower-case words of each document,
     over the whole text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    words = docs.select("doc_id", F.explode(F.split(F.lower("text"), " ")).alias("w"))
+    # Each document's distinct words first (combined map-side: a document's
+    # words all sit in one task), so the hash runs once per (doc, word).
+    words = docs.select("doc_id", F.explode(F.split(F.lower("text"), " ")).alias("w")).distinct()
     item = F.conv(F.substring(F.md5("w"), 1, 7), 16, 10).cast("bigint") % F.lit(WORD_ID_MOD)
     return words.select("doc_id", item.alias("item_id")).distinct()
 
