@@ -47,3 +47,25 @@ def sparse_filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fixtures.ratings(spark, sf_dir)
     f = splits.filter_sparse(r, min_user=recsys.MIN_USER_RATINGS, min_item=recsys.MIN_ITEM_RATINGS)
     return splits.filter_report(r, f)
+
+
+def ratings_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + S4 + S5: the ratings written as CSV, converted once to
+    Parquet by ``load_or_convert`` (Parquet absent -> CSV read with a fixed
+    schema, columns kept, nulls dropped), and read back. Files go under the
+    session's checkpoint folder, a fresh subfolder per call."""
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from affinity.session import ensure_checkpoint_dir
+    from affinity.sources import io
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    schema = T.StructType([T.StructField("user_id", T.IntegerType()),
+                           T.StructField("item_id", T.IntegerType()),
+                           T.StructField("rating", T.DoubleType()),
+                           T.StructField("ts", T.TimestampNTZType())])
+    io.write_csv(fixtures.ratings(spark, sf_dir), f"{base}/csv")
+    return io.load_or_convert(spark, f"{base}/parquet", f"{base}/csv", schema,
+                              columns=("user_id", "item_id", "rating"))

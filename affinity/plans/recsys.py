@@ -156,3 +156,11 @@ def _tuning_table(results: DataFrame, test: DataFrame, best: dict) -> DataFrame:
         F.lit(best["alpha"]).cast("double").alias("alpha"), "n_users",
         *metrics.METRIC_COLS).withColumn("split", F.lit("test"))
     return val_rows.unionByName(test_row)
+
+
+def popularity_sample_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: predicted and actual lists of the first five test users."""
+    s = fixture_splits(spark, sf_dir)
+    test = s.filter(F.col("split") == "test")
+    top = recommend.popular_items(s.filter(F.col("split") == "train"), TOP_K)
+    return metrics.sample_lists(recommend.recommend_popular(test, top), test, 5)

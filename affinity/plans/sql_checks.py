@@ -410,3 +410,9 @@ FROM users u LEFT JOIN st USING (user_id) JOIN idcg ON idcg.m = least(u.n_rel, {
 
 def implicit_ratings() -> str:
     return f"WITH {split_cte()} SELECT user_id, item_id, 1.0 AS rating FROM s WHERE split = 'train'"
+
+
+def ratings_csv_roundtrip() -> str:
+    return f"""WITH r AS ({RATINGS_SQL})
+SELECT user_id, item_id, rating FROM r
+WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL"""

@@ -90,3 +90,10 @@ def similar_pairs(spark, sf_dir, name):
 
 def jaccard_summary(spark, sf_dir, name):
     return profile.describe(similar_pairs(spark, sf_dir, name), ["jaccard"])
+
+
+def similar_pairs_with_sets(spark, sf_dir, name):
+    """The top pairs with both users' item arrays (a bounded list)."""
+    df, user = _src(spark, sf_dir, name)
+    top = top_pairs(spark, sf_dir, name)
+    return minhash.with_sets(top, df, user, "item_id")
