@@ -96,14 +96,15 @@ def ranking_metrics_shared(ranked_items: DataFrame, relevant: DataFrame, k: int
 
 def sample_lists(recs: DataFrame, relevant: DataFrame, n: int = 5, user: str = "user_id",
                  item: str = "item_id", rank: str = "rank") -> DataFrame:
-    """K5: predicted and actual lists of the ``n`` smallest user ids, for a
-    look at what is being scored. Both lists are bounded: k predictions and the
-    user's relevant items of the chosen few users."""
-    first = recs.select(user).distinct().join(relevant.select(user).distinct(), user)
-    chosen = F.broadcast(first.orderBy(user).limit(n))
-    pred = (recs.join(chosen, user).groupBy(user)
-            .agg(F.sort_array(F.collect_list(F.struct(rank, item))).alias("_p"))
-            .select(user, F.col(f"_p.{item}").alias("predicted")))
-    act = (relevant.join(chosen, user).groupBy(user)
-           .agg(F.sort_array(F.collect_set(item)).alias("actual")))
-    return pred.join(act, user)
+    """K5: predicted and actual items of the ``n`` smallest user ids present on
+    both sides, as rows (user, source, rank, item): source 'predicted' with
+    its rank, or 'actual' with a NULL rank. Rows, not arrays, so a user with a
+    huge relevant set is never gathered into one row."""
+    both = recs.select(user).distinct().join(relevant.select(user).distinct(), user)
+    chosen = F.broadcast(both.orderBy(user).limit(n))
+    pred = recs.join(chosen, user).select(user, F.lit("predicted").alias("source"),
+                                          F.col(rank).cast("int").alias("rank"), item)
+    act = (relevant.select(user, item).distinct().join(chosen, user)
+           .select(user, F.lit("actual").alias("source"), F.lit(None).cast("int").alias("rank"),
+                   item))
+    return pred.unionByName(act)

@@ -361,26 +361,37 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
     (fractions of n_bands in ``descent``) until the pairs with count >= t,
     counted cluster-size-weighted, reach k; only those pairs are scored.
     The loop runs a count per level on the driver; ``sigs`` should be
-    persisted or checkpointed by the caller.
+    persisted or checkpointed by the caller. The k result rows are
+    checkpointed and every intermediate is released before returning.
     """
     order = [F.col("count").desc(), F.col("user1").asc(), F.col("user2").asc()]
     cl = clusters(sigs, user).persist()
-    mem = members(sigs, cl, user)
-    within_total = cl.agg(F.sum(F.col("n_users") * (F.col("n_users") - 1) / 2)).first()[0] or 0
-    if within_total >= k:
-        res = _within_cluster_pairs(mem, k, n_bands, user).orderBy(*order).limit(k)
-        return res
-    within = _within_cluster_pairs(mem, None, n_bands, user)  # fewer than k pairs
-    thresholds = sorted({max(1, min(n_bands - 1, int(round(f * n_bands)))) for f in descent},
-                        reverse=True)
-    for t in thresholds:
-        rp = _rep_pairs(cl, t, n_bands, rows).persist()
-        weighted = rp.agg(F.sum(F.col("n1") * F.col("n2"))).first()[0] or 0
-        if within_total + weighted >= k or t == thresholds[-1]:
-            cross = _cross_cluster_pairs(rp, mem, k, user)
-            return within.unionByName(cross).orderBy(*order).limit(k)
-        rp.unpersist()
-    raise AssertionError("unreachable")
+    cached = [cl]
+    try:
+        mem = members(sigs, cl, user)
+        within_total = cl.agg(F.sum(F.col("n_users") * (F.col("n_users") - 1) / 2)).first()[0] or 0
+        if within_total >= k:
+            res = _within_cluster_pairs(mem, k, n_bands, user).orderBy(*order).limit(k)
+        else:
+            within = _within_cluster_pairs(mem, None, n_bands, user)  # fewer than k pairs
+            thresholds = sorted({max(1, min(n_bands - 1, int(round(f * n_bands))))
+                                 for f in descent}, reverse=True)
+            for t in thresholds:
+                rp = _rep_pairs(cl, t, n_bands, rows).persist()
+                cached.append(rp)
+                weighted = rp.agg(F.sum(F.col("n1") * F.col("n2"))).first()[0] or 0
+                if within_total + weighted >= k or t == thresholds[-1]:
+                    cross = _cross_cluster_pairs(rp, mem, k, user)
+                    res = within.unionByName(cross).orderBy(*order).limit(k)
+                    break
+                cached.remove(rp)
+                rp.unpersist()
+        # k rows: store them in the checkpoint folder and release the
+        # intermediates; the result no longer depends on cached data.
+        return res.checkpoint(eager=True)
+    finally:
+        for c in cached:
+            c.unpersist()
 
 
 # ---------------------------------------------------------------- Jaccard
@@ -444,8 +455,14 @@ def similar_pairs(df: DataFrame, user: str = "user_id", item: str = "item_id",
     df = df.select(user, item)
     if persist_input:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    sigs = signatures(df, user, item, n_hashes, min_items=min_items,
-                      distinct_input=distinct_input)
-    sigs = sigs.checkpoint(eager=True) if checkpoint else sigs.persist()
-    top = top_pairs(sigs, k, n_bands, rows, user)
-    return jaccard(top, df, user, item, sizes=sigs)
+    try:
+        sigs = signatures(df, user, item, n_hashes, min_items=min_items,
+                          distinct_input=distinct_input)
+        sigs = sigs.checkpoint(eager=True) if checkpoint else sigs.persist()
+        top = top_pairs(sigs, k, n_bands, rows, user)
+        out = jaccard(top, df, user, item, sizes=sigs)
+        # k rows; materialized so the persisted input can be released.
+        return out.checkpoint(eager=True) if persist_input else out
+    finally:
+        if persist_input:
+            df.unpersist()

@@ -416,3 +416,14 @@ def ratings_csv_roundtrip() -> str:
     return f"""WITH r AS ({RATINGS_SQL})
 SELECT user_id, item_id, rating FROM r
 WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL"""
+
+
+def popularity_sample_lists(n: int = 5) -> str:
+    return f"""WITH {_pop_cte()},
+test AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'test'),
+chosen AS (SELECT DISTINCT user_id FROM test ORDER BY user_id LIMIT {n})
+SELECT c.user_id, 'predicted' AS source, CAST(ranked.rank AS INT) AS rank, ranked.item_id
+FROM chosen c CROSS JOIN ranked
+UNION ALL
+SELECT t.user_id, 'actual' AS source, CAST(NULL AS INT) AS rank, t.item_id
+FROM test t JOIN chosen c USING (user_id)"""

@@ -133,3 +133,22 @@ def test_signature_clusters_and_members(spark):
     assert [(r.rep, r.n_users) for r in top] == [(5, 3), (9, 1)]
     mem = M.cluster_members(sigs, df, 1).collect()
     assert sorted((r.user_id, r.item_id) for r in mem) == [(u, it) for u in (5, 6, 7) for it in (1, 2, 3)]
+
+
+def test_hot_user_signature_spread(spark):
+    """One user holds about a third of all rows: both engines agree, and the
+    numpy fold leaves partial rows from many tasks for that user (no single
+    task sees the whole set)."""
+    rows = [(0, i) for i in range(30000)] + [(u, (u * 7 + j) % 5000) for u in range(1, 2000)
+                                             for j in range(30)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int").repartition(8)
+    a = {r.user_id: (r.n_items, r.sig) for r in M.signatures(df, engine="numpy").collect()}
+    b = {r.user_id: (r.n_items, r.sig) for r in M.signatures(df, engine="sql").collect()}
+    assert a == b and a[0][0] == 30000
+    # AQE would coalesce this tiny shuffle into one task; keep the partitions.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        partial = M._numpy_partials(df.distinct(), "user_id", "item_id", 128)
+        assert partial.filter("user_id = 0").count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -64,3 +64,15 @@ def test_hot_path_split_equals_plain(spark):
     b = splits.time_split(f, hot_rows=60)  # many users above 60 ratings
     key = ["user_id", "item_id", "split"]
     assert sorted(a.select(key).collect()) == sorted(b.select(key).collect())
+
+
+def test_write_splits_one_pass(spark, tmp_path):
+    df = spark.createDataFrame([(u, i, 3.0, ts(i)) for u in (1, 2) for i in range(10)],
+                               "user_id int, item_id int, rating double, ts timestamp")
+    s = splits.time_split(df)
+    out = str(tmp_path / "splits")
+    splits.write_splits(s, out)
+    back = {sp: spark.read.parquet(f"{out}/split={sp}").count() for sp in splits.SPLITS}
+    assert back == {"train": 14, "val": 4, "test": 2}
+    frames = splits.split_frames(s)
+    assert {k: v.count() for k, v in frames.items()} == back
