@@ -50,19 +50,23 @@ def to_implicit(df: DataFrame, user: str = "user_id", item: str = "item_id",
 def fit_als(train: DataFrame, rank: int = 10, reg: float = 0.1, implicit: bool = False,
             alpha: float = 1.0, seed: int = 42, max_iter: int = 10, user: str = "user_id",
             item: str = "item_id", rating: str = "rating", nonnegative: bool = True,
-            checkpoint_interval: int = 10):
+            checkpoint_interval: int = 10, blocks: int | None = None):
     """Spark ML ALS, cold-start rows dropped, non-negative factors.
 
     A fixed seed makes a fit reproducible on one cluster layout. Long runs cut
     their lineage every ``checkpoint_interval`` iterations into the session's
-    checkpoint folder.
+    checkpoint folder. User and item blocks default to the cluster's
+    parallelism (Spark's own default is 10 blocks, i.e. 10 solver tasks per
+    iteration however large the cluster).
     """
     from pyspark.ml.recommendation import ALS
 
+    n_blocks = blocks or max(1, train.sparkSession.sparkContext.defaultParallelism)
     als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, regParam=reg,
               implicitPrefs=implicit, alpha=alpha, coldStartStrategy="drop",
               nonnegative=nonnegative, seed=seed, maxIter=max_iter,
-              checkpointInterval=checkpoint_interval)
+              checkpointInterval=checkpoint_interval, numUserBlocks=n_blocks,
+              numItemBlocks=n_blocks)
     return als.fit(train)
 
 
