@@ -103,13 +103,20 @@ def filter_report(before: DataFrame, after: DataFrame, user: str = "user_id",
                   item: str = "item_id") -> DataFrame:
     """Rows, users and items before and after a filter, and what was dropped.
 
-    Two one-row aggregates put side by side (a one-row join, not a product)."""
-    def stats(df, tag):
-        return df.agg(F.count(F.lit(1)).alias(f"rows_{tag}"),
-                      F.count_distinct(user).alias(f"users_{tag}"),
-                      F.count_distinct(item).alias(f"items_{tag}")).withColumn("_k", F.lit(1))
-    j = stats(before, "before").join(stats(after, "after"), "_k").drop("_k")
-    return j.select("*",
-                    (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"),
-                    (F.col("users_before") - F.col("users_after")).alias("users_dropped"),
-                    (F.col("items_before") - F.col("items_after")).alias("items_dropped"))
+    Both frames are tagged and unioned, then one conditional aggregate counts
+    each side: no join between the two results.
+    """
+    tagged = (before.select(user, item, F.lit(True).alias("_b"))
+              .unionByName(after.select(user, item, F.lit(False).alias("_b"))))
+    b, a = F.col("_b"), ~F.col("_b")
+    out = tagged.agg(
+        F.count(F.when(b, 1)).alias("rows_before"),
+        F.count_distinct(F.when(b, F.col(user))).alias("users_before"),
+        F.count_distinct(F.when(b, F.col(item))).alias("items_before"),
+        F.count(F.when(a, 1)).alias("rows_after"),
+        F.count_distinct(F.when(a, F.col(user))).alias("users_after"),
+        F.count_distinct(F.when(a, F.col(item))).alias("items_after"))
+    return out.select("*",
+                      (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"),
+                      (F.col("users_before") - F.col("users_after")).alias("users_dropped"),
+                      (F.col("items_before") - F.col("items_after")).alias("items_dropped"))
