@@ -164,3 +164,15 @@ def popularity_sample_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = s.filter(F.col("split") == "test")
     top = recommend.popular_items(s.filter(F.col("split") == "train"), TOP_K)
     return metrics.sample_lists(recommend.recommend_popular(test, top), test, 5)
+
+
+def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the split written once as Parquet partitioned by split (under the
+    checkpoint folder, a fresh subfolder per call), read back and counted."""
+    import uuid
+
+    from affinity.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/splits-{uuid.uuid4().hex}"
+    splits.write_splits(fixture_splits(spark, sf_dir), path)
+    return splits.split_sizes(spark.read.parquet(path))
