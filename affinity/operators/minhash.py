@@ -71,8 +71,9 @@ def signatures(df: DataFrame, user: str = "user_id", item: str = "item_id",
                distinct_input: bool = False) -> DataFrame:
     """M4: (user, n_items, sig array<int>, sig_key bigint).
 
-    sig[i] = min over the user's items of (a_i * item + b_i) mod p; an empty
-    set (all items null) gives p everywhere. ``sig_key`` is a 64-bit hash of
+    sig[i] = min over the user's items of (a_i * item + b_i) mod p. Null items
+    are skipped; a user with no non-null item has an empty set and gets no row
+    (the study drops sets under three items anyway). ``sig_key`` is a 64-bit hash of
     the signature for cheap shuffles; joins still compare the array itself.
     Items must be non-negative and below 9e9 so products stay in bigint.
 
