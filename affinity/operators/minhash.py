@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.expr import hash_mod
 from affinity.functions.hashing import NUM_HASHES, PRIME, hash_params
+from affinity.session import reliable_checkpoint
 
 N_BANDS = 32
 ROWS_PER_BAND = 4
@@ -389,7 +390,7 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
                 rp.unpersist()
         # k rows: store them in the checkpoint folder and release the
         # intermediates; the result no longer depends on cached data.
-        return res.checkpoint(eager=True)
+        return reliable_checkpoint(res)
     finally:
         for c in cached:
             c.unpersist()
@@ -459,11 +460,11 @@ def similar_pairs(df: DataFrame, user: str = "user_id", item: str = "item_id",
     try:
         sigs = signatures(df, user, item, n_hashes, min_items=min_items,
                           distinct_input=distinct_input)
-        sigs = sigs.checkpoint(eager=True) if checkpoint else sigs.persist()
+        sigs = reliable_checkpoint(sigs) if checkpoint else sigs.persist()
         top = top_pairs(sigs, k, n_bands, rows, user)
         out = jaccard(top, df, user, item, sizes=sigs)
         # k rows; materialized so the persisted input can be released.
-        return out.checkpoint(eager=True) if persist_input else out
+        return reliable_checkpoint(out) if persist_input else out
     finally:
         if persist_input:
             df.unpersist()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.operators.metrics import ranking_metrics, relevant_sets
+from affinity.session import ensure_checkpoint_dir
 
 
 def popular_items(train: DataFrame, k: int = 100, user: str = "user_id",
@@ -61,6 +62,7 @@ def fit_als(train: DataFrame, rank: int = 10, reg: float = 0.1, implicit: bool =
     """
     from pyspark.ml.recommendation import ALS
 
+    ensure_checkpoint_dir(train.sparkSession)  # checkpointInterval needs the folder
     n_blocks = blocks or max(1, train.sparkSession.sparkContext.defaultParallelism)
     als = ALS(userCol=user, itemCol=item, ratingCol=rating, rank=rank, regParam=reg,
               implicitPrefs=implicit, alpha=alpha, coldStartStrategy="drop",

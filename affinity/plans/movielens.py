@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from affinity.operators import metrics, minhash, pairs, profile, recommend, splits
 from affinity.plans import recsys
+from affinity.session import reliable_checkpoint
 from affinity.sources import io
 
 USER, ITEM, RATING, TIME = "userId", "movieId", "rating", "timestamp"
@@ -57,7 +58,8 @@ def twins(ratings: DataFrame, k: int = 100) -> dict[str, DataFrame]:
     """Top-k similar users with Jaccard, their summary, and signature and
     bucket diagnostics."""
     rows = ratings.select(USER, ITEM)
-    sigs = minhash.signatures(rows, USER, ITEM, min_items=minhash.MIN_ITEMS).checkpoint(eager=True)
+    sigs = reliable_checkpoint(
+        minhash.signatures(rows, USER, ITEM, min_items=minhash.MIN_ITEMS))
     top = minhash.top_pairs(sigs, k, user=USER)
     sized = minhash.jaccard(top, rows, USER, ITEM, sizes=sigs)
     return {

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.operators import minhash, profile
+from affinity.session import reliable_checkpoint
 from affinity.sources import fixtures
 
 K = 100
@@ -79,7 +80,7 @@ def candidate_pairs(spark, sf_dir, name):
 
 def top_pairs(spark, sf_dir, name):
     _, user, sigs = _sigs(spark, sf_dir, name)
-    return minhash.top_pairs(sigs.checkpoint(eager=True), K, user=user)
+    return minhash.top_pairs(reliable_checkpoint(sigs), K, user=user)
 
 
 def similar_pairs(spark, sf_dir, name):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.operators import minhash, pairs
+from affinity.session import reliable_checkpoint
 from affinity.sources import fixtures
 
 K = 100
@@ -21,7 +22,7 @@ def _round(df: DataFrame, cols) -> DataFrame:
 def _similar(spark, sf_dir):
     ev = fixtures.event_items(spark, sf_dir)
     sigs = minhash.signatures(ev, "user_id", "item_id", min_items=minhash.MIN_ITEMS)
-    top = minhash.top_pairs(sigs.checkpoint(eager=True), K)
+    top = minhash.top_pairs(reliable_checkpoint(sigs), K)
     return ev, top
 
 

@@ -69,3 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def reliable_checkpoint(df):
+    """Write ``df`` to the shared checkpoint folder now and return the frame
+    read back from it (lineage cut; survives the loss of any executor)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
