@@ -23,13 +23,26 @@ IMPLICIT_ALPHAS = (1, 5, 10)
 
 
 def split_ratings(ratings: DataFrame, persist: bool = True) -> DataFrame:
-    """F1 then F3 on (user_id, item_id, rating, ts): adds ``split``."""
+    """F1 then F3 on (user_id, item_id, rating, ts): adds ``split``.
+
+    With ``persist`` the split is stored once (memory, then local disk) and
+    returned materialized: every study reads train, val and test from it,
+    as the split files are read in the file-based workflow. The filtered
+    input is kept only while the split is computed (the hot-key check and the
+    numbering both read it), so at most one copy stays cached.
+    """
     filtered = splits.filter_sparse(ratings, min_user=MIN_USER_RATINGS,
                                     min_item=MIN_ITEM_RATINGS)
-    if persist:
-        # The hot-key check and the split both read it; keep one copy.
-        filtered = filtered.persist(StorageLevel.MEMORY_AND_DISK)
-    return splits.time_split(filtered, train=TRAIN_FRAC, val=VAL_FRAC)
+    if not persist:
+        return splits.time_split(filtered, train=TRAIN_FRAC, val=VAL_FRAC)
+    filtered = filtered.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = splits.time_split(filtered, train=TRAIN_FRAC,
+                                val=VAL_FRAC).persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+        return out
+    finally:
+        filtered.unpersist()
 
 
 def fixture_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
