@@ -17,6 +17,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinity.session import reliable_checkpoint
+
 # Keys with more rows than this are treated as hot. A window partition of this
 # size still sorts comfortably in one task.
 DEFAULT_HOT_ROWS = 5_000_000
@@ -65,9 +67,8 @@ def number_within(df: DataFrame, key: str, order: Sequence[str | Column],
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     # Task ids and positions must be the same for both readers below (the
-    # segment table and the join back), so the numbered slices are stored
-    # once. A lost cached partition is recomputed by the same task over the
-    # same shuffle output, so it gets the same ids.
+    # segment table and the join back), so the numbered slices are cached
+    # while both read them.
     ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
     # One row per (task, key) slice: at most partitions + hot keys rows.
     seg = ranged.groupBy("_pid", key).agg(F.min("_mid").alias("_first"),
@@ -83,5 +84,11 @@ def number_within(df: DataFrame, key: str, order: Sequence[str | Column],
                     .withColumn(row_col, (F.col("_off") + F.col("_mid") - F.col("_first") + 1)
                                 .cast("int"))
                     .drop("_pid", "_mid", "_first", "_off"))
+    # Written once to the shared checkpoint folder: the numbers are then fixed
+    # on storage whatever happens to executors later, and the cache is freed.
+    try:
+        hot_numbered = reliable_checkpoint(hot_numbered)
+    finally:
+        ranged.unpersist()
     cols = cold.columns
     return cold.unionByName(hot_numbered.select(*cols))
