@@ -24,3 +24,12 @@ def guarded_pearson(x: str, y: str) -> Column:
 
 def sorted_key(*cols: str) -> list[Column]:
     return [F.col(c).asc() for c in cols]
+
+
+def round_doubles(df, digits: int = 6, cols=None):
+    """Round the double columns (or ``cols``) of a small report to ``digits``,
+    so two engines whose float sums differ in the last bits agree."""
+    from pyspark.sql.types import DoubleType
+    names = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
+    return df.select(*[F.round(F.col(c), digits).alias(c) if c in names else F.col(c)
+                       for c in df.columns])

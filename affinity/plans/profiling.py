@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinity.functions.expr import round_doubles
 from affinity.operators import minhash, profile, splits
 from affinity.plans import recsys
 from affinity.sources import fixtures
@@ -27,12 +28,12 @@ def part_name_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.describe(fixtures.ratings(spark, sf_dir), ["rating"])
+    return round_doubles(profile.describe(fixtures.ratings(spark, sf_dir), ["rating"]))
 
 
 def doc_set_size_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = minhash.set_sizes(fixtures.doc_words(spark, sf_dir), "doc_id")
-    return profile.describe(sizes, ["n_items"])
+    return round_doubles(profile.describe(sizes, ["n_items"]))
 
 
 def ratings_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

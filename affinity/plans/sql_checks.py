@@ -91,10 +91,12 @@ GROUP BY value ORDER BY "count" DESC, value"""
 
 def describe_sql(source_cte: str, col: str) -> str:
     return f"""WITH src AS ({source_cte})
-SELECT '{col}' AS "column", count({col}) AS "count", avg({col}::DOUBLE) AS mean,
-       stddev_samp({col}::DOUBLE) AS stddev, min({col})::DOUBLE AS "min",
-       quantile_cont({col}::DOUBLE, 0.25) AS p25, quantile_cont({col}::DOUBLE, 0.5) AS p50,
-       quantile_cont({col}::DOUBLE, 0.75) AS p75, max({col})::DOUBLE AS "max" FROM src"""
+SELECT '{col}' AS "column", count({col}) AS "count", round(avg({col}::DOUBLE), 6) AS mean,
+       round(stddev_samp({col}::DOUBLE), 6) AS stddev, round(min({col})::DOUBLE, 6) AS "min",
+       round(quantile_cont({col}::DOUBLE, 0.25), 6) AS p25,
+       round(quantile_cont({col}::DOUBLE, 0.5), 6) AS p50,
+       round(quantile_cont({col}::DOUBLE, 0.75), 6) AS p75,
+       round(max({col})::DOUBLE, 6) AS "max" FROM src"""
 
 
 def rating_summary() -> str:
@@ -172,8 +174,9 @@ FROM bnd GROUP BY band_idx, band"""
 def bucket_stats(src_sql: str, user: str) -> str:
     return f"""WITH {sig_ctes(src_sql, user)},
 bk AS (SELECT count(*) AS n_users FROM bnd GROUP BY band_idx, band)
-SELECT count(*) AS n_buckets, avg(n_users) AS mean_size, stddev_samp(n_users) AS stddev_size,
-       min(n_users) AS min_size, quantile_cont(n_users, 0.5) AS median_size,
+SELECT count(*) AS n_buckets, round(avg(n_users), 6) AS mean_size,
+       round(stddev_samp(n_users), 6) AS stddev_size,
+       min(n_users) AS min_size, round(quantile_cont(n_users, 0.5), 6) AS median_size,
        sum(CAST(n_users > 1 AS BIGINT)) AS n_shared_buckets, max(n_users) AS max_size FROM bk"""
 
 
@@ -206,10 +209,10 @@ LEFT JOIN sh ON sh.user1 = t.user1 AND sh.user2 = t.user2"""
 
 def jaccard_summary(src_sql: str, user: str, k: int = K) -> str:
     return f"""WITH sp AS ({similar_pairs(src_sql, user, k)})
-SELECT 'jaccard' AS "column", count(jaccard) AS "count", avg(jaccard) AS mean,
-       stddev_samp(jaccard) AS stddev, min(jaccard) AS "min",
-       quantile_cont(jaccard, 0.25) AS p25, quantile_cont(jaccard, 0.5) AS p50,
-       quantile_cont(jaccard, 0.75) AS p75, max(jaccard) AS "max" FROM sp"""
+SELECT 'jaccard' AS "column", count(jaccard) AS "count", round(avg(jaccard), 6) AS mean,
+       round(stddev_samp(jaccard), 6) AS stddev, round(min(jaccard), 6) AS "min",
+       round(quantile_cont(jaccard, 0.25), 6) AS p25, round(quantile_cont(jaccard, 0.5), 6) AS p50,
+       round(quantile_cont(jaccard, 0.75), 6) AS p75, round(max(jaccard), 6) AS "max" FROM sp"""
 
 
 # ---------------------------------------------------------------- pair validation

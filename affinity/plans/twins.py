@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinity.functions.expr import round_doubles
 from affinity.operators import minhash, profile
 from affinity.session import reliable_checkpoint
 from affinity.sources import fixtures
@@ -70,7 +71,7 @@ def lsh_buckets(spark, sf_dir, name):
 
 def bucket_stats(spark, sf_dir, name):
     _, user, sigs = _sigs(spark, sf_dir, name)
-    return minhash.bucket_stats(minhash.bands(sigs, user=user), user)
+    return round_doubles(minhash.bucket_stats(minhash.bands(sigs, user=user), user))
 
 
 def candidate_pairs(spark, sf_dir, name):
@@ -90,7 +91,7 @@ def similar_pairs(spark, sf_dir, name):
 
 
 def jaccard_summary(spark, sf_dir, name):
-    return profile.describe(similar_pairs(spark, sf_dir, name), ["jaccard"])
+    return round_doubles(profile.describe(similar_pairs(spark, sf_dir, name), ["jaccard"]))
 
 
 def similar_pairs_with_sets(spark, sf_dir, name):
