@@ -74,7 +74,7 @@ SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_user_id,
 
 def null_counts_documents() -> str:
     cols = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
-    sel = ", ".join(f"sum(CAST({c} IS NULL AS INT)) AS {c}" for c in cols)
+    sel = ", ".join(f"CAST(sum(CAST({c} IS NULL AS INT)) AS BIGINT) AS {c}" for c in cols)
     return f"WITH d AS ({LABELLED_DOCUMENTS_SQL}) SELECT {sel} FROM d"
 
 
@@ -177,7 +177,8 @@ bk AS (SELECT count(*) AS n_users FROM bnd GROUP BY band_idx, band)
 SELECT count(*) AS n_buckets, round(avg(n_users), 6) AS mean_size,
        round(stddev_samp(n_users), 6) AS stddev_size,
        min(n_users) AS min_size, round(quantile_cont(n_users, 0.5), 6) AS median_size,
-       sum(CAST(n_users > 1 AS BIGINT)) AS n_shared_buckets, max(n_users) AS max_size FROM bk"""
+       CAST(sum(CAST(n_users > 1 AS BIGINT)) AS BIGINT) AS n_shared_buckets,
+       max(n_users) AS max_size FROM bk"""
 
 
 def candidate_pairs(src_sql: str, user: str) -> str:
@@ -381,7 +382,8 @@ def _pop_cte(k: int = K) -> str:
 pop AS (SELECT item_id, count(user_id) AS popularity FROM s WHERE split = 'train'
         GROUP BY item_id ORDER BY popularity DESC, item_id LIMIT {k}),
 ranked AS (SELECT item_id, popularity,
-                  row_number() OVER (ORDER BY popularity DESC, item_id) AS rank FROM pop)"""
+                  CAST(row_number() OVER (ORDER BY popularity DESC, item_id) AS INT) AS rank
+           FROM pop)"""
 
 
 def popular_items() -> str:
@@ -412,7 +414,8 @@ FROM users u LEFT JOIN st USING (user_id) JOIN idcg ON idcg.m = least(u.n_rel, {
 
 
 def implicit_ratings() -> str:
-    return f"WITH {split_cte()} SELECT user_id, item_id, 1.0 AS rating FROM s WHERE split = 'train'"
+    return (f"WITH {split_cte()} SELECT user_id, item_id, CAST(1.0 AS DOUBLE) AS rating "
+            f"FROM s WHERE split = 'train'")
 
 
 def ratings_csv_roundtrip() -> str:
