@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import decontaminate, html_text, language_id, line_dedup, packing, simhash
+from affinity.llm import (ann, decontaminate, html_text, language_id, line_dedup, lm, packing, repeats, simhash,
+                          token_counts)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -37,16 +38,40 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model")).select(
+        "doc_id", "n_tokens", "n_unknown", "best_score")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return repeats.remove_repeats(docs, width=200).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(docs, _tokenizer("byte_bpe_50k.json"), capacity=2048, separator=0)
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = fold(7) == 2
+    return lm.score_texts(docs, train=~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return simhash.near_duplicates(docs, size=3, max_bits=3).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(rows, queries=rows.filter("vec_id % 50 = 0"), k=5)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontaminate.TestIndex(_table(spark, sf_dir, "documents", "doc_id", "text"),
                                     _table(spark, sf_dir, "benchmark", "item_id", "text"), size=10)
@@ -60,8 +85,9 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", "n_chars")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_language_id, op5_best_fit_packing, op7_simhash,
-                                   op9_decontamination, op10_html_text)}
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_language_id, op3_token_counts, op4_suffix_dedup, op5_best_fit_packing, op6_lm_scoring,
+    op7_simhash, op8_nearest_neighbours, op9_decontamination, op10_html_text)}
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
