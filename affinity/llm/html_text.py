@@ -48,6 +48,7 @@ BOILER_ROLE = frozenset("navigation banner contentinfo complementary search form
                         "alertdialog status toolbar note".split())
 STRONG = re.compile(r"(?:^|[-_\s])(?:article|post|entry|content|main|story|body|text)(?:$|[-_\s])", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+CUT_TAG = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")  # a tag that the end of the page cuts off
 NEVER_NAMED = frozenset("html body main h1 h2 h3 h4 h5 h6 b i em strong a".split())
 BLANK = re.compile(r"[\s​﻿]+")
 
@@ -209,7 +210,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     builder = TreeBuilder()
-    builder.feed(html)
+    builder.feed(CUT_TAG.sub("", html))
     builder.close()
     order = _measure(builder.root)
     _give_points(order)
@@ -220,7 +221,7 @@ def main_text(html: str | None) -> str:
     while up is not None:  # an article element around the best container is the article
         best, up = up if up.tag == "article" else best, up.parent
     kept = [best]
-    if best.parent is not None and not best.strong:
+    if best.parent is not None and best.tag not in ("article", "main"):
         limit = max(10.0, 0.2 * _score(best))
         kept = []
         for k in best.parent.kids:
@@ -228,8 +229,8 @@ def main_text(html: str | None) -> str:
                 kept.append(k)
             elif isinstance(k, Node) and not k.skip:
                 density = k.linked / k.chars if k.chars else 0.0
-                if k.tag in CONTAINERS and _score(k) >= limit or k.tag in ("p", "h1", "h2", "h3", "pre", "blockquote", "ul", "ol") \
-                        and k.chars and density < 0.25:
+                plain = k.tag in ("p", "pre", "ul", "ol") or k.tag in ("h1", "h2", "h3") and best.parent.tag not in ("body", "html")
+                if k.tag in CONTAINERS and _score(k) >= limit or plain and k.chars and density < 0.25:
                     kept.append(k)
     elif best.parent is not None and best.tag == "article":
         kept = [k for k in best.parent.kids if k is best or isinstance(k, Node) and not k.skip and k.tag == "article" and k.strong
