@@ -9,9 +9,10 @@ from affinity.functions.hashing import PRIME
 
 
 def hash_mod(x: Column | str, a: int, b: int, p: int = PRIME) -> Column:
-    """(a*x + b) mod p in bigint. Exact while a*x + b < 2^63."""
+    """(a*x + b) mod p in bigint, never negative. An x so large that a*x + b
+    leaves 63 bits is an error under ANSI arithmetic, not a wrapped value."""
     x = F.col(x) if isinstance(x, str) else x
-    return (F.lit(a).cast("bigint") * x.cast("bigint") + F.lit(b).cast("bigint")) % F.lit(p)
+    return F.pmod(F.lit(a).cast("bigint") * x.cast("bigint") + F.lit(b).cast("bigint"), F.lit(p))
 
 
 def guarded_pearson(x: str, y: str) -> Column:
@@ -22,10 +23,6 @@ def guarded_pearson(x: str, y: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def sorted_key(*cols: str) -> list[Column]:
-    return [F.col(c).asc() for c in cols]
-
-
 def round_doubles(df, digits: int = 6, cols=None):
     """Round the double columns (or ``cols``) of a small report to ``digits``,
     so two engines whose float sums differ in the last bits agree."""

@@ -2,18 +2,21 @@
 
 A pair's score is the number of LSH bands in which the two signatures are
 equal (1..n_bands). Everything is built from aggregates, joins and array
-expressions on the JVM; no Python runs per row.
+expressions; the one Python step is the numpy fold of the default signature
+engine, which works on Arrow batches (``engine="sql"`` stays on the JVM).
 
 Scale notes
-* Signatures are 128 ``min`` aggregates over (user, item) rows, not hashes of
-  a collected set: map-side partial aggregation keeps a user with a huge set
+* Signatures are minima over (user, item) rows, folded per task and merged by
+  a ``min`` aggregate, not hashes of a collected set: a user with a huge set is
   spread over many tasks.
 * Users with identical signatures (copies, bots) collapse into one cluster
   represented by its smallest user id; pairs inside a cluster score n_bands
   and are never listed wholesale.
 * Pairs with score >= t are found by the pigeonhole principle: split the bands
   into n_bands - t + 1 groups; such a pair agrees on every band of at least one
-  group. Longer group keys make far smaller buckets than single bands.
+  group. Longer group keys make far smaller buckets than single bands. The
+  top-k search goes down these levels and only counts the join on single
+  bands, once, if all of them together hold fewer than k pairs.
 """
 
 from __future__ import annotations
@@ -26,36 +29,35 @@ from pyspark.sql import functions as F
 
 from affinity.functions.expr import hash_mod
 from affinity.functions.hashing import NUM_HASHES, PRIME, hash_params
+from affinity.operators.bounds import small_side
 from affinity.session import reliable_checkpoint
 
 N_BANDS = 32
 ROWS_PER_BAND = 4
 MIN_ITEMS = 3
 TOP_K = 100
-# Thresholds tried by top_pairs, from identical signatures downwards.
-DESCENT = (0.5, 0.125, 0.0)
+# Shares of the bands that top_pairs asks for, level by level, before it counts
+# single bands: 31, 28, 24, 20 and 17 of 32. All are above one half, where the
+# groups of the pigeonhole search have more than one band.
+DESCENT = (31 / 32, 28 / 32, 24 / 32, 20 / 32, 17 / 32)
+# Largest item number: a * item + b must stay below 2**63 for every hash function.
+MAX_ITEM = (2**63 - 1 - PRIME) // PRIME
 
 
 # ---------------------------------------------------------------- sets (M1, M2)
 
-def item_sets(df: DataFrame, user: str = "user_id", item: str = "item_id",
-              as_array: bool = False) -> DataFrame:
-    """M1: the distinct items of each user; nulls skipped.
-
-    Default form is rows (user, item), which any size of set survives.
-    ``as_array=True`` collects (user, items sorted) for display of bounded
-    sets only: one user's set becomes one row.
-    """
-    rows = df.select(user, item).filter(F.col(item).isNotNull()).distinct()
-    if not as_array:
-        return rows
-    return rows.groupBy(user).agg(F.sort_array(F.collect_list(item)).alias("items"))
+def item_sets(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
+    """M1: the distinct items of each user as rows (user, item), a form that
+    any size of set survives; nulls skipped."""
+    return df.select(user, item).filter(F.col(item).isNotNull()).distinct()
 
 
-def set_sizes(df: DataFrame, user: str = "user_id", item: str = "item_id") -> DataFrame:
-    """(user, n_items): distinct non-null items of each user."""
-    return (df.select(user, item).filter(F.col(item).isNotNull()).distinct()
-            .groupBy(user).agg(F.count(F.lit(1)).alias("n_items")))
+def set_sizes(df: DataFrame, user: str = "user_id", item: str = "item_id",
+              distinct_input: bool = False) -> DataFrame:
+    """(user, n_items): distinct non-null items of each user. ``distinct_input``
+    skips the de-duplication when the caller guarantees it."""
+    rows = df.select(user, item).filter(F.col(item).isNotNull()) if distinct_input else item_sets(df, user, item)
+    return rows.groupBy(user).agg(F.count(F.lit(1)).alias("n_items"))
 
 
 def min_set_size(df: DataFrame, n: int = MIN_ITEMS, user: str = "user_id",
@@ -69,14 +71,15 @@ def min_set_size(df: DataFrame, n: int = MIN_ITEMS, user: str = "user_id",
 
 def signatures(df: DataFrame, user: str = "user_id", item: str = "item_id",
                n_hashes: int = NUM_HASHES, min_items: int = 0, engine: str = "numpy",
-               distinct_input: bool = False) -> DataFrame:
+               distinct_input: bool = False, number: str | None = None) -> DataFrame:
     """M4: (user, n_items, sig array<int>, sig_key bigint).
 
     sig[i] = min over the user's items of (a_i * item + b_i) mod p. Null items
-    are skipped; a user with no non-null item has an empty set and gets no row
-    (the study drops sets under three items anyway). ``sig_key`` is a 64-bit hash of
-    the signature for cheap shuffles; joins still compare the array itself.
-    Items must be non-negative and below 9e9 so products stay in bigint.
+    are skipped; a user with null items only has the empty set, whose signature
+    is p throughout. ``sig_key`` is a 64-bit hash of the signature for cheap
+    shuffles; joins still compare the array itself. ``number`` is a SQL
+    expression that gives an item's number (default: the item); sets are told
+    apart by the items. A number beyond +-9e9 is an error.
 
     ``engine="numpy"``: each task folds its Arrow batches into per-user
     partial minima (numpy, a bounded buffer), then a ``min`` aggregate merges
@@ -85,20 +88,22 @@ def signatures(df: DataFrame, user: str = "user_id", item: str = "item_id",
     huge set is spread over all map tasks. ``distinct_input`` skips the
     (user, item) de-duplication when the caller guarantees it.
     """
-    rows = df.select(user, item).filter(F.col(item).isNotNull())
+    rows = df.select(user, item)
+    if min_items:
+        rows = rows.filter(F.col(item).isNotNull())
     if not distinct_input:
         rows = rows.distinct()
+    rows = rows.select(user, (F.expr(number) if number else F.col(item)).cast("bigint").alias("_x"))
     if engine == "numpy":
-        partial = _numpy_partials(rows, user, item, n_hashes)
+        partial = _numpy_partials(rows, user, "_x", n_hashes)
         agg = partial.groupBy(user).agg(
             F.sum("_n").alias("n_items"),
             *[F.min(F.col("_s")[i]).alias(f"_h{i}") for i in range(n_hashes)])
     else:
         a, b = hash_params(n_hashes)
-        x = F.col(item)
         agg = rows.groupBy(user).agg(
-            F.count(x).alias("n_items"),
-            *[F.min(hash_mod(x, a[i], b[i])).cast("int").alias(f"_h{i}")
+            F.count("_x").alias("n_items"),
+            *[F.min(hash_mod(F.col("_x"), a[i], b[i])).cast("int").alias(f"_h{i}")
               for i in range(n_hashes)])
     if min_items:
         agg = agg.filter(F.col("n_items") >= min_items)
@@ -107,17 +112,32 @@ def signatures(df: DataFrame, user: str = "user_id", item: str = "item_id",
     return agg.select(user, "n_items", sig.alias("sig")).withColumn("sig_key", F.xxhash64("sig"))
 
 
-# Rows of per-user partial state a task keeps before handing it on.
-PARTIAL_BUFFER_USERS = 100_000
+def signature_counts(df: DataFrame, user: str = "user_id", item: str = "item_id",
+                     min_items: int = MIN_ITEMS, **how) -> DataFrame:
+    """Users and distinct signatures, of all sets and of those with at least
+    ``min_items`` items, in one aggregate over the signatures. Equal signatures
+    may belong to sets on either side of the size."""
+    big = F.col("n_items") >= min_items
+    each = signatures(df, user, item, **how).groupBy("sig_key", "sig").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(big).alias("n_big"))
+    return each.agg(F.sum("n").alias("n_users"), F.count(F.lit(1)).alias("n_signatures"),
+                    F.sum("n_big").alias("n_users_filtered"), F.count_if(F.col("n_big") > 0).alias("n_signatures_filtered"))
+
+
+# Bytes of per-user partial minima that a task keeps before it hands them on
+# (all of them are handed on; the bound is on memory, not on users).
+PARTIAL_BYTES = 32 << 20
 
 
 def _numpy_partials(rows: DataFrame, user: str, item: str, n_hashes: int) -> DataFrame:
-    """Per task: (user, _n rows, _s partial signature) folded over its batches."""
+    """Per task: (user, _n items, _s partial signature) folded over its batches.
+    Rows with a null item give the empty signature."""
     import numpy as np
     import pandas as pd
 
     a, b = hash_params(n_hashes)
     user_type = rows.schema[user].dataType.simpleString()
+    most, limit = max(1, PARTIAL_BYTES // (8 * n_hashes)), MAX_ITEM
 
     def fold(batches):
         av = np.asarray(a, dtype=np.int64)
@@ -139,8 +159,17 @@ def _numpy_partials(rows: DataFrame, user: str, item: str, n_hashes: int) -> Dat
         for pdf in batches:
             if pdf.empty:
                 continue
+            none = pdf[item].isna().to_numpy()
+            if none.any():
+                alone = np.unique(pdf[user].to_numpy()[none])
+                yield emit(alone, np.zeros(len(alone), np.int64), np.full((len(alone), n_hashes), PRIME))
+                pdf = pdf[~none]
+                if pdf.empty:
+                    continue
             u = pdf[user].to_numpy()
             x = pdf[item].to_numpy().astype(np.int64)
+            if np.abs(x).max() > limit:
+                raise ValueError(f"item numbers must be within +-{limit}")
             o = np.argsort(u, kind="stable")
             u, x = u[o], x[o]
             st = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
@@ -152,10 +181,10 @@ def _numpy_partials(rows: DataFrame, user: str, item: str, n_hashes: int) -> Dat
                 counts.append(np.diff(np.r_[s2, hi - lo]))
                 mins.append(np.minimum.reduceat(h, s2, axis=0))
                 held += len(s2)
-            if held > PARTIAL_BUFFER_USERS:
+            if held > most:
                 cu, cn, cm = compact()
                 keys, counts, mins, held = [cu], [cn], [cm], len(cu)
-                if held > PARTIAL_BUFFER_USERS:
+                if held > most:
                     yield emit(cu, cn, cm)
                     keys, counts, mins, held = [], [], [], 0
         if held:
@@ -189,7 +218,8 @@ def members(sigs: DataFrame, cl: DataFrame, user: str = "user_id") -> DataFrame:
 def cluster_members(sigs: DataFrame, pairs: DataFrame, k: int = 1, user: str = "user_id",
                     item: str = "item_id") -> DataFrame:
     """M6: users of the k largest signature clusters and their items:
-    (rep, user, item). The k cluster rows are broadcast."""
+    (rep, user, item). The k cluster rows are broadcast. ``sigs`` is read
+    twice: checkpoint it first."""
     top = (clusters(sigs, user).orderBy(F.col("n_users").desc(), F.col("rep").asc()).limit(k)
            .select("sig_key", "sig", "rep"))
     who = sigs.select(user, "sig_key", "sig").join(F.broadcast(top), ["sig_key", "sig"])
@@ -223,15 +253,12 @@ def bands(sigs: DataFrame, n_bands: int = N_BANDS, rows: int = ROWS_PER_BAND,
             .select(user, F.col("_b.g").alias("band_idx"), F.col("_b.key").alias("band")))
 
 
-def buckets(band_rows: DataFrame, user: str = "user_id", with_members: bool = False) -> DataFrame:
+def buckets(band_rows: DataFrame, user: str = "user_id") -> DataFrame:
     """M8: users with equal (band_idx, band): (band_idx, band, n_users,
-    min_user, max_user). ``with_members`` adds the user list, for bounded
-    buckets only (a bucket becomes one row)."""
-    aggs = [F.count(F.lit(1)).alias("n_users"), F.min(user).alias("min_user"),
-            F.max(user).alias("max_user")]
-    if with_members:
-        aggs.append(F.sort_array(F.collect_list(user)).alias("members"))
-    return band_rows.groupBy("band_idx", "band").agg(*aggs)
+    min_user, max_user). The members of a bucket are the rows of ``bands`` with
+    its key; they are never gathered into one row."""
+    return band_rows.groupBy("band_idx", "band").agg(
+        F.count(F.lit(1)).alias("n_users"), F.min(user).alias("min_user"), F.max(user).alias("max_user"))
 
 
 def bucket_stats(band_rows: DataFrame, user: str = "user_id") -> DataFrame:
@@ -243,7 +270,7 @@ def bucket_stats(band_rows: DataFrame, user: str = "user_id") -> DataFrame:
                  F.stddev_samp("n_users").alias("stddev_size"),
                  F.min("n_users").alias("min_size"),
                  F.percentile("n_users", 0.5).alias("median_size"),
-                 F.sum((F.col("n_users") > 1).cast("int")).alias("n_shared_buckets"),
+                 F.count_if(F.col("n_users") > 1).alias("n_shared_buckets"),
                  F.max("n_users").alias("max_size"))
 
 
@@ -259,14 +286,17 @@ def _rep_pairs(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFr
     """Pairs of distinct signatures sharing >= min_count bands:
     (rep1 < rep2, count, n1, n2).
 
-    High thresholds (more than half the bands): pigeonhole groups of several
-    bands give few candidates, which are then scored exactly against both
-    signatures. Low thresholds: groups are single bands anyway, so the band
-    self-join itself is counted (an exact band comparison per joined row,
-    partial-aggregated), with no signature join.
+    At or below half the bands the pigeonhole groups are single bands, so
+    the band self-join itself is counted (an exact band comparison per joined
+    row, partial-aggregated), with no signature join.
     """
     if min_count * 2 > n_bands:
         return _rep_pairs_grouped(cl, min_count, n_bands, rows)
+    return _rep_pairs_counted(cl, n_bands, rows).filter(F.col("count") >= min_count)
+
+
+def _rep_pairs_counted(cl: DataFrame, n_bands: int, rows: int) -> DataFrame:
+    """All pairs of distinct signatures that share a band, with the number of shared bands."""
     keyed = cl.select("rep", "n_users",
                       F.explode(_band_expr(F.col("sig"), n_bands, rows)).alias("_g"))
     keyed = keyed.select("rep", "n_users", F.col("_g.g").alias("g"), F.col("_g.key").alias("key"),
@@ -277,10 +307,12 @@ def _rep_pairs(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFr
     counted = hits.groupBy(F.col("l.rep").alias("rep1"), F.col("r.rep").alias("rep2")).agg(
         F.count(F.lit(1)).alias("count"), F.first(F.col("l.n_users")).alias("n1"),
         F.first(F.col("r.n_users")).alias("n2"))
-    return counted.filter(F.col("count") >= min_count).select("rep1", "rep2", "n1", "n2", "count")
+    return counted.select("rep1", "rep2", "n1", "n2", "count")
 
 
 def _rep_pairs_grouped(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFrame:
+    """The same for more than half the bands: candidates agree on a whole group
+    of bands and are then compared signature by signature."""
     n_groups = n_bands - min_count + 1
     keyed = cl.select("rep", "n_users", "sig",
                       F.explode(_band_expr(F.col("sig"), n_bands, rows, n_groups)).alias("_g"))
@@ -333,14 +365,25 @@ def _within_cluster_pairs(mem: DataFrame, limit: int | None, n_bands: int,
             .select("user1", "user2", F.lit(n_bands).cast("long").alias("count")))
 
 
+def candidate_groups(sigs: DataFrame, min_count: int = 1, n_bands: int = N_BANDS,
+                     rows: int = ROWS_PER_BAND, user: str = "user_id") -> DataFrame:
+    """M10, between groups of users with equal signatures: (rep1, rep2, n1, n2,
+    count). A group is named by its smallest user and has n users; every user
+    of the one shares ``count`` bands with every user of the other. A group of
+    several users is also listed with itself (rep1 = rep2), at n_bands."""
+    cl = clusters(sigs, user)
+    own = cl.filter("n_users > 1").select(F.col("rep").alias("rep1"), F.col("rep").alias("rep2"), F.col("n_users").alias("n1"),
+                                          F.col("n_users").alias("n2"), F.lit(n_bands).cast("long").alias("count"))
+    return own if min_count >= n_bands else own.unionByName(_rep_pairs(cl, min_count, n_bands, rows))
+
+
 def candidate_pairs(sigs: DataFrame, min_count: int = 1, n_bands: int = N_BANDS,
                     rows: int = ROWS_PER_BAND, user: str = "user_id") -> DataFrame:
-    """Every user pair (user1 < user2) sharing at least ``min_count``
-    bands, with the number of shared bands as ``count``.
+    """M10 as user pairs (user1 < user2) sharing at least ``min_count`` bands,
+    with the number of shared bands as ``count``.
 
-    With min_count = 1 this is all pairs that meet in some LSH bucket; the
-    output is then as large as the sum of squared bucket sizes. ``top_pairs``
-    does not need it.
+    This expands ``candidate_groups``: the output has a row for each pair of
+    users, so it grows with the square of a group. For small tables and tests.
     """
     cl = clusters(sigs, user)
     mem = members(sigs, cl, user)
@@ -358,36 +401,52 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
     total order (count desc, user1, user2). Exact.
 
     Start from identical signatures (count = n_bands). If they give at least k
-    pairs, the answer is their k lexicographically smallest pairs, found from
-    each cluster's k + 1 smallest members. Otherwise lower the threshold t
-    (fractions of n_bands in ``descent``) until the pairs with count >= t,
-    counted cluster-size-weighted, reach k; only those pairs are scored.
-    The loop runs a count per level on the driver; ``sigs`` should be
-    persisted or checkpointed by the caller. The k result rows are
-    checkpointed and every intermediate is released before returning.
+    pairs, the answer lies in the k groups with the smallest representatives
+    (each has a pair that starts with it), and there in each group's k + 1
+    smallest members. Otherwise go down the levels of ``descent`` until the
+    pairs with count >= t, weighted by group sizes, reach k. If no level does,
+    the join on single bands is counted once, and the largest t that reaches k
+    is read from its counts. Each level is one job on the driver's order;
+    ``sigs`` should be persisted or checkpointed by the caller. The k result
+    rows are checkpointed and every intermediate is released before returning.
     """
     order = [F.col("count").desc(), F.col("user1").asc(), F.col("user2").asc()]
     cl = clusters(sigs, user).persist()
     cached = [cl]
+
+    def weight(rp: DataFrame) -> int:
+        return rp.agg(F.sum(F.col("n1") * F.col("n2"))).first()[0] or 0
+
     try:
-        mem = members(sigs, cl, user)
         within_total = cl.agg(F.sum(F.col("n_users") * (F.col("n_users") - 1) / 2)).first()[0] or 0
         if within_total >= k:
+            first = cl.filter("n_users > 1").orderBy("rep").limit(k)
+            mem = sigs.select(user, "sig_key", "sig").join(F.broadcast(first), ["sig_key", "sig"]).select(user, "rep", "n_users")
             res = _within_cluster_pairs(mem, k, n_bands, user).orderBy(*order).limit(k)
         else:
-            within = _within_cluster_pairs(mem, None, n_bands, user)  # fewer than k pairs
-            thresholds = sorted({max(1, min(n_bands - 1, int(round(f * n_bands))))
-                                 for f in descent}, reverse=True)
-            for t in thresholds:
-                rp = _rep_pairs(cl, t, n_bands, rows).persist()
-                cached.append(rp)
-                weighted = rp.agg(F.sum(F.col("n1") * F.col("n2"))).first()[0] or 0
-                if within_total + weighted >= k or t == thresholds[-1]:
-                    cross = _cross_cluster_pairs(rp, mem, k, user)
-                    res = within.unionByName(cross).orderBy(*order).limit(k)
+            mem = members(sigs, cl, user)
+            rp = None
+            for t in sorted({int(round(f * n_bands)) for f in descent if f * n_bands > n_bands / 2 and f < 1}, reverse=True):
+                level = _rep_pairs_grouped(cl, t, n_bands, rows).persist()
+                cached.append(level)
+                if within_total + weight(level) >= k:
+                    rp = level
                     break
-                cached.remove(rp)
-                rp.unpersist()
+                cached.remove(level)
+                level.unpersist()
+            if rp is None:
+                rp = _rep_pairs_counted(cl, n_bands, rows).persist()
+                cached.append(rp)
+                per_count = rp.groupBy("count").agg(F.sum(F.col("n1") * F.col("n2")).alias("w"))
+                total, low = within_total, 1
+                for count, w in sorted(((r["count"], r["w"]) for r in per_count.collect()), reverse=True):  # n_bands rows
+                    total += w
+                    if total >= k:
+                        low = count
+                        break
+                rp = rp.filter(F.col("count") >= low)
+            within = _within_cluster_pairs(mem, None, n_bands, user)  # fewer than k pairs
+            res = within.unionByName(_cross_cluster_pairs(rp, mem, k, user)).orderBy(*order).limit(k)
         # k rows: store them in the checkpoint folder and release the
         # intermediates; the result no longer depends on cached data.
         return reliable_checkpoint(res)
@@ -400,13 +459,15 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
 
 def with_sets(pairs: DataFrame, df: DataFrame, user: str = "user_id",
               item: str = "item_id") -> DataFrame:
-    """Attach both users' item arrays to a bounded pair list (display)."""
-    sets = item_sets(df.join(
-        pairs.select(F.col("user1").alias(user)).union(pairs.select(F.col("user2").alias(user)))
-        .distinct(), user, "left_semi"), user, item, as_array=True)
-    s1 = sets.select(F.col(user).alias("user1"), F.col("items").alias("items1"))
-    s2 = sets.select(F.col(user).alias("user2"), F.col("items").alias("items2"))
-    return pairs.join(s1, "user1").join(s2, "user2")
+    """The items of both users of each pair, as rows (user1, user2, item,
+    in1, in2), so a large set stays many rows."""
+    p = pairs.select("user1", "user2").distinct()
+    sides = p.select("user1", "user2", F.explode(F.array(
+        F.struct(F.col("user1").alias("u"), F.lit(1).alias("side")),
+        F.struct(F.col("user2").alias("u"), F.lit(2).alias("side")))).alias("s")).select("user1", "user2", "s.u", "s.side")
+    rows = df.select(F.col(user).alias("u"), item).filter(F.col(item).isNotNull())
+    return rows.join(small_side(sides), "u").groupBy("user1", "user2", item).agg(
+        F.bool_or(F.col("side") == 1).alias("in1"), F.bool_or(F.col("side") == 2).alias("in2"))
 
 
 def jaccard(pairs: DataFrame, df: DataFrame, user: str = "user_id",
@@ -416,12 +477,11 @@ def jaccard(pairs: DataFrame, df: DataFrame, user: str = "user_id",
     collected. Adds n_items1, n_items2, n_shared, jaccard (NULL when both sets
     are empty). ``sizes`` (user, n_items) saves a pass when already known.
 
-    The pair list (top-k) is broadcast; only rows of its users are read past
-    the scan.
+    The pair list is broadcast if it is within the bound; only rows of its
+    users are read past the scan.
     """
-    p = F.broadcast(pairs.select("user1", "user2").distinct())
-    who = F.broadcast(p.select(F.col("user1").alias(user))
-                      .union(p.select(F.col("user2").alias(user))).distinct())
+    p = small_side(pairs.select("user1", "user2").distinct())
+    who = small_side(p.select(F.explode(F.array("user1", "user2")).alias(user)).distinct())
     rows = (df.select(user, item).filter(F.col(item).isNotNull())
             .join(who, user, "left_semi").distinct())
     if sizes is None:
@@ -444,8 +504,8 @@ def jaccard(pairs: DataFrame, df: DataFrame, user: str = "user_id",
 def similar_pairs(df: DataFrame, user: str = "user_id", item: str = "item_id",
                   k: int = TOP_K, min_items: int = MIN_ITEMS, n_bands: int = N_BANDS,
                   rows: int = ROWS_PER_BAND, n_hashes: int = NUM_HASHES,
-                  checkpoint: bool = True, distinct_input: bool = False,
-                  persist_input: bool = False) -> DataFrame:
+                  distinct_input: bool = False, persist_input: bool = False,
+                  number: str | None = None) -> DataFrame:
     """Sets -> size filter -> signatures -> top-k pairs -> Jaccard.
 
     Signatures are checkpointed to the session's checkpoint folder: the pair
@@ -458,9 +518,8 @@ def similar_pairs(df: DataFrame, user: str = "user_id", item: str = "item_id",
     if persist_input:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sigs = signatures(df, user, item, n_hashes, min_items=min_items,
-                          distinct_input=distinct_input)
-        sigs = reliable_checkpoint(sigs) if checkpoint else sigs.persist()
+        sigs = reliable_checkpoint(signatures(df, user, item, n_hashes, min_items=min_items,
+                                              distinct_input=distinct_input, number=number))
         top = top_pairs(sigs, k, n_bands, rows, user)
         out = jaccard(top, df, user, item, sizes=sigs)
         # k rows; materialized so the persisted input can be released.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.splits import filter_report  # noqa: F401  (P9 lives with F1)
@@ -17,23 +17,17 @@ def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def distinct_count(df: DataFrame, col: str, approx: bool = False,
-                   name: str | None = None) -> DataFrame:
-    """Exact (two-phase aggregate) or HyperLogLog++ estimate."""
-    f = F.approx_count_distinct(col) if approx else F.count_distinct(col)
-    return df.agg(f.alias(name or f"n_{col}"))
-
-
-def table_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """P1 + P2 in one job: rows and distinct values of each column."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  *[F.count_distinct(c).alias(f"n_{c}") for c in cols])
+def table_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+    """P1 + P2 in one job: rows and distinct values of each column; ``approx``
+    takes the HyperLogLog++ estimate, which needs no shuffle of the values."""
+    distinct = F.approx_count_distinct if approx else F.count_distinct
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), *[distinct(c).alias(f"n_{c}") for c in cols])
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """One row, the number of nulls in each column (same column names).
-    Empty input gives NULL (a sum over no rows)."""
-    return df.select([F.sum(F.col(c).isNull().cast("int")).alias(c) for c in df.columns])
+    """One row, the number of nulls in each column under its name; 0 for
+    an empty input."""
+    return df.agg(*[F.count_if(F.isnull(c)).alias(c) for c in df.columns])
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -49,44 +43,39 @@ def exploded_counts(df: DataFrame, col: str, pattern: str, name: str = "value")
             .orderBy(F.col("count").desc(), F.col(name)))
 
 
-def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], exact: bool | None = None) -> DataFrame:
     """Typed summary, one row per column: count, mean, sample stddev,
-    min, 25/50/75 % and max (as doubles).
+    min, 25/50/75 % and max (as doubles). One pass over ``df``.
 
-    ``exact`` uses ``percentile`` (linear interpolation), whose buffer holds one
-    entry per distinct value: right for ids, sizes and ratings; use
-    ``exact=False`` (``percentile_approx``) for high-cardinality doubles.
+    Quartiles are exact (linear interpolation) or within 1/10000 of the rank
+    (``percentile_approx``). An exact one keeps an entry per distinct value, so
+    by default only integer columns, such as sizes and ids, get it; pass
+    ``exact`` to decide for all.
     """
-    parts = []
-    for c in cols:
+    kinds = dict(df.dtypes)
+
+    def measures(c: str) -> list[Column]:
         x = F.col(c).cast("double")
-        if exact:
-            qs = [F.percentile(x, q) for q in QUANTILES]
-        else:
-            qs = [F.percentile_approx(x, q, 10000).cast("double") for q in QUANTILES]
-        parts.append(df.agg(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("stddev"), F.min(x).alias("min"),
-            qs[0].alias("p25"), qs[1].alias("p50"), qs[2].alias("p75"), F.max(x).alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def schema_of(df: DataFrame) -> DataFrame:
-    """The schema as rows (position, name, type, nullable). Metadata only."""
-    spark = df.sparkSession
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable)
-            for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, name string, type string, nullable boolean")
+        fine = exact if exact is not None else kinds[c] in ("tinyint", "smallint", "int", "bigint")
+        middle = [F.percentile(x, q) if fine else F.percentile_approx(x, q, 10000) for q in QUANTILES]
+        return [F.avg(x), F.stddev_samp(x), F.min(x), *middle, F.max(x)]
+
+    names = ("mean", "stddev", "min", "p25", "p50", "p75", "max")
+    wide = df.agg(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), *[
+        m.cast("double").alias(n) for m, n in zip(measures(c), names)]).alias(f"_{i}") for i, c in enumerate(cols)])
+    return wide.select(F.explode(F.array(*[f"_{i}" for i in range(len(cols))])).alias("s")).select("s.*")
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, type and the number of values
+    that are present, counted in one pass."""
+    counted = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    return counted.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+                 F.col(f.name).alias("n_present")) for i, f in enumerate(df.schema.fields)])).alias("c")).select("c.*")
 
 
 def sample_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in a stated order (a bounded top-n, no full sort)."""
     return df.orderBy(*order).limit(n)
 
-
-def extreme(df: DataFrame, col: str, largest: bool = True) -> DataFrame:
-    """A single min or max."""
-    return df.agg((F.max(col) if largest else F.min(col)).alias(("max_" if largest else "min_") + col))

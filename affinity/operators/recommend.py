@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.operators.metrics import ranking_metrics, relevant_sets
-from affinity.session import ensure_checkpoint_dir
+from affinity.session import ensure_checkpoint_dir, reliable_checkpoint
 
 
 def popular_items(train: DataFrame, k: int = 100, user: str = "user_id",
@@ -27,19 +27,18 @@ def popular_items(train: DataFrame, k: int = 100, user: str = "user_id",
 
 
 def recommend_popular(users: DataFrame, ranked_items: DataFrame, user: str = "user_id",
-                      item: str = "item_id", k: int = 100) -> DataFrame:
+                      item: str = "item_id", k: int | None = None) -> DataFrame:
     """R2: the same ranked list for every user, as (user, rank, item) rows.
 
-    The list has at most k entries by construction, so it is brought to the
-    driver and attached to each user as a literal; each user row emits k rows.
+    The list is gathered into one row inside the plan and that row is
+    broadcast, so each user costs one row until the list is unfolded. ``k``
+    cuts the list; by default all of it is used. It is meant to be short (a
+    top-k list).
     """
-    rows = (ranked_items.filter(F.col("rank") <= k).orderBy("rank")
-            .select(item).limit(k).collect())
-    items = [r[0] for r in rows]
-    lst = F.array(*[F.lit(i) for i in items]) if items else F.array().cast("array<int>")
-    return (users.select(user).distinct()
-            .select(user, F.posexplode(lst).alias("_pos", item))
-            .select(user, (F.col("_pos") + 1).alias("rank"), item))
+    listed = ranked_items if k is None else ranked_items.filter(F.col("rank") <= k)
+    row = listed.agg(F.sort_array(F.collect_list(F.struct("rank", item))).alias("_list"))
+    return (users.select(user).distinct().crossJoin(F.broadcast(row))  # one row
+            .select(user, F.explode("_list").alias("_e")).select(user, "_e.rank", f"_e.{item}"))
 
 
 def to_implicit(df: DataFrame, user: str = "user_id", item: str = "item_id",
@@ -72,22 +71,41 @@ def fit_als(train: DataFrame, rank: int = 10, reg: float = 0.1, implicit: bool =
     return als.fit(train)
 
 
+def _lists(model, n: int, users: DataFrame | None, user: str, item: str) -> DataFrame:
+    recs = model.recommendForUserSubset(users, n) if users is not None else model.recommendForAllUsers(n)
+    return recs.select(user, F.posexplode("recommendations").alias("_pos", "_r")).select(
+        user, (F.col("_pos") + 1).alias("rank"), F.col(f"_r.{item}").alias(item),
+        F.col("_r.rating").alias("score"))
+
+
 def recommend_als(model, k: int = 100, user: str = "user_id", item: str = "item_id",
                   exclude: DataFrame | None = None, users: DataFrame | None = None) -> DataFrame:
     """Top-k items per user as (user, rank, item, score).
 
-    Seen items are kept by default; pass ``exclude`` (user, item) to drop
-    them (the list is then shorter than k). ``users`` limits scoring to a
-    subset of users.
+    ``users`` limits scoring to a subset of users. Seen items are kept by
+    default; ``exclude`` (user, item) leaves them out: a user with m excluded
+    items is scored for k + m items (m rounded up to a power of two, one
+    request for each such size), what remains is numbered anew and cut at k, so
+    lists are full and without gaps as long as the catalogue lasts.
     """
-    recs = (model.recommendForUserSubset(users, k) if users is not None
-            else model.recommendForAllUsers(k))
-    out = recs.select(user, F.posexplode("recommendations").alias("_pos", "_r")).select(
-        user, (F.col("_pos") + 1).alias("rank"), F.col(f"_r.{item}").alias(item),
-        F.col("_r.rating").alias("score"))
-    if exclude is not None:
-        out = out.join(exclude.select(user, item), [user, item], "left_anti")
-    return out
+    if exclude is None:
+        return _lists(model, k, users, user, item)
+    seen = exclude.select(user, item).distinct()
+    wanted = (users if users is not None else model.userFactors.select(F.col("id").alias(user))).select(user).distinct()
+    extra = F.pow(F.lit(2), F.ceil(F.log2(F.col("_m").cast("double")))).cast("int")
+    sized = wanted.join(seen.groupBy(user).agg(F.count(F.lit(1)).alias("_m")), user, "left").select(
+        user, F.when(F.col("_m").isNull(), 0).otherwise(extra).alias("_extra"))
+    sized = reliable_checkpoint(sized)
+    out = None
+    for (m,) in sized.select("_extra").distinct().orderBy("_extra").collect():  # powers of two
+        part = _lists(model, k + m, sized.filter(F.col("_extra") == m).select(user), user, item)
+        out = part if out is None else out.union(part)
+    if out is None:
+        return _lists(model, k, wanted, user, item)
+    left = out.join(seen, [user, item], "left_anti")
+    anew = Window.partitionBy(user).orderBy("rank")
+    return left.withColumn("rank", F.row_number().over(anew)).filter(F.col("rank") <= k).select(
+        user, "rank", item, "score")
 
 
 def evaluate(recs: DataFrame, truth: DataFrame, k: int = 100, user: str = "user_id",
@@ -107,6 +125,7 @@ def tune(train: DataFrame, val: DataFrame, ranks: Sequence[int], regs: Sequence[
     spark = train.sparkSession
     train = train.persist()
     val_rel = relevant_sets(val, user, item).persist()
+    judged = val_rel.select(user).distinct()  # only users that val asks for are scored
     grid = (list(itertools.product(ranks, list(alphas), regs)) if implicit and alphas is not None
             else [(r, None, g) for r in ranks for g in regs])
     best, best_ndcg, best_model, rows = None, -1.0, None, []
@@ -115,7 +134,7 @@ def tune(train: DataFrame, val: DataFrame, ranks: Sequence[int], regs: Sequence[
             model = fit_als(train, rank=rank, reg=reg, implicit=implicit,
                             alpha=alpha if alpha is not None else 1.0, seed=seed,
                             max_iter=max_iter, user=user, item=item, rating=rating)
-            m = ranking_metrics(recommend_als(model, k, user, item), val_rel, k, user, item,
+            m = ranking_metrics(recommend_als(model, k, user, item, users=judged), val_rel, k, user, item,
                                 digits=None).collect()[0]
             rows.append((rank, float(reg), float(alpha) if alpha is not None else None,
                          int(m["n_users"]), float(m["precision_at_k"]), float(m["recall_at_k"]),

@@ -1,94 +1,48 @@
 """Per-key numbering that stays spread out when one key is very large.
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` sorts each key inside a
-single task. If one key holds a large share of all rows (one user with a third
-of the ratings), that task does a third of the job alone. Here, keys above
-``hot_rows`` rows are numbered by a range-partitioned sort instead: their rows
-are spread over many tasks in key/order, each task numbers its slice, and a
-small table of per-task segment sizes turns local positions into global ones.
-Keys below the threshold keep the ordinary window, which is one shuffle.
+single task; a user with a third of the ratings would make that task do a
+third of the job. Here all rows are range-partitioned by (key, order), which
+spreads a large key over many tasks, and written once to the shared checkpoint
+folder with their place in the partition. The place in the whole table is that
+place plus the sizes of the partitions before (one number per partition), and
+the position in the key is the distance to the key's first row. One plan for
+keys of any size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.session import reliable_checkpoint
 
-# Keys with more rows than this are treated as hot. A window partition of this
-# size still sorts comfortably in one task.
-DEFAULT_HOT_ROWS = 5_000_000
-# The hot-key list is broadcast only below this many keys (8 bytes each).
-MAX_BROADCAST_KEYS = 2_000_000
-
-
-def _order_cols(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
+PLACE_BITS = 33  # monotonically_increasing_id: partition above, place below
 
 
 def number_within(df: DataFrame, key: str, order: Sequence[str | Column],
                   row_col: str = "row_num", size_col: str = "group_size",
-                  hot_rows: int = DEFAULT_HOT_ROWS,
                   partitions: int | None = None) -> DataFrame:
     """Add ``row_col`` (1-based position of the row inside its key, by
-    ``order``) and ``size_col`` (rows of the key).
+    ``order``) and ``size_col`` (rows of the key), both bigint.
 
     ``order`` must be a total order inside each key (add a unique column as
     the last tie-break), otherwise positions of tied rows are arbitrary.
-    The hot-key check is one aggregate over ``df``: persist ``df`` first if
-    it is expensive to recompute.
+    Null keys are one key.
     """
-    order_cols = _order_cols(order)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(size_col))
-    hot = counts.filter(F.col(size_col) > hot_rows)
-    n_hot = hot.count()
-
-    w_sorted = Window.partitionBy(key).orderBy(*order_cols)
-    w_all = Window.partitionBy(key)
-    if n_hot == 0:
-        return (df.withColumn(row_col, F.row_number().over(w_sorted))
-                .withColumn(size_col, F.count(F.lit(1)).over(w_all)))
-
-    hot_keys = hot.select(key)
-    if n_hot <= MAX_BROADCAST_KEYS:
-        hot_keys = F.broadcast(hot_keys)
-    cold = df.join(hot_keys, key, "left_anti")
-    cold = (cold.withColumn(row_col, F.row_number().over(w_sorted))
-            .withColumn(size_col, F.count(F.lit(1)).over(w_all)))
-
-    hot_rows_df = df.join(hot_keys, key, "left_semi")
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (hot_rows_df.repartitionByRange(n_parts, F.col(key), *order_cols)
-              .sortWithinPartitions(F.col(key), *order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    # Task ids and positions must be the same for both readers below (the
-    # segment table and the join back), so the numbered slices are cached
-    # while both read them.
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    # One row per (task, key) slice: at most partitions + hot keys rows.
-    seg = ranged.groupBy("_pid", key).agg(F.min("_mid").alias("_first"),
-                                          F.count(F.lit(1)).alias("_cnt"))
-    w_prev = (Window.partitionBy(key).orderBy("_pid")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    seg = (seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)))
-           .withColumn(size_col, F.sum("_cnt").over(Window.partitionBy(key)))
-           .select("_pid", key, "_first", "_off", size_col))
-    if n_hot * 4 + n_parts <= MAX_BROADCAST_KEYS:
-        seg = F.broadcast(seg)
-    hot_numbered = (ranged.join(seg, ["_pid", key])
-                    .withColumn(row_col, (F.col("_off") + F.col("_mid") - F.col("_first") + 1)
-                                .cast("int"))
-                    .drop("_pid", "_mid", "_first", "_off"))
-    # Written once to the shared checkpoint folder: the numbers are then fixed
-    # on storage whatever happens to executors later, and the cache is freed.
-    try:
-        hot_numbered = reliable_checkpoint(hot_numbered)
-    finally:
-        ranged.unpersist()
-    cols = cold.columns
-    return cold.unionByName(hot_numbered.select(*cols))
+    by = [F.col(key), *[F.col(c) if isinstance(c, str) else c for c in order]]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = reliable_checkpoint(
+        df.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", PLACE_BITS)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # one row per partition
+    ranked = placed.withColumn("_part", part).join(F.broadcast(parts), "_part").withColumn(
+        "_at", F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)))
+    keys = ranked.groupBy(F.col(key).alias("_key")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias(size_col))
+    return (ranked.join(keys, F.col(key).eqNullSafe(F.col("_key")))
+            .withColumn(row_col, F.col("_at") - F.col("_first") + 1)
+            .select(*df.columns, row_col, size_col))

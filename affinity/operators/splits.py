@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.operators.skew import DEFAULT_HOT_ROWS, number_within
+from affinity.operators.skew import number_within
 
 SPLITS = ("train", "val", "test")
 
@@ -27,16 +27,14 @@ def filter_sparse(df: DataFrame, user: str = "user_id", item: str = "item_id",
 
 
 def time_split(df: DataFrame, user: str = "user_id", time: str = "ts", item: str = "item_id",
-               train: float = 0.6, val: float = 0.2, split_col: str = "split",
-               hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+               train: float = 0.6, val: float = 0.2, split_col: str = "split") -> DataFrame:
     """number each user's rows by (time, item); position
     ``(row - 1) / total``; train ``<= train``, val ``<= train + val``, else
     test. Adds ``split_col``; all input columns are kept.
 
     The item tie-break makes equal times split the same way on every run.
     """
-    numbered = number_within(df, user, [time, item], row_col="_row", size_col="_total",
-                             hot_rows=hot_rows)
+    numbered = number_within(df, user, [time, item], row_col="_row", size_col="_total")
     pos = (F.col("_row") - 1) / F.col("_total")
     upper = train + val
     split = (F.when(pos <= train, F.lit("train"))
@@ -99,24 +97,22 @@ def split_order_violations(split_df: DataFrame, user: str = "user_id", time: str
     return per_user.filter(bad)
 
 
+def _side(df: DataFrame, user: str, item: str, side: str) -> DataFrame:
+    """(measure, n): rows, distinct users and distinct items, by two aggregates
+    by key; no row is expanded for a distinct count."""
+    users = df.groupBy(user).agg(F.count(F.lit(1)).alias("c")).agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("rows"), F.count_if(F.col(user).isNotNull()).alias("users"))
+    items = df.groupBy(item).agg(F.count(F.lit(1)).alias("c")).agg(F.count_if(F.col(item).isNotNull()).alias("n"))
+    return users.select(F.explode(F.array(
+        F.struct(F.lit(f"rows_{side}").alias("measure"), F.col("rows").alias("n")),
+        F.struct(F.lit(f"users_{side}").alias("measure"), F.col("users").alias("n")))).alias("m")).select("m.*").union(
+        items.select(F.lit(f"items_{side}"), "n"))
+
+
 def filter_report(before: DataFrame, after: DataFrame, user: str = "user_id",
                   item: str = "item_id") -> DataFrame:
-    """Rows, users and items before and after a filter, and what was dropped.
-
-    Both frames are tagged and unioned, then one conditional aggregate counts
-    each side: no join between the two results.
-    """
-    tagged = (before.select(user, item, F.lit(True).alias("_b"))
-              .unionByName(after.select(user, item, F.lit(False).alias("_b"))))
-    b, a = F.col("_b"), ~F.col("_b")
-    out = tagged.agg(
-        F.count(F.when(b, 1)).alias("rows_before"),
-        F.count_distinct(F.when(b, F.col(user))).alias("users_before"),
-        F.count_distinct(F.when(b, F.col(item))).alias("items_before"),
-        F.count(F.when(a, 1)).alias("rows_after"),
-        F.count_distinct(F.when(a, F.col(user))).alias("users_after"),
-        F.count_distinct(F.when(a, F.col(item))).alias("items_after"))
-    return out.select("*",
-                      (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"),
-                      (F.col("users_before") - F.col("users_after")).alias("users_dropped"),
-                      (F.col("items_before") - F.col("items_after")).alias("items_dropped"))
+    """Rows, users and items before and after a filter, and what was dropped."""
+    both = _side(before, user, item, "before").union(_side(after, user, item, "after"))
+    names = [f"{m}_{s}" for s in ("before", "after") for m in ("rows", "users", "items")]
+    out = both.agg(*[F.max(F.when(F.col("measure") == m, F.col("n"))).alias(m) for m in names])
+    return out.select("*", *[(F.col(f"{m}_before") - F.col(f"{m}_after")).alias(f"{m}_dropped") for m in ("rows", "users", "items")])

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +41,11 @@ def ratings_parquet(spark: SparkSession, root: str, parquet: str) -> DataFrame:
 
 
 def eda(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Schema, count and null counts of each table; rating and genre distributions."""
+    """Schema, sample rows, count and null counts of each table; rating and genre distributions."""
     out = {}
     for name, df in tables.items():
-        out[f"{name}_schema"] = profile.schema_of(df)
+        out[f"{name}_schema"] = profile.column_types(df)
+        out[f"{name}_sample"] = profile.sample_rows(df, 5, df.columns[:2])
         out[f"{name}_count"] = profile.row_count(df)
         out[f"{name}_nulls"] = profile.null_counts(df)
     out["rating_distribution"] = profile.value_counts(tables["ratings"], RATING)
@@ -64,7 +64,8 @@ def twins(ratings: DataFrame, k: int = 100) -> dict[str, DataFrame]:
     sized = minhash.jaccard(top, rows, USER, ITEM, sizes=sigs)
     return {
         "top_pairs": sized,
-        "jaccard_summary": profile.describe(sized, ["jaccard"]),
+        "signature_counts": minhash.signature_counts(rows, USER, ITEM),
+        "jaccard_summary": profile.describe(sized, ["jaccard"], exact=True),
         "set_size_summary": profile.describe(sigs, ["n_items"]),
         "signature_clusters": minhash.signature_clusters(sigs, 10, USER),
         "bucket_stats": minhash.bucket_stats(minhash.bands(sigs, user=USER), USER),
@@ -73,9 +74,16 @@ def twins(ratings: DataFrame, k: int = 100) -> dict[str, DataFrame]:
 
 def split(ratings: DataFrame) -> DataFrame:
     """Sparse filter (5 / 5) then the 60/20/20 time split; adds ``split``."""
-    f = splits.filter_sparse(ratings, USER, ITEM, recsys.MIN_USER_RATINGS,
-                             recsys.MIN_ITEM_RATINGS).persist(StorageLevel.MEMORY_AND_DISK)
-    return splits.time_split(f, USER, TIME, ITEM, recsys.TRAIN_FRAC, recsys.VAL_FRAC)
+    return splits.time_split(filtered(ratings), USER, TIME, ITEM, recsys.TRAIN_FRAC, recsys.VAL_FRAC)
+
+
+def filtered(ratings: DataFrame) -> DataFrame:
+    return splits.filter_sparse(ratings, USER, ITEM, recsys.MIN_USER_RATINGS, recsys.MIN_ITEM_RATINGS)
+
+
+def filter_report(ratings: DataFrame) -> DataFrame:
+    """Rows, users and items before and after the sparse filter."""
+    return splits.filter_report(ratings, filtered(ratings), USER, ITEM)
 
 
 def split_checks(split_df: DataFrame) -> dict[str, DataFrame]:
@@ -112,7 +120,7 @@ def als_study(split_df: DataFrame, implicit: bool = False, k: int = 100, seed: i
     else:
         best, grid, model = recommend.tune(train, val, recsys.EXPLICIT_RANKS, recsys.EXPLICIT_REGS,
                                            k=k, seed=seed, user=USER, item=ITEM, rating=RATING)
-    recs = recommend.recommend_als(model, k, USER, ITEM)
+    recs = recommend.recommend_als(model, k, USER, ITEM, users=test.select(USER).distinct())
     return best, grid, recommend.evaluate(recs, test, k, USER, ITEM)
 
 
@@ -121,19 +129,18 @@ def validate(top: DataFrame, ratings: DataFrame, n_random: int = 10000,
     """Correlation of similar vs random pairs and the dropped-pair analysis."""
     r = ratings.select(USER, ITEM, RATING)
     shared = pairs.shared_ratings(top, r, USER, ITEM, RATING)
-    corrs = pairs.pair_correlation(shared)
-    valid = pairs.valid_pairs(corrs)
-    rp = pairs.random_pairs(r, n_random, USER)
+    status = reliable_checkpoint(pairs.pair_status(top, shared))
+    rp = reliable_checkpoint(pairs.random_pairs(r, n_random, USER))
     rand_valid = pairs.pick_pairs(
         pairs.valid_pairs(pairs.pair_correlation(pairs.shared_ratings(rp, r, USER, ITEM, RATING))),
         n_pick)
-    dropped = pairs.dropped_pairs(top, valid, pairs.overlap_counts(shared, ITEM))
+    dropped = pairs.dropped_pairs(status)
     dropped_shared = pairs.shared_ratings(dropped, r, USER, ITEM, RATING)
     return {
-        "comparison": pairs.compare_groups(pairs.correlation_summary(valid),
+        "comparison": pairs.compare_groups(pairs.correlation_summary(pairs.defined_pairs(status)),
                                            pairs.correlation_summary(rand_valid)),
         "dropped_overlap": pairs.overlap_summary(dropped),
-        "zero_variance": pairs.zero_variance_pairs(dropped_shared, ITEM),
+        "constant_sides": pairs.constant_sides(dropped_shared),
         "rating_gap": pairs.rating_gap(dropped_shared),
     }
 
@@ -167,9 +174,9 @@ def main(argv=None):
                      f"{a.out}/top_pairs_csv")
         show(t)
     elif a.study == "split":
-        s = split(ratings_parquet(spark, a.data, f"{a.out}/ratings.parquet"))
-        splits.write_splits(s, f"{a.out}/splits")
-        show(split_checks(read_splits(spark, f"{a.out}/splits")))
+        ratings = ratings_parquet(spark, a.data, f"{a.out}/ratings.parquet")
+        splits.write_splits(split(ratings), f"{a.out}/splits")
+        show({"filter": filter_report(ratings), **split_checks(read_splits(spark, f"{a.out}/splits"))})
     elif a.study == "evaluate":
         s = read_splits(spark, f"{a.out}/splits")
         if a.als:

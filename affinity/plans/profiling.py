@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from affinity.functions.expr import round_doubles
 from affinity.operators import minhash, profile, splits
 from affinity.plans import recsys
-from affinity.sources import fixtures
+from affinity.session import ensure_checkpoint_dir, reliable_checkpoint
+from affinity.sources import fixtures, io
 
 
 def ratings_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,11 +31,11 @@ def part_name_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(profile.describe(fixtures.ratings(spark, sf_dir), ["rating"]))
+    return round_doubles(profile.describe(fixtures.ratings(spark, sf_dir), ["rating"], exact=True))
 
 
 def doc_set_size_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = minhash.set_sizes(fixtures.doc_words(spark, sf_dir), "doc_id")
+    sizes = minhash.set_sizes(fixtures.doc_words(spark, sf_dir), "doc_id", distinct_input=True)
     return round_doubles(profile.describe(sizes, ["n_items"]))
 
 
@@ -41,28 +44,26 @@ def ratings_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.schema_of(fixtures.ratings(spark, sf_dir))
+    """Columns, types and present values."""
+    return profile.column_types(fixtures.ratings(spark, sf_dir))
 
 
 def sparse_filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = fixtures.ratings(spark, sf_dir)
+    r = reliable_checkpoint(fixtures.ratings(spark, sf_dir))  # derived once, read several times
     f = splits.filter_sparse(r, min_user=recsys.MIN_USER_RATINGS, min_item=recsys.MIN_ITEM_RATINGS)
     return splits.filter_report(r, f)
 
 
+def _folder(spark: SparkSession) -> str:
+    """A fresh folder under the session's checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+
+
 def ratings_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S2 + S4 + S5: the ratings written as CSV, converted once to
     Parquet by ``load_or_convert`` (Parquet absent -> CSV read with a fixed
-    schema, columns kept, nulls dropped), and read back. Files go under the
-    session's checkpoint folder, a fresh subfolder per call."""
-    import uuid
-
-    from pyspark.sql import types as T
-
-    from affinity.session import ensure_checkpoint_dir
-    from affinity.sources import io
-
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    schema, columns kept, nulls dropped), and read back."""
+    base = _folder(spark)
     schema = T.StructType([T.StructField("user_id", T.IntegerType()),
                            T.StructField("item_id", T.IntegerType()),
                            T.StructField("rating", T.DoubleType()),
@@ -70,3 +71,11 @@ def ratings_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     io.write_csv(fixtures.ratings(spark, sf_dir), f"{base}/csv")
     return io.load_or_convert(spark, f"{base}/parquet", f"{base}/csv", schema,
                               columns=("user_id", "item_id", "rating"))
+
+
+def texts_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S5 on free text: quotes, commas, line breaks, empty strings, nulls."""
+    path = f"{_folder(spark)}/csv"
+    texts = fixtures.texts_of_parts(spark, sf_dir)
+    io.write_csv(texts, path)
+    return io.read_csv(spark, path, texts.schema)

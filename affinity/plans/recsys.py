@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affinity.operators import metrics, recommend, splits
+from affinity.session import ensure_checkpoint_dir, reliable_checkpoint
 from affinity.sources import fixtures
 
 # Fixed values of the study.
@@ -22,27 +22,15 @@ IMPLICIT_REGS = (0.125, 0.15)
 IMPLICIT_ALPHAS = (1, 5, 10)
 
 
-def split_ratings(ratings: DataFrame, persist: bool = True) -> DataFrame:
+def split_ratings(ratings: DataFrame) -> DataFrame:
     """F1 then F3 on (user_id, item_id, rating, ts): adds ``split``.
 
-    With ``persist`` the split is stored once (memory, then local disk) and
-    returned materialized: every study reads train, val and test from it,
-    as the split files are read in the file-based workflow. The filtered
-    input is kept only while the split is computed (the hot-key check and the
-    numbering both read it), so at most one copy stays cached.
+    The split is written once into the shared checkpoint folder, and every
+    study reads train, val and test from it, as the split files are read in
+    the file-based workflow; nothing stays cached.
     """
-    filtered = splits.filter_sparse(ratings, min_user=MIN_USER_RATINGS,
-                                    min_item=MIN_ITEM_RATINGS)
-    if not persist:
-        return splits.time_split(filtered, train=TRAIN_FRAC, val=VAL_FRAC)
-    filtered = filtered.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = splits.time_split(filtered, train=TRAIN_FRAC,
-                                val=VAL_FRAC).persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
-        return out
-    finally:
-        filtered.unpersist()
+    filtered = splits.filter_sparse(ratings, min_user=MIN_USER_RATINGS, min_item=MIN_ITEM_RATINGS)
+    return reliable_checkpoint(splits.time_split(filtered, train=TRAIN_FRAC, val=VAL_FRAC))
 
 
 def fixture_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +53,9 @@ def als_quality(split_df: DataFrame, implicit: bool, rank: int, reg: float,
         train = recommend.to_implicit(train)
     model = recommend.fit_als(train, rank=rank, reg=reg, implicit=implicit, alpha=alpha,
                               seed=seed)
-    recs = recommend.recommend_als(model, k)
-    return recommend.evaluate(recs, split_df.filter(F.col("split") == on), k)
+    truth = split_df.filter(F.col("split") == on)
+    recs = recommend.recommend_als(model, k, users=truth.select("user_id").distinct())
+    return recommend.evaluate(recs, truth, k)
 
 
 def tune_and_test(split_df: DataFrame, implicit: bool, k: int = TOP_K, seed: int = 42):
@@ -81,7 +70,8 @@ def tune_and_test(split_df: DataFrame, implicit: bool, k: int = TOP_K, seed: int
     else:
         best, results, model = recommend.tune(train, val, EXPLICIT_RANKS, EXPLICIT_REGS,
                                               k=k, seed=seed)
-    test_metrics = recommend.evaluate(recommend.recommend_als(model, k), test, k)
+    recs = recommend.recommend_als(model, k, users=test.select("user_id").distinct())
+    test_metrics = recommend.evaluate(recs, test, k)
     return best, results, test_metrics
 
 
@@ -89,7 +79,7 @@ def tune_and_test(split_df: DataFrame, implicit: bool, k: int = TOP_K, seed: int
 
 def time_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 + F2 + F3: every filtered rating with its split."""
-    return fixture_splits(spark, sf_dir).select("user_id", "item_id", "split")
+    return fixture_splits(spark, sf_dir).select("user_id", "item_id", "rating", "ts", "split")
 
 
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,41 +124,63 @@ def implicit_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.to_implicit(fixture_splits(spark, sf_dir).filter(F.col("split") == "train"))
 
 
+def _in_range(table: DataFrame) -> DataFrame:
+    """The table with its metrics replaced by whether all of them lie in [0, 1]:
+    a fit depends on the machine in its last digits, this does not."""
+    ok = F.lit(True)
+    for c in metrics.METRIC_COLS:
+        ok = ok & F.col(c).between(0.0, 1.0)
+    return table.withColumn("metrics_in_range", ok).drop(*metrics.METRIC_COLS)
+
+
 def als_explicit_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R4 + R7 + R9 at the explicit study's best point (rank 30, reg 0.05)."""
-    return als_quality(fixture_splits(spark, sf_dir), implicit=False, rank=30, reg=0.05)
+    """R4 + R7 + R9 at the explicit study's best point (rank 30, reg 0.05):
+    users scored, and whether the metrics are possible values."""
+    return _in_range(als_quality(fixture_splits(spark, sf_dir), implicit=False, rank=30, reg=0.05))
 
 
 def als_implicit_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6 + R7 + R9 at the implicit study's best point (rank 25, reg 0.15, alpha 5)."""
-    return als_quality(fixture_splits(spark, sf_dir), implicit=True, rank=25, reg=0.15, alpha=5.0)
+    return _in_range(als_quality(fixture_splits(spark, sf_dir), implicit=True, rank=25, reg=0.15, alpha=5.0))
 
 
 def als_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top-100 lists of the explicit model (user, rank, item, score)."""
+    """The top-100 lists of the explicit model for the test users, one row
+    per list: its length, first and last rank, distinct items, how many items
+    come from the training data, and whether the scores fall."""
     s = fixture_splits(spark, sf_dir)
-    model = recommend.fit_als(s.filter(F.col("split") == "train"), rank=30, reg=0.05)
-    return recommend.recommend_als(model, TOP_K)
+    train = s.filter(F.col("split") == "train")
+    model = recommend.fit_als(train, rank=30, reg=0.05)
+    users = s.filter(F.col("split") == "test").select("user_id").distinct()
+    recs = recommend.recommend_als(model, TOP_K, users=users)
+    known = train.select("item_id").distinct().withColumn("known", F.lit(1))
+    falls = F.coalesce(F.lag("score").over(Window.partitionBy("user_id").orderBy("rank")) >= F.col("score"), F.lit(True))
+    return recs.withColumn("falls", falls).join(known, "item_id", "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
+        F.count_distinct("item_id").alias("n_distinct"), F.count("known").alias("n_from_train"), F.bool_and("falls").alias("ordered"))
 
 
 def als_explicit_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R8 + R9: the explicit grid on val, best model on test, one table."""
-    best, results, test = tune_and_test(fixture_splits(spark, sf_dir), implicit=False)
-    return _tuning_table(results, test, best)
+    """R8 + R9: the explicit grid on val, best model on test: parameters, users,
+    metrics in range, and whether the chosen point has the best validation NDCG."""
+    return _tuning_table(*tune_and_test(fixture_splits(spark, sf_dir), implicit=False))
 
 
 def als_implicit_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best, results, test = tune_and_test(fixture_splits(spark, sf_dir), implicit=True)
-    return _tuning_table(results, test, best)
+    return _tuning_table(*tune_and_test(fixture_splits(spark, sf_dir), implicit=True))
 
 
-def _tuning_table(results: DataFrame, test: DataFrame, best: dict) -> DataFrame:
-    val_rows = results.withColumn("split", F.lit("val"))
-    test_row = test.select(
-        F.lit(best["rank"]).cast("int").alias("rank"), F.lit(float(best["reg"])).alias("reg"),
-        F.lit(best["alpha"]).cast("double").alias("alpha"), "n_users",
-        *metrics.METRIC_COLS).withColumn("split", F.lit("test"))
-    return val_rows.unionByName(test_row)
+def _tuning_table(best: dict, results: DataFrame, test: DataFrame) -> DataFrame:
+    """A row per grid point on val, and one for the test split; the test row has
+    no parameters, as the best point may differ by machine, but says whether
+    it was a best one of the grid."""
+    val_rows = _in_range(results).select(F.lit("val").alias("split"), "rank", "reg", "alpha", "n_users", "metrics_in_range",
+                                         F.lit(None).cast("boolean").alias("best_of_grid"))
+    top = results.agg(F.max("ndcg_at_k").alias("top"))
+    test_row = _in_range(test).crossJoin(F.broadcast(top)).select(  # one row each
+        F.lit("test"), F.lit(None).cast("int"), F.lit(None).cast("double"), F.lit(None).cast("double"), "n_users",
+        "metrics_in_range", F.col("top") == F.lit(best["ndcg"]))
+    return val_rows.union(test_row)
 
 
 def popularity_sample_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,11 +193,27 @@ def popularity_sample_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the split written once as Parquet partitioned by split (under the
-    checkpoint folder, a fresh subfolder per call), read back and counted."""
+    checkpoint folder, a fresh subfolder per call) and read back, all rows."""
     import uuid
 
-    from affinity.session import ensure_checkpoint_dir
-
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/splits-{uuid.uuid4().hex}"
     splits.write_splits(fixture_splits(spark, sf_dir), path)
-    return splits.split_sizes(spark.read.parquet(path))
+    return spark.read.parquet(path).select("user_id", "item_id", "rating", "ts", "split")
+
+
+def _with_faults(s: DataFrame) -> DataFrame:
+    """The split with faults put in: a third of the users have their train and
+    test rows swapped, and a fifth of the items' train rows appear in test too."""
+    swapped = s.withColumn("split", F.when(F.col("user_id") % 3 == 0, F.when(F.col("split") == "train", "test").when(
+        F.col("split") == "test", "train").otherwise(F.col("split"))).otherwise(F.col("split")))
+    return swapped.union(s.filter("split = 'train' AND item_id % 5 = 0").withColumn("split", F.lit("test")).select(*s.columns))
+
+
+def split_overlap_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 on a split that leaks."""
+    return splits.split_overlap(_with_faults(fixture_splits(spark, sf_dir)))
+
+
+def split_order_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8 on a split that breaks the order of time."""
+    return splits.split_order_violations(_with_faults(fixture_splits(spark, sf_dir)))

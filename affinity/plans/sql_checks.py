@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from affinity.functions.hashing import PRIME, params_values_sql
 from affinity.sources.fixtures import (DOC_WORDS_SQL, EVENT_ITEMS_SQL, LABELLED_DOCUMENTS_SQL,
-                                       RATINGS_SQL)
+                                       RATINGS_SQL, TEXTS_OF_PARTS_SQL, WORD_NUMBER_SQL)
 
 K = 100
 
@@ -108,6 +108,17 @@ def doc_set_size_summary() -> str:
         f"SELECT doc_id, count(*) AS n_items FROM ({DOC_WORDS_SQL}) GROUP BY doc_id", "n_items")
 
 
+def texts_csv_roundtrip() -> str:
+    return TEXTS_OF_PARTS_SQL
+
+
+def ratings_schema() -> str:
+    return f"""WITH r AS ({RATINGS_SQL})
+SELECT CAST(unnest([0, 1, 2, 3]) AS INT) AS position, unnest(['user_id', 'item_id', 'rating', 'ts']) AS name,
+       unnest(['int', 'int', 'double', (SELECT CASE typeof(any_value(ts)) WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(typeof(any_value(ts))) END FROM r)]) AS type,
+       unnest([(SELECT count(user_id) FROM r), (SELECT count(item_id) FROM r), (SELECT count(rating) FROM r), (SELECT count(ts) FROM r)]) AS n_present"""
+
+
 def ratings_sample(n: int = 20) -> str:
     return f"""WITH r AS ({RATINGS_SQL})
 SELECT * FROM r ORDER BY user_id, item_id LIMIT {n}"""
@@ -128,21 +139,30 @@ SELECT *, rows_before - rows_after AS rows_dropped, users_before - users_after A
 def sig_ctes(src_sql: str, user: str, min_items: int = 3, n_bands: int = 32,
              rows: int = 4) -> str:
     """CTEs: sets, sizes, hp, h (user, i, h), sig (user, n_items, sig list),
-    bnd (user, band_idx, band list)."""
+    bnd (user, band_idx, band list), cand (user pairs), grp (signature groups)."""
+    number = WORD_NUMBER_SQL if user == "doc_id" else "item_id"
     return f"""
 src AS ({src_sql}),
 sets AS (SELECT DISTINCT {user} AS u, item_id FROM src WHERE item_id IS NOT NULL),
 sizes AS (SELECT u, count(*) AS n_items FROM sets GROUP BY u HAVING count(*) >= {min_items}),
 hp AS (SELECT * FROM (VALUES {params_values_sql()}) t(i, a, b)),
-h AS (SELECT s.u, hp.i, min((hp.a::BIGINT * s.item_id + hp.b) % {PRIME}) AS h
-      FROM sets s JOIN sizes USING (u) CROSS JOIN hp GROUP BY s.u, hp.i),
+h AS (SELECT s.u, hp.i, min((hp.a::BIGINT * s.number + hp.b) % {PRIME}) AS h
+      FROM (SELECT u, {number} AS number FROM sets) s JOIN sizes USING (u) CROSS JOIN hp GROUP BY s.u, hp.i),
 sig AS (SELECT h.u, sizes.n_items, list(h.h ORDER BY h.i) AS sig
         FROM h JOIN sizes USING (u) GROUP BY h.u, sizes.n_items),
 bnd AS (SELECT u, i // {rows} AS band_idx, list(h ORDER BY i) AS band FROM h
         GROUP BY u, i // {rows}),
 cand AS (SELECT x.u AS user1, y.u AS user2, count(*) AS "count"
          FROM bnd x JOIN bnd y ON x.band_idx = y.band_idx AND x.band = y.band AND x.u < y.u
-         GROUP BY x.u, y.u)"""
+         GROUP BY x.u, y.u),
+grp AS (SELECT sig, min(u) AS rep, count(*) AS n FROM sig GROUP BY sig)"""
+
+
+def signature_counts(src_sql: str, user: str) -> str:
+    return f"""WITH {sig_ctes(src_sql, user, min_items=1)},
+e AS (SELECT sig, count(*) AS n, count(*) FILTER (n_items >= 3) AS big FROM sig GROUP BY sig)
+SELECT CAST(sum(n) AS BIGINT) AS n_users, count(*) AS n_signatures, CAST(sum(big) AS BIGINT) AS n_users_filtered,
+       count(*) FILTER (big > 0) AS n_signatures_filtered FROM e"""
 
 
 def signature_digest(src_sql: str, user: str) -> str:
@@ -182,7 +202,16 @@ SELECT count(*) AS n_buckets, round(avg(n_users), 6) AS mean_size,
 
 
 def candidate_pairs(src_sql: str, user: str) -> str:
-    return f"WITH {sig_ctes(src_sql, user)} SELECT * FROM cand"
+    return f"""WITH {sig_ctes(src_sql, user)}
+SELECT a.rep AS rep1, b.rep AS rep2, a.n AS n1, b.n AS n2, c."count"
+FROM cand c JOIN grp a ON a.rep = c.user1 JOIN grp b ON b.rep = c.user2
+UNION ALL SELECT rep, rep, n, n, 32 FROM grp WHERE n > 1"""
+
+
+def similar_pairs_with_sets(src_sql: str, user: str) -> str:
+    return f"""WITH {top_pairs_cte(src_sql, user)}
+SELECT t.user1, t.user2, s.item_id, bool_or(s.u = t.user1) AS in1, bool_or(s.u = t.user2) AS in2
+FROM top t JOIN sets s ON s.u = t.user1 OR s.u = t.user2 GROUP BY t.user1, t.user2, s.item_id"""
 
 
 def top_pairs(src_sql: str, user: str, k: int = K) -> str:
@@ -222,21 +251,21 @@ def _pearson(x: str, y: str) -> str:
     return f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0)"
 
 
-def _hash_order_sql(src: str, ab, n: int) -> str:
-    a, b = ab
-    return (f"SELECT user_id, row_number() OVER (ORDER BY ({a}::BIGINT * user_id + {b}) % {PRIME}, "
-            f"user_id) AS i FROM (SELECT DISTINCT user_id FROM {src}) "
-            f"QUALIFY i <= {n}")
-
-
 def random_pairs_cte(src: str, n: int) -> str:
-    from affinity.operators.pairs import ORDER_A, ORDER_B
+    """rp: n pairs from rounds of two md5 orders, or from all pairs in md5 order
+    where there are at most 4 n of them."""
+    place = ("SELECT r, user_id, row_number() OVER (PARTITION BY r ORDER BY md5(user_id || ':{0}:' || r), user_id) AS i "
+             f"FROM ru, rr QUALIFY i <= {n}")
     return f"""
-o1 AS ({_hash_order_sql(src, ORDER_A, n)}),
-o2 AS ({_hash_order_sql(src, ORDER_B, n)}),
-rp AS (SELECT DISTINCT least(o1.user_id, o2.user_id) AS user1,
-              greatest(o1.user_id, o2.user_id) AS user2
-       FROM o1 JOIN o2 USING (i) WHERE o1.user_id <> o2.user_id)"""
+ru AS (SELECT DISTINCT user_id FROM {src} WHERE user_id IS NOT NULL),
+rn AS (SELECT count(*) AS u FROM ru),
+rr AS (SELECT unnest(range(0, CAST(2 * ceil({n} / greatest(u, 1)) + 2 AS BIGINT))) AS r FROM rn),
+ra AS ({place.format('a')}), rb AS ({place.format('b')}),
+rdrawn AS (SELECT least(ra.user_id, rb.user_id) AS user1, greatest(ra.user_id, rb.user_id) AS user2, min((r, i)) AS f
+       FROM ra JOIN rb USING (r, i) WHERE ra.user_id <> rb.user_id GROUP BY 1, 2 ORDER BY f LIMIT {n}),
+rall AS (SELECT a.user_id AS user1, b.user_id AS user2 FROM ru a JOIN ru b ON a.user_id < b.user_id, rn
+       WHERE u * (u - 1) // 2 <= 4 * {n} ORDER BY md5(a.user_id || ':' || b.user_id), 1, 2 LIMIT {n}),
+rp AS (SELECT user1, user2 FROM rdrawn, rn WHERE u * (u - 1) // 2 > 4 * {n} UNION ALL SELECT * FROM rall)"""
 
 
 def shared_cte(pairs: str, src: str, name: str = "sh") -> str:
@@ -250,11 +279,15 @@ def corr_cte(shared: str, name: str) -> str:
        count(*) AS overlap_count FROM {shared} GROUP BY user1, user2)"""
 
 
+def spread(x: str) -> str:
+    return (f"round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS sd, "
+            f"min({x}) AS least, max({x}) AS most")
+
+
 def summary_select(src: str) -> str:
-    return f"""SELECT count(*) AS num_pairs, round(avg(rating_correlation), 6) AS avg_corr,
-       round(stddev_samp(rating_correlation), 6) AS stddev_corr,
-       round(min(rating_correlation), 6) AS min_corr, round(max(rating_correlation), 6) AS max_corr,
-       round(avg(overlap_count), 6) AS avg_overlap_items FROM {src}"""
+    return f"""SELECT count(*) AS n_pairs, round(avg(rating_correlation), 6) AS mean,
+       round(stddev_samp(rating_correlation), 6) AS sd, round(min(rating_correlation), 6) AS least,
+       round(max(rating_correlation), 6) AS most, round(avg(overlap_count), 6) AS mean_overlap FROM {src}"""
 
 
 def _events_top() -> str:
@@ -275,16 +308,17 @@ def similar_correlation_summary() -> str:
 
 
 def _pick(src: str, n: int = 100) -> str:
-    from affinity.operators.pairs import ORDER_PICK
-    a, b = ORDER_PICK
-    return (f"SELECT * FROM {src} ORDER BY ({a}::BIGINT * user1 + user2 + {b}) % {PRIME}, "
-            f"user1, user2 LIMIT {n}")
+    return f"SELECT * FROM {src} ORDER BY md5(user1 || ':' || user2), user1, user2 LIMIT {n}"
 
 
 def random_pairs_ratings(n: int = 1000) -> str:
     return f"WITH r AS ({RATINGS_SQL}), {random_pairs_cte('r', n)} SELECT * FROM rp"
 
 
+def random_pairs_events(n: int = 1000) -> str:
+    return f"WITH r AS ({EVENT_ITEMS_SQL}), {random_pairs_cte('r', n)} SELECT * FROM rp"
+
+
 def random_correlation_summary(n: int = 1000) -> str:
     return f"""WITH r AS ({RATINGS_SQL}), {random_pairs_cte('r', n)},
 {shared_cte('rp', 'r', 'rsh')},
@@ -297,38 +331,34 @@ def _dropped_ctes(n: int = 1000) -> str:
     return f"""r AS ({RATINGS_SQL}), {random_pairs_cte('r', n)},
 {shared_cte('rp', 'r', 'rsh')},
 {corr_cte('rsh', 'rc')},
-ov AS (SELECT user1, user2, count(item_id) AS overlap_count FROM rsh GROUP BY user1, user2),
-dropped AS (SELECT rp.user1, rp.user2, ov.overlap_count FROM rp
-            LEFT JOIN ov USING (user1, user2)
-            WHERE NOT EXISTS (SELECT 1 FROM rc WHERE rc.user1 = rp.user1 AND rc.user2 = rp.user2
-                              AND rc.rating_correlation IS NOT NULL)),
+st AS (SELECT rp.user1, rp.user2, rc.overlap_count, rc.rating_correlation FROM rp LEFT JOIN rc USING (user1, user2)),
+dropped AS (SELECT user1, user2, overlap_count FROM st WHERE rating_correlation IS NULL),
 {shared_cte('dropped', 'r', 'dsh')}"""
 
 
+def defined_pairs_ratings() -> str:
+    return f"""WITH {_dropped_ctes()} SELECT user1, user2, round(rating_correlation, 6) AS rating_correlation, overlap_count
+FROM st WHERE rating_correlation IS NOT NULL"""
+
+
 def dropped_pairs_ratings() -> str:
     return f"WITH {_dropped_ctes()} SELECT user1, user2, overlap_count FROM dropped"
 
 
 def dropped_overlap_summary() -> str:
-    return f"""WITH {_dropped_ctes()}
-SELECT count(*) AS num_dropped_pairs, round(avg(overlap_count), 6) AS avg_overlap_dropped,
-       min(overlap_count) AS min_overlap_dropped, max(overlap_count) AS max_overlap_dropped,
-       round(stddev_samp(overlap_count), 6) AS stddev_overlap_dropped FROM dropped"""
+    return f"WITH {_dropped_ctes()} SELECT count(*) AS n_pairs, {spread('overlap_count')} FROM dropped"
 
 
 def zero_variance_pairs() -> str:
-    return f"""WITH {_dropped_ctes()},
-z AS (SELECT user1, user2, count(DISTINCT item_id) AS num_shared_items,
-             stddev_samp(rating1) AS s1, stddev_samp(rating2) AS s2 FROM dsh GROUP BY user1, user2)
-SELECT user1, user2, num_shared_items, round(s1, 6) AS stddev_user1, round(s2, 6) AS stddev_user2
-FROM z WHERE s1 IS NULL OR s2 IS NULL OR s1 = 0 OR s2 = 0"""
+    return f"""WITH {_dropped_ctes()}
+SELECT user1, user2, count(*) AS n_shared, count(DISTINCT rating1) = 1 AS constant1, count(DISTINCT rating2) = 1 AS constant2
+FROM dsh GROUP BY user1, user2 HAVING constant1 OR constant2"""
 
 
 def rating_gap() -> str:
     return f"""WITH {_dropped_ctes()}
-SELECT user1, user2, round(avg(rating1), 6) AS avg_rating_user1,
-       round(avg(rating2), 6) AS avg_rating_user2,
-       round(abs(avg(rating1) - avg(rating2)), 6) AS rating_diff
+SELECT user1, user2, round(avg(rating1), 6) AS mean1, round(avg(rating2), 6) AS mean2,
+       round(abs(avg(rating1) - avg(rating2)), 6) AS gap
 FROM dsh GROUP BY user1, user2"""
 
 
@@ -343,18 +373,66 @@ UNION ALL
 SELECT *, 'random' AS "group" FROM ({summary_select('pick')})"""
 
 
+# ---------------------------------------------------------------- properties of ALS fits
+
+def _als_users(split: str) -> str:
+    """Users of a split that the model knows from train."""
+    return (f"(SELECT count(*) FROM (SELECT DISTINCT user_id FROM s WHERE split = '{split}' "
+            f"AND user_id IN (SELECT user_id FROM s WHERE split = 'train')))")
+
+
+def als_explicit_test() -> str:
+    return f"WITH {split_cte()} SELECT {_als_users('test')} AS n_users, TRUE AS metrics_in_range"
+
+
+als_implicit_test = als_explicit_test
+
+
+def als_recommendations(k: int = K) -> str:
+    return f"""WITH {split_cte()},
+tr AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'train'),
+n AS (SELECT least({k}, count(DISTINCT item_id)) AS n FROM tr)
+SELECT user_id, n AS n_items, 1 AS first_rank, CAST(n AS INT) AS last_rank, n AS n_distinct, n AS n_from_train, TRUE AS ordered
+FROM (SELECT DISTINCT user_id FROM s WHERE split = 'test' AND user_id IN (SELECT user_id FROM tr)), n"""
+
+
+def _tuning(grid: list[tuple]) -> str:
+    rows = ", ".join(f"({r}, {g}::DOUBLE, {'NULL' if a is None else float(a)}::DOUBLE)" for r, a, g in grid)
+    return f"""WITH {split_cte()}
+SELECT 'val' AS split, CAST(rank AS INT) AS rank, reg, alpha, {_als_users('val')} AS n_users, TRUE AS metrics_in_range,
+       CAST(NULL AS BOOLEAN) AS best_of_grid FROM (VALUES {rows}) t(rank, reg, alpha)
+UNION ALL SELECT 'test', NULL, NULL, NULL, {_als_users('test')}, TRUE, TRUE"""
+
+
+# Fixed values of the study: ranks, regularisation, confidence weights.
+def als_explicit_tuning() -> str:
+    return _tuning([(r, None, g) for r in (20, 25, 30) for g in (0.04, 0.05, 0.06)])
+
+
+def als_implicit_tuning() -> str:
+    return _tuning([(r, a, g) for r in (25, 26) for a in (1, 5, 10) for g in (0.125, 0.15)])
+
+
 # ---------------------------------------------------------------- splits and popularity
 
 def time_split_rows() -> str:
-    return f"WITH {split_cte()} SELECT user_id, item_id, split FROM s"
+    return f"WITH {split_cte()} SELECT user_id, item_id, rating, ts, split FROM s"
 
 
 def split_sizes() -> str:
     return f"WITH {split_cte()} SELECT split, count(*) AS n_rows FROM s GROUP BY split"
 
 
-def split_overlap() -> str:
-    return f"""WITH {split_cte()},
+def _faults_cte() -> str:
+    """s0: the split; s: with the faults of plans/recsys put in."""
+    return split_cte().replace("\ns AS (", "\ns0 AS (") + """,
+s AS (SELECT user_id, item_id, rating, ts, CASE WHEN user_id % 3 = 0 AND split = 'train' THEN 'test'
+             WHEN user_id % 3 = 0 AND split = 'test' THEN 'train' ELSE split END AS split FROM s0
+      UNION ALL SELECT user_id, item_id, rating, ts, 'test' FROM s0 WHERE split = 'train' AND item_id % 5 = 0)"""
+
+
+def split_overlap(ctes: str | None = None) -> str:
+    return f"""WITH {ctes or split_cte()},
 tr AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'train'),
 va AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'val'),
 te AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'test')
@@ -363,12 +441,16 @@ SELECT (SELECT count(*) FROM (SELECT * FROM tr INTERSECT SELECT * FROM va)) AS t
        (SELECT count(*) FROM (SELECT * FROM va INTERSECT SELECT * FROM te)) AS val_test"""
 
 
+def split_overlap_faults() -> str:
+    return split_overlap(_faults_cte())
+
+
 def split_ranges() -> str:
     return f"WITH {split_cte()} SELECT split, min(ts) AS min_ts, max(ts) AS max_ts FROM s GROUP BY split"
 
 
-def split_order_violations() -> str:
-    return f"""WITH {split_cte()},
+def split_order_violations(ctes: str | None = None) -> str:
+    return f"""WITH {ctes or split_cte()},
 pu AS (SELECT user_id,
               max(CASE WHEN split = 'train' THEN ts END) AS train_max,
               min(CASE WHEN split = 'val' THEN ts END) AS val_min,
@@ -377,6 +459,10 @@ pu AS (SELECT user_id,
 SELECT * FROM pu WHERE train_max > val_min OR val_max > test_min OR train_max > test_min"""
 
 
+def split_order_faults() -> str:
+    return split_order_violations(_faults_cte())
+
+
 def _pop_cte(k: int = K) -> str:
     return f"""{split_cte()},
 pop AS (SELECT item_id, count(user_id) AS popularity FROM s WHERE split = 'train'

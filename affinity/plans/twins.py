@@ -13,14 +13,15 @@ from affinity.sources import fixtures
 K = 100
 N_CLUSTERS = 10
 
+# builder, user column, number of an item (None: the item itself)
 SOURCES = {
-    "events": (fixtures.event_items, "user_id"),
-    "docs": (fixtures.doc_words, "doc_id"),
+    "events": (fixtures.event_items, "user_id", None),
+    "docs": (fixtures.doc_words, "doc_id", fixtures.WORD_NUMBER),
 }
 
 
 def _src(spark: SparkSession, sf_dir: str, name: str):
-    build, user = SOURCES[name]
+    build, user, _ = SOURCES[name]
     return build(spark, sf_dir), user
 
 
@@ -28,7 +29,7 @@ def _sigs(spark: SparkSession, sf_dir: str, name: str):
     df, user = _src(spark, sf_dir, name)
     # Both derived tables are distinct (user, item) rows by construction.
     sigs = minhash.signatures(df, user, "item_id", min_items=minhash.MIN_ITEMS,
-                              distinct_input=True)
+                              distinct_input=True, number=SOURCES[name][2])
     return df, user, sigs
 
 
@@ -51,6 +52,11 @@ def signature_digest(spark, sf_dir, name):
                                    lambda acc, x: acc + x).alias("h_sum"))
 
 
+def signature_counts(spark, sf_dir, name):
+    df, user = _src(spark, sf_dir, name)
+    return minhash.signature_counts(df, user, "item_id", distinct_input=True, number=SOURCES[name][2])
+
+
 def signature_clusters(spark, sf_dir, name):
     _, user, sigs = _sigs(spark, sf_dir, name)
     return minhash.signature_clusters(sigs, N_CLUSTERS, user).select(
@@ -59,7 +65,7 @@ def signature_clusters(spark, sf_dir, name):
 
 def cluster_members(spark, sf_dir, name):
     df, user, sigs = _sigs(spark, sf_dir, name)
-    return minhash.cluster_members(sigs, df, 1, user, "item_id")
+    return minhash.cluster_members(reliable_checkpoint(sigs), df, 1, user, "item_id")
 
 
 def lsh_buckets(spark, sf_dir, name):
@@ -75,8 +81,9 @@ def bucket_stats(spark, sf_dir, name):
 
 
 def candidate_pairs(spark, sf_dir, name):
+    """M10 between groups of equal signatures (no group is expanded)."""
     _, user, sigs = _sigs(spark, sf_dir, name)
-    return minhash.candidate_pairs(sigs.persist(), 1, user=user)
+    return minhash.candidate_groups(reliable_checkpoint(sigs), 1, user=user)
 
 
 def top_pairs(spark, sf_dir, name):
@@ -87,15 +94,15 @@ def top_pairs(spark, sf_dir, name):
 def similar_pairs(spark, sf_dir, name):
     df, user = _src(spark, sf_dir, name)
     return minhash.similar_pairs(df, user, "item_id", k=K, distinct_input=True,
-                                 persist_input=True)
+                                 persist_input=True, number=SOURCES[name][2])
 
 
 def jaccard_summary(spark, sf_dir, name):
-    return round_doubles(profile.describe(similar_pairs(spark, sf_dir, name), ["jaccard"]))
+    return round_doubles(profile.describe(similar_pairs(spark, sf_dir, name), ["jaccard"], exact=True))
 
 
 def similar_pairs_with_sets(spark, sf_dir, name):
-    """The top pairs with both users' item arrays (a bounded list)."""
+    """The items of both users of each top pair, as rows."""
     df, user = _src(spark, sf_dir, name)
     top = top_pairs(spark, sf_dir, name)
     return minhash.with_sets(top, df, user, "item_id")

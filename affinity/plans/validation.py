@@ -35,7 +35,7 @@ def similar_pair_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summary(corrs: DataFrame) -> DataFrame:
     s = pairs.correlation_summary(corrs)
-    return _round(s, {"avg_corr", "stddev_corr", "min_corr", "max_corr", "avg_overlap_items"})
+    return _round(s, {"mean", "sd", "least", "most", "mean_overlap"})
 
 
 def similar_correlation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,11 @@ def random_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.random_pairs(fixtures.ratings(spark, sf_dir), N_RANDOM)
 
 
+def random_pairs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5 on the event table: more pairs than users, so several rounds."""
+    return pairs.random_pairs(fixtures.event_items(spark, sf_dir), N_RANDOM)
+
+
 def _random_valid(r: DataFrame) -> DataFrame:
     rp = pairs.random_pairs(r, N_RANDOM)
     v = pairs.valid_pairs(pairs.pair_correlation(pairs.shared_ratings(rp, r)))
@@ -60,38 +65,40 @@ def random_correlation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(_random_valid(fixtures.ratings(spark, sf_dir)))
 
 
-def _random_dropped(spark, sf_dir):
+def _random_status(spark, sf_dir):
     r = fixtures.ratings(spark, sf_dir)
-    rp = pairs.random_pairs(r, N_RANDOM)
-    shared = pairs.shared_ratings(rp, r)
-    valid = pairs.valid_pairs(pairs.pair_correlation(shared))
-    dropped = pairs.dropped_pairs(rp, valid, pairs.overlap_counts(shared))
-    return r, dropped
+    rp = reliable_checkpoint(pairs.random_pairs(r, N_RANDOM))
+    return r, pairs.pair_status(rp, pairs.shared_ratings(rp, r))
+
+
+def defined_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 + V7: random pairs with a correlation, and their overlap."""
+    return _round(pairs.defined_pairs(_random_status(spark, sf_dir)[1]), {"rating_correlation"})
 
 
 def dropped_pairs_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V6 - V8."""
-    return _random_dropped(spark, sf_dir)[1]
+    """V6 + V8."""
+    return pairs.dropped_pairs(_random_status(spark, sf_dir)[1])
 
 
 def dropped_overlap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V9."""
-    s = pairs.overlap_summary(_random_dropped(spark, sf_dir)[1])
-    return _round(s, {"avg_overlap_dropped", "stddev_overlap_dropped"})
+    return _round(pairs.overlap_summary(dropped_pairs_ratings(spark, sf_dir)), {"mean", "sd"})
+
+
+def _dropped_shared(spark, sf_dir):
+    r, status = _random_status(spark, sf_dir)
+    return pairs.shared_ratings(reliable_checkpoint(pairs.dropped_pairs(status)), r)
 
 
 def zero_variance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V10 on the shared ratings of dropped pairs."""
-    r, dropped = _random_dropped(spark, sf_dir)
-    z = pairs.zero_variance_pairs(pairs.shared_ratings(dropped, r))
-    return _round(z, {"stddev_user1", "stddev_user2"})
+    return pairs.constant_sides(_dropped_shared(spark, sf_dir))
 
 
 def rating_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V11 on the shared ratings of dropped pairs."""
-    r, dropped = _random_dropped(spark, sf_dir)
-    g = pairs.rating_gap(pairs.shared_ratings(dropped, r))
-    return _round(g, {"avg_rating_user1", "avg_rating_user2", "rating_diff"})
+    return _round(pairs.rating_gap(_dropped_shared(spark, sf_dir)), {"mean1", "mean2", "gap"})
 
 
 def similar_vs_random(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3) for checkpoints")
         conf_dir = tempfile.mkdtemp(prefix="affinity-ckpt-")

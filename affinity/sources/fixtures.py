@@ -3,7 +3,7 @@
 There is no rating table in the test data, so each operator family reads a
 view built from one: ``ratings`` (customers rating parts through their
 orders), ``event_items`` (users touching items in the event log) and
-``doc_words`` (documents as sets of hashed words). Each has a Spark builder
+``doc_words`` (documents as sets of words). Each has a Spark builder
 and an equal DuckDB SQL text, used by the oracles.
 """
 
@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Item ids of doc_words: a hash of the word both engines compute alike.
-WORD_ID_MOD = 1000003
+# The number that stands for a word in a hash function: 32 bits of its md5, in
+# either engine. Sets, their sizes and Jaccard use the words themselves.
+WORD_NUMBER = "CAST(conv(substring(md5(item_id), 1, 8), 16, 10) AS BIGINT)"
+WORD_NUMBER_SQL = "('0x' || substr(md5(item_id), 1, 8))::BIGINT"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,19 +59,36 @@ FROM events GROUP BY 1, 2
 
 
 def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, item_id bigint): distinct hashed lower-case words of each document,
-    over the whole text."""
+    """(doc_id, item_id string): the distinct lower-case words of each document,
+    over the whole text. A document's words all sit in one task, so the
+    distinct is combined before the shuffle."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # Each document's distinct words first (combined map-side: a document's
-    # words all sit in one task), so the hash runs once per (doc, word).
-    words = docs.select("doc_id", F.explode(F.split(F.lower("text"), " ")).alias("w")).distinct()
-    item = F.conv(F.substring(F.md5("w"), 1, 7), 16, 10).cast("bigint") % F.lit(WORD_ID_MOD)
-    return words.select("doc_id", item.alias("item_id")).distinct()
+    return docs.select("doc_id", F.explode(F.split(F.lower("text"), " ")).alias("item_id")).distinct()
 
 
-DOC_WORDS_SQL = f"""
-SELECT DISTINCT doc_id, ('0x' || substr(md5(w), 1, 7))::BIGINT % {WORD_ID_MOD} AS item_id
-FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS w FROM documents)
+DOC_WORDS_SQL = """
+SELECT DISTINCT doc_id, item_id
+FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS item_id FROM documents)
+"""
+
+
+def texts_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(part_id int, rating double, note string): parts with free text that
+    holds quotes, commas, line breaks, empty strings and nulls."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    name, kind = F.col("p_name"), F.pmod(F.col("p_partkey"), F.lit(5))
+    note = (F.when(kind == 0, F.concat(F.lit('say "'), name, F.lit('", ok')))
+            .when(kind == 1, F.concat(name, F.lit("\n,next")))
+            .when(kind == 2, F.lit("")).when(kind == 3, name))
+    return part.select(F.col("p_partkey").cast("int").alias("part_id"),
+                       (F.col("p_size") / 2).cast("double").alias("rating"), note.alias("note"))
+
+
+TEXTS_OF_PARTS_SQL = """
+SELECT CAST(p_partkey AS INT) AS part_id, CAST(p_size / 2 AS DOUBLE) AS rating,
+       CASE p_partkey % 5 WHEN 0 THEN 'say "' || p_name || '", ok' WHEN 1 THEN p_name || chr(10) || ',next'
+            WHEN 2 THEN '' WHEN 3 THEN p_name END AS note
+FROM part
 """
 
 

@@ -6,10 +6,12 @@ the same column different types on different sizes of the same data set.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RATINGS_SCHEMA = T.StructType([
@@ -36,12 +38,23 @@ LINKS_SCHEMA = T.StructType([
 ])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row and a fixed schema; quotes escaped by doubling."""
-    return (spark.read.schema(schema)
-            .option("header", True).option("quote", '"').option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+# How text is written and read alike: quotes doubled, line breaks inside quotes
+# allowed, a null left empty, the empty string in quotes.
+TEXT = {"header": True, "quote": "\"", "escape": "\"", "nullValue": "", "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False}
+EMPTY = "\u0001"  # stands for a quoted empty string while a file is parsed
+BROKEN = "_broken_line"
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, broken: str | None = None) -> DataFrame:
+    """CSV with a header row and a fixed schema. A row that does not fit
+    the schema keeps the values that do; ``broken`` names a column for its
+    source text (null for a good row)."""
+    wanted = schema.add(broken, T.StringType()) if broken else schema
+    reader = spark.read.schema(T.StructType(wanted.fields)).options(**TEXT, multiLine=True, emptyValue=EMPTY, mode="PERMISSIVE")
+    df = (reader.option("columnNameOfCorruptRecord", broken) if broken else reader).csv(path)
+    return df.select(*[F.when(F.col(f.name) != EMPTY, F.col(f.name)).when(F.col(f.name) == EMPTY, "").alias(f.name)
+                       if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in wanted.fields])
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -61,20 +74,23 @@ def load_or_convert(spark: SparkSession, parquet_path: str, csv_path: str,
     """Read Parquet; if it does not exist, convert the CSV once and read that.
 
     Only a missing path triggers the conversion; any other error propagates.
-    The conversion keeps ``columns``, drops rows with a null in any of them and
-    writes Parquet. Both branches return the Parquet read back from storage,
-    so the result has one schema whichever branch ran.
+    The conversion keeps ``columns`` and drops rows with a null in any of them,
+    and rows that did not fit the schema; how many of these there were is
+    counted on the way and reported as a warning. Both branches return
+    ``columns`` of the Parquet on storage, so the result has one schema.
     """
     try:
-        return spark.read.parquet(parquet_path)
+        return read_parquet(spark, parquet_path, columns)
     except AnalysisException as err:
         if not _is_missing_path(err):
             raise
-    df = read_csv(spark, csv_path, schema)
-    if columns:
-        df = df.select(*columns)
-    write_parquet(df.dropna(), parquet_path)
-    return spark.read.parquet(parquet_path)
+    df = read_csv(spark, csv_path, T.StructType(list(schema.fields)), BROKEN)
+    seen = Observation("conversion")
+    df = df.observe(seen, F.count_if(F.col(BROKEN).isNotNull()).alias("broken")).filter(F.col(BROKEN).isNull())
+    write_parquet(df.select(*(columns or schema.names)).dropna(), parquet_path)
+    if seen.get["broken"]:
+        warnings.warn(f"{csv_path}: {seen.get['broken']} rows do not fit the schema and were left out", stacklevel=2)
+    return read_parquet(spark, parquet_path, columns)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
@@ -86,5 +102,5 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV sink with header, overwrite."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV sink with header, overwrite; ``read_csv`` gives back the same values."""
+    df.write.mode("overwrite").options(**TEXT, emptyValue='""').csv(path)

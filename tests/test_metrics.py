@@ -64,3 +64,30 @@ def test_mllib_ranking_metrics_agree(spark):
     assert got.ndcg_at_k == pytest.approx(rm.ndcgAt(5), abs=1e-12)
     assert got.map_at_k == pytest.approx(rm.meanAveragePrecisionAt(5), abs=1e-12)
     assert got.precision_at_k == pytest.approx(rm.precisionAt(5), abs=1e-12)
+
+
+def test_popular_list_is_used_whole(spark):
+    ranked = spark.createDataFrame([(i, i + 1) for i in range(200)], "item_id long, rank int")
+    users = spark.createDataFrame([(1,), (2,), (2,)], "user_id int")
+    got = recommend.recommend_popular(users, ranked)
+    assert got.count() == 400 and dict(got.dtypes)["item_id"] == "bigint"
+    assert recommend.recommend_popular(users, ranked, k=3).count() == 6
+
+
+def test_excluded_items_leave_full_lists(spark):
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(60) if (u + i) % 3]
+    train = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    model = recommend.fit_als(train, rank=3, max_iter=2)
+    seen = train.filter("user_id < 8")
+    got = {}
+    for r in recommend.recommend_als(model, 15, exclude=seen).collect():
+        got.setdefault(r.user_id, []).append((r.rank, r.item_id, r.score))
+    drop = {(r.user_id, r.item_id) for r in seen.collect()}
+    assert set(got) == set(range(12))
+    for u, items in got.items():
+        items.sort()
+        assert [x[0] for x in items] == list(range(1, 16))
+        assert not any((u, x[1]) in drop for x in items)
+        assert [x[2] for x in items] == sorted((x[2] for x in items), reverse=True)
+    few = recommend.recommend_als(model, 50, exclude=seen, users=seen.select("user_id").distinct())
+    assert {r["count"] for r in few.groupBy("user_id").count().collect()} == {20}  # all that is left of 60

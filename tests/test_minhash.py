@@ -32,21 +32,36 @@ def test_signature_golden_prefixes(spark, engine):
     assert got == {u: pref for u, (_, pref) in enumerate(GOLDEN)}
 
 
-def test_signature_empty_and_null_items(spark):
-    df = spark.createDataFrame([(1, None), (2, 5), (2, 5)], "user_id int, item_id int")
-    # user 1 has no non-null item: it has no row (nothing to hash)
-    got = {r.user_id: r for r in M.signatures(df).collect()}
-    assert set(got) == {2}
+@pytest.mark.parametrize("engine", ["numpy", "sql"])
+def test_signature_empty_and_null_items(spark, engine):
+    df = spark.createDataFrame([(1, None), (2, 5), (2, 5), (2, None), (3, -5), (3, 7)], "user_id int, item_id int")
+    got = {r.user_id: r for r in M.signatures(df, engine=engine).collect()}
+    assert set(got) == {1, 2, 3}
+    assert (got[1].n_items, got[1].sig) == (0, [PRIME] * 128)  # the empty set
     assert got[2].n_items == 1
     a, b = hash_params()
     assert got[2].sig == [(a[i] * 5 + b[i]) % PRIME for i in range(128)]
+    assert got[3].sig == [min((a[i] * x + b[i]) % PRIME for x in (-5, 7)) for i in range(128)]
+    assert [r.user_id for r in M.signatures(df, engine=engine, min_items=2).collect()] == [3]
+
+
+def test_too_large_item_numbers_are_an_error(spark):
+    df = spark.createDataFrame([(1, 2**62)], "user_id int, item_id long")
+    for engine in ("numpy", "sql"):
+        with pytest.raises(Exception, match="item numbers|overflow"):
+            M.signatures(df, engine=engine).collect()
 
 
 def test_numpy_engine_equals_sql(spark):
     df = fixtures.doc_words(spark, SF)
-    a = {r.doc_id: (r.n_items, r.sig) for r in M.signatures(df, "doc_id", engine="numpy").collect()}
-    b = {r.doc_id: (r.n_items, r.sig) for r in M.signatures(df, "doc_id", engine="sql").collect()}
-    assert a == b and len(a) > 0
+    both = [{r.doc_id: (r.n_items, r.sig) for r in M.signatures(df, "doc_id", engine=e, number=fixtures.WORD_NUMBER).collect()}
+            for e in ("numpy", "sql")]
+    assert both[0] == both[1] and len(both[0]) > 0
+
+
+def test_signature_counts(spark):
+    df = spark.createDataFrame([(u, i) for u in (1, 2, 3) for i in (1, 2, 3)] + [(4, 1), (5, 1), (6, 9), (7, None)], "user_id int, item_id int")
+    assert tuple(M.signature_counts(df).first()) == (7, 4, 3, 1)
 
 
 def brute_pairs(sigs, n_bands=32, rows=4):
@@ -71,13 +86,16 @@ def ordered_top(pairs, k):
 def test_pairs_match_brute_force(spark, src):
     build, user = {"events": (fixtures.event_items, "user_id"),
                    "docs": (fixtures.doc_words, "doc_id")}[src]
-    sigs = M.signatures(build(spark, SF01 if src == "events" else SF), user, min_items=3).persist()
+    sigs = M.signatures(build(spark, SF01 if src == "events" else SF), user, min_items=3,
+                        number=fixtures.WORD_NUMBER if src == "docs" else None).persist()
     brute = brute_pairs(sigs)
     cand = {(r.user1, r.user2): r["count"] for r in M.candidate_pairs(sigs, 1, user=user).collect()}
     assert cand == brute
     for k in (1, 7, 100):
         top = [((r.user1, r.user2), r["count"]) for r in M.top_pairs(sigs, k, user=user).collect()]
         assert top == ordered_top(brute, k)
+    groups = M.candidate_groups(sigs, 1, user=user).collect()
+    assert sum(r.n1 * r.n2 if r.rep1 != r.rep2 else r.n1 * (r.n1 - 1) // 2 for r in groups) == len(brute)
     for t in (2, 5, 16):
         got = {(r.user1, r.user2): r["count"]
                for r in M.candidate_pairs(sigs, t, user=user).collect()}
@@ -103,6 +121,32 @@ def test_top_pairs_with_large_clusters(spark):
         assert top == ordered_top(brute, k), k
 
 
+@pytest.mark.parametrize("t", [17, 20, 24, 28, 31])
+def test_every_pigeonhole_level(spark, t):
+    """Near copies of a few sets: each level gives exactly the pairs with that many bands."""
+    rng = np.random.default_rng(t)
+    rows = []
+    for u in range(80):
+        base = set(range(1000 * (u % 8), 1000 * (u % 8) + 120))
+        drop = rng.choice(sorted(base), int(rng.integers(0, 4)), replace=False)
+        rows += [(u, int(i)) for i in base - set(drop.tolist())]
+    sigs = M.signatures(spark.createDataFrame(rows, "user_id int, item_id int"), min_items=3).persist()
+    cl = M.clusters(sigs).persist()
+    got = {(min(r.rep1, r.rep2), max(r.rep1, r.rep2)): r["count"] for r in M._rep_pairs_grouped(cl, t, 32, 4).collect()}
+    reps = {r.rep for r in cl.collect()}
+    assert got == {p: c for p, c in brute_pairs(sigs).items() if t <= c < 32 and set(p) <= reps} and got
+
+
+def test_band_join_runs_at_most_once(spark, monkeypatch):
+    calls = {"grouped": [], "counted": 0}
+    grouped, counted = M._rep_pairs_grouped, M._rep_pairs_counted
+    monkeypatch.setattr(M, "_rep_pairs_grouped", lambda cl, t, *a: calls["grouped"].append(t) or grouped(cl, t, *a))
+    monkeypatch.setattr(M, "_rep_pairs_counted", lambda *a: calls.__setitem__("counted", calls["counted"] + 1) or counted(*a))
+    sigs = M.signatures(fixtures.event_items(spark, SF01), min_items=3).persist()
+    M.top_pairs(sigs, 100)
+    assert calls == {"grouped": [31, 28, 24, 20, 17], "counted": 1}
+
+
 def test_bands_and_buckets(spark):
     df = fixtures.event_items(spark, SF)
     sigs = M.signatures(df, min_items=3)
@@ -110,9 +154,9 @@ def test_bands_and_buckets(spark):
     assert b.groupBy("user_id").count().agg(F.min("count"), F.max("count")).first() == (32, 32)
     assert b.agg(F.min(F.size("band")), F.max(F.size("band"))).first() == (4, 4)
     st = M.bucket_stats(b).first()
-    bk = M.buckets(b, with_members=True).collect()
+    bk = M.buckets(b).collect()
     assert st.n_buckets == len(bk)
-    assert st.max_size == max(len(r.members) for r in bk)
+    assert st.max_size == max(r.n_users for r in bk)
 
 
 def test_jaccard_exact(spark):
@@ -121,8 +165,9 @@ def test_jaccard_exact(spark):
     pairs = spark.createDataFrame([(1, 2, 5), (1, 3, 1)], "user1 int, user2 int, count long")
     got = {(r.user1, r.user2): (r.n_shared, r.jaccard) for r in M.jaccard(pairs, df).collect()}
     assert got == {(1, 2): (2, 0.5), (1, 3): (0, 0.0)}
-    for r in M.with_sets(pairs, df).collect():
-        assert r.items1 == [1, 2, 3]
+    got = {(r.user2, r.item_id): (r.in1, r.in2) for r in M.with_sets(pairs, df).collect()}
+    both, one, two = (True, True), (True, False), (False, True)
+    assert got == {(2, 1): one, (2, 2): both, (2, 3): both, (2, 4): two, (3, 1): one, (3, 2): one, (3, 3): one, (3, 9): two}
 
 
 def test_signature_clusters_and_members(spark):

@@ -36,7 +36,7 @@ def test_eda(spark, ml_dir):
     assert out["tags_nulls"].first()["tag"] == 0
     assert out["links_nulls"].first()["tmdbId"] > 0
     assert out["genre_distribution"].count() > 1
-    assert out["ratings_schema"].count() == 4
+    assert out["ratings_schema"].count() == 4 and out["ratings_sample"].count() == 5
 
 
 def test_twins_split_evaluate_validate(spark, ml_dir, tmp_path):
@@ -44,6 +44,8 @@ def test_twins_split_evaluate_validate(spark, ml_dir, tmp_path):
     t = ML.twins(ratings, k=20)
     top = t["top_pairs"].collect()
     assert len(top) == 20 and all(0.0 <= r.jaccard <= 1.0 for r in top)
+    assert t["signature_counts"].first().n_signatures > 0
+    assert ML.filter_report(ratings).first().rows_dropped >= 0
     s = ML.split(ratings)
     checks = ML.split_checks(s)
     assert checks["order_violations"].count() == 0

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from affinity.operators import skew, splits
@@ -40,11 +41,32 @@ def test_hot_key_numbering_equals_window(spark):
     rows = [(1, i, ts(i % 17)) for i in range(3000)] + [(u, i, ts(i)) for u in range(2, 40)
                                                          for i in range(u)]
     df = spark.createDataFrame(rows, "user_id int, item_id int, ts timestamp")
-    a = skew.number_within(df, "user_id", ["ts", "item_id"], hot_rows=10 ** 9)
-    b = skew.number_within(df, "user_id", ["ts", "item_id"], hot_rows=100, partitions=7)
+    df = df.union(spark.createDataFrame([(None, 1, ts(0)), (None, 2, ts(0))], df.schema))
+    w = Window.partitionBy("user_id")
+    a = df.withColumn("row_num", F.row_number().over(w.orderBy("ts", "item_id"))).withColumn("group_size", F.count("*").over(w))
     key = ["user_id", "item_id", "row_num", "group_size"]
-    assert sorted(a.select(key).collect()) == sorted(b.select(key).collect())
-    assert b.filter("user_id = 1").agg(F.max("row_num")).first()[0] == 3000
+    want = sorted(map(tuple, a.select(key).collect()), key=repr)
+    for partitions in (1, 7, None):
+        b = skew.number_within(df, "user_id", ["ts", "item_id"], partitions=partitions)
+        assert dict(b.dtypes)["row_num"] == dict(b.dtypes)["group_size"] == "bigint"
+        assert sorted(map(tuple, b.select(key).collect()), key=repr) == want
+
+
+def test_checks_see_a_leak_and_a_broken_order(spark):
+    s = spark.createDataFrame([(1, 1, ts(0), "train"), (1, 2, ts(5), "train"), (1, 3, ts(3), "val"), (1, 1, ts(9), "test"),
+                               (2, 1, ts(0), "train"), (2, 2, ts(1), "val"), (2, 2, ts(1), "test"), (3, 1, ts(4), "train"), (3, 2, ts(2), "test")],
+                              "user_id int, item_id int, ts timestamp, split string")
+    assert splits.split_overlap(s).first().asDict() == {"train_val": 0, "train_test": 1, "val_test": 1}
+    assert sorted(r.user_id for r in splits.split_order_violations(s).collect()) == [1, 3]
+
+
+def test_filter_report(spark):
+    before = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (None, 3)], "user_id int, item_id int")
+    got = splits.filter_report(before, before.filter("user_id = 1")).first().asDict()
+    assert got == {"rows_before": 4, "users_before": 2, "items_before": 3, "rows_after": 2, "users_after": 1, "items_after": 2,
+                   "rows_dropped": 2, "users_dropped": 1, "items_dropped": 1}
+    assert splits.filter_report(before, before.limit(0)).first()["rows_after"] == 0
+    assert "Expand" not in splits.filter_report(before, before)._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_split_checks_on_fixture(spark):
@@ -57,15 +79,6 @@ def test_split_checks_on_fixture(spark):
     assert splits.split_ranges(s).count() == 3
 
 
-def test_hot_path_split_equals_plain(spark):
-    r = recsys.fixtures.ratings(spark, SF01)
-    f = splits.filter_sparse(r).persist()
-    a = splits.time_split(f)
-    b = splits.time_split(f, hot_rows=60)  # many users above 60 ratings
-    key = ["user_id", "item_id", "split"]
-    assert sorted(a.select(key).collect()) == sorted(b.select(key).collect())
-
-
 def test_write_splits_one_pass(spark, tmp_path):
     df = spark.createDataFrame([(u, i, 3.0, ts(i)) for u in (1, 2) for i in range(10)],
                                "user_id int, item_id int, rating double, ts timestamp")
