@@ -20,11 +20,12 @@ columns are not read. Sequence ids are any numbers, each used once.
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,13 @@ from pyspark.sql import functions as F
 
 from affinity.llm.common import shared_table, ship_code
 
-CACHE = 400_000      # chunks a Python worker remembers at most
+CACHE = 400_000      # chunks a Python worker remembers at most, beyond those of one group
 CHUNK_CHARS = 64     # longer chunks are not remembered
+GROUP_CHARS = 2 << 20
+# Fixed value: the pre-tokens of the public byte-level vocabulary.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Chunks that the rank table may encode: short, of characters whose class no Unicode version changes.
+PLAIN_CHUNK = re.compile(f"[\n -~\u00a1-\u024f]{{1,{CHUNK_CHARS}}}")
 ODD_BLANK = re.compile(r"\s ")  # a space after white space does not always start a token
 
 
@@ -49,37 +55,67 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(2)
+def _rank_encoder(path: str):
+    """The same byte-level vocabulary as a table of merge ranks, which encodes short chunks faster."""
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class ChunkEncoder:
     """Token ids of whole texts. The byte-level pre-tokenizer never joins a
     non-blank with the space after it, so the chunks between such spaces have
-    the ids they have in the text."""
+    the ids they have in the text. Ids are kept as packed 32-bit numbers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
         self.tokenizer, self.seen = _tokenizer(path), {}
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.quick = _rank_encoder(ranks) if ranks else None
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 4096):
+            for e in self.tokenizer.encode_batch_fast(texts[at:at + 4096], add_special_tokens=False):
+                yield array("I", e.ids).tobytes()
+
+    def _learn(self, chunks: list[str]) -> None:
+        if self.quick:
+            encode, plain = self.quick, PLAIN_CHUNK.fullmatch
+            quick = [c for c in chunks if plain(c)]
+            self.seen.update((c, array("I", encode(c)).tobytes()) for c in quick)
+            chunks = [c for c in chunks if c not in self.seen]
+        self.seen.update(zip(chunks, self._encode(chunks)))
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if len(self.seen) > CACHE:
-            self.seen = {}
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        parts: list[list[str] | None] = []
+        """Ids of each text; chunks are looked up for ``GROUP_CHARS`` of text at a time."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= GROUP_CHARS:
+                yield from self._group(held)
+                held, size = [], 0
+        yield from self._group(held)
+
+    def _group(self, texts: list[str]) -> Iterator[np.ndarray]:
+        seen, parts = self.seen, []
         for text in texts:
-            if ODD_BLANK.search(text) or any(s in text for s in special):
+            if ODD_BLANK.search(text) or any(s in text for s in self.special):
                 parts.append(None)
                 continue
             first, *rest = text.split(" ")
             parts.append([first, *[" " + x for x in rest]] if first else [" " + x for x in rest])
-        new = list({c for p in parts if p for c in p if c not in self.seen})
-        ids = dict(zip(new, self._encode(new)))
-        find = {**self.seen, **ids} if ids else self.seen
-        self.seen.update((c, i) for c, i in ids.items() if len(c) <= CHUNK_CHARS)
+        new = list({c for p in parts if p for c in p if c not in seen})
+        self._learn(new)
         for text, p in zip(texts, parts):
-            if p is None:
-                yield np.array(self._encode([text])[0], np.uint32)
-            else:
-                yield np.fromiter(chain.from_iterable(map(find.__getitem__, p)), np.uint32)
+            yield np.frombuffer(b"".join(map(seen.__getitem__, p)) if p is not None else next(self._encode([text])), "<u4")
+        for c in new:
+            if len(c) > CHUNK_CHARS:
+                del seen[c]
+        if len(seen) > CACHE:
+            seen.clear()
 
 
 class OpenBins:
@@ -148,15 +184,17 @@ def _round(batches: Iterator[pd.DataFrame], pieces_of, capacity: int, open_bins:
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, separator: int = 0, open_bins: int = 1024,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         ranks: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset. A document is its token ids, then ``separator``; one longer than
     ``capacity`` is cut into pieces of that size, of which the first may be
-    shorter. ``tokenizer`` is the path of a tokenizer file on every machine.
+    shorter. ``tokenizer`` is the path of a tokenizer file on every machine;
+    ``ranks``, if given, that of the same vocabulary as merge ranks, used for
+    the short chunks for which both agree by construction.
     """
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = ChunkEncoder(tokenizer)
+        encoder = ChunkEncoder(tokenizer, ranks)
 
         def pieces_of(pdf: pd.DataFrame):
             texts = [t if isinstance(t, str) else "" for t in pdf["body"]]

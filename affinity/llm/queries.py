@@ -52,7 +52,8 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    return packing.pack(docs, _tokenizer("byte_bpe_50k.json"), capacity=2048, separator=0)
+    return packing.pack(docs, _tokenizer("byte_bpe_50k.json"), capacity=2048, separator=0,
+                        ranks=_tokenizer("byte_bpe_50k.tiktoken"))
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

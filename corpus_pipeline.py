@@ -45,9 +45,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left, packed into sequences of 2048 tokens."""
-    import public_tokenizers
+    from public_tokenizers import path
 
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, separator=0)
+    return packing.pack(docs, path("byte_bpe_50k.json"), capacity=2048, separator=0, ranks=path("byte_bpe_50k.tiktoken"))
 
 
 STAGES = [("language_id", identify_language), ("line_dedup", dedup_lines), ("simhash_near_dedup", drop_near_copies),

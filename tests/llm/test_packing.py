@@ -46,7 +46,8 @@ def rows():
 
 @pytest.mark.parametrize("cap,open_bins", [(64, 1024), (2048, 4), (7, 3)])
 def test_pieces_and_layout(rows_of, cap, open_bins):
-    got = pack(rows_of(rows()), PATH, capacity=cap, open_bins=open_bins).collect()
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken") if cap > 7 else None
+    got = pack(rows_of(rows()), PATH, capacity=cap, open_bins=open_bins, ranks=ranks).collect()
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=repr) == expected_pieces(
         [(i, t) for i, t in rows()], cap)
     n = check_layout(got, cap)
@@ -61,6 +62,19 @@ def test_few_sequences(spark):
     assert check_layout(got, 2048) <= 1.02 * sum(r.length for r in got) / 2048 + 1
 
 
+def test_both_encoders_agree(spark):
+    from affinity.llm.packing import ChunkEncoder
+
+    rnd = random.Random(9)
+    alphabet = "abcdefgh EéßÄñ'sdt.,!?*0123456789\n()\"@ʼ漢\u2003"
+    texts = ["".join(rnd.choices(alphabet, k=rnd.randint(1, 60))) for _ in range(3000)]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    plain, quick = ChunkEncoder(PATH), ChunkEncoder(PATH, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    whole = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    for a, b, c in zip(plain.batch(texts), quick.batch(texts), whole):
+        assert a.tolist() == b.tolist() == c.ids
+
+
 def test_empty_table(rows_of):
     assert pack(rows_of(rows()).limit(0), PATH).count() == 0
 
