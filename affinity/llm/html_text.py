@@ -38,12 +38,13 @@ ENDS_P = BLOCK - {"caption", "legend"}
 # what an opening tag closes, up to the element that bounds the search
 CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
-# words that name a container which is not the article
+# words that name a container which is a menu, header, footer, sidebar, notice, advert, form or reader comments
 BOILER = re.compile(
-    r"(?:^|(?<=[-_\s]))(?:ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|sidebar|side|widget\w*|nav\w*|menu\w*|"
-    r"breadcrumbs?|pagination|pager|toolbar|comments?|commentlist|disqus|respond|replies|reply|reviews?|share|sharing|social|"
-    r"related|recommend\w*|newsletter|subscribe|subscription|signup|login|cookies?|consent|gdpr|popup|modal|overlay|notice|"
-    r"alert|warning|masthead|footer|header|copyright|legal|disclaimer|metadata|byline|tags?|skip|hidden)(?=$|[-_\s])", re.I)
+    r"(?:^|(?<=[-_\s]))(?:ads?|ad(?:slot|box|unit|space)s?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|sidebar\w*|side|sidenav|rail|"
+    r"widget\w*|nav\w*|topnav|menu\w*|breadcrumbs?|pagination|pager|toolbar|comments?|commentlist|disqus|respond|replies|reply|"
+    r"discussion|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|cookies?|consent|gdpr|"
+    r"popup|modal|overlay|paywall|notices?|notification\w*|alert|warning|masthead|footer|header|copyright|skip|hidden)(?=$|[-_\s])", re.I)
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 BOILER_ROLE = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar "
                         "alertdialog status toolbar note".split())
 STRONG = re.compile(r"(?:^|[-_\s])(?:article|post|entry|content|main|story|body|text)(?:$|[-_\s])", re.I)
@@ -81,9 +82,9 @@ def _skipped(tag: str, attrs: list[tuple[str, str | None]], parent: Node) -> boo
         if key == "style" and HIDDEN.search(value):
             return True
         if key in ("class", "id") and tag not in NEVER_NAMED:
-            words = {w.lower() for w in BOILER.findall(value)}
+            words = {w.lower() for w in BOILER.findall(CAMEL.sub("-", value))}
             if STRONG.search(value) or tag in ("article", "header"):
-                words -= {"header", "metadata", "tag", "tags", "legal"}
+                words.discard("header")  # an article's own header holds its title
             if words:
                 return True
     return False

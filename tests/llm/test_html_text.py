@@ -13,6 +13,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
     "<article><h1>Title &amp; more</h1><p>First   para,\n with <b>bold</b> text.</p><p>Second&nbsp;one<br>goes on.</p></article>",
     "<article><header><h1>Title &amp; more</h1></header><p><b>First para, with bold text.<br><p>Second one goes on.</article>",
     "<div id=main><h1>Title &amp; more</h1><div class='post-body'><p>First para, with bold text.</p><div class=ad><p>Buy, buy, buy</p></div><p>Second one goes on.</p></div></div>",
+    "<article><h1>Title &amp; more</h1><p>First para, with bold text.</p><div class='readerComments'><p>Oh, no, no</p></div><p class=notice>Note, please</p>"
+    "<ul class='share-links'><li>Share</ul><p>Second one goes on.</p><!-- c --></article>",
     "<article class=post><h1>Title &amp; more</h1><p>First para, with bold text.</p><script>x()</script><p>Second one goes on.</p><div class='share'>Share</div><section class='comments'><article class=comment><p>No, no, no, no</p></article></section></article>",
 ])
 def test_article_only(inner):
