@@ -66,10 +66,25 @@ def _unit(vec):
 
 
 def _top(pairs: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best distinct neighbours of each node of (node, nbr, sim)."""
+    """The ``k`` best distinct neighbours of each node of (node, nbr, sim, new),
+    and ``low``: the similarity that a further one must exceed."""
+    best = pairs.groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.bool_and("new").alias("new"))
     order = Window.partitionBy("node").orderBy(F.desc("sim"), "nbr")
-    return pairs.groupBy("node", "nbr").agg(F.max("sim").alias("sim")).withColumn(
-        "r", F.row_number().over(order)).filter(F.col("r") <= k).drop("r")
+    kept = best.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
+    return kept.withColumn("low", F.when(F.max("r").over(Window.partitionBy("node")) == k, F.min("sim").over(
+        Window.partitionBy("node"))).otherwise(F.lit(-2.0).cast("float"))).drop("r")
+
+
+def _best_of_batch(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, k: int) -> pd.DataFrame:
+    """The ``k`` best distinct neighbours of each node among one batch's pairs."""
+    order = np.lexsort((nbr, -sim, node))
+    node, nbr, sim = node[order], nbr[order], sim[order]
+    same = np.append(False, (node[1:] == node[:-1]) & (nbr[1:] == nbr[:-1]))  # equal pairs have equal similarity
+    node, nbr, sim = node[~same], nbr[~same], sim[~same]
+    first = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(node) else np.empty(0, np.int64)
+    rank = np.arange(len(node)) - np.repeat(first, np.diff(np.append(first, len(node))))
+    keep = rank < k
+    return pd.DataFrame({"node": node[keep], "nbr": nbr[keep], "sim": sim[keep]})
 
 
 def _first_lists(nodes: DataFrame, k: int, directions: int, block: int, seed: int, dim: int) -> DataFrame:
@@ -98,19 +113,22 @@ def _first_lists(nodes: DataFrame, k: int, directions: int, block: int, seed: in
         lined = nodes.withColumn("p", along("unit")).repartitionByRange("p").sortWithinPartitions("p")
         part = lined.select("node", "unit").mapInPandas(near, "node long, nbr long, sim float")
         out = part if out is None else out.union(part)
-    return out
+    return out.withColumn("new", F.lit(True))
 
 
-def build_graph(nodes: DataFrame, dim: int, k: int = 24, rounds: int = 8, directions: int = 4, block: int = 256,
-                settled: float = 0.02, seed: int = 11) -> DataFrame:
-    """(node, nbr, sim) with up to ``k`` neighbours per node of (node, unit)."""
+def build_graph(nodes: DataFrame, dim: int, k: int = 32, rounds: int = 8, directions: int = 6, block: int = 512,
+                settled: float = 0.03, seed: int = 11) -> DataFrame:
+    """(node, nbrs): up to ``k`` neighbours per node of (node, unit), and up to
+    ``k`` nodes that have it as theirs."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows are (members, units, floors) of one node: compare its members with each other."""
+        """Rows are the members around one node: compare them with each other."""
         for pdf in batches:
             a, b, s = [], [], []
-            for ids, new, units, floors in zip(pdf["ids"], pdf["new"], pdf["units"], pdf["floors"]):
-                m, low, new = np.frombuffer(b"".join(units), np.float32).reshape(len(ids), -1), np.asarray(floors), np.asarray(new, bool)
+            for ids, new, units, lows in zip(pdf["ids"], pdf["new"], pdf["units"], pdf["lows"]):
+                ids, at = np.unique(ids, return_index=True)
+                m = np.frombuffer(b"".join([units[i] for i in at]), np.float32).reshape(len(ids), -1)
+                low, new = np.asarray(lows, np.float32)[at], np.asarray(new, bool)[at]
                 sims = m @ m.T
                 fresh = new[:, None] | new[None, :]
                 np.fill_diagonal(fresh, False)
@@ -119,77 +137,93 @@ def build_graph(nodes: DataFrame, dim: int, k: int = 24, rounds: int = 8, direct
                 b.append(ids[j])
                 s.append(sims[i, j])
             if a:
-                out = pd.DataFrame({"node": np.concatenate(a), "nbr": np.concatenate(b), "sim": np.concatenate(s)})
-                yield out.drop_duplicates(["node", "nbr"])
+                yield _best_of_batch(np.concatenate(a), np.concatenate(b), np.concatenate(s), k)
 
-    graph = shared_table(_top(_first_lists(nodes, k, directions, block, seed, dim), k).withColumn("new", F.lit(True)))
+    graph = shared_table(_top(_first_lists(nodes, k, directions, block, seed, dim), k))
     for _ in range(rounds):
-        # the floor of a node: the similarity a pair must exceed to enter its list
-        floors = graph.groupBy("node").agg(F.min("sim").alias("low"), F.count("*").alias("n")).select(
-            "node", F.when(F.col("n") >= k, F.col("low")).otherwise(F.lit(-2.0)).alias("floor"))
-        both = graph.select("node", "nbr", "sim", "new").union(graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "sim", "new"))
-        both = both.groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.max("new").alias("new"))
-        both = both.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("sim"), "nbr"))).filter(F.col("r") <= 2 * k)
-        carried = nodes.join(floors, "node").select(F.col("node").alias("nbr"), "unit", "floor")
-        groups = both.join(carried, "nbr").groupBy("node").agg(
-            F.collect_list(F.struct("nbr", "new", "unit", "floor")).alias("m")).select(
-            F.col("m.nbr").alias("ids"), F.col("m.new").alias("new"), F.col("m.unit").alias("units"), F.col("m.floor").alias("floors"))
-        found = groups.mapInPandas(compare, "node long, nbr long, sim float")
-        old = graph.select("node", "nbr", "sim", F.lit(0).alias("o"))
-        merged = old.union(found.withColumn("o", F.lit(1))).groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.min("o").alias("o"))
-        graph = shared_table(merged.withColumn("r", F.row_number().over(
-            Window.partitionBy("node").orderBy(F.desc("sim"), "nbr"))).filter(F.col("r") <= k).select(
-            "node", "nbr", "sim", (F.col("o") == 1).alias("new")))
+        # a member is a neighbour in either direction; a hub keeps its best 2 k
+        back = Window.partitionBy("node").orderBy(F.desc("sim"), "member")
+        reverse = graph.select(F.col("nbr").alias("node"), F.col("node").alias("member"), "sim", "new").withColumn(
+            "r", F.row_number().over(back)).filter(F.col("r") <= 2 * k)
+        both = graph.select("node", F.col("nbr").alias("member"), "new").union(reverse.select("node", "member", "new"))
+        carried = nodes.join(graph.select("node", "low").distinct(), "node").select(F.col("node").alias("member"), "unit", "low")
+        groups = both.join(carried, "member").groupBy("node").agg(
+            F.collect_list(F.struct("member", "new", "unit", "low")).alias("m")).select(
+            F.col("m.member").alias("ids"), F.col("m.new").alias("new"), F.col("m.unit").alias("units"), F.col("m.low").alias("lows"))
+        found = groups.mapInPandas(compare, "node long, nbr long, sim float").withColumn("new", F.lit(True))
+        graph = shared_table(_top(graph.select("node", "nbr", "sim", F.lit(False).alias("new")).union(found), k))
         total, changed = graph.agg(F.count("*"), F.count_if("new")).first()
         if changed <= settled * max(1, total):
             break
-    return graph.select("node", "nbr", "sim")
+    # searches walk links both ways, so a node that is in no list can still be reached
+    back = graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"), "sim").withColumn(
+        "r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("sim"), "nbr"))).filter(F.col("r") <= k)
+    links = graph.select("node", "nbr").union(back.select("node", "nbr"))
+    return shared_table(links.groupBy("node").agg(F.collect_set("nbr").alias("nbrs")))
+
+
+STATE = "query long, unit binary, ids array<long>, sims array<float>, done array<boolean>, open array<long>"
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, keep: int, beam: int = 96, width: int = 16,
+def _advance(ids: np.ndarray, sims: np.ndarray, done: np.ndarray, beam: int, width: int) -> tuple:
+    """Keep the best ``beam`` candidates; the best ``width`` that are not expanded yet come next."""
+    order = np.lexsort((ids, -sims))[:beam]
+    ids, sims, done = ids[order], sims[order], done[order].copy()
+    now = np.flatnonzero(~done)[:width]
+    done[now] = True
+    return ids, sims, done, ids[now]
+
+
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, keep: int, beam: int = 128, width: int = 32,
            rounds: int = 12) -> DataFrame:
-    """(query, node, sim): the ``keep`` best nodes found for each of ``queries``
-    (query, unit, home); home is the query's own node or null."""
+    """(query, node): the ``keep`` best nodes found for each of ``queries``
+    (query, unit, home); home is the query's own node or null. A query is one
+    row with at most ``beam`` candidates."""
     entries = nodes.orderBy(F.xxhash64("node")).limit(ENTRY_POINTS).select("node", "unit").collect()
     entry_ids = np.array([r["node"] for r in entries], np.int64)
     entry_units = b"".join(bytes(r["unit"]) for r in entries)
 
     def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = np.frombuffer(entry_units, np.float32).reshape(len(entry_ids), -1)
         for pdf in batches:
-            sims = _matrix(pdf["unit"]) @ e.T
-            take = min(width, len(entry_ids))
-            best = np.argsort(-sims, axis=1, kind="stable")[:, :take]
-            yield pd.DataFrame({"query": np.repeat(pdf["query"].to_numpy(), take), "node": entry_ids[best].ravel(),
-                                "sim": np.take_along_axis(sims, best, 1).ravel()})
-
-    @F.pandas_udf("float")
-    def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(np.einsum("ij,ij->i", _matrix(a), _matrix(b)), dtype=np.float32)
-
-    at_home = queries.filter("home IS NOT NULL").select("query", F.col("home").alias("node"), F.lit(2.0).cast("float").alias("sim"))
-    begun = queries.select("query", "unit").mapInPandas(start, "query long, node long, sim float").union(at_home)
-    state = shared_table(begun.groupBy("query", "node").agg(F.max("sim").alias("sim")).withColumn("done", F.lit(False)))
+            if pdf.empty:
+                continue
+            rows, e = [], np.frombuffer(entry_units, np.float32).reshape(len(entry_ids), -1)
+            for query, unit, home in zip(pdf["query"], pdf["unit"], pdf["home"]):
+                sims = e @ np.frombuffer(unit, np.float32)
+                own = [] if pd.isna(home) else [int(home)]
+                ids = np.concatenate([np.array(own, np.int64), entry_ids[~np.isin(entry_ids, own)]])
+                near = np.concatenate([np.full(len(own), 2, np.float32), sims[~np.isin(entry_ids, own)]])
+                rows.append((query, unit, *_advance(ids, near, np.zeros(len(ids), bool), beam, width)))
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in STATE.split(", ")])
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for query, unit, ids, sims, done, met, units in zip(*(pdf[c] for c in ("query", "unit", "ids", "sims", "done", "met", "units"))):
+                ids, sims, done = np.asarray(ids, np.int64), np.asarray(sims, np.float32), np.asarray(done, bool)
+                fresh = np.flatnonzero(~np.isin(met, ids)) if met is not None else ()
+                if len(fresh):
+                    m = np.frombuffer(b"".join([units[i] for i in fresh]), np.float32).reshape(len(fresh), -1)
+                    near = m @ np.frombuffer(unit, np.float32)
+                    ids, sims = np.concatenate([ids, np.asarray(met, np.int64)[fresh]]), np.concatenate([sims, near])
+                    done = np.concatenate([done, np.zeros(len(fresh), bool)])
+                rows.append((query, unit, *_advance(ids, sims, done, beam, width)))
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in STATE.split(", ")])
+
+    state = shared_table(queries.mapInPandas(start, STATE))
     for _ in range(rounds):
-        best_open = Window.partitionBy("query").orderBy("done", F.desc("sim"), "node")
-        ranked = state.withColumn("r", F.row_number().over(best_open))
-        now = ranked.filter(~F.col("done") & (F.col("r") <= width)).select("query", "node")
-        marked = state.join(now.withColumn("hit", F.lit(True)), ["query", "node"], "left").select(
-            "query", "node", "sim", (F.col("done") | F.col("hit").isNotNull()).alias("done"))
-        reached = now.join(graph.select("node", "nbr"), "node").select("query", F.col("nbr").alias("node")).distinct()
-        fresh = reached.join(state.select("query", "node"), ["query", "node"], "left_anti")
-        scored = fresh.join(nodes.withColumnRenamed("unit", "u"), "node").join(queries.select("query", "unit"), "query").select(
-            "query", "node", cosine("unit", "u").alias("sim"), F.lit(False).alias("done"))
-        state = shared_table(marked.union(scored).withColumn("r", F.row_number().over(
-            Window.partitionBy("query").orderBy(F.desc("sim"), "node"))).filter(F.col("r") <= beam).drop("r"))
-        if state.filter("NOT done").isEmpty():
+        if state.filter("size(open) > 0").isEmpty():
             break
-    return state.withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "node"))).filter(
-        F.col("r") <= keep).select("query", "node")
+        reached = state.select("query", F.explode("open").alias("node")).join(graph, "node").select(
+            "query", F.explode("nbrs").alias("node")).distinct()
+        met = reached.join(nodes, "node").groupBy("query").agg(F.collect_list(F.struct("node", "unit")).alias("m")).select(
+            "query", F.col("m.node").alias("met"), F.col("m.unit").alias("units"))
+        state = shared_table(state.drop("open").join(met, "query", "left").mapInPandas(step, STATE))
+    return state.select("query", F.explode(F.slice("ids", 1, keep)).alias("node"))
 
 
 def nearest(rows: DataFrame, queries: DataFrame | None = None, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
-            neighbours: int = 24, rounds: int = 8, beam: int = 96, width: int = 16, search_rounds: int = 12) -> DataFrame:
+            neighbours: int = 32, rounds: int = 8, beam: int = 128, width: int = 32, search_rounds: int = 12) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` (default: all
     of ``rows``; the same columns) the ``k`` nearest found among the other rows."""
     ship_code(rows.sparkSession)
