@@ -49,8 +49,9 @@ from pyspark.sql import functions as F
 from affinity.llm.common import shared_table, ship_code
 from affinity.llm.elias_fano import STEP, BigramTrie
 
-SHARD_BYTES = 24 << 20  # of text, per shard
-BLOCK_BYTES = 6 << 20   # of text that is combined before it is dealt out
+SHARD_BYTES = 16 << 20  # of text, per shard
+BLOCK_BYTES = 3 << 20   # of text that is combined before it is dealt out
+SLICES = 8              # slices of a shard's contexts, taken one after the other
 SAMPLE = 64
 HOT_SHARE = 2.0         # a context is spread if its share of the words is over HOT_SHARE / shards
 START, END = 1, 2       # stand for hashes of words
@@ -157,49 +158,67 @@ def _frame(kind: int, size: int, **cols) -> pd.DataFrame:
     return pd.DataFrame({c: cols.get(c, kind if c == "kind" else np.zeros(size)) for c in names})
 
 
+def _slice(rows: list[tuple], low: int, high: int) -> tuple[np.ndarray, ...]:
+    """Postings of the contexts from ``low`` to below ``high``: context, word,
+    text (as an index over the texts of all blocks), count, learned from."""
+    parts, at = [], 0
+    for _, flags, context, posts, word, text, k in rows:
+        ctx, n = np.frombuffer(context, np.uint64), np.frombuffer(posts, "<u4")
+        i = np.searchsorted(ctx, np.uint64(low))
+        j = np.searchsorted(ctx, np.uint64(high - 1), side="right")
+        reach = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        a, b = int(reach[i]), int(reach[j])
+        size = len(word) // 6
+        t = _sized(text, size)[a:b]
+        parts.append((np.repeat(ctx[i:j], n[i:j]), _from_six(word[6 * a:6 * b]), (t + at).astype(np.int32),
+                      _sized(k, size)[a:b].astype(np.int32), np.frombuffer(flags, np.uint8)[t].astype(bool)))
+        at += len(flags)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def _score_shard(rows: list[tuple], hot: dict[int, int], backoff: float) -> Iterator[pd.DataFrame]:
-    """Trie, look-ups and counts of one shard."""
-    parts, bases, trained = [], [], []
-    for row, flags, context, posts, word, text, k in rows:
-        ctx = np.frombuffer(context, np.uint64)
-        w = _from_six(word)
-        t = _sized(text, len(w))
-        parts.append((np.repeat(ctx, np.frombuffer(posts, "<u4")), w, t + row, _sized(k, len(w))))
-        trained.append(np.frombuffer(flags, np.uint8)[t].astype(bool))
-    context, word, text, k = (np.concatenate(x) for x in zip(*parts))
-    del parts
-    learned = np.concatenate(trained)
-    order = np.lexsort((word, context))
-    context, word, text, k, learned = (x[order] for x in (context, word, text, k, learned))
-    new = np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1]))
-    pair = np.cumsum(new) - 1
-    pair_context, pair_word = context[new], word[new]
-    first = np.append(True, pair_context[1:] != pair_context[:-1])
-    group = np.cumsum(first) - 1
-    n_pair = np.bincount(pair, k * learned, len(pair_context)).astype(np.int64)
-    n_context = np.bincount(group, n_pair, int(first.sum())).astype(np.int64)
-    names = pair_context[first]
-    spread = np.isin(names, np.fromiter(hot, np.uint64, len(hot)))
-    for i in np.flatnonzero(spread):
-        n_context[i] = hot[int(names[i])]
-    has = n_pair > 0
-    trie = BigramTrie.mapped(pair_context[has], pair_word[has], np.log10((1 - backoff) * n_pair[has] / n_context[group[has]]))
-    code = trie.lookup(pair_context, pair_word)[pair]
-
-    # sums by text: the words themselves (a context is a word of its text), and the pairs
-    rows_, at = np.unique(text, return_inverse=True)
-    c = n_context[group[pair]]
-    is_word = context != MARKS[0]
-    seen, none = code >= 0, (code < 0) & (c == 0)
-    by = lambda x: np.bincount(at, x, len(rows_))
-    yield _frame(SUMS, len(rows_), row=rows_, n=by(k), known=by(k * (is_word & (c > 0))), base=by(k * is_word * np.log10(c + 1.0)),
-                 seen=by(k * np.where(seen, code, 0)), extra=by(k * ((code < 0) & ~none)))
-    lost = np.flatnonzero(code < 0)
-    if len(lost):
-        yield _frame(UNSEEN, len(lost), row=text[lost], word=word[lost].view(np.int64), n=k[lost])
-    words = names != MARKS[0]
-    own = words & ~spread & (n_context > 0)
-    yield _frame(COUNT, int(own.sum()), word=(names[own] >> TOP48).view(np.int64), n=n_context[own])
+    """Tries, look-ups and counts of one shard, a slice of its contexts at a time."""
+    ids = np.concatenate([row + np.arange(len(flags)) for row, flags, *_ in rows])
+    sums = {c: np.zeros(len(ids)) for c in ("n", "known", "base", "seen", "extra")}
+    cuts = [(i << 64) // SLICES for i in range(SLICES + 1)]
+    hot_names = np.fromiter(hot, np.uint64, len(hot))
+    for low, high in zip(cuts, cuts[1:]):
+        context, word, text, k, learned = _slice(rows, low, high)
+        if not len(context):
+            continue
+        order = np.lexsort((word, context))
+        context, word, text, k, learned = context[order], word[order], text[order], k[order], learned[order]
+        new = np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1]))
+        pair = np.cumsum(new, dtype=np.int32) - 1
+        pair_context, pair_word = context[new], word[new]
+        del order, context, word
+        first = np.append(True, pair_context[1:] != pair_context[:-1])
+        group = np.cumsum(first, dtype=np.int32) - 1
+        n_pair = np.bincount(pair, k * learned, len(pair_context)).astype(np.int64)
+        del learned
+        n_context = np.bincount(group, n_pair, int(first.sum())).astype(np.int64)
+        names = pair_context[first]
+        spread = np.isin(names, hot_names)
+        for i in np.flatnonzero(spread):
+            n_context[i] = hot[int(names[i])]
+        has = n_pair > 0
+        trie = BigramTrie.mapped(pair_context[has], pair_word[has],
+                                 np.log10((1 - backoff) * n_pair[has] / n_context[group[has]]))
+        code = trie.lookup(pair_context, pair_word)
+
+        # by text: the words themselves (a context is a word of its text), and the pairs
+        c, is_word = n_context[group], pair_context != MARKS[0]
+        by_pair = {"n": np.ones(len(code)), "known": is_word & (c > 0), "base": is_word * np.log10(c + 1.0),
+                   "seen": np.where(code >= 0, code, 0), "extra": (code < 0) & (c > 0)}
+        for name, value in by_pair.items():
+            sums[name] += np.bincount(text, k * value[pair], len(ids))
+        lost = np.flatnonzero(code[pair] < 0)
+        if len(lost):
+            yield _frame(UNSEEN, len(lost), row=ids[text[lost]], word=pair_word[pair[lost]].view(np.int64), n=k[lost])
+        own = (names != MARKS[0]) & ~spread & (n_context > 0)
+        yield _frame(COUNT, int(own.sum()), word=(names[own] >> TOP48).view(np.int64), n=n_context[own])
+    met = np.flatnonzero(sums["n"])
+    yield _frame(SUMS, len(met), row=ids[met], **{c: x[met] for c, x in sums.items()})
 
 
 def _scorer(hot: dict[int, int], backoff: float):
