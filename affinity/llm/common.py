@@ -33,13 +33,26 @@ def ship_code(spark: SparkSession) -> None:
     context._affinity_shipped = True
 
 
+# A setting of the session: the shuffle files of a finished execution are deleted.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_table(df: DataFrame, **options) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: the lineage is cut, any executor can read it, and later scans still
-    prune columns."""
+    prune columns. What was shuffled to make the table is deleted at once, so
+    the steps of a long operator do not add up on local disks."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.options(compression="zstd", **options).parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.options(compression="zstd", **options).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

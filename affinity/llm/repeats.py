@@ -21,8 +21,9 @@ places are kept as runs.
    windows of a class are split into parts by their distance to the q-gram,
    the new bucket of a part is the hash of the bytes that all of its windows
    contain, and step 2 is applied to the parts; what stays open is split again
-   down to single windows. A class carries its bytes, at most a window and a
-   run, so no text is read again.
+   down to single windows. The bytes of a class, at most a window and a run,
+   are kept in a table of their own, so no text is read again and only hashes
+   are dealt out.
 
 Counts are partial aggregates and verdicts come back through equi-joins, so
 copies in any number, or a passage in a third of all documents, cost one row
@@ -121,11 +122,12 @@ def text_runs(texts: list[bytes], width: int) -> Iterator[pd.DataFrame]:
                             "bucket": grams[place].view(np.int64), "own": hashes.astype(np.uint64).view(np.int64)})
 
 
-RUN = "id long, tag long, place long, near int, far int, bucket long, own long"
-PART = "run_bucket long, run_own long, n long, near int, far int, bytes binary, bucket long, own long"
+RUN = "id long, tag long, place int, near int, far int, bucket long, own long"
+BYTES = "run_bucket long, run_own long, n long, near int, far int, bytes binary"
+PART = "run_bucket long, run_own long, n long, near int, far int, bucket long, own long"
 
 
-def _spread(levels: int, width: int) -> list[int]:
+def _spread(width: int) -> list[int]:
     """Distances that one part spans, by level: all, then a quarter each time, down to one."""
     spans = [width - Q + 1]
     while spans[-1] > 1:
@@ -144,8 +146,9 @@ def _verdicts(rows: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, width: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, tag, starts, ends): per text the byte ranges covered by repeated
-    strings, unsorted and overlapping; ``tag`` tells apart texts that share an id."""
+    """(id, tag, ranges): per text the byte ranges covered by repeated strings,
+    unsorted and overlapping, each as start * 2**32 + end; ``tag`` tells apart
+    texts that share an id."""
     if width <= Q:
         raise ValueError(f"width must be over {Q}")
     ship_code(docs.sparkSession)
@@ -173,40 +176,45 @@ def repeated_spans(docs: DataFrame, width: int = 200, id_col: str = "doc_id", te
     done = found.filter("NOT mixed").select("id", "tag", "place", "near", "far")
 
     # step 3: classes of the mixed buckets, with the bytes of one member
-    classes = found.filter("mixed").groupBy("bucket", "own").agg(
+    classes = shared_table(found.filter("mixed").groupBy("bucket", "own").agg(
         F.count("*").alias("n"), F.first("id").alias("id"), F.first("tag").alias("tag"), F.first("place").alias("place"),
-        F.first("near").alias("near"), F.first("far").alias("far"))
-    verdict = classes.select("bucket", "own", F.col("n").alias("m"))
+        F.first("near").alias("near"), F.first("far").alias("far")))
     singles = classes.groupBy("bucket").agg(F.count_if(F.col("n") == 1).alias("s")).filter("s > 0").select("bucket")
     opened = classes.join(singles, "bucket", "left_semi")
     wanted = opened.groupBy("id", "tag").agg(F.collect_list(F.struct("bucket", "own", "n", "place", "near", "far")).alias("w"))
 
     def bytes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(w["bucket"], w["own"], w["n"], w["near"], w["far"], body[w["place"] - w["far"]:w["place"] - w["near"] + width], 0, 0)
+            rows = [(w["bucket"], w["own"], w["n"], w["near"], w["far"], body[w["place"] - w["far"]:w["place"] - w["near"] + width])
                     for body, ws in zip(pdf["body"], pdf["w"]) for w in ws]
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in PART.split(", ")])
-
-    parts = keyed.join(wanted, ["id", "tag"]).select("body", "w").mapInPandas(bytes_of, PART).dropDuplicates(["run_bucket", "run_own"])
-    repeated = verdict.filter("m > 1").join(classes.select("bucket", "own", "near", "far"), ["bucket", "own"]).select(
-        F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own"), "near", "far")
-    spans = _spread(SPLIT, width)[1:]
-    for span in spans:
-        parts = shared_table(parts.mapInPandas(_splitter(span, width), PART))
-        judged = parts.join(_verdicts(parts), ["bucket", "own"])
-        judged = shared_table(judged)
+            yield pd.DataFrame(rows, columns=_names(BYTES))
+
+    member = shared_table(keyed.join(wanted, ["id", "tag"]).select("body", "w").mapInPandas(bytes_of, BYTES)
+                          .dropDuplicates(["run_bucket", "run_own"]))
+    held = member.select("run_bucket", "run_own", F.col("far").alias("place"), "bytes")
+    open_ = member.select("run_bucket", "run_own", "n", "near", "far")
+    repeated = classes.filter("n > 1").select(F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own"), "near", "far")
+    for span in _spread(width)[1:]:
+        parts = shared_table(open_.join(held, ["run_bucket", "run_own"]).mapInPandas(_splitter(span, width), PART))
+        judged = shared_table(parts.join(_verdicts(parts), ["bucket", "own"]))
         repeated = repeated.union(judged.filter("m > 1").select("run_bucket", "run_own", "near", "far"))
-        parts = judged.filter("open").select(*[f.split()[0] for f in PART.split(", ")])
+        open_ = judged.filter("open").select("run_bucket", "run_own", "n", "near", "far")
     hits = found.filter("mixed").select("id", "tag", "place", F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own")).join(
         repeated, ["run_bucket", "run_own"]).select("id", "tag", "place", "near", "far")
-    return done.union(hits).groupBy("id", "tag").agg(F.collect_set(F.struct(
-        (F.col("place") - F.col("far")).alias("a"), (F.col("place") - F.col("near") + width).alias("b"))).alias("r")).select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias("id"), "tag", F.col("r.a").alias("starts"), F.col("r.b").alias("ends"))
+    # a text has less than 2**31 bytes: a range is packed into one number
+    start, end = F.col("place") - F.col("far"), F.col("place") - F.col("near") + width
+    packed = F.shiftleft(start.cast("long"), 32) + end
+    return shared_table(done.union(hits).groupBy("id", "tag").agg(F.collect_set(packed).alias("ranges")).select(
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("id"), "tag", "ranges"))
 
 
 NO_ID = -(1 << 63)
 
 
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
 def _splitter(span: int, width: int):
     """Cut parts at the multiples of ``span`` distances; the bucket of a part is
     the hash of the bytes common to all windows at its cell's distances."""
@@ -215,14 +223,14 @@ def _splitter(span: int, width: int):
         hash64 = xxhash.xxh3_64_intdigest
         for pdf in batches:
             rows = []
-            for rb, ro, n, near, far, data in zip(*(pdf[c] for c in ("run_bucket", "run_own", "n", "near", "far", "bytes"))):
-                # the q-gram stands at data[far]; the window at distance d starts at data[far - d]
+            for rb, ro, n, near, far, place, data in zip(*(pdf[c] for c in ("run_bucket", "run_own", "n", "near", "far", "place", "bytes"))):
+                # the q-gram stands at data[place]; the window at distance d starts at data[place - d]
                 for cell in range(near // span, far // span + 1):
                     low, high = max(near, cell * span), min(far, (cell + 1) * span - 1)
-                    core = data[far - cell * span:far - ((cell + 1) * span - 1) + width]
-                    own = data[far - high:far - low + width]
-                    rows.append((rb, ro, n, low, high, own, _signed(hash64(core, cell)), _signed(hash64(own, low))))
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in PART.split(", ")])
+                    core = data[place - cell * span:place - ((cell + 1) * span - 1) + width]
+                    own = data[place - high:place - low + width]
+                    rows.append((rb, ro, n, low, high, _signed(hash64(core, cell)), _signed(hash64(own, low))))
+            yield pd.DataFrame(rows, columns=_names(PART))
 
     return split
 
@@ -237,15 +245,15 @@ def remove_repeats(docs: DataFrame, width: int = 200, id_col: str = "doc_id", te
     spans = repeated_spans(docs, width, id_col, text_col)
 
     @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
-    def cut(body: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+    def cut(body: pd.Series, ranges: pd.Series) -> pd.DataFrame:
         rows = []
-        for text, a, b in zip(body, starts, ends):
+        for text, r in zip(body, ranges):
             text = text or b""
-            if a is None or not len(a):
+            if r is None or not len(r):
                 rows.append((len(text), 0, 0, text))
                 continue
-            order = np.argsort(a, kind="stable")
-            a, reach = np.asarray(a)[order], np.maximum.accumulate(np.asarray(b)[order])
+            r = np.sort(np.asarray(r, np.int64))
+            a, reach = r >> 32, np.maximum.accumulate(r & 0xFFFFFFFF)
             new = np.flatnonzero(a[1:] > reach[:-1]) + 1  # a span that touches the one before belongs to it
             first, last = a[np.concatenate([[0], new])], reach[np.concatenate([new - 1, [len(a) - 1]])]
             cuts = zip([0, *last.tolist()], [*first.tolist(), len(text)])
@@ -255,5 +263,5 @@ def remove_repeats(docs: DataFrame, width: int = 200, id_col: str = "doc_id", te
     body = F.col(text_col).cast("binary")
     plain = docs.select(F.col(id_col).alias("__id"), body.alias("__body"), F.xxhash64(body).alias("__tag"))
     met = plain.join(spans, F.col("__id").cast("long").eqNullSafe(F.col("id")) & (F.col("__tag") == F.col("tag")), "left")
-    return met.withColumn("__c", cut("__body", "starts", "ends")).select(
+    return met.withColumn("__c", cut("__body", "ranges")).select(
         F.col("__id").alias(id_col), "__c.n_bytes", "__c.n_removed", "__c.n_spans", "__c.kept")
