@@ -196,7 +196,9 @@ def repeated_spans(docs: DataFrame, width: int = 200, id_col: str = "doc_id", te
     repeated = classes.filter("n > 1").select(F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own"), "near", "far")
     for span in _spread(width)[1:]:
         parts = shared_table(open_.join(held, ["run_bucket", "run_own"]).mapInPandas(_splitter(span, width), PART))
-        judged = shared_table(parts.join(_verdicts(parts), ["bucket", "own"]))
+        # a table of its own: the join is then dealt by bucket and class, which spreads a hot bucket
+        verdicts = shared_table(_verdicts(parts))
+        judged = shared_table(parts.join(verdicts, ["bucket", "own"]))
         repeated = repeated.union(judged.filter("m > 1").select("run_bucket", "run_own", "near", "far"))
         open_ = judged.filter("open").select("run_bucket", "run_own", "n", "near", "far")
     hits = found.filter("mixed").select("id", "tag", "place", F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own")).join(
