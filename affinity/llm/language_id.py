@@ -91,19 +91,22 @@ def _parser(go: list[dict[int, int]], width: int) -> np.ndarray:
     """For (state, symbol): next row offset * 4 + phrases closed on the way.
     Symbol 0 (padding) closes the open phrase and leads to the start."""
     n = len(go)
-    step = np.full((n, width), -1, np.int64)
+    kind = np.int32 if n * width * 4 < 2**31 else np.int64
+    step = np.full((n, width), -1, kind)
     for s, out in enumerate(go):
         if out:
             step[s, list(out)] = list(out.values())
     start, miss = step[0].copy(), step < 0
     unseen = start < 0
     # a miss closes the open phrase; the symbol opens the next one, or, unseen, is one itself
-    target = np.where(miss, np.where(unseen, 0, start)[None, :], step)
-    closed = miss.astype(np.int64) + (miss & unseen[None, :])
+    step = np.where(miss, np.where(unseen, 0, start).astype(kind)[None, :], step)
+    closed = miss.astype(np.int8) + (miss & unseen[None, :])
     closed[0] = unseen
-    target[:, 0], closed[:, 0] = 0, 1
+    step[:, 0], closed[:, 0] = 0, 1
     closed[0, 0] = 0
-    return (target * width * 4 + closed).ravel().astype(np.int32 if n * width * 4 < 2**31 else np.int64)
+    step *= width * 4
+    step += closed
+    return step.ravel()
 
 
 class CrossParser:
@@ -182,13 +185,13 @@ class CrossParser:
                 np.clip(np.where(sizes > 0, score, 0), 0, 1))
 
 
-@lru_cache(2)
+@lru_cache(1)
 def _built(sample: tuple[tuple[str, str], ...]) -> CrossParser:
     return CrossParser(sample)
 
 
 def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    docs_per_lang: int = 256, chars_per_doc: int = 256) -> tuple[tuple[str, str], ...]:
+                    docs_per_lang: int = 256, chars_per_doc: int = 128) -> tuple[tuple[str, str], ...]:
     """(language, text) pairs, at most ``docs_per_lang * chars_per_doc``
     characters each: per language and id-hash bucket the smallest id hash. The
     first pass moves two numbers per bucket; the second finds those documents."""
@@ -206,7 +209,7 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def identify(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", docs_per_lang: int = 256, chars_per_doc: int = 256) -> DataFrame:
+             lang_col: str = "lang", docs_per_lang: int = 256, chars_per_doc: int = 128) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1). Labels are read from
     the rows where ``learn`` holds (default: all) and the label is not null."""
     ship_code(docs.sparkSession)
