@@ -6,10 +6,13 @@ container's points are discounted by the share of its text that is in links.
 The best container and those of its siblings that score near it are kept, and
 their text is read block by block.
 
-Elements that are never article text (scripts, styles, forms, navigation,
-page headers and footers, asides) are not entered, nor are containers whose
-class, id or role names them as menus, adverts, notices, sidebars or reader
-comments.
+Elements that are never article text (scripts, styles, navigation, page headers
+and footers, asides) are not entered. Forms, and containers whose class, id or
+role names them as menus, adverts, notices, sidebars or reader comments, are
+left out only if the points of the page's paragraphs agree: never if they hold
+most of them (but reader comments beside an article), and forms and layout
+names only with a small share or many links. A section with a heading whose id
+is such a word (``discussion``) is left out only if it is mostly links.
 
 Defined results: a null or empty page, or one without text outside such
 elements, gives an empty text; a truncated page is read as far as it goes,
@@ -20,6 +23,7 @@ other columns pass through, ``text`` and ``n_chars`` are replaced if present.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from affinity.llm.common import ship_code
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIP = frozenset("script style noscript template head title nav footer aside form button select textarea option "
+SKIP = frozenset("script style noscript template head title nav footer aside button select textarea option "
                  "iframe object svg math canvas audio video dialog menu".split())
 BLOCK = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure "
                   "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main ol p pre section summary table tbody td "
@@ -40,10 +44,18 @@ CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"d
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 # words that name a container which is a menu, header, footer, sidebar, notice, advert, form or reader comments
 BOILER = re.compile(
-    r"(?:^|(?<=[-_\s]))(?:ads?|ad(?:slot|box|unit|space)s?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|sidebar\w*|side|sidenav|rail|"
+    r"(?:^|(?<=[-_\s]))(?:ads?|ad(?:slot|box|unit|space)s?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|sidenav|"
     r"widget\w*|nav\w*|topnav|menu\w*|breadcrumbs?|pagination|pager|toolbar|comments?|commentlist|disqus|respond|replies|reply|"
     r"discussion|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|cookies?|consent|gdpr|"
-    r"popup|modal|overlay|paywall|notices?|notification\w*|alert|warning|masthead|footer|header|copyright|skip|hidden)(?=$|[-_\s])", re.I)
+    r"popup|modal|overlay|paywall|notices?|notification\w*|alert|warning|masthead|footer|header|copyright|skip)(?=$|[-_\s])", re.I)
+# layout words name a container only as its whole name, as the last part, or before a place
+LAYOUT = re.compile(r"(?:^|\s)(?!(?:no|not|without|with|has)[-_])(?:[^\s]*[-_])?(sidebar|sidebars|side|rail|hidden)"
+                    r"(?:(?<!hidden)[-_](?:left|right|top|bottom|primary|secondary|inner|\d+))*(?=$|\s)", re.I)
+COMMENTS = frozenset("comment comments commentlist disqus respond replies reply".split())
+# what a section of an article may be about
+TOPIC = re.compile(r"discussion|related|recommend\w*|search|social|shar(?:e|ing)|notices?|notification\w*|warning|alert|"
+                   r"copyright|subscription|advert\w*|nav\w*|sponsor\w*", re.I)
+FORM, SIDE, NAMED, READERS, SECTION = range(1, 6)  # kinds of containers that their points decide on
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 BOILER_ROLE = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar "
                         "alertdialog status toolbar note".split())
@@ -51,17 +63,18 @@ STRONG = re.compile(r"(?:^|[-_\s])(?:article|post|entry|content|main|story|body|
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 CUT_TAG = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")  # a tag that the end of the page cuts off
 NEVER_NAMED = frozenset("html body main h1 h2 h3 h4 h5 h6 b i em strong a".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLANK = re.compile(r"[\s​﻿]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "skip", "points", "chars", "linked", "strong")
+    __slots__ = ("tag", "parent", "kids", "skip", "points", "chars", "linked", "strong", "kind", "prose", "start", "end")
 
-    def __init__(self, tag: str, parent: "Node | None", skip: bool = False, strong: bool = False):
-        self.tag, self.parent, self.skip, self.strong = tag, parent, skip, strong
+    def __init__(self, tag: str, parent: "Node | None", skip: bool = False, strong: bool = False, kind: int = 0):
+        self.tag, self.parent, self.skip, self.strong, self.kind = tag, parent, skip, strong, kind
         self.kids: list[Node | str] = []
-        self.points = 0.0
-        self.chars = self.linked = 0
+        self.points = self.prose = 0.0
+        self.chars = self.linked = self.start = self.end = 0
 
 
 def _skipped(tag: str, attrs: list[tuple[str, str | None]], parent: Node) -> bool:
@@ -73,21 +86,33 @@ def _skipped(tag: str, attrs: list[tuple[str, str | None]], parent: Node) -> boo
             parent = parent.parent
         if parent is None:
             return True
+    return any(key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and HIDDEN.search(value or "")
+               for key, value in attrs)
+
+
+def _kind(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """What the element's tag, role and names say that it is; 0 is nothing."""
+    kinds = {FORM} if tag == "form" else set()
+    section = tag == "section" or any(k == "class" and "section" in (v or "").lower().split() for k, v in attrs)
     for key, value in attrs:
         value = value or ""
-        if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
         if key == "role" and value.lower() in BOILER_ROLE:
-            return True
-        if key == "style" and HIDDEN.search(value):
-            return True
+            kinds.add(FORM if value.lower() == "form" else NAMED)
         if key in ("class", "id") and tag not in NEVER_NAMED:
-            words = {w.lower() for w in BOILER.findall(CAMEL.sub("-", value))}
+            value = CAMEL.sub("-", value)
+            words = {w.lower() for w in BOILER.findall(value)}
             if STRONG.search(value) or tag in ("article", "header"):
                 words.discard("header")  # an article's own header holds its title
-            if words:
-                return True
-    return False
+            if words & COMMENTS:
+                kinds.add(READERS)
+            elif words:
+                kinds.add(SECTION if section and key == "id" and all(map(TOPIC.fullmatch, words)) else NAMED)
+            if LAYOUT.search(value):
+                kinds.add(SIDE)
+    for kind in (READERS, NAMED, SIDE, FORM, SECTION):
+        if kind in kinds:
+            return kind
+    return 0
 
 
 class TreeBuilder(HTMLParser):
@@ -115,7 +140,7 @@ class TreeBuilder(HTMLParser):
                 self.at.kids.append(Node("hr", self.at))
             return
         named = any(k in ("class", "id", "itemprop") and v and STRONG.search(v) for k, v in attrs)
-        node = Node(tag, self.at, _skipped(tag, attrs, self.at), tag in ("article", "main") or named)
+        node = Node(tag, self.at, _skipped(tag, attrs, self.at), tag in ("article", "main") or named, _kind(tag, attrs))
         self.at.kids.append(node)
         self.at = node
 
@@ -155,7 +180,8 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
-def _give_points(order: list[Node]) -> None:
+def _paragraphs(order: list[Node]):
+    """(element, points) of everything that counts as a paragraph."""
     for node in order:
         if node.tag not in ("p", "pre", "td", "li", "blockquote", "dd", "h1", "h2", "h3") and not (
                 node.tag in ("div", "section", "article", "main", "body", "html", "center") and any(
@@ -164,7 +190,53 @@ def _give_points(order: list[Node]) -> None:
         text = "".join(_inline(node))
         if not text.strip():
             continue
-        points = 1 + text.count(",") + min(len(text) / 100, 3)
+        yield node, 1 + text.count(",") + min(len(text) / 100, 3)
+
+
+def _within(node: Node, box: Node) -> bool:
+    return box.start <= node.start < box.end
+
+
+def _leave_out(root: Node) -> None:
+    """Mark the forms and named containers that their share of the page's
+    paragraph points, links not counted, shows to be no article text."""
+    order = _measure(root)
+    if not any(n.kind for n in order):
+        return
+    for node, points in _paragraphs(order):
+        node.prose += points * (1 - _density(node))
+    for i, node in enumerate(order):  # page order: a subtree is a range
+        node.start, node.end = i, i + 1
+    for node in reversed(order):
+        if node.parent is not None:
+            node.parent.prose += node.prose
+            node.parent.end = max(node.parent.end, node.end)
+    total, strong = root.prose, [n for n in order if n.strong]
+    readers = [n.start for n in order if n.kind == READERS]
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.kind:
+            most = node.prose > 0.5 * total
+            if node.kind == SECTION:
+                titled = any(isinstance(k, Node) and k.tag in HEADINGS for k in node.kids)
+                replies = bisect_left(readers, node.start) < bisect_left(readers, node.end)
+                node.skip = not most and (_density(node) >= 0.25 or not titled or replies)
+            elif node.kind == READERS and most:
+                # an article beside them, or around them
+                node.skip = any(not _within(n, node) and n.prose - node.prose * _within(node, n) >= 2 for n in strong)
+            elif node.kind in (READERS, NAMED):
+                node.skip = not most
+            else:
+                node.skip = not most and (node.prose < 10 or node.prose <= 0.25 * total or _density(node) >= 0.25)
+        if not node.skip:
+            stack.extend(k for k in node.kids if isinstance(k, Node) and not k.skip)
+    for node in order:
+        node.chars = node.linked = 0
+
+
+def _give_points(order: list[Node]) -> None:
+    for node, points in _paragraphs(order):
         own = node.tag in ("div", "section", "article", "main", "body", "html", "center")
         up = node if own else node.parent
         for share in (1.0, 0.5):
@@ -182,9 +254,12 @@ def _inline(node: Node):
             yield from _inline(k)
 
 
+def _density(node: Node) -> float:
+    return node.linked / node.chars if node.chars else 0.0
+
+
 def _score(node: Node) -> float:
-    density = node.linked / node.chars if node.chars else 0.0
-    return (node.points + 25 * node.strong) * (1 - density)
+    return (node.points + 25 * node.strong) * (1 - _density(node))
 
 
 def _blocks(node: Node, out: list[list[str]]) -> None:
@@ -213,6 +288,7 @@ def main_text(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(CUT_TAG.sub("", html))
     builder.close()
+    _leave_out(builder.root)
     order = _measure(builder.root)
     _give_points(order)
     boxes = [n for n in order if n.tag in CONTAINERS and n.chars]
@@ -229,7 +305,7 @@ def main_text(html: str | None) -> str:
             if k is best:
                 kept.append(k)
             elif isinstance(k, Node) and not k.skip:
-                density = k.linked / k.chars if k.chars else 0.0
+                density = _density(k)
                 plain = k.tag in ("p", "pre", "ul", "ol") or k.tag in ("h1", "h2", "h3") and best.parent.tag not in ("body", "html")
                 if k.tag in CONTAINERS and _score(k) >= limit or plain and k.chars and density < 0.25:
                     kept.append(k)

@@ -45,3 +45,30 @@ def test_operator(rows_of, spark):
     assert extract_text(rows_of(rows, schema).limit(0)).count() == 0
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert extract_text(pages).filter("text = '' OR text LIKE '%track(%' OR text LIKE '%©%'").count() == 0
+
+
+PROSE = "<p>%s, a paragraph of an article, with words, commas, and enough length to count for something.</p>"
+BODY = "".join(PROSE % f"Part {i}" for i in range(6))
+
+
+@pytest.mark.parametrize("open_tag,close_tag", [
+    ("<div class='content-sidebar-wrap'>", "</div>"), ("<div class='container no-sidebar'>", "</div>"), ("<div class='hidden-print'>", "</div>"),
+    ("<div id='search'>", "</div>"), ("<form id=aspnetForm action=x><input type=hidden name=a value=b>", "</form>"),
+    ("<form><div class='widget-zone'>", "</div></form>")])
+def test_wrappers_of_the_whole_page_are_entered(open_tag, close_tag):
+    page = f"<body>{open_tag}<div id=sidebar-left><p>Side, side, side</p></div><div><h1>Title</h1>{BODY}</div>" \
+           f"<div class='comments'><p>Oh, no, no</p></div>{close_tag}<div class=menu>{'<li><a href=x>Go, go, go</a></li>' * 60}</div></body>"
+    assert [x[:6] for x in main_text(page).split("\n")] == ["Title"] + [f"Part {i}" for i in range(6)]
+
+
+@pytest.mark.parametrize("name", ["discussion", "related-work", "search"])
+def test_sections_of_an_article_named_like_boilerplate(name):
+    links = "<section id=related><h2>Related</h2>" + "<p><a href=x>See, also, this</a></p>" * 3 + "</section>"
+    page = f"<body><article><h1>T</h1>{BODY}<section id='{name}'><h2>Own</h2>{PROSE % 'Section'}</section>{links}</article></body>"
+    assert [x[:6] for x in main_text(page).split("\n")] == ["T"] + [f"Part {i}" for i in range(6)] + ["Own", "Sectio"]
+
+
+def test_many_reader_comments_do_not_replace_the_article():
+    comments = "<div id=comments>" + "<div class=comment-body><p>I, for one, think so, too, and so on, and on.</p></div>" * 40 + "</div>"
+    page = f"<body><article><h1>T</h1>{BODY}{comments}</article></body>"
+    assert [x[:6] for x in main_text(page).split("\n")] == ["T"] + [f"Part {i}" for i in range(6)]
