@@ -247,11 +247,13 @@ def _give_points(order: list[Node]) -> None:
 
 def _inline(node: Node):
     """Text of an element without its block descendants."""
-    for k in node.kids:
+    stack = node.kids[::-1]
+    while stack:
+        k = stack.pop()
         if isinstance(k, str):
             yield k
         elif not k.skip and k.tag not in BLOCK:
-            yield from _inline(k)
+            stack.extend(reversed(k.kids))
 
 
 def _density(node: Node) -> float:

@@ -72,3 +72,9 @@ def test_many_reader_comments_do_not_replace_the_article():
     comments = "<div id=comments>" + "<div class=comment-body><p>I, for one, think so, too, and so on, and on.</p></div>" * 40 + "</div>"
     page = f"<body><article><h1>T</h1>{BODY}{comments}</article></body>"
     assert [x[:6] for x in main_text(page).split("\n")] == ["T"] + [f"Part {i}" for i in range(6)]
+
+
+@pytest.mark.parametrize("tag", ["font", "span", "b"])
+def test_deep_inline_elements(tag):
+    assert main_text("<article><p>" + f"<{tag}>" * 3000 + "deep" + f"</{tag}>" * 3000 + " end</article>") == "deep end"
+    assert main_text("<body><div>" + f"x<{tag}>" * 3000 + "</div>") == "x" * 3000
