@@ -3,8 +3,9 @@
 A page becomes a light tree of block elements. Every paragraph gives points
 for its length and its commas to its parent and, halved, to its grandparent; a
 container's points are discounted by the share of its text that is in links.
-The best container and those of its siblings that score near it are kept, and
-their text is read block by block.
+The best container and its siblings are kept, from the first to the last that
+is article text, without those that are mostly links; their text is read block
+by block.
 
 Elements that are never article text (scripts, styles, navigation, page headers
 and footers, asides) are not entered. Forms, and containers whose class, id or
@@ -63,6 +64,7 @@ STRONG = re.compile(r"(?:^|[-_\s])(?:article|post|entry|content|main|story|body|
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 CUT_TAG = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")  # a tag that the end of the page cuts off
 NEVER_NAMED = frozenset("html body main h1 h2 h3 h4 h5 h6 b i em strong a".split())
+OWN = frozenset("div section article main body html center blockquote".split())  # score the text directly in them
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLANK = re.compile(r"[\s​﻿]+")
 
@@ -163,13 +165,19 @@ class TreeBuilder(HTMLParser):
         self.at.kids.append(data)
 
 
-def _measure(root: Node) -> list[Node]:
-    """Characters and linked characters of every kept element, bottom up; returns them in page order."""
+def _kept(root: Node) -> list[Node]:
+    """Every kept element, in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack.extend(k for k in reversed(node.kids) if isinstance(k, Node) and not k.skip)
+    return order
+
+
+def _measure(root: Node) -> list[Node]:
+    """Characters and linked characters of every kept element, bottom up; returns them in page order."""
+    order = _kept(root)
     for node in reversed(order):
         own = sum(len(BLANK.sub(" ", k).strip()) for k in node.kids if isinstance(k, str))
         node.chars += own
@@ -183,8 +191,8 @@ def _measure(root: Node) -> list[Node]:
 def _paragraphs(order: list[Node]):
     """(element, points) of everything that counts as a paragraph."""
     for node in order:
-        if node.tag not in ("p", "pre", "td", "li", "blockquote", "dd", "h1", "h2", "h3") and not (
-                node.tag in ("div", "section", "article", "main", "body", "html", "center") and any(
+        if node.tag not in ("p", "pre", "td", "li", "dd", "h1", "h2", "h3") and not (
+                node.tag in OWN and any(
                     isinstance(k, str) and k.strip() for k in node.kids)):
             continue
         text = "".join(_inline(node))
@@ -237,7 +245,7 @@ def _leave_out(root: Node) -> None:
 
 def _give_points(order: list[Node]) -> None:
     for node, points in _paragraphs(order):
-        own = node.tag in ("div", "section", "article", "main", "body", "html", "center")
+        own = node.tag in OWN
         up = node if own else node.parent
         for share in (1.0, 0.5):
             if up is not None:
@@ -280,9 +288,52 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
             stack.extend(reversed(k.kids))
 
 
+PLAIN = frozenset("p pre ul ol dl table figure details".split())
 CONTAINERS = frozenset("article main section div body html td center blockquote".split())
 
 
+def _siblings(best: Node) -> list[Node | str]:
+    """The best container and what beside it is article text. At the ends: lists,
+    paragraphs, titles, tables and the like and containers of paragraphs, with
+    few links, and containers that score near the best. Between these, all that
+    is not mostly links; a run of inline text counts as one block."""
+    limit = max(10.0, 0.2 * _score(best))
+    runs: list[list[Node | str]] = []
+    loose = False
+    for k in best.parent.kids:
+        inline = isinstance(k, str) or k.tag not in BLOCK and k is not best
+        if isinstance(k, Node) and k.skip:
+            loose = False
+        elif inline and loose:
+            runs[-1].append(k)
+        else:
+            runs.append([k])
+            loose = inline
+    few, ends = [], []
+    for i, run in enumerate(runs):
+        k = run[0]
+        if isinstance(k, str) or k.tag not in BLOCK and k is not best:
+            chars = sum(len(x.strip()) if isinstance(x, str) else x.chars for x in run)
+            few.append(chars > 0 and sum(x.linked for x in run if isinstance(x, Node)) < 0.25 * chars)
+            continue
+        few.append(k.chars > 0 and _density(k) < 0.25 or k is best)
+        title = k.tag in HEADINGS and (k.linked == 0 or best.parent.tag not in ("body", "html"))
+        if k is best or k.tag in CONTAINERS and _score(k) >= limit or few[i] and (
+                k.tag in PLAIN or title or k.tag in CONTAINERS and _has_paragraphs(k)):
+            ends.append(i)
+    near = [k.tag in CONTAINERS and _score(k) >= limit if isinstance(k := run[0], Node) else False for run in runs]
+    return [k for i in range(ends[0], ends[-1] + 1) if few[i] or near[i] for k in runs[i]]
+
+
+def _has_paragraphs(box: Node) -> bool:
+    """Two paragraphs, or a title and one, of some length: an own part of the article."""
+    long = titles = 0
+    for node in _kept(box):
+        long += node.tag in ("p", "pre", "blockquote", "li", "dd") and len("".join(_inline(node)).strip()) >= 40
+        titles += node.tag in HEADINGS
+    return long >= 2 or long == 1 and (titles > 0 or box.tag == "blockquote")
+
+
 def main_text(html: str | None) -> str:
     """The article text of one page, one line per block."""
     if not html:
@@ -301,23 +352,18 @@ def main_text(html: str | None) -> str:
         best, up = up if up.tag == "article" else best, up.parent
     kept = [best]
     if best.parent is not None and best.tag not in ("article", "main"):
-        limit = max(10.0, 0.2 * _score(best))
-        kept = []
-        for k in best.parent.kids:
-            if k is best:
-                kept.append(k)
-            elif isinstance(k, Node) and not k.skip:
-                density = _density(k)
-                plain = k.tag in ("p", "pre", "ul", "ol") or k.tag in ("h1", "h2", "h3") and best.parent.tag not in ("body", "html")
-                if k.tag in CONTAINERS and _score(k) >= limit or plain and k.chars and density < 0.25:
-                    kept.append(k)
+        kept = _siblings(best)
     elif best.parent is not None and best.tag == "article":
         kept = [k for k in best.parent.kids if k is best or isinstance(k, Node) and not k.skip and k.tag == "article" and k.strong
                 and _score(k) >= 0.2 * _score(best)]
     lines: list[list[str]] = [[]]
     for k in kept:
-        _blocks(k, lines)
-        lines.append([])
+        if isinstance(k, str):
+            lines[-1].append(k)
+        else:
+            _blocks(k, lines)
+            if k.tag in BLOCK or k is best:
+                lines.append([])
     joined = (BLANK.sub(" ", "".join(x)).strip() for x in lines)
     return "\n".join(x for x in joined if x)
 

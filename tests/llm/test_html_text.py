@@ -1,5 +1,6 @@
 import pytest
 
+from affinity.llm import html_text as H
 from affinity.llm.html_text import extract_text, main_text
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no";</script></head><body>
@@ -78,3 +79,22 @@ def test_many_reader_comments_do_not_replace_the_article():
 def test_deep_inline_elements(tag):
     assert main_text("<article><p>" + f"<{tag}>" * 3000 + "deep" + f"</{tag}>" * 3000 + " end</article>") == "deep end"
     assert main_text("<body><div>" + f"x<{tag}>" * 3000 + "</div>") == "x" * 3000
+
+
+def test_parts_beside_the_best_container():
+    more = "<table><tr><td>Cell</table><dl><dt>Term<dd>Meaning</dl><figure><figcaption>Figure</figcaption></figure><details><summary>Sum</summary>Det</details>" \
+           f"<h4>Fourth</h4><blockquote>Direct quote</blockquote><div>Short</div><ul><li><a href=x>Only a link</a></ul>Loose <b>bold</b> text"
+    page = f"<body><h1>Title</h1><div>{BODY}</div>{more}<section>{PROSE % 'Close'}{PROSE % 'Close'}</section><div>Foot</div></body>"
+    lines = ["Title", *(f"Part {i}" for i in range(6)), "Cell", "Term", "Meanin", "Figure", "Sum", "Det", "Fourth", "Direct", "Short", "Loose ",
+             "Close,", "Close,"]
+    assert [x[:6] for x in main_text(page).split("\n")] == lines
+
+
+def test_blockquote_scores_its_own_text():
+    quote = PROSE[3:-4] % "Quote" * 4
+    assert main_text(f"<body><div><div><p>a</p></div><blockquote>{quote}</blockquote></div></body>").endswith(quote)
+    builder = H.TreeBuilder()
+    builder.feed(f"<body><blockquote>{quote}</blockquote></body>")
+    order = H._measure(builder.root)
+    H._give_points(order)
+    assert next(n for n in order if n.tag == "blockquote").points > 0
