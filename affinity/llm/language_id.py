@@ -9,8 +9,8 @@ the language with the smallest estimate wins, ties by name.
 
 Symbols are lower-cased letters; every run of other characters is one space.
 The labelled sample is bounded by two parameters, ``docs_per_lang`` and
-``chars_per_doc``: per language and hash bucket of the id, the document with
-the smallest id hash. Its size depends on the number of languages only, so it
+``chars_per_doc``: per language and hash bucket of the id, a stretch of the
+document with the smallest id hash, at a hashed place of its text. Its size depends on the number of languages only, so it
 travels with the task. Everything that is classified is parsed whole: texts
 are laid out in lanes of ``LANE`` symbols and all lanes of a batch advance
 together, one table look-up per symbol and language.
@@ -24,6 +24,7 @@ rows are classified alike; other columns pass through, ``lang_pred`` and
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -185,15 +186,18 @@ class CrossParser:
                 np.clip(np.where(sizes > 0, score, 0), 0, 1))
 
 
-@lru_cache(1)
-def _built(sample: tuple[tuple[str, str], ...]) -> CrossParser:
-    return CrossParser(sample)
+def _stretch(body: str, h: str, chars: int) -> Column:
+    """``chars`` characters from a hashed place of the whole text."""
+    places = F.greatest(F.char_length(body) - F.lit(chars), F.lit(0)) + 1
+    return F.substr(F.col(body), (F.pmod(F.xxhash64(h), places) + 1).cast("int"), F.lit(chars))
 
 
 def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    docs_per_lang: int = 256, chars_per_doc: int = 128) -> tuple[tuple[str, str], ...]:
+                    docs_per_lang: int = 256, chars_per_doc: int = 256) -> tuple[tuple[str, str], ...]:
     """(language, text) pairs, at most ``docs_per_lang * chars_per_doc``
-    characters each: per language and id-hash bucket the smallest id hash. The
+    characters each: per language and id-hash bucket the smallest id hash, and
+    of its text a stretch at a place hashed from the id, so that a header which
+    many texts share is not all that is learned. The
     first pass moves two numbers per bucket; the second finds those documents."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).alias("lang"),
                        F.col(text_col).alias("body")).filter("id IS NOT NULL AND lang IS NOT NULL AND body IS NOT NULL")
@@ -201,7 +205,7 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     picked = rows.groupBy("lang", F.pmod("h", F.lit(docs_per_lang)).alias("bucket")).agg(F.min("h").alias("h"))
     # rows of one hash (repeated ids): the smallest text, so the sample never depends on their order
     text = rows.join(F.broadcast(picked.select("lang", "h")), ["lang", "h"]).groupBy("lang", "h").agg(
-        F.min(F.substring("body", 1, chars_per_doc)).alias("body"))
+        F.min(_stretch("body", "h", chars_per_doc)).alias("body"))
     by_lang: dict[str, list[str]] = {}
     for r in text.orderBy("lang", "h").collect():  # bounded by languages * docs_per_lang
         by_lang.setdefault(r["lang"], []).append(r["body"])
@@ -209,7 +213,7 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def identify(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", docs_per_lang: int = 256, chars_per_doc: int = 128) -> DataFrame:
+             lang_col: str = "lang", docs_per_lang: int = 256, chars_per_doc: int = 256) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1). Labels are read from
     the rows where ``learn`` holds (default: all) and the label is not null."""
     ship_code(docs.sparkSession)
@@ -217,9 +221,11 @@ def identify(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id
                              docs_per_lang, chars_per_doc)
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(text: pd.Series) -> pd.DataFrame:
-        lang, score = _built(sample).predict([t if isinstance(t, str) else None for t in text])
-        return pd.DataFrame({"lang_pred": lang, "score": score})
+    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        parser = CrossParser(sample)  # ends with the task: a reused worker does not hold it for later steps
+        for text in texts:
+            lang, score = parser.predict([t if isinstance(t, str) else None for t in text])
+            yield pd.DataFrame({"lang_pred": lang, "score": score})
 
     plain = [c for c in docs.columns if c not in ("lang_pred", "score")]
     out = docs.select(*plain).withColumn("__p", predict(F.col(text_col)))

@@ -62,3 +62,16 @@ def test_held_out_accuracy(spark):
     got = op2_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = got.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert held[1] > 200 and held[0] > 0.98
+
+
+def test_sample_reads_the_whole_text_not_its_header(rows_of):
+    words = {"en": "the cat sat on the mat and looked at a bird in the old garden ", "fr": "le chat est sur la table et regarde un oiseau dans le vieux jardin "}
+    header = "Allgemeine Hinweise zur Nutzung dieser Sammlung und ihrer Quellen im Netz. " * 4
+    rows = [(i, header + words[lang] * 60, lang) for i in range(40) for lang in [["en", "fr"][i % 2]]] + [
+        (100 + i, words[lang], None) for i in range(6) for lang in [["en", "fr"][i % 2]]]
+    frame = rows_of(rows, "doc_id long, text string, lang string")
+    sample = dict(L.labelled_sample(frame, docs_per_lang=8))
+    assert all(words[lang][:20].strip() in text and max(map(len, text.split("\n"))) == 256 for lang, text in sample.items())
+    assert sample == dict(L.labelled_sample(frame.repartition(5), docs_per_lang=8))
+    got = {r.doc_id: r.lang_pred for r in L.identify(frame).filter("lang IS NULL").collect()}
+    assert got == {100 + i: ["en", "fr"][i % 2] for i in range(6)}
