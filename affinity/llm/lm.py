@@ -8,8 +8,9 @@ the add-one unigram estimate. The probabilities of a context sum to at most 1.
 Pair probabilities are quantised to 1/64 of a decade and held in the trie.
 
 Texts are cut into blocks; a block's pairs are combined, sorted by context and
-dealt to shards by a hash of the context, as arrays and not as rows. A shard
-holds about ``SHARD_BYTES`` of text however large the corpus is. Its task
+dealt to shards by a hash of the context, as arrays and not as rows, with the
+numbers and flags of the texts that occur in them only. So a shard holds the
+postings of about ``SHARD_BYTES`` of text however large the corpus is. Its task
 counts the training pairs, builds the two-level trie (monotone pointers,
 quantised probabilities) in a memory-mapped file and looks up every pair of
 the shard by context-relative successor search. So model and queries meet in
@@ -52,6 +53,7 @@ from affinity.llm.elias_fano import STEP, BigramTrie
 SHARD_BYTES = 16 << 20  # of text, per shard
 BLOCK_BYTES = 3 << 20   # of text that is combined before it is dealt out
 SLICES = 8              # slices of a shard's contexts, taken one after the other
+HELD_TEXTS = 1 << 18    # texts of a shard whose sums are held over its slices
 SAMPLE = 64
 HOT_SHARE = 2.0         # a context is spread if its share of the words is over HOT_SHARE / shards
 START, END = 1, 2       # stand for hashes of words
@@ -104,8 +106,9 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield part
 
 
-DEALT = "shard int, row long, trained binary, context binary, posts binary, word binary, text binary, k binary"
+DEALT = "shard int, row long, texts binary, trained binary, context binary, posts binary, word binary, text binary, k binary"
 SCORED = "kind int, row long, word long, n long, known long, base double, seen long, extra long"
+SUMMED = ("n", "known", "base", "seen", "extra")
 IDENTITY, SUMS, UNSEEN, COUNT = range(4)  # kinds of rows of the second schema
 
 
@@ -127,12 +130,13 @@ def _dealer(shards: int, spread: np.ndarray):
             out = []
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(shard)]):
                 new = np.flatnonzero(np.append(True, context[a + 1:b] != context[a:b - 1]))
-                out.append((int(shard[a]), row, trained.tobytes(), context[a:b][new].tobytes(),
+                met, local = np.unique(text[a:b], return_inverse=True)
+                out.append((int(shard[a]), row, met.astype("<u4").tobytes(), trained[met].tobytes(), context[a:b][new].tobytes(),
                             np.diff(np.append(new, b - a)).astype("<u4").tobytes(), _six(word[a:b] >> TOP48),
-                            text[a:b].astype("<u2").tobytes() if len(texts) < 65536 else text[a:b].astype("<u4").tobytes(),
+                            local.astype("<u2").tobytes() if len(met) < 65536 else local.astype("<u4").tobytes(),
                             k[a:b].astype("<u1").tobytes() if k[a:b].max() < 256 else k[a:b].astype("<u4").tobytes()))
             ids = part["id"].to_numpy()
-            out.append((int(row % shards), row, trained.tobytes(), None, ids.astype("<i8").tobytes(), None, None, None))
+            out.append((int(row % shards), row, None, trained.tobytes(), None, ids.astype("<i8").tobytes(), None, None, None))
             row += len(texts)
             yield pd.DataFrame(out, columns=[f.split()[0] for f in DEALT.split(", ")])
 
@@ -160,9 +164,9 @@ def _frame(kind: int, size: int, **cols) -> pd.DataFrame:
 
 def _slice(rows: list[tuple], low: int, high: int) -> tuple[np.ndarray, ...]:
     """Postings of the contexts from ``low`` to below ``high``: context, word,
-    text (as an index over the texts of all blocks), count, learned from."""
+    text (as an index over the texts of the rows), count, learned from."""
     parts, at = [], 0
-    for _, flags, context, posts, word, text, k in rows:
+    for _, _, flags, context, posts, word, text, k in rows:
         ctx, n = np.frombuffer(context, np.uint64), np.frombuffer(posts, "<u4")
         i = np.searchsorted(ctx, np.uint64(low))
         j = np.searchsorted(ctx, np.uint64(high - 1), side="right")
@@ -178,8 +182,9 @@ def _slice(rows: list[tuple], low: int, high: int) -> tuple[np.ndarray, ...]:
 
 def _score_shard(rows: list[tuple], hot: dict[int, int], backoff: float) -> Iterator[pd.DataFrame]:
     """Tries, look-ups and counts of one shard, a slice of its contexts at a time."""
-    ids = np.concatenate([row + np.arange(len(flags)) for row, flags, *_ in rows])
-    sums = {c: np.zeros(len(ids)) for c in ("n", "known", "base", "seen", "extra")}
+    ids = np.concatenate([row + np.frombuffer(texts, "<u4").astype(np.int64) for row, texts, *_ in rows])
+    few = len(ids) <= HELD_TEXTS  # else each slice has its own sums
+    sums = {c: np.zeros(len(ids)) for c in SUMMED} if few else {}
     cuts = [(i << 64) // SLICES for i in range(SLICES + 1)]
     hot_names = np.fromiter(hot, np.uint64, len(hot))
     for low, high in zip(cuts, cuts[1:]):
@@ -210,22 +215,27 @@ def _score_shard(rows: list[tuple], hot: dict[int, int], backoff: float) -> Iter
         c, is_word = n_context[group], pair_context != MARKS[0]
         by_pair = {"n": np.ones(len(code)), "known": is_word & (c > 0), "base": is_word * np.log10(c + 1.0),
                    "seen": np.where(code >= 0, code, 0), "extra": (code < 0) & (c > 0)}
-        for name, value in by_pair.items():
-            sums[name] += np.bincount(text, k * value[pair], len(ids))
+        if few:
+            for name, value in by_pair.items():
+                sums[name] += np.bincount(text, k * value[pair], len(ids))
+        else:
+            met, local = np.unique(text, return_inverse=True)
+            yield _frame(SUMS, len(met), row=ids[met], **{c: np.bincount(local, k * v[pair], len(met)) for c, v in by_pair.items()})
         lost = np.flatnonzero(code[pair] < 0)
         if len(lost):
             yield _frame(UNSEEN, len(lost), row=ids[text[lost]], word=pair_word[pair[lost]].view(np.int64), n=k[lost])
         own = (names != MARKS[0]) & ~spread & (n_context > 0)
         yield _frame(COUNT, int(own.sum()), word=(names[own] >> TOP48).view(np.int64), n=n_context[own])
-    met = np.flatnonzero(sums["n"])
-    yield _frame(SUMS, len(met), row=ids[met], **{c: x[met] for c, x in sums.items()})
+    if few:
+        met = np.flatnonzero(sums["n"])
+        yield _frame(SUMS, len(met), row=ids[met], **{c: x[met] for c, x in sums.items()})
 
 
 def _scorer(hot: dict[int, int], backoff: float):
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, rows = None, []
         for pdf in batches:
-            for shard, row, flags, context, posts, word, text, k in pdf.itertuples(index=False, name=None):
+            for shard, row, texts, flags, context, posts, word, text, k in pdf.itertuples(index=False, name=None):
                 if shard != held:
                     if rows:
                         yield from _score_shard(rows, hot, backoff)
@@ -234,7 +244,7 @@ def _scorer(hot: dict[int, int], backoff: float):
                     ids = np.frombuffer(posts, "<i8")
                     yield _frame(IDENTITY, len(ids), row=row + np.arange(len(ids)), word=ids, known=np.frombuffer(flags, np.uint8))
                 else:
-                    rows.append((row, flags, context, posts, word, text, k))
+                    rows.append((row, texts, flags, context, posts, word, text, k))
         if rows:
             yield from _score_shard(rows, hot, backoff)
 

@@ -102,3 +102,33 @@ def test_trie_round_trip():
     assert all((x >= 0) == (p in known) for x, p in zip(trie.lookup(a, b), zip(a.tolist(), b.tolist())))
     begin, end = trie.successors(np.unique(pairs[:, 0]))
     assert begin[0] == 0 and (begin[1:] == end[:-1]).all() and end[-1] == len(pairs)
+
+
+def test_rows_of_a_shard_carry_their_own_texts_only(monkeypatch):
+    from types import SimpleNamespace
+    import pandas as pd
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [f"a{i} b{i}".encode() for i in range(400)]
+    part = pd.DataFrame({"id": range(400), "body": texts, "trained": True})
+    dealt = pd.concat(lm._dealer(200, lm.MARKS[:1])(iter([part])))
+    dealt = dealt[dealt["context"].notna()]
+    postings = dealt["word"].str.len().sum() // 6
+    assert len(dealt) > 100 and dealt["trained"].str.len().sum() <= postings
+    assert (dealt["trained"].str.len() <= dealt["word"].str.len() // 6).all()
+
+
+def test_sums_by_slice_equal_sums_by_shard(monkeypatch):
+    monkeypatch.setattr(lm, "HELD_TEXTS", 0, raising=True)
+    used = [d is not None and d % 3 != 1 for d, _ in ROWS]
+    shards = 40
+    import pandas as pd
+    from types import SimpleNamespace
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    part = pd.DataFrame({"id": range(len(ROWS)), "body": [(t or "").encode() for _, t in ROWS], "trained": used})
+    dealt = pd.concat(lm._dealer(shards, lm.MARKS[:1])(iter([part]))).sort_values("shard")
+    hot = {int(lm.MARKS[0]): sum(used)}
+    by_slice = pd.concat(lm._scorer(hot, 0.4)(iter([dealt])))
+    monkeypatch.setattr(lm, "HELD_TEXTS", 1 << 18)
+    whole = pd.concat(lm._scorer(hot, 0.4)(iter([dealt])))
+    a, b = (x[x.kind == lm.SUMS].groupby("row")[list(lm.SUMMED)].sum() for x in (by_slice, whole))
+    assert len(a) == len(ROWS) and np.allclose(a, b)
