@@ -17,11 +17,12 @@ the shard by context-relative successor search. So model and queries meet in
 one shuffle, and nothing that grows with the corpus is broadcast or collected.
 
 A context that would outgrow a shard (the start of a text, frequent words) is
-spread over all shards by its successor. Which contexts these are is estimated
-on a documented sample of texts (1 in ``SAMPLE``), which decides the layout
-only; their counts, needed by every shard, are taken over all texts. At most
-``1 / HOT_SHARE`` shares of a shard can be that frequent, so the list is
-bounded by the number of shards.
+spread over all shards by its successor. Which contexts these are is counted
+over all texts, copies too: each task keeps a summary of its words' counts
+(Misra-Gries) of ``SAMPLE`` counters per shard, which is short of a word's
+count by at most 1 / (``SAMPLE`` * shards) of all words, so that no frequent
+word is missed. Their training counts, needed by every shard, are exact. The
+list is bounded by the number of shards.
 
 Pairs not seen in training need base(word), which is counted in the shard of
 that word: they are summed by word and text there, joined with the counts and
@@ -54,7 +55,7 @@ SHARD_BYTES = 16 << 20  # of text, per shard
 BLOCK_BYTES = 3 << 20   # of text that is combined before it is dealt out
 SLICES = 8              # slices of a shard's contexts, taken one after the other
 HELD_TEXTS = 1 << 18    # texts of a shard whose sums are held over its slices
-SAMPLE = 64
+SAMPLE = 64             # counters per shard in a task's summary of the words
 HOT_SHARE = 2.0         # a context is spread if its share of the words is over HOT_SHARE / shards
 START, END = 1, 2       # stand for hashes of words
 TOP48 = np.uint64(16)   # a successor is the upper 48 bits of its hash
@@ -251,20 +252,38 @@ def _scorer(hot: dict[int, int], backoff: float):
     return score
 
 
+def _trimmed(c: Counter, held: int) -> Counter:
+    """The counts less the one of rank ``held`` + 1: at most ``held`` are left,
+    each short by at most 1 / (held + 1) of all that was counted."""
+    if len(c) <= held:
+        return c
+    least = int(-np.partition(-np.fromiter(c.values(), np.int64, len(c)), held)[held])
+    return Counter({w: n - least for w, n in c.items() if n > least})
+
+
 def _hot_words(slim: DataFrame, shards: int) -> dict[int, int]:
     """Hash and training count of the contexts that are spread over all shards:
     the start of a text, and words whose share in the sample is over the bound."""
 
-    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _blocks(batches):
-            c = Counter(w for b in part["body"] if isinstance(b, bytes) for w in words_of(b))
-            yield pd.DataFrame({"word": list(c), "n": list(c.values())})
+    held = SAMPLE * shards
 
-    sample = slim.filter(F.pmod(F.xxhash64("body"), F.lit(SAMPLE)) == 0).select("body").mapInPandas(sampled, "word binary, n long")
-    n = sample.groupBy("word").agg(F.sum("n").alias("n"))
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c: Counter = Counter()
+        total = 0
+        for part in _blocks(batches):
+            for b in part["body"]:
+                if isinstance(b, bytes):
+                    own = words_of(b)
+                    c.update(own)
+                    total += len(own)
+            c = _trimmed(c, held)
+        yield pd.DataFrame({"word": [b"", *c], "n": [total, *c.values()]}).astype({"n": "int64"})
+
+    # a word is never empty: the empty one stands for the number of all words
+    n = slim.select("body").mapInPandas(summed, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     n = shared_table(n)
-    total = n.agg(F.sum("n")).first()[0] or 0
-    names = [bytes(r["word"]) for r in n.filter(F.col("n") * shards > HOT_SHARE * total).select("word").collect()]
+    total = n.filter("word = X''").agg(F.sum("n")).first()[0] or 0
+    names = [bytes(r["word"]) for r in n.filter("word != X''").filter((F.col("n") + total / held) * shards > HOT_SHARE * total).select("word").collect()]
     table = set(names)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -132,3 +132,18 @@ def test_sums_by_slice_equal_sums_by_shard(monkeypatch):
     whole = pd.concat(lm._scorer(hot, 0.4)(iter([dealt])))
     a, b = (x[x.kind == lm.SUMS].groupby("row")[list(lm.SUMMED)].sum() for x in (by_slice, whole))
     assert len(a) == len(ROWS) and np.allclose(a, b)
+
+
+def test_frequent_contexts_of_a_group_of_copies_are_found(rows_of):
+    for copy in ("aa bb", "cc dd ee", "ff gg hh ii", "jj kk"):  # whatever the hash of the text
+        rows = [(i, copy if i % 3 == 0 else " ".join(f"w{i}x{j}" for j in range(4))) for i in range(900)]
+        slim = rows_of(rows).selectExpr("doc_id AS id", "CAST(text AS binary) AS body", "true AS trained")
+        hot = lm._hot_words(slim, 40)
+        want = dict(zip((int(h) for h in lm._hash([w.encode() for w in copy.split()])), [300] * 9))
+        assert hot == {**want, int(lm.MARKS[0]): 900}
+
+
+def test_trimmed_counts():
+    c = Counter({f"w{i}": i for i in range(1, 101)})
+    got = lm._trimmed(c, 10)
+    assert len(got) <= 10 and all(0 <= c[w] - got[w] <= sum(c.values()) / 11 for w in c)
