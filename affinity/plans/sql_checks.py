@@ -393,7 +393,7 @@ def als_recommendations(k: int = K) -> str:
 tr AS (SELECT DISTINCT user_id, item_id FROM s WHERE split = 'train'),
 most AS (SELECT least({k}, count(DISTINCT item_id)) AS n FROM tr)
 SELECT user_id, n AS n_items, 1 AS first_rank, CAST(n AS INT) AS last_rank, n AS n_distinct, n AS n_from_train, TRUE AS ordered
-FROM (SELECT DISTINCT user_id FROM s WHERE split = 'test' AND user_id IN (SELECT user_id FROM tr)), most"""
+FROM (SELECT DISTINCT user_id FROM tr), most"""
 
 
 def _tuning(grid: list[tuple]) -> str:

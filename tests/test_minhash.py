@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from affinity.functions.hashing import PRIME, hash_params
 from affinity.operators import minhash as M
 from affinity.sources import fixtures
-from conftest import SF, SF01
+from tables import SF, SF01
 
 
 def test_hash_params_golden():

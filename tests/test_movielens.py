@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from affinity.plans import movielens as ML
 from affinity.sources import fixtures
-from conftest import SF
+from tables import SF
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from affinity.operators import pairs, profile
 from affinity.sources import io, fixtures
-from conftest import SF, SF01
+from tables import SF, SF01
 
 
 def test_correlation_guard(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from affinity.operators import minhash as M
 from affinity.operators import recommend
 from affinity.plans import recsys
-from conftest import SF
+from tables import SF
 from test_minhash import brute_pairs, ordered_top
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from affinity.operators import skew, splits
 from affinity.plans import recsys
-from conftest import SF01
+from tables import SF01
 
 
 def ts(i):
