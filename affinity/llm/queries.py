@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import (ann, decontaminate, html_text, language_id, line_dedup, lm, packing, repeats, simhash,
-                          token_counts)
+from affinity.llm import (ann, clusters, decontaminate, html_text, language_id, line_dedup, lm, packing, repeats, resampling,
+                          simhash, token_counts, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -86,9 +86,30 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", "n_chars")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    out = resampling.resample(docs, _table(spark, sf_dir, "benchmark", "text"), percent=5, min_words=20, buckets=10000, longest=3, salt="42:")
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = fold(3) == 1
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic").filter(~held_out))
+    return model.score(docs, threshold=0.7).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    out = clusters.cluster(rows, k=40, rounds=5, dims=64, scale=256, salt="2:")
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                      F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256).alias("centroid_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_language_id, op3_token_counts, op4_suffix_dedup, op5_best_fit_packing, op6_lm_scoring,
-    op7_simhash, op8_nearest_neighbours, op9_decontamination, op10_html_text)}
+    op7_simhash, op8_nearest_neighbours, op9_decontamination, op10_html_text,
+    op11_importance_resampling, op12_toxicity, op13_centroid_clusters)}
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -129,4 +150,35 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLES = {"op1_line_dedup": OP1_SQL, "op9_decontamination": OP9_SQL}
+
+
+def op13_sql(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256, salt: str = "2:") -> str:
+    """Every round compares all vectors with all centroids."""
+    nearest = """a{n} AS MATERIALIZED (
+  SELECT vec_id, pos, v, best.c AS cluster, best.d AS distance FROM (
+    SELECT vec_id, r.pos, r.v, min({{'d': list_sum(list_transform(list_zip(r.v, m.v), z -> (z[1] - z[2]) * (z[1] - z[2]))), 'c': c}}) AS best
+    FROM vectors r CROSS JOIN m{n} m GROUP BY vec_id, r.pos, r.v))"""
+    means = """m{after} AS MATERIALIZED (
+  SELECT c, coalesce(list_transform(g.s, x -> CAST(floor(x / g.n) AS BIGINT)), m.v) AS v FROM m{n} m LEFT JOIN (
+    SELECT cluster, max(n) AS n, list(s ORDER BY i) AS s FROM (
+      SELECT cluster, i, count(*) AS n, CAST(sum(v[i]) AS BIGINT) AS s FROM a{n} CROSS JOIN range(1, {dims} + 1) t(i) GROUP BY cluster, i)
+    GROUP BY cluster) g ON g.cluster = m.c)"""
+    steps = [nearest.format(n=0)]
+    for n in range(rounds):
+        steps += [means.format(n=n, after=n + 1, dims=dims), nearest.format(n=n + 1)]
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS pos, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {dims}),
+m0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+    SELECT sha256('{salt}' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM vectors) QUALIFY c < {k}),
+{", ".join(steps)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN m{rounds} m ON m.c = cluster
+"""
+
+
+ORACLES = {"op1_line_dedup": OP1_SQL, "op9_decontamination": OP9_SQL, "op13_centroid_clusters": op13_sql()}
