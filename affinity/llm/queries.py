@@ -156,10 +156,10 @@ def op13_sql(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256, sal
     """Every round compares all vectors with all centroids."""
     nearest = """a{n} AS MATERIALIZED (
   SELECT vec_id, pos, v, best.c AS cluster, best.d AS distance FROM (
-    SELECT vec_id, r.pos, r.v, min({{'d': list_sum(list_transform(list_zip(r.v, m.v), z -> (z[1] - z[2]) * (z[1] - z[2]))), 'c': c}}) AS best
+    SELECT vec_id, r.pos, r.v, min({{'d': list_sum(list_transform(list_zip(r.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'c': c}}) AS best
     FROM vectors r CROSS JOIN m{n} m GROUP BY vec_id, r.pos, r.v))"""
     means = """m{after} AS MATERIALIZED (
-  SELECT c, coalesce(list_transform(g.s, x -> CAST(floor(x / g.n) AS BIGINT)), m.v) AS v FROM m{n} m LEFT JOIN (
+  SELECT c, coalesce(list_transform(g.s, lambda x: CAST(floor(x / g.n) AS BIGINT)), m.v) AS v FROM m{n} m LEFT JOIN (
     SELECT cluster, max(n) AS n, list(s ORDER BY i) AS s FROM (
       SELECT cluster, i, count(*) AS n, CAST(sum(v[i]) AS BIGINT) AS s FROM a{n} CROSS JOIN range(1, {dims} + 1) t(i) GROUP BY cluster, i)
     GROUP BY cluster) g ON g.cluster = m.c)"""
@@ -168,8 +168,8 @@ def op13_sql(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256, sal
         steps += [means.format(n=n, after=n + 1, dims=dims), nearest.format(n=n + 1)]
     return f"""
 WITH vectors AS MATERIALIZED (
-  SELECT vec_id, row_number() OVER () AS pos, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE len(embedding) = {dims} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {dims}),
+  SELECT vec_id, row_number() OVER () AS pos, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
 m0 AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
     SELECT sha256('{salt}' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM vectors) QUALIFY c < {k}),
