@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.skew import number_within
+from affinity.sources.io import write_parquet
 
 SPLITS = ("train", "val", "test")
 
@@ -49,8 +50,9 @@ def split_frames(split_df: DataFrame, split_col: str = "split") -> dict[str, Dat
 
 
 def write_splits(split_df: DataFrame, path: str, split_col: str = "split") -> None:
-    """one pass, one folder per split (``split=train`` ...)."""
-    split_df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+    """one pass, one folder per split (``split=train`` ...) within a new
+    version of the table, published when all of it is written."""
+    write_parquet(split_df, path, partition_by=[split_col])
 
 
 def split_sizes(split_df: DataFrame, split_col: str = "split") -> DataFrame:

@@ -97,7 +97,7 @@ def split_checks(split_df: DataFrame) -> dict[str, DataFrame]:
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:
     """Splits written by ``splits.write_splits`` (one folder per split)."""
-    return spark.read.parquet(path)
+    return io.read_parquet(spark, path)
 
 
 def baseline(split_df: DataFrame, on: str = "test", k: int = 100) -> DataFrame:
@@ -187,7 +187,7 @@ def main(argv=None):
             show({"baseline_val": baseline(s, "val"), "baseline_test": baseline(s, "test")})
     elif a.study == "validate":
         ratings = ratings_parquet(spark, a.data, f"{a.out}/ratings.parquet")
-        top = spark.read.parquet(f"{a.out}/top_pairs.parquet")
+        top = io.read_parquet(spark, f"{a.out}/top_pairs.parquet")
         show(validate(top, ratings))
     if owned:
         spark.stop()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from affinity.operators import metrics, recommend, splits
 from affinity.session import ensure_checkpoint_dir, reliable_checkpoint
-from affinity.sources import fixtures
+from affinity.sources import fixtures, io
 
 # Fixed values of the study.
 MIN_USER_RATINGS = 5
@@ -197,7 +197,7 @@ def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/splits-{uuid.uuid4().hex}"
     splits.write_splits(fixture_splits(spark, sf_dir), path)
-    return spark.read.parquet(path).select("user_id", "item_id", "rating", "ts", "split")
+    return io.read_parquet(spark, path, ["user_id", "item_id", "rating", "ts", "split"])
 
 
 def _with_faults(s: DataFrame) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -77,3 +80,20 @@ def reliable_checkpoint(df):
     read back from it (lineage cut; survives the loss of any executor)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make the library importable in the Python workers, once per context:
+    Spark's own file server hands the zipped sources to every executor."""
+    context = spark.sparkContext
+    if getattr(context, "_affinity_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    target = Path(tempfile.mkdtemp(prefix="affinity-code-")) / "affinity.zip"
+    target.write_bytes(buffer.getvalue())
+    context.addPyFile(str(target))
+    context._affinity_shipped = True
