@@ -15,12 +15,16 @@ Scale notes
 * Pairs with score >= t are found by the pigeonhole principle: split the bands
   into n_bands - t + 1 groups; such a pair agrees on every band of at least one
   group. Longer group keys make far smaller buckets than single bands. The
-  top-k search goes down these levels and only counts the join on single
-  bands, once, if all of them together hold fewer than k pairs.
+  top-k search goes down these levels, skips those that a bound on their pairs
+  rules out, and only counts the join on single bands, once, if all of them
+  together hold fewer than k pairs.
+* A bucket of many different signatures is joined block by block, each pair of
+  blocks under a key of its own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -40,6 +44,8 @@ TOP_K = 100
 # single bands: 31, 28, 24, 20 and 17 of 32. All are above one half, where the
 # groups of the pigeonhole search have more than one band.
 DESCENT = (31 / 32, 28 / 32, 24 / 32, 20 / 32, 17 / 32)
+# Signatures of a bucket that are joined with each other under one key.
+BLOCK = 2000
 # Largest item number: a * item + b must stay below 2**63 for every hash function.
 MAX_ITEM = (2**63 - 1 - PRIME) // PRIME
 
@@ -295,33 +301,57 @@ def _rep_pairs(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFr
     return _rep_pairs_counted(cl, n_bands, rows).filter(F.col("count") >= min_count)
 
 
+def _keyed(cl: DataFrame, n_bands: int, rows: int, n_groups: int | None = None) -> DataFrame:
+    """(rep, n_users, g, key, gk): a row per signature and group of bands."""
+    keyed = cl.select("rep", "n_users", F.explode(_band_expr(F.col("sig"), n_bands, rows, n_groups)).alias("_g"))
+    return keyed.select("rep", "n_users", F.col("_g.g").alias("g"), F.col("_g.key").alias("key"),
+                        F.xxhash64(F.col("_g.g"), F.col("_g.key")).alias("gk"))
+
+
+def _deal(keyed: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the triangular join: every row stands on the low side for
+    its own and all higher blocks of its bucket, and on the high side for its
+    own and all lower ones."""
+    hot = keyed.groupBy("gk").agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > block).select(
+        "gk", F.ceil(F.col("_m") / block).cast("int").alias("_blocks"))
+    dealt = keyed.join(small_side(reliable_checkpoint(hot)), "gk", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    dealt = dealt.withColumn("_b", F.pmod(F.xxhash64("rep", "g"), F.col("_blocks")).cast("int"))
+    low = dealt.select("gk", "g", "key", F.col("_b").alias("lo"), F.explode(F.sequence("_b", F.col("_blocks") - 1)).alias("hi"),
+                       F.col("rep").alias("_r1"), F.col("n_users").alias("_n1"))
+    high = dealt.select("gk", "g", "key", F.explode(F.sequence(F.lit(0), "_b")).alias("lo"), F.col("_b").alias("hi"),
+                        F.col("rep").alias("_r2"), F.col("n_users").alias("_n2"))
+    return low, high
+
+
+def _bucket_pairs(keyed: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs (rep1 < rep2, n1, n2) of signatures in one bucket, a row for each
+    bucket that they share, by a triangular join of blocks.
+
+    A bucket of more than ``block`` signatures is cut into blocks by the hash of
+    their representatives, and every two blocks (i <= j), the same one
+    included, make a join key of their own. So a key joins about
+    block x block rows at most, and a hot bucket of m signatures is spread over
+    its (m / block)^2 / 2 keys, for m / block copies of its rows.
+    """
+    low, high = _deal(keyed, block)
+    met = low.join(high, ["gk", "g", "key", "lo", "hi"]).filter((F.col("lo") < F.col("hi")) | (F.col("_r1") < F.col("_r2")))
+    swap = F.col("_r1") > F.col("_r2")
+    return met.select(F.least("_r1", "_r2").alias("rep1"), F.greatest("_r1", "_r2").alias("rep2"),
+                      F.when(swap, F.col("_n2")).otherwise(F.col("_n1")).alias("n1"),
+                      F.when(swap, F.col("_n1")).otherwise(F.col("_n2")).alias("n2"))
+
+
 def _rep_pairs_counted(cl: DataFrame, n_bands: int, rows: int) -> DataFrame:
     """All pairs of distinct signatures that share a band, with the number of shared bands."""
-    keyed = cl.select("rep", "n_users",
-                      F.explode(_band_expr(F.col("sig"), n_bands, rows)).alias("_g"))
-    keyed = keyed.select("rep", "n_users", F.col("_g.g").alias("g"), F.col("_g.key").alias("key"),
-                         F.xxhash64(F.col("_g.g"), F.col("_g.key")).alias("gk"))
-    l, r = keyed.alias("l"), keyed.alias("r")
-    hits = l.join(r, (F.col("l.gk") == F.col("r.gk")) & (F.col("l.g") == F.col("r.g"))
-                  & (F.col("l.key") == F.col("r.key")) & (F.col("l.rep") < F.col("r.rep")))
-    counted = hits.groupBy(F.col("l.rep").alias("rep1"), F.col("r.rep").alias("rep2")).agg(
-        F.count(F.lit(1)).alias("count"), F.first(F.col("l.n_users")).alias("n1"),
-        F.first(F.col("r.n_users")).alias("n2"))
-    return counted.select("rep1", "rep2", "n1", "n2", "count")
+    return _bucket_pairs(_keyed(cl, n_bands, rows)).groupBy("rep1", "rep2").agg(
+        F.first("n1").alias("n1"), F.first("n2").alias("n2"), F.count(F.lit(1)).alias("count"))
 
 
 def _rep_pairs_grouped(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFrame:
     """The same for more than half the bands: candidates agree on a whole group
     of bands and are then compared signature by signature."""
-    n_groups = n_bands - min_count + 1
-    keyed = cl.select("rep", "n_users", "sig",
-                      F.explode(_band_expr(F.col("sig"), n_bands, rows, n_groups)).alias("_g"))
-    keyed = keyed.select("rep", F.col("_g.g").alias("g"), F.col("_g.key").alias("key"),
-                         F.xxhash64(F.col("_g.g"), F.col("_g.key")).alias("gk"))
-    l, r = keyed.alias("l"), keyed.alias("r")
-    cand = (l.join(r, (F.col("l.gk") == F.col("r.gk")) & (F.col("l.g") == F.col("r.g"))
-                   & (F.col("l.key") == F.col("r.key")) & (F.col("l.rep") < F.col("r.rep")))
-            .select(F.col("l.rep").alias("rep1"), F.col("r.rep").alias("rep2")).distinct())
+    keyed = _keyed(cl, n_bands, rows, n_bands - min_count + 1)
+    cand = _bucket_pairs(keyed).select("rep1", "rep2").distinct()
     s1 = cl.select(F.col("rep").alias("rep1"), F.col("sig").alias("s1"),
                    F.col("n_users").alias("n1"))
     s2 = cl.select(F.col("rep").alias("rep2"), F.col("sig").alias("s2"),
@@ -332,6 +362,27 @@ def _rep_pairs_grouped(cl: DataFrame, min_count: int, n_bands: int, rows: int) -
     return scored.filter(F.col("count") >= min_count)
 
 
+def level_bounds(cl: DataFrame, levels: Sequence[int], n_bands: int, rows: int) -> dict[int, int]:
+    """For each level t an upper bound of the number of user pairs between
+    clusters that share at least t bands, without a join.
+
+    Such a pair agrees on a whole group of bands, so it is counted in that
+    group's bucket: a bucket whose clusters have n_1, n_2, ... users holds
+    ((sum n)^2 - sum n^2) / 2 pairs. One aggregate over the bucket hashes of
+    all levels (equal hashes of different keys only raise a bound).
+    """
+    def hashes(t: int) -> Column:
+        return F.transform(_band_expr(F.col("sig"), n_bands, rows, n_bands - t + 1),
+                           lambda x: F.struct(F.lit(t).alias("t"), F.xxhash64(x["g"], x["key"]).alias("h")))
+
+    keys = F.concat(*map(hashes, levels))
+    n = F.col("n_users").cast("double")  # a bound: the sums may exceed 64 bits
+    sums = (cl.select("n_users", F.explode(keys).alias("k")).groupBy("k.t", "k.h")
+            .agg(F.sum(n).alias("s"), F.sum(n * n).alias("q"), F.count(F.lit(1)).alias("m")).filter("m > 1"))
+    found = {r.t: r.bound for r in sums.groupBy("t").agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("bound")).collect()}
+    return {t: math.ceil(found.get(t, 0) * (1 + 1e-9)) for t in levels}
+
+
 def _first_members(mem: DataFrame, limit: int, user: str) -> DataFrame:
     """The ``limit`` smallest users of each cluster, with their position.
     row_number <= limit is planned as a per-task group limit before the
@@ -371,7 +422,7 @@ def candidate_groups(sigs: DataFrame, min_count: int = 1, n_bands: int = N_BANDS
     count). A group is named by its smallest user and has n users; every user
     of the one shares ``count`` bands with every user of the other. A group of
     several users is also listed with itself (rep1 = rep2), at n_bands."""
-    cl = clusters(sigs, user)
+    cl = reliable_checkpoint(clusters(sigs, user))  # read by the count of the buckets and by both sides of their join
     own = cl.filter("n_users > 1").select(F.col("rep").alias("rep1"), F.col("rep").alias("rep2"), F.col("n_users").alias("n1"),
                                           F.col("n_users").alias("n2"), F.lit(n_bands).cast("long").alias("count"))
     return own if min_count >= n_bands else own.unionByName(_rep_pairs(cl, min_count, n_bands, rows))
@@ -404,9 +455,11 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
     pairs, the answer lies in the k groups with the smallest representatives
     (each has a pair that starts with it), and there in each group's k + 1
     smallest members. Otherwise go down the levels of ``descent`` until the
-    pairs with count >= t, weighted by group sizes, reach k. If no level does,
-    the join on single bands is counted once, and the largest t that reaches k
-    is read from its counts. Each level is one job on the driver's order;
+    pairs with count >= t, weighted by group sizes, reach k; a level is only
+    joined if its bound (``level_bounds``, one aggregate for all of them) lets it
+    reach k. If no level does, the join on single bands is counted once, and the
+    largest t that reaches k is read from its counts. Each level is one job on
+    the driver's order;
     ``sigs`` should be persisted or checkpointed by the caller. The k result
     rows are checkpointed and every intermediate is released before returning.
     """
@@ -426,7 +479,9 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
         else:
             mem = members(sigs, cl, user)
             rp = None
-            for t in sorted({int(round(f * n_bands)) for f in descent if f * n_bands > n_bands / 2 and f < 1}, reverse=True):
+            levels = sorted({int(round(f * n_bands)) for f in descent if f * n_bands > n_bands / 2 and f < 1}, reverse=True)
+            bounds = level_bounds(cl, levels, n_bands, rows) if levels else {}
+            for t in (t for t in levels if within_total + bounds[t] >= k):
                 level = _rep_pairs_grouped(cl, t, n_bands, rows).persist()
                 cached.append(level)
                 if within_total + weight(level) >= k:

@@ -137,14 +137,58 @@ def test_every_pigeonhole_level(spark, t):
     assert got == {p: c for p, c in brute_pairs(sigs).items() if t <= c < 32 and set(p) <= reps} and got
 
 
-def test_band_join_runs_at_most_once(spark, monkeypatch):
+def test_levels_out_of_reach_are_not_joined(spark, monkeypatch):
     calls = {"grouped": [], "counted": 0}
     grouped, counted = M._rep_pairs_grouped, M._rep_pairs_counted
     monkeypatch.setattr(M, "_rep_pairs_grouped", lambda cl, t, *a: calls["grouped"].append(t) or grouped(cl, t, *a))
     monkeypatch.setattr(M, "_rep_pairs_counted", lambda *a: calls.__setitem__("counted", calls["counted"] + 1) or counted(*a))
     sigs = M.signatures(fixtures.event_items(spark, SF01), min_items=3).persist()
-    M.top_pairs(sigs, 100)
-    assert calls == {"grouped": [31, 28, 24, 20, 17], "counted": 1}
+    brute = brute_pairs(sigs)
+    for k, levels, bands in ((100, [], 1), (1, None, None)):
+        calls.update(grouped=[], counted=0)
+        top = [((r.user1, r.user2), r["count"]) for r in M.top_pairs(sigs, k).collect()]
+        assert top == ordered_top(brute, k)
+        bounds = M.level_bounds(M.clusters(sigs), [31, 28, 24, 20, 17], 32, 4)
+        assert all(t in calls["grouped"] or bounds[t] < k or min(calls["grouped"], default=0) > t for t in bounds)
+        assert levels is None or (calls["grouped"], calls["counted"]) == (levels, bands)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_level_bounds_are_not_below_the_pairs(spark, seed):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for u in range(120):
+        base = set(range(1000 * (u % 5), 1000 * (u % 5) + 60))
+        drop = rng.choice(sorted(base), int(rng.integers(0, 3)), replace=False)
+        rows += [(u, int(i)) for i in base - set(drop.tolist())]
+    sigs = M.signatures(spark.createDataFrame(rows, "user_id int, item_id int"), min_items=3).persist()
+    cl = M.clusters(sigs).persist()
+    cluster_of = {r.user_id: r.rep for r in M.members(sigs, cl).collect()}
+    between = [c for (u, v), c in brute_pairs(sigs).items() if cluster_of[u] != cluster_of[v]]
+    levels = [31, 28, 24, 20, 17]
+    bounds = M.level_bounds(cl, levels, 32, 4)
+    assert all(bounds[t] >= sum(c >= t for c in between) for t in levels) and bounds[17] > 0
+    assert M.level_bounds(cl.limit(0), levels, 32, 4) == dict.fromkeys(levels, 0)
+
+
+def _one_bucket(spark, m, other=300):
+    """``m`` signatures in one bucket, and some in buckets of their own."""
+    return spark.range(m + other).selectExpr("id AS rep", "id % 3 + 1 AS n_users", "0 AS g", "array(IF(id < {0}, 1L, id)) AS key".format(m)).withColumn(
+        "gk", F.xxhash64("g", "key"))
+
+
+def test_hot_bucket_is_spread_over_pairs_of_blocks(spark):
+    m, block = 50_000, 2000
+    low, high = M._deal(_one_bucket(spark, m), block)
+    for side in (low, high):
+        sizes = [r["count"] for r in side.filter("key[0] = 1").groupBy("lo", "hi").count().collect()]
+        assert len(sizes) == 25 * 26 // 2 and max(sizes) < 1.2 * block
+    assert low.filter("key[0] <> 1").count() == 300
+
+
+def test_triangular_join_gives_each_pair_once(spark):
+    got = [tuple(r) for r in M._bucket_pairs(_one_bucket(spark, 250), 30).collect()]
+    assert sorted(got) == [(i, j, i % 3 + 1, j % 3 + 1) for i in range(250) for j in range(i + 1, 250)]
 
 
 def test_bands_and_buckets(spark):
