@@ -11,9 +11,15 @@ Symbols are lower-cased letters; every run of other characters is one space.
 The labelled sample is bounded by two parameters, ``docs_per_lang`` and
 ``chars_per_doc``: per language and hash bucket of the id, a stretch of the
 document with the smallest id hash, at a hashed place of its text. Its size depends on the number of languages only, so it
-travels with the task. Everything that is classified is parsed whole: texts
-are laid out in lanes of ``LANE`` symbols and all lanes of a batch advance
-together, one table look-up per symbol and language.
+is bounded: the automata are built once, on the driver, as hash tables of their
+edges (at most three per symbol of the sample, whatever the alphabet), and
+broadcast. Everything that is classified is parsed whole: texts are laid out
+in lanes of ``LANE`` symbols and all lanes of a batch advance together, one
+look-up per symbol and language. A lane is first parsed as if a phrase began
+with it; then lanes are parsed again from the state in which the lane before
+ended, up to the place where both parses agree, which is mostly near. Where
+they do not agree within a lane, the text goes on symbol by symbol. So the
+phrases are those of the text parsed in one go.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or
 if nothing could be learned; a label whose sample has no letter is not
@@ -34,8 +40,8 @@ from pyspark.sql import functions as F
 
 from affinity.llm.common import ship_code
 
-LANE = 1024     # symbols of a lane; a phrase does not cross lanes
-BATCH = 1 << 22  # symbols parsed at once
+LANE = 1024     # symbols of a lane
+BATCH = 1 << 20  # symbols parsed at once, or one text
 SPACE, UNKNOWN = 1, 2  # codes of the two symbols every alphabet has; 0 pads
 
 
@@ -48,14 +54,15 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
 
 
-def _fold(points: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Symbol codes, a run of non-letters as one space, none at the ends."""
-    codes = table[points]
-    keep = np.ones(len(codes), bool)
-    keep[1:] = (codes[1:] != SPACE) | (codes[:-1] != SPACE)
-    codes = codes[keep]
-    if len(codes) and codes[0] == SPACE:
-        codes = codes[1:]
+def _fold(text: str, table: np.ndarray) -> np.ndarray:
+    """Symbol codes of a text, a run of non-letters as one space, none at the ends."""
+    parts, last = [], SPACE
+    for a in range(0, len(text), BATCH):
+        codes = table[_points(text[a:a + BATCH])]
+        before = np.concatenate([np.array([last], codes.dtype), codes[:-1]])
+        parts.append(codes[(codes != SPACE) | (before != SPACE)])
+        last = codes[-1]
+    codes = np.concatenate(parts) if parts else np.empty(0, table.dtype)
     return codes[:-1] if len(codes) and codes[-1] == SPACE else codes
 
 
@@ -88,85 +95,189 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return go
 
 
-def _parser(go: list[dict[int, int]], width: int) -> np.ndarray:
-    """For (state, symbol): next row offset * 4 + phrases closed on the way.
-    Symbol 0 (padding) closes the open phrase and leads to the start."""
-    n = len(go)
-    kind = np.int32 if n * width * 4 < 2**31 else np.int64
-    step = np.full((n, width), -1, kind)
-    for s, out in enumerate(go):
-        if out:
-            step[s, list(out)] = list(out.values())
-    start, miss = step[0].copy(), step < 0
-    unseen = start < 0
-    # a miss closes the open phrase; the symbol opens the next one, or, unseen, is one itself
-    step = np.where(miss, np.where(unseen, 0, start).astype(kind)[None, :], step)
-    closed = miss.astype(np.int8) + (miss & unseen[None, :])
-    closed[0] = unseen
-    step[:, 0], closed[:, 0] = 0, 1
-    closed[0, 0] = 0
-    step *= width * 4
-    step += closed
-    return step.ravel()
+class Edges:
+    """An automaton's transitions as an open-addressing table: (state, symbol)
+    -> state, some 20 bytes an edge."""
+
+    EMPTY = -1
+
+    def __init__(self, go: list[dict[int, int]], width: int):
+        self.width = width
+        keys = np.fromiter((s * width + c for s, out in enumerate(go) for c in out), np.int64)
+        ends = np.fromiter((t for out in go for t in out.values()), np.int64)
+        self.bits = max(4, int(len(keys) * 1.6).bit_length())
+        self.keys = np.full(1 << self.bits, self.EMPTY, np.int64)
+        self.ends = np.zeros(1 << self.bits, np.int32)
+        slot = self._slot(keys)
+        while len(keys):  # one key at a time takes an empty slot, the others move on
+            place, first = np.unique(slot, return_index=True)
+            first = first[self.keys[place] == self.EMPTY]
+            self.keys[slot[first]], self.ends[slot[first]] = keys[first], ends[first]
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, ends, slot = keys[rest], ends[rest], (slot[rest] + 1) & (len(self.keys) - 1)
+        self.start = np.zeros(width, np.int32)  # where a phrase that opens with the symbol stands; 0: unseen
+        self.start[list(go[0])] = list(go[0].values())
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, at: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next state, phrases closed): a symbol that does not go on closes the
+        open phrase and opens the next one, or, unseen, is one itself."""
+        keys = at * self.width + symbols
+        slot = self._slot(keys)
+        found = self.keys[slot]
+        more = np.flatnonzero((found != keys) & (found != self.EMPTY))
+        while len(more):
+            slot[more] = (slot[more] + 1) & (len(self.keys) - 1)
+            found[more] = self.keys[slot[more]]
+            more = more[(found[more] != keys[more]) & (found[more] != self.EMPTY)]
+        miss = found != keys
+        opened = self.start[symbols]
+        closed = (miss & (at != 0)).astype(np.int64) + (miss & (opened == 0))
+        return np.where(miss, opened, self.ends[slot]).astype(np.int64), closed
+
+    def one_by_one(self, symbols: list[int], true: int, guess: int) -> tuple[int, int | None]:
+        """Parse from two states at once until they agree: (phrases that the
+        first closes beyond the second, its state at the end or None if they met)."""
+        if not hasattr(self, "table"):
+            some = self.keys != self.EMPTY
+            self.table = dict(zip(self.keys[some].tolist(), self.ends[some].tolist()))
+        more, start = 0, self.start
+        for c in symbols:
+            to = self.table.get(true * self.width + c)
+            if to is None:
+                to = int(start[c])
+                more += (true != 0) + (to == 0)
+            true = to
+            to = self.table.get(guess * self.width + c)
+            if to is None:
+                to = int(start[c])
+                more -= (guess != 0) + (to == 0)
+            guess = to
+            if true == guess:
+                return more, None
+        return more, true
+
+
+class Lanes:
+    """Stretches of texts side by side, longest first: ``codes`` (symbol, lane),
+    the lane before in the same text (-1 for a first one) and its text."""
+
+    def __init__(self, stretches: list[tuple[int, np.ndarray]]):
+        """(text, codes) in the order of the texts and within them."""
+        order = sorted(range(len(stretches)), key=lambda i: -len(stretches[i][1]))
+        where = {i: k for k, i in enumerate(order)}
+        self.number = np.array(order)
+        self.owner = np.array([stretches[i][0] for i in order])
+        self.before = np.array([where[i - 1] if i and stretches[i - 1][0] == stretches[i][0] else -1 for i in order])
+        self.last = np.ones(len(order), bool)
+        self.last[self.before[self.before >= 0]] = False
+        self.size = np.array([len(stretches[i][1]) for i in order])
+        self.codes = np.zeros((int(self.size.max()), len(order)), np.int64)
+        for k, i in enumerate(order):
+            self.codes[:self.size[k], k] = stretches[i][1]
+
+    def phrases(self, edges: Edges, n: int) -> np.ndarray:
+        """Phrases of each of n texts."""
+        lanes = len(self.size)
+        end, closed = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        active = np.searchsorted(-self.size, -np.arange(len(self.codes)), "left")  # lanes longer than r
+        for r, m in enumerate(active):
+            end[:m], more = edges.step(end[:m], self.codes[r, :m])
+            closed[:m] += more
+        true_end = end.copy()
+        live = np.flatnonzero(self.before >= 0)
+        true, guess = end[self.before[live]], np.zeros(len(live), np.int64)
+        open_before = true != 0  # after a closed phrase both parses are one
+        live, true, guess = live[open_before], true[open_before], guess[open_before]
+        apart: dict[int, int] = {}
+        extra = np.zeros(lanes, np.int64)
+        for r in range(len(self.codes)):
+            ended = self.size[live] <= r
+            apart.update(zip(live[ended].tolist(), true[ended].tolist()))
+            live, true, guess = live[~ended], true[~ended], guess[~ended]
+            if not len(live):
+                break
+            symbols = self.codes[r, live]
+            true, a = edges.step(true, symbols)
+            guess, b = edges.step(guess, symbols)
+            extra[live] += a - b
+            differ = true != guess
+            live, true, guess = live[differ], true[differ], guess[differ]
+        apart.update(zip(live.tolist(), true.tolist()))
+        if apart:
+            self._go_on(edges, apart, end, true_end, extra)
+        closed += extra + (self.last & (true_end != 0))
+        return np.bincount(self.owner, closed, n)
+
+    def _go_on(self, edges: Edges, apart: dict[int, int], end: np.ndarray, true_end: np.ndarray, extra: np.ndarray) -> None:
+        """Lanes whose parses did not meet: the lane after one starts in another state than was assumed."""
+        after = {int(b): k for k, b in enumerate(self.before) if b >= 0}
+        done = set()
+        for lane in sorted(apart, key=self.number.__getitem__):  # in the order of the texts
+            if lane in done:
+                continue
+            state = apart[lane]
+            while True:
+                true_end[lane] = state
+                done.add(lane)
+                following = after.get(lane)
+                if following is None:
+                    break
+                if state == end[lane]:  # as was assumed
+                    if following not in apart:
+                        break
+                    state = apart[following]
+                else:
+                    extra[following], met = edges.one_by_one(self.codes[:self.size[following], following].tolist(), state, 0)
+                    state = int(end[following]) if met is None else met
+                    done.add(following)  # what was found from the assumed state no longer counts
+                    if met is None and after.get(following) not in apart:
+                        break
+                lane = following
 
 
 class CrossParser:
-    """The automata of all languages, as flat tables."""
+    """The automata of all languages."""
 
     def __init__(self, sample: tuple[tuple[str, str], ...]):
         letters = _letters()
         texts = [(lang, _points(text)) for lang, text in sample]
         seen = np.unique(np.concatenate([t for _, t in texts] or [np.empty(0, np.uint32)]))
         seen = seen[letters[seen]]
-        self.table = np.where(letters, UNKNOWN, SPACE).astype(np.uint16)
+        self.table = np.where(letters, UNKNOWN, SPACE).astype(np.uint16 if len(seen) < 65_000 else np.uint32)
         self.table[seen] = np.arange(3, 3 + len(seen))
-        self.width, self.langs, self.parsers, self.weights = 3 + len(seen), [], [], []
-        for lang, points in texts:
-            codes = _fold(points, self.table)
+        self.langs, self.parsers, self.weights = [], [], []
+        for lang, text in sample:
+            codes = _fold(text, self.table)
             if len(codes):
                 self.langs.append(lang)
-                self.parsers.append(_parser(suffix_automaton(codes.tolist()), self.width))
+                self.parsers.append(Edges(suffix_automaton(codes.tolist()), 3 + len(seen)))
                 self.weights.append(np.log2(len(codes) + 1))
 
-    def _phrases(self, codes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-        """Phrases per text (rows) and language, of padded lanes (columns of ``codes``)."""
-        out = np.zeros((n, len(self.langs)))
-        for k, parser in enumerate(self.parsers):
-            at, closed = np.zeros(codes.shape[1], parser.dtype), np.zeros(codes.shape[1], np.int64)
-            for row in codes:
-                v = parser[at + row]
-                closed += v & 3
-                at = v >> 2
-            out[:, k] = np.bincount(owner, closed, n)
-        return out
-
     def costs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(estimate per text and language, number of symbols per text)."""
         phrases, sizes = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64)
-        held, lanes, owners = 0, [], []
+        held, stretches = 0, []
 
         def flush():
-            nonlocal held, lanes, owners
-            if lanes:
-                depth = max(map(len, lanes)) + 1
-                block = np.zeros((len(lanes), depth), np.uint16)
-                for i, x in enumerate(lanes):
-                    block[i, :len(x)] = x
-                phrases[:] += self._phrases(np.ascontiguousarray(block.T), np.array(owners), len(texts))
-            held, lanes, owners = 0, [], []
+            nonlocal held, stretches
+            if stretches:
+                lanes = Lanes(stretches)
+                for k, edges in enumerate(self.parsers):
+                    phrases[:, k] += lanes.phrases(edges, len(texts))
+            held, stretches = 0, []
 
         for i, text in enumerate(texts):
-            for a in range(0, len(text or ""), BATCH):
-                codes = _fold(_points(text[a:a + BATCH]), self.table)
-                if not (codes != SPACE).any():
-                    continue
-                sizes[i] += len(codes)
-                for b in range(0, len(codes), LANE):
-                    lanes.append(codes[b:b + LANE])
-                    owners.append(i)
-                held += LANE * -(-len(codes) // LANE)
-                if held >= BATCH:
-                    flush()
+            codes = _fold(text or "", self.table)
+            sizes[i] = len(codes)
+            stretches += [(i, codes[b:b + LANE]) for b in range(0, len(codes), LANE)]
+            held += len(codes)
+            if held >= BATCH:  # whole texts: a phrase may go on in the next lane
+                flush()
         flush()
         return phrases * np.array(self.weights)[None, :] / np.maximum(sizes, 1)[:, None], sizes
 
@@ -220,9 +331,11 @@ def identify(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id
     sample = labelled_sample(docs if learn is None else docs.filter(learn), id_col, text_col, lang_col,
                              docs_per_lang, chars_per_doc)
 
+    shared = docs.sparkSession.sparkContext.broadcast(CrossParser(sample))  # some MB per language, see Edges
+
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        parser = CrossParser(sample)  # ends with the task: a reused worker does not hold it for later steps
+        parser = shared.value
         for text in texts:
             lang, score = parser.predict([t if isinstance(t, str) else None for t in text])
             yield pd.DataFrame({"lang_pred": lang, "score": score})

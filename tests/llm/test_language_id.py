@@ -39,6 +39,37 @@ def test_long_text_is_read_whole():
     assert sizes[0] == len(text) and parser.predict([text])[0] == ["bb"]
 
 
+@pytest.mark.parametrize("lane", [1, 3, 7, 1024])
+def test_phrases_cross_lanes(lane, monkeypatch):
+    monkeypatch.setattr(L, "LANE", lane)
+    rng = np.random.default_rng(lane)
+    sample = (("aa", "abababab aaaaaaa bbab"), ("bb", "the quick brown fox " * 3), ("cc", "xyz"))
+    parser = L.CrossParser(sample)
+    texts = ["a" * 500, "ab" * 300, "the quick brown fox " * 40, "x", "", "aaab" * 90 + "the quick", "12 " * 5] + [
+        "".join(rng.choice(list("abthequick fox"), rng.integers(1, 400))) for _ in range(12)]
+    cost, sizes = parser.costs(texts)
+    for text, own in zip(texts, cost):
+        clean = " ".join("".join(c if c.isalpha() else " " for c in text).split())
+        assert list(own) == [pytest.approx(phrases(s.strip(), clean) * np.log2(len(s.strip()) + 1) / max(len(clean), 1)) for _, s in sample]
+
+
+def test_text_of_twenty_thousand_symbols_equals_brute_force():
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(1, 9))) for _ in range(60)]
+    sample = " ".join(rng.choice(words, 400))
+    text = " ".join(rng.choice(words, 4200))[:20_000].strip()
+    cost, _ = L.CrossParser((("aa", sample),)).costs([text])
+    assert cost[0, 0] == pytest.approx(phrases(sample, text) * np.log2(len(sample) + 1) / len(text))
+
+
+def test_large_alphabet_stays_small():
+    rng = np.random.default_rng(9)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    parser = L.CrossParser(tuple((f"l{k}", "".join(rng.choice(letters, 65_000))) for k in range(4)))
+    held = sum(e.keys.nbytes + e.ends.nbytes + e.start.nbytes for e in parser.parsers) + parser.table.nbytes
+    assert held < 100e6 and parser.predict(["".join(rng.choice(letters, 500)), "xyz"])[0][0] in {"l0", "l1", "l2", "l3"}
+
+
 def test_edge_rows(rows_of):
     schema = "doc_id long, text string, lang string, score string, sample int"
     rows = [(i, "the cat sat on the mat " * 3, "en", "x", 1) for i in range(5)] + [
