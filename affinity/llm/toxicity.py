@@ -250,5 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
                             stepSize=0.3, minInstancesPerNode=3, seed=seed, maxMemoryInMB=64)
     boosted = learner.setRawPredictionCol("__raw").setProbabilityCol("__probability").fit(rows.filter("fold <> 0"))
     held = boosted.transform(rows.filter("fold = 0")).withColumn("__margin", vector_to_array("__raw")[1])
-    calibration = IsotonicRegression(featuresCol="__margin", labelCol="__label", predictionCol="__isotonic").fit(held)
+    shares = held.groupBy("__margin").agg(F.avg("__label").alias("__label"), F.count(F.lit(1)).cast("double").alias("__rows"))
+    calibration = IsotonicRegression(featuresCol="__margin", labelCol="__label", weightCol="__rows",
+                                     predictionCol="__isotonic").fit(shares)  # a row for each margin
     return ToxicityModel(positive / n, lexicons[folds], boosted, calibration)
