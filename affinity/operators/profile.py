@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinity.operators.quantiles import exact_quantiles
 from affinity.operators.splits import filter_report  # noqa: F401  (P9 lives with F1)
 
 QUANTILES = (0.25, 0.5, 0.75)
@@ -48,16 +49,18 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool | None = None) -> D
     min, 25/50/75 % and max (as doubles). One pass over ``df``.
 
     Quartiles are exact (linear interpolation) or within 1/10000 of the rank
-    (``percentile_approx``). An exact one keeps an entry per distinct value, so
-    by default only integer columns, such as sizes and ids, get it; pass
-    ``exact`` to decide for all.
+    (``percentile_approx``). Exact ones are found before this returns, by
+    ``quantiles.exact_quantiles``, whose memory does not grow with the values;
+    by default integer columns, such as sizes and ids, get them. Pass ``exact``
+    to decide for all.
     """
     kinds = dict(df.dtypes)
+    fine = [c for c in cols if (exact if exact is not None else kinds[c] in ("tinyint", "smallint", "int", "bigint"))]
+    found = exact_quantiles(df, fine, QUANTILES) if fine else {}
 
     def measures(c: str) -> list[Column]:
         x = F.col(c).cast("double")
-        fine = exact if exact is not None else kinds[c] in ("tinyint", "smallint", "int", "bigint")
-        middle = [F.percentile(x, q) if fine else F.percentile_approx(x, q, 10000) for q in QUANTILES]
+        middle = [F.lit(q) for q in found[c]] if c in found else [F.percentile_approx(x, q, 10000) for q in QUANTILES]
         return [F.avg(x), F.stddev_samp(x), F.min(x), *middle, F.max(x)]
 
     names = ("mean", "stddev", "min", "p25", "p50", "p75", "max")
@@ -67,12 +70,12 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool | None = None) -> D
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, type and the number of values
-    that are present, counted in one pass."""
+    """One row per column: position, name, type, whether nulls are allowed,
+    and the number of values that are present, counted in one pass."""
     counted = df.agg(*[F.count(c).alias(c) for c in df.columns])
     return counted.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
-                 F.col(f.name).alias("n_present")) for i, f in enumerate(df.schema.fields)])).alias("c")).select("c.*")
+                 F.lit(f.nullable).alias("nullable"), F.col(f.name).alias("n_present")) for i, f in enumerate(df.schema.fields)])).alias("c")).select("c.*")
 
 
 def sample_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ code shared with the Spark operators except the fixed constants.
 from __future__ import annotations
 
 from affinity.functions.hashing import PRIME, params_values_sql
+from affinity.operators.draws import KEYS as DRAW_KEYS, PRIME as DRAW_PRIME
 from affinity.sources.fixtures import (DOC_WORDS_SQL, EVENT_ITEMS_SQL, LABELLED_DOCUMENTS_SQL,
                                        RATINGS_SQL, TEXTS_OF_PARTS_SQL, WORD_NUMBER_SQL)
 
@@ -116,6 +117,7 @@ def ratings_schema() -> str:
     return f"""WITH r AS ({RATINGS_SQL})
 SELECT CAST(unnest([0, 1, 2, 3]) AS INT) AS position, unnest(['user_id', 'item_id', 'rating', 'ts']) AS name,
        unnest(['int', 'int', 'double', (SELECT CASE typeof(any_value(ts)) WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(typeof(any_value(ts))) END FROM r)]) AS type,
+       unnest([TRUE, TRUE, TRUE, TRUE]) AS nullable,
        unnest([(SELECT count(user_id) FROM r), (SELECT count(item_id) FROM r), (SELECT count(rating) FROM r), (SELECT count(ts) FROM r)]) AS n_present"""
 
 
@@ -251,21 +253,30 @@ def _pearson(x: str, y: str) -> str:
     return f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0)"
 
 
+def _scrambled(rows: str) -> str:
+    """Rows (i, x, n, half) with x scrambled: rounds on (left, right) = (x div half, x mod half)."""
+    sql = f"SELECT i, n, half, x // half AS l, x % half AS r FROM {rows}"
+    for a, b, c in DRAW_KEYS:
+        for step in (f"(r * {a} + {b}) % {DRAW_PRIME}", f"(t * t + {c}) % {DRAW_PRIME}", f"(t * t + {a}) % {DRAW_PRIME}"):
+            sql = f"SELECT i, n, half, l, r, {step} AS t FROM ({sql})"
+        sql = f"SELECT i, n, half, r AS l, (l + t) % half AS r FROM ({sql})"
+    return f"SELECT i, l * half + r AS x, n, half FROM ({sql})"
+
+
 def random_pairs_cte(src: str, n: int) -> str:
-    """rp: n pairs from rounds of two md5 orders, or from all pairs in md5 order
-    where there are at most 4 n of them."""
-    place = ("SELECT r, user_id, row_number() OVER (PARTITION BY r ORDER BY md5(user_id || ':{0}:' || r), user_id) AS i "
-             f"FROM ru, rr QUALIFY i <= {n}")
+    """rp: the first n draws of pairs, by a Feistel network that walks until it is back in range."""
     return f"""
-ru AS (SELECT DISTINCT user_id FROM {src} WHERE user_id IS NOT NULL),
-rn AS (SELECT count(*) AS u FROM ru),
-rr AS (SELECT unnest(range(0, CAST(2 * ceil({n} / greatest(u, 1)) + 2 AS BIGINT))) AS r FROM rn),
-ra AS ({place.format('a')}), rb AS ({place.format('b')}),
-rdrawn AS (SELECT least(ra.user_id, rb.user_id) AS user1, greatest(ra.user_id, rb.user_id) AS user2, min((r, i)) AS f
-       FROM ra JOIN rb USING (r, i) WHERE ra.user_id <> rb.user_id GROUP BY 1, 2 ORDER BY f LIMIT {n}),
-rall AS (SELECT a.user_id AS user1, b.user_id AS user2 FROM ru a JOIN ru b ON a.user_id < b.user_id, rn
-       WHERE u * (u - 1) // 2 <= 4 * {n} ORDER BY md5(a.user_id || ':' || b.user_id), 1, 2 LIMIT {n}),
-rp AS (SELECT user1, user2 FROM rdrawn, rn WHERE u * (u - 1) // 2 > 4 * {n} UNION ALL SELECT * FROM rall)"""
+ru AS MATERIALIZED (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS k FROM (SELECT DISTINCT user_id FROM {src} WHERE user_id IS NOT NULL)),
+rn AS MATERIALIZED (SELECT count(*) AS u, count(*) * (count(*) - 1) // 2 AS n FROM ru),
+rh AS MATERIALIZED (SELECT u, n, (SELECT min(1::BIGINT << b) FROM range(31) t(b) WHERE (1::BIGINT << b) * (1::BIGINT << b) >= n) AS half FROM rn),
+rdraw AS MATERIALIZED (
+  WITH RECURSIVE walk AS (
+    ({_scrambled(f"(SELECT i, i AS x, n, half FROM range({n}) d(i), rh WHERE i < n)")})
+    UNION ALL
+    ({_scrambled("(SELECT * FROM walk WHERE x >= n)")}))
+  SELECT x FROM walk WHERE x < n),
+rp AS (SELECT least(a.user_id, b.user_id) AS user1, greatest(a.user_id, b.user_id) AS user2
+       FROM rdraw, rn JOIN ru a ON a.k = x % u JOIN ru b ON b.k = (x % u + x // u + 1) % u)"""
 
 
 def shared_cte(pairs: str, src: str, name: str = "sh") -> str:

@@ -67,7 +67,8 @@ def test_profile_ops(spark):
     d = profile.describe(df, ["x"], exact=True).first()
     assert (d["count"], d["mean"], d["min"], d["p50"], d["max"]) == (2, 3.0, 2.0, 3.0, 4.0)
     assert [tuple(r) for r in profile.value_counts(df, "id").collect()] == [(1, 1), (2, 1), (3, 1)]
-    assert [tuple(r) for r in profile.column_types(df).collect()] == [(0, "id", "int", 3), (1, "g", "string", 2), (2, "x", "double", 2)]
+    assert [tuple(r) for r in profile.column_types(df).collect()] == [
+        (0, "id", "int", True, 3), (1, "g", "string", True, 2), (2, "x", "double", True, 2)]
     assert profile.null_counts(df.limit(0)).first().asDict() == {"id": 0, "g": 0, "x": 0}
     both = profile.describe(df, ["x", "id"]).collect()
     assert [(r.column, r["count"], r.p50) for r in both] == [("x", 2, 2.0), ("id", 3, 2.0)]
