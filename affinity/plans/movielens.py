@@ -67,7 +67,9 @@ def twins(ratings: DataFrame, k: int = 100) -> dict[str, DataFrame]:
         "signature_counts": minhash.signature_counts(rows, USER, ITEM),
         "jaccard_summary": profile.describe(sized, ["jaccard"], exact=True),
         "set_size_summary": profile.describe(sigs, ["n_items"]),
+        "set_size_summary_before": profile.describe(minhash.set_sizes(rows, USER, ITEM), ["n_items"]),
         "signature_clusters": minhash.signature_clusters(sigs, 10, USER),
+        "largest_cluster_members": minhash.cluster_members(sigs, rows, 1, USER, ITEM),
         "bucket_stats": minhash.bucket_stats(minhash.bands(sigs, user=USER), USER),
     }
 
@@ -107,8 +109,16 @@ def baseline(split_df: DataFrame, on: str = "test", k: int = 100) -> DataFrame:
                                           ITEM)
 
 
-def als_study(split_df: DataFrame, implicit: bool = False, k: int = 100, seed: int = 42):
-    """Grid search on val NDCG@k, best model scored on test: (best, grid, test)."""
+def list_samples(split_df: DataFrame, on: str = "test", k: int = 100, n: int = 5) -> DataFrame:
+    """Predicted (popularity) and actual lists of the first ``n`` users of ``on``."""
+    truth = split_df.filter(F.col("split") == on)
+    top = recommend.popular_items(split_df.filter(F.col("split") == "train"), k, USER, ITEM)
+    return metrics.sample_lists(recommend.recommend_popular(truth, top, USER, ITEM), truth, n, USER, ITEM)
+
+
+def als_study(split_df: DataFrame, implicit: bool = False, k: int = 100, seed: int = 42, ledger: str | None = None):
+    """Grid search on val NDCG@k, best model scored on test: (best, grid, test).
+    ``ledger``: the folder in which finished points are kept for a restart."""
     train = split_df.filter(F.col("split") == "train").select(USER, ITEM, RATING)
     val = split_df.filter(F.col("split") == "val")
     test = split_df.filter(F.col("split") == "test")
@@ -116,10 +126,10 @@ def als_study(split_df: DataFrame, implicit: bool = False, k: int = 100, seed: i
         train = recommend.to_implicit(train, USER, ITEM, RATING)
         best, grid, model = recommend.tune(train, val, recsys.IMPLICIT_RANKS, recsys.IMPLICIT_REGS,
                                            recsys.IMPLICIT_ALPHAS, k=k, implicit=True, seed=seed,
-                                           user=USER, item=ITEM, rating=RATING)
+                                           user=USER, item=ITEM, rating=RATING, ledger=ledger)
     else:
         best, grid, model = recommend.tune(train, val, recsys.EXPLICIT_RANKS, recsys.EXPLICIT_REGS,
-                                           k=k, seed=seed, user=USER, item=ITEM, rating=RATING)
+                                           k=k, seed=seed, user=USER, item=ITEM, rating=RATING, ledger=ledger)
     recs = recommend.recommend_als(model, k, USER, ITEM, users=test.select(USER).distinct())
     return best, grid, recommend.evaluate(recs, test, k, USER, ITEM)
 
@@ -180,11 +190,12 @@ def main(argv=None):
     elif a.study == "evaluate":
         s = read_splits(spark, f"{a.out}/splits")
         if a.als:
-            best, grid, test = als_study(s, implicit=a.implicit)
+            best, grid, test = als_study(s, implicit=a.implicit, ledger=f"{a.out}/grid")
             print("best:", best)
             show({"grid": grid, "test": test})
         else:
-            show({"baseline_val": baseline(s, "val"), "baseline_test": baseline(s, "test")})
+            show({"baseline_val": baseline(s, "val"), "baseline_test": baseline(s, "test"),
+                  "lists_val": list_samples(s, "val"), "lists_test": list_samples(s, "test")})
     elif a.study == "validate":
         ratings = ratings_parquet(spark, a.data, f"{a.out}/ratings.parquet")
         top = io.read_parquet(spark, f"{a.out}/top_pairs.parquet")

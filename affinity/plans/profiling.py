@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from affinity.functions.expr import round_doubles
 from affinity.operators import minhash, profile, splits
 from affinity.plans import recsys
-from affinity.session import ensure_checkpoint_dir, reliable_checkpoint
+from affinity.session import ensure_checkpoint_dir, reliable_checkpoint, track_table
 from affinity.sources import fixtures, io
 
 
@@ -69,13 +69,13 @@ def ratings_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                            T.StructField("rating", T.DoubleType()),
                            T.StructField("ts", T.TimestampNTZType())])
     io.write_csv(fixtures.ratings(spark, sf_dir), f"{base}/csv")
-    return io.load_or_convert(spark, f"{base}/parquet", f"{base}/csv", schema,
-                              columns=("user_id", "item_id", "rating"))
+    return track_table(io.load_or_convert(spark, f"{base}/parquet", f"{base}/csv", schema,
+                                          columns=("user_id", "item_id", "rating")), base)
 
 
 def texts_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S5 on free text: quotes, commas, line breaks, empty strings, nulls."""
-    path = f"{_folder(spark)}/csv"
+    path = _folder(spark)
     texts = fixtures.texts_of_parts(spark, sf_dir)
     io.write_csv(texts, path)
-    return io.read_csv(spark, path, texts.schema)
+    return track_table(io.read_csv(spark, path, texts.schema), path)

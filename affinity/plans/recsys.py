@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affinity.operators import metrics, recommend, splits
-from affinity.session import ensure_checkpoint_dir, reliable_checkpoint
+from affinity.session import ensure_checkpoint_dir, reliable_checkpoint, track_table
 from affinity.sources import fixtures, io
 
 # Fixed values of the study.
@@ -202,7 +202,7 @@ def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/splits-{uuid.uuid4().hex}"
     splits.write_splits(fixture_splits(spark, sf_dir), path)
-    return io.read_parquet(spark, path, ["user_id", "item_id", "rating", "ts", "split"])
+    return track_table(io.read_parquet(spark, path, ["user_id", "item_id", "rating", "ts", "split"]), path)
 
 
 def _with_faults(s: DataFrame) -> DataFrame:

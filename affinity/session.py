@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import re
 import tempfile
+import threading
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE re-plans joins and coalesces shuffle
 # partitions at runtime and splits skewed sort-merge partitions; the session
@@ -97,3 +99,47 @@ def ship_code(spark: SparkSession) -> None:
     target.write_bytes(buffer.getvalue())
     context.addPyFile(str(target))
     context._affinity_shipped = True
+
+
+# ---------------------------------------------------------------- life of written tables
+
+_LOCK = threading.Lock()
+
+
+def track_table(df: DataFrame, path: str) -> DataFrame:
+    """Have the folder ``path``, which ``df`` reads, removed once no frame that
+    reads it is left; returns ``df``.
+
+    Frames derived from ``df`` share its file relations, on the JVM. A weak
+    reference to each is kept here, and ``sweep_tables``, which runs whenever
+    another table is tracked, deletes the folders whose relations the JVM has
+    collected. So a table outlives all plans that read it, also those of other
+    threads, and the steps of one query go while the next ones run. (An RDD
+    taken from a frame does not hold its relations: keep the frame.)
+    """
+    spark = df.sparkSession
+    sweep_tables(spark)
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    relations = [leaf.relation() for leaf in (leaves.apply(i) for i in range(leaves.size()))
+                 if leaf.getClass().getSimpleName() == "LogicalRelation"]
+    held = [spark._jvm.java.lang.ref.WeakReference(r) for r in relations]
+    with _LOCK:
+        spark.sparkContext.__dict__.setdefault("_affinity_tables", {})[path] = held
+    return df
+
+
+def sweep_tables(spark: SparkSession, collect: bool = False) -> int:
+    """Delete the tracked folders that nothing reads any more; how many are
+    left. ``collect`` asks Python and the JVM to collect their garbage first."""
+    if collect:
+        gc.collect()
+        spark._jvm.System.gc()
+    tables = spark.sparkContext.__dict__.setdefault("_affinity_tables", {})
+    with _LOCK:
+        gone = [path for path, held in tables.items() if all(w.get() is None for w in held)]
+        for path in gone:
+            del tables[path]
+    for path in gone:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(tables)

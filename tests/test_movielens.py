@@ -45,6 +45,11 @@ def test_twins_split_evaluate_validate(spark, ml_dir, tmp_path):
     top = t["top_pairs"].collect()
     assert len(top) == 20 and all(0.0 <= r.jaccard <= 1.0 for r in top)
     assert t["signature_counts"].first().n_signatures > 0
+    sizes, before = t["set_size_summary"].first(), t["set_size_summary_before"].first()
+    assert before["count"] >= sizes["count"] and before["min"] <= sizes["min"]
+    largest = t["signature_clusters"].first()
+    assert {r.userId for r in t["largest_cluster_members"].select("userId").distinct().collect()} >= {largest.rep}
+    assert t["largest_cluster_members"].select("userId").distinct().count() == largest.n_users
     assert ML.filter_report(ratings).first().rows_dropped >= 0
     s = ML.split(ratings)
     checks = ML.split_checks(s)
@@ -52,6 +57,9 @@ def test_twins_split_evaluate_validate(spark, ml_dir, tmp_path):
     assert checks["overlap"].first().asDict() == {"train_val": 0, "train_test": 0, "val_test": 0}
     b = ML.baseline(s).first()
     assert 0.0 <= b.ndcg_at_k <= 1.0
+    lists = ML.list_samples(s, k=10, n=3)
+    assert {r.source for r in lists.select("source").distinct().collect()} == {"predicted", "actual"}
+    assert lists.select("userId").distinct().count() == 3
     v = ML.validate(t["top_pairs"], ratings, n_random=200)
     assert v["comparison"].count() == 2
 
