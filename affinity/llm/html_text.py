@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -40,15 +41,24 @@ BLOCK = frozenset("address article blockquote body caption center dd details div
                   "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main ol p pre section summary table tbody td "
                   "tfoot th thead tr ul".split())
 ENDS_P = BLOCK - {"caption", "legend"}
-# what an opening tag closes, up to the element that bounds the search
-CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-          "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+# kinds of elements that an opening tag closes, and what bounds the search for them
+SCOPES = {"p": ({"p"}, {"td", "th", "table", "button", "article", "body"}), "li": ({"li"}, {"ul", "ol"}),
+          "term": ({"dt", "dd"}, {"dl"}), "row": ({"tr", "td", "th"}, {"table"}), "cell": ({"td", "th"}, {"tr", "table"}),
+          "own": ({"article", "main"}, set())}
+SCOPED = frozenset().union(*(tags | bound for tags, bound in SCOPES.values()))
+CLOSES = {"li": "li", "dt": "term", "dd": "term", "tr": "row", "td": "cell", "th": "cell"}
 # words that name a container which is a menu, header, footer, sidebar, notice, advert, form or reader comments
 BOILER = re.compile(
-    r"(?:^|(?<=[-_\s]))(?:ads?|ad(?:slot|box|unit|space)s?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|sidenav|"
-    r"widget\w*|nav\w*|topnav|menu\w*|breadcrumbs?|pagination|pager|toolbar|comments?|commentlist|disqus|respond|replies|reply|"
-    r"discussion|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|cookies?|consent|gdpr|"
-    r"popup|modal|overlay|paywall|notices?|notification\w*|alert|warning|masthead|footer|header|copyright|skip)(?=$|[-_\s])", re.I)
+    r"ads?|ad(?:slot|box|unit|space)s?|advert(?:s|isement|isements|ising|orial)?|adsense|banners?|sponsor(?:s|ed)?|promos?|sidenav|"
+    r"widgets?|nav|navbar|navigation|topnav|menus?|menubar|breadcrumbs?|pagination|pager|toolbar|comments?|commentlist|disqus|respond|"
+    r"replies|reply|discussion|share|sharing|social|related|recommend(?:ed|ations?)?|newsletter|subscribe|subscription|signup|login|"
+    r"search|cookies?|consent|gdpr|popup|modal|overlay|paywall|notices?|notifications?|alerts?|warning|masthead|footer|header|"
+    r"copyright|skip", re.I)
+# parts that may stand beside such a word without changing what it names: places, kinds of boxes, whose they are
+BESIDE = re.compile(
+    r"\d+|[a-z]|area|bar|block|body|bottom|box|btn|button|buttons|col|column|container|content|first|fixed|form|global|group|holder|home|icons?|"
+    r"inner|item|items|js|last|left|links?|list|main|mobile|module|outer|page|pane|panel|policy|post|posts|primary|reader|readers|right|"
+    r"secondary|section|site|sticky|story|stories|top|user|users|view|widget|wrap|wrapper|zone|to|us|by|media|email|article|articles|print", re.I)
 # layout words name a container only as its whole name, as the last part, or before a place
 LAYOUT = re.compile(r"(?:^|\s)(?!(?:no|not|without|with|has)[-_])(?:[^\s]*[-_])?(sidebar|sidebars|side|rail|hidden)"
                     r"(?:(?<!hidden)[-_](?:left|right|top|bottom|primary|secondary|inner|\d+))*(?=$|\s)", re.I)
@@ -66,28 +76,43 @@ CUT_TAG = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")  # a tag that the end of the
 NEVER_NAMED = frozenset("html body main h1 h2 h3 h4 h5 h6 b i em strong a".split())
 OWN = frozenset("div section article main body html center blockquote".split())  # score the text directly in them
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-BLANK = re.compile(r"[\s​﻿]+")
+BLANK = re.compile(r"\s+")
+
+
+def _boiler_words(names: str) -> set[str]:
+    """Of each name, the words that say it is boilerplate: where every part of
+    the name is such a word or stands beside one. ``share-price`` or
+    ``search-results`` name something else."""
+    out = set()
+    for name in names.split():
+        parts = [x for x in re.split(r"[-_]+", name) if x]
+        words = [x.lower() for x in parts if BOILER.fullmatch(x)]
+        if words and all(BOILER.fullmatch(x) or BESIDE.fullmatch(x) for x in parts):
+            out.update(words)
+    return out
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "skip", "points", "chars", "linked", "strong", "kind", "prose", "start", "end")
+    __slots__ = ("near", "tag", "parent", "kids", "skip", "points", "chars", "linked", "strong", "kind", "prose", "start", "end")
 
     def __init__(self, tag: str, parent: "Node | None", skip: bool = False, strong: bool = False, kind: int = 0):
         self.tag, self.parent, self.skip, self.strong, self.kind = tag, parent, skip, strong, kind
         self.kids: list[Node | str] = []
         self.points = self.prose = 0.0
         self.chars = self.linked = self.start = self.end = 0
+        # the nearest open element of each kind that another tag may close, within its bounds
+        self.near: dict[str, Node] = parent.near if parent is not None else {}
+        if tag in SCOPED:
+            self.near = {k: n for k, n in self.near.items() if tag not in SCOPES[k][1]}
+            self.near.update((k, self) for k, (tags, _) in SCOPES.items() if tag in tags)
 
 
 def _skipped(tag: str, attrs: list[tuple[str, str | None]], parent: Node) -> bool:
     """Whether the element is left out. A header within an article holds its title."""
     if tag in SKIP:
         return True
-    if tag == "header":
-        while parent is not None and parent.tag not in ("article", "main"):
-            parent = parent.parent
-        if parent is None:
-            return True
+    if tag == "header" and "own" not in parent.near:
+        return True
     return any(key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and HIDDEN.search(value or "")
                for key, value in attrs)
 
@@ -102,7 +127,7 @@ def _kind(tag: str, attrs: list[tuple[str, str | None]]) -> int:
             kinds.add(FORM if value.lower() == "form" else NAMED)
         if key in ("class", "id") and tag not in NEVER_NAMED:
             value = CAMEL.sub("-", value)
-            words = {w.lower() for w in BOILER.findall(value)}
+            words = _boiler_words(value)
             if STRONG.search(value) or tag in ("article", "header"):
                 words.discard("header")  # an article's own header holds its title
             if words & COMMENTS:
@@ -121,20 +146,25 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.open = Counter()  # elements from the root to ``at``, by tag
+
+    def _leave(self, node: Node) -> None:
+        """Close everything up to and including ``node``."""
+        while True:
+            left, self.at = self.at, self.at.parent
+            self.open[left.tag] -= 1
+            if left is node:
+                return
 
-    def _close(self, tags: set[str] | frozenset[str], bound: set[str] | frozenset[str]) -> None:
-        node = self.at
-        while node is not self.root and node.tag not in bound:
-            if node.tag in tags:
-                self.at = node.parent
-                return self._close(tags, bound)
-            node = node.parent
+    def _close(self, kind: str) -> None:
+        while kind in self.at.near:
+            self._leave(self.at.near[kind])
 
     def handle_starttag(self, tag, attrs):
         if tag in ENDS_P:
-            self._close({"p"}, {"td", "th", "table", "button", "article", "body"})
+            self._close("p")
         if tag in CLOSES:
-            self._close(*CLOSES[tag])
+            self._close(CLOSES[tag])
         if tag == "br":
             self.at.kids.append(" ")
         if tag in VOID:
@@ -145,6 +175,7 @@ class TreeBuilder(HTMLParser):
         node = Node(tag, self.at, _skipped(tag, attrs, self.at), tag in ("article", "main") or named, _kind(tag, attrs))
         self.at.kids.append(node)
         self.at = node
+        self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -152,6 +183,8 @@ class TreeBuilder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if not self.open[tag]:
+            return
         node = self.at
         while node is not self.root and node.tag != tag:
             # an inline end tag never closes the block around it
@@ -159,7 +192,7 @@ class TreeBuilder(HTMLParser):
                 return
             node = node.parent
         if node is not self.root:
-            self.at = node.parent
+            self._leave(node)
 
     def handle_data(self, data):
         self.at.kids.append(data)

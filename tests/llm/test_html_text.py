@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from affinity.llm import html_text as H
@@ -98,3 +101,84 @@ def test_blockquote_scores_its_own_text():
     order = H._measure(builder.root)
     H._give_points(order)
     assert next(n for n in order if n.tag == "blockquote").points > 0
+
+
+@pytest.mark.parametrize("name", ["share-price", "alert-level", "search-results", "notice-period", "navy-blue", "header-row",
+                                  "social-history", "copyright-law", "ad-hoc"])
+def test_names_that_hold_such_a_word_by_chance(name):
+    page = f"<body><article><h1>T</h1>{BODY}<div class={name}>{PROSE % 'Inner'}{PROSE % 'Inner'}</div></article></body>"
+    assert [x[:5] for x in main_text(page).split("\n")] == ["T"] + ["Part "] * 6 + ["Inner"] * 2
+
+
+@pytest.mark.parametrize("name", ["share-links", "site-header", "cookie_notice", "ad", "ad-top", "nav", "newsletter-signup", "post-comments",
+                                  "related-posts", "sponsoredContent", "alert warning"])
+def test_names_of_boilerplate(name):
+    page = f"<body><article><h1>T</h1>{BODY}<div class='{name}'><p>Not this, please</p></div></article></body>"
+    assert [x[:5] for x in main_text(page).split("\n")] == ["T"] + ["Part "] * 6
+
+
+def test_deep_nesting_takes_linear_time():
+    began = time.time()
+    assert main_text("<article>" + "<div>" * 200_000 + "deep" + "</div>" * 200_000 + "</article>") == "deep"
+    assert main_text("<p>" + "<table><tr><td>" + "<div>" * 100_000 + "x" + "</section>" * 100_000) == "x"
+    assert main_text("<ul>" + "<li><b>" * 50_000 + "x") == "x"
+    assert time.time() - began < 20
+
+
+def test_white_space_and_invisible_characters():
+    assert main_text("<article><p>a\u200bb \t\u00a0\u2003c\ufeffd</p></article>") == "a\u200bb c\ufeffd"
+
+
+WORDS = "alpha beta, gamma delta; epsilon zeta eta, theta iota kappa lambda mu nu, xi omicron pi rho sigma tau".split()
+
+
+def _page(rnd):
+    """A page whose article text is known: (html, lines)."""
+    words = lambda n: " ".join(rnd.choice(WORDS) for _ in range(n))
+    lines, parts = [], []
+
+    def block(tag, n, inline=True):
+        text = words(n)
+        lines.append(text)
+        if inline and n > 8:
+            a, b = text.split(" ", 5)[:5], text.split(" ", 5)[5]
+            text = " ".join(a) + rnd.choice([" <b>{}</b>", "\n  <i>{}</i>", " <span><em>{}</em></span>", "&#32;{}"]).format(b)
+        parts.append(f"<{tag}>{text}" + rnd.choice([f"</{tag}>", f"</{tag}>\n"] + [""] * (tag == "p")))
+
+    block("h1", 4)
+    for _ in range(rnd.randint(4, 9)):
+        kind = rnd.random()
+        if kind < 0.6:
+            block("p", rnd.randint(15, 50))
+        elif kind < 0.75:
+            parts.append("<ul>")
+            for _ in range(3):
+                block("li", rnd.randint(6, 12))
+            parts.append("</ul>")
+        elif kind < 0.85:
+            parts.append("<blockquote>")
+            block("p", 20)
+            parts.append("</blockquote>")
+        elif kind < 0.95:
+            block("h2", 3)
+            block("p", 30)
+        else:
+            parts.append(rnd.choice(["<script>if (a < b) { x('</p>') }</script>", "<!-- <p>gone</p> -->", "<style>p > a {}</style>",
+                                     "<div class='ad-box'><p>Buy this now</p></div>", "<div class='share-links'><a href=x>Share</a></div>",
+                                     "<aside><p>An aside of some words</p></aside>"]))
+    menu = "<nav><ul>" + "".join(f"<li><a href=/{i}>{words(2)}</a></li>" for i in range(6)) + "</ul></nav>"
+    start, end = rnd.choice([("<article>", "</article>"), ("<main>", "</main>"), ("<div id=content>", "</div>"),
+                             ("<div class=wrap><div class='post-body'>", "</div></div>")])
+    around = [f"<header><p>{words(5)}</p></header>", menu, f"<div class='cookie-notice'><p>{words(8)}</p></div>"]
+    after = [f"<div class='sidebar'><p>{words(6)}</p></div>", f"<section class='comments'><p>{words(9)}</p></section>",
+             f"<form><p>{words(4)}</p></form>", f"<footer>&copy; {words(3)}</footer>"]
+    rnd.shuffle(around)
+    rnd.shuffle(after)
+    html = "<!doctype html><html><head><title>T</title></head><body>" + "".join(around) + start + "".join(parts) + end + "".join(after)
+    return html + rnd.choice(["</body></html>", ""]), lines
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_pages_of_known_text(seed):
+    html, lines = _page(random.Random(seed))
+    assert main_text(html) == "\n".join(lines)
