@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.session import ensure_checkpoint_dir
+from affinity.session import ensure_checkpoint_dir, track_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,19 +41,15 @@ def shared_table(df: DataFrame, **options) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: the lineage is cut, any executor can read it, and later scans still
     prune columns. What was shuffled to make the table is deleted at once, so
-    the steps of a long operator do not add up on local disks."""
+    the steps of a long operator do not add up on local disks; the session keeps
+    that setting from the first table on. The table itself goes when no frame
+    reads it any more."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
-    try:
-        df.write.options(compression="zstd", **options).parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    if spark.conf.get(CLEAN_UP, None) != "true":
+        spark.conf.set(CLEAN_UP, "true")
+    df.write.options(compression="zstd", **options).parquet(path)
+    return track_table(spark.read.schema(df.schema).parquet(path), path)
 
 
 def ascii_lower(word: Column) -> Column:

@@ -2,11 +2,14 @@
 
 Lines are exploded to 128-bit hashes of their normalised form, the distinct
 documents of each hash are counted, and each text is rebuilt by position
-without the lines it loses. Only hashes and ids are shuffled for the count;
-the texts move once, to meet the list of hashes that their own document
-loses. A hot line costs one row per document in a two-level count, so no task
-receives it whole, and the join that brings verdicts back is a plain
-equi-join, which AQE splits when a key is hot.
+without the lines it loses. The texts are hashed once, into a written table of
+hashes and ids; only these are shuffled for the count, and the texts move
+once, to meet the list of hashes that their own document loses. A hot line
+costs one row per document in a two-level count, so no task receives it whole.
+Verdicts come back to the hashes by a join, but for the hottest lines, those
+with more than 1 / ``HOT_PARTS`` of all rows: there are fewer than
+``HOT_PARTS`` of them, whatever the data, so they are broadcast and their rows
+stay where they are.
 
 Defined results: a null or empty text is one empty line; a document with a
 null id neither counts nor loses lines; repeated rows of one id count as one
@@ -24,10 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import ship_code
+from affinity.llm.common import shared_table, ship_code
 
 # The six ASCII white-space characters x20 and x09-x0D.
 BLANKS = b" \t\n\x0b\x0c\r"
+HOT_PARTS = 2000
 
 
 def _line_hashes(lines: list[bytes], min_chars: int) -> list[bytes | None]:
@@ -66,7 +70,18 @@ def dropped_keys(keys: DataFrame, min_docs: int) -> DataFrame:
     """Keys found in at least ``min_docs`` documents, with the document that keeps them."""
     return (keys.groupBy("h1", "h2")
             .agg(F.count_distinct("id").alias("n"), F.max("id").alias("keeper"))
-            .filter(F.col("n") >= min_docs).select("h1", "h2", "keeper"))
+            .filter(F.col("n") >= min_docs).select("h1", "h2", "keeper", "n"))
+
+
+def lost_lines(keys: DataFrame, min_docs: int) -> DataFrame:
+    """The rows of ``keys`` (id, h1, h2) that their document loses."""
+    dropped = shared_table(dropped_keys(keys, min_docs))
+    limit = max(keys.count() // HOT_PARTS, 1)
+    hot = F.broadcast(dropped.filter(F.col("n") > limit))  # fewer than HOT_PARTS
+    met = keys.join(hot, ["h1", "h2"], "left")
+    few = met.filter("keeper IS NULL").select("id", "h1", "h2").join(
+        dropped.filter(F.col("n") <= limit).select("h1", "h2", "keeper"), ["h1", "h2"])
+    return met.select("id", "h1", "h2", "keeper").union(few.select("id", "h1", "h2", "keeper")).filter("id < keeper")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -78,8 +93,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     only in the largest id that holds them, there with all their lines.
     """
     ship_code(docs.sparkSession)
-    keys = line_keys(docs, id_col, text_col, min_chars)
-    lost = (keys.join(dropped_keys(keys, min_docs), ["h1", "h2"]).filter("id < keeper")
+    keys = shared_table(line_keys(docs, id_col, text_col, min_chars))
+    lost = (lost_lines(keys, min_docs)
             .groupBy(F.col("id").alias("__lost_id"))
             .agg(F.collect_set(F.struct("h1", "h2")).alias("__lost")))
 

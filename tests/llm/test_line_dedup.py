@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+from affinity.llm import line_dedup
 from affinity.llm.line_dedup import dedup_lines
 
 BLANK = " \t\n\x0b\x0c\r"
@@ -48,3 +49,11 @@ def test_hot_line_keeps_only_the_largest(rows_of):
     rows = [(i, f"one line that every document holds\nown {i}") for i in range(500)]
     got = {r.doc_id: r.text for r in dedup_lines(rows_of(rows, parts=7)).collect()}
     assert got[499].startswith("one line") and all(got[i] == f"own {i}" for i in range(499))
+
+
+def test_hot_lines_and_others_by_the_same_rule(rows_of, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_PARTS", 5)
+    rows = [(i, f"one line that every document holds\nline of a third number {i % 3}, long\nrare line of some {i % 70} documents\nown {i}, not shared")
+            for i in range(200)] + [(5, "one line that every document holds"), (None, "one line that every document holds")]
+    got = dedup_lines(rows_of(rows, parts=6)).select("doc_id", "n_lines", "n_dropped", "text").collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
