@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from affinity.functions.expr import hash_mod
 from affinity.functions.hashing import NUM_HASHES, PRIME, hash_params
-from affinity.operators.bounds import small_side
+from affinity.operators.bounds import small_side, within
+from affinity.operators.overlaps import chunked_overlaps
 from affinity.session import reliable_checkpoint
 
 N_BANDS = 32
@@ -527,15 +528,16 @@ def with_sets(pairs: DataFrame, df: DataFrame, user: str = "user_id",
 
 def jaccard(pairs: DataFrame, df: DataFrame, user: str = "user_id",
             item: str = "item_id", sizes: DataFrame | None = None) -> DataFrame:
-    """Exact Jaccard of each pair of a bounded pair list:
-    |A and B| / |A or B|, from joins on (user, item) rows, so no set is ever
-    collected. Adds n_items1, n_items2, n_shared, jaccard (NULL when both sets
-    are empty). ``sizes`` (user, n_items) saves a pass when already known.
-
-    The pair list is broadcast if it is within the bound; only rows of its
-    users are read past the scan.
+    """Exact Jaccard of each pair of a pair list: |A and B| / |A or B|.
+    No set is ever collected. Adds n_items1, n_items2, n_shared, jaccard (NULL
+    when both sets are empty). ``sizes`` (user, n_items) saves a pass when
+    already known.
+
+    Only rows of the list's users are read past the scan. A list within the
+    broadcast bound is broadcast to the (user, item) rows; for a longer one the
+    sets are packed into chunks first (``overlaps.chunked_overlaps``).
     """
-    p = small_side(pairs.select("user1", "user2").distinct())
+    p = pairs.select("user1", "user2").distinct()
     who = small_side(p.select(F.explode(F.array("user1", "user2")).alias(user)).distinct())
     rows = (df.select(user, item).filter(F.col(item).isNotNull())
             .join(who, user, "left_semi").distinct())
@@ -543,10 +545,13 @@ def jaccard(pairs: DataFrame, df: DataFrame, user: str = "user_id",
         sizes = rows.groupBy(user).agg(F.count(F.lit(1)).alias("n_items"))
     else:
         sizes = sizes.select(user, "n_items").join(who, user, "left_semi")
-    r1 = rows.select(F.col(user).alias("user1"), item)
-    r2 = rows.select(F.col(user).alias("user2"), item)
-    shared = (p.join(r1, "user1").join(r2, ["user2", item])
-              .groupBy("user1", "user2").agg(F.count(F.lit(1)).alias("n_shared")))
+    if within(p):
+        r1 = rows.select(F.col(user).alias("user1"), item)
+        r2 = rows.select(F.col(user).alias("user2"), item)
+        shared = (F.broadcast(p).join(r1, "user1").join(r2, ["user2", item])
+                  .groupBy("user1", "user2").agg(F.count(F.lit(1)).alias("n_shared")))
+    else:
+        shared = chunked_overlaps(p, rows, user, item)
     n1 = sizes.select(F.col(user).alias("user1"), F.col("n_items").alias("n_items1"))
     n2 = sizes.select(F.col(user).alias("user2"), F.col("n_items").alias("n_items2"))
     out = (pairs.join(n1, "user1", "left").join(n2, "user2", "left")

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from affinity.operators import draws, pairs
+from affinity.operators import draws, pairs, skew
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 1000, 65_536, 65_537])
@@ -36,9 +36,9 @@ def test_pairs_look_drawn_at_random(spark):
 
 def test_dense_numbers_follow_the_order(spark):
     df = spark.createDataFrame([(f"u{(i * 37) % 500:04d}", i) for i in range(500)], "u string, x int").repartition(7)
-    got = sorted((r.number, r.u) for r in draws.dense_numbers(df, "u").collect())
+    got = sorted((r.number, r.u) for r in skew.dense_numbers(df, "u").collect())
     assert got == [(i, f"u{i:04d}") for i in range(500)]
-    assert draws.dense_numbers(df.limit(0), "u").count() == 0
+    assert skew.dense_numbers(df.limit(0), "u").count() == 0
 
 
 def test_many_draws_without_a_window(spark):
