@@ -73,8 +73,10 @@ class EliasFano:
         words = np.ndarray((len(self.low) - 7,), "<u8", np.ascontiguousarray(self.low), strides=(1,))
         return words[bit >> 3] >> (bit & 7).astype(np.uint64) & np.uint64((1 << self.bits) - 1)
 
-    def successor(self, keys: np.ndarray) -> np.ndarray:
-        """Index of the first value that is not below each key (the size if none)."""
+    def successor(self, keys: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of the first value that is not below each key (the size if
+        none); with ``first`` and ``last``, among the values from the one index to
+        before the other (``last`` if none)."""
         keys = np.asarray(keys, np.uint64)
         if not self.size:
             return np.zeros(len(keys), np.int64)
@@ -82,7 +84,10 @@ class EliasFano:
         low = (keys & np.uint64((1 << self.bits) - 1)) if self.bits else np.zeros(len(keys), np.uint64)
         begin = np.where(upper > 0, self._select0(np.maximum(upper - 1, 0)) - upper + 1, 0)
         end = np.minimum(self._select0(upper) - upper, self.size)
-        begin = np.minimum(begin, end)
+        if first is not None:
+            begin, end = np.maximum(begin, first), np.minimum(end, last)
+            begin = np.where(begin >= last, last, begin)
+        begin = np.minimum(begin, end) if first is None else begin
         while True:
             open_ = np.flatnonzero(begin < end)
             if not len(open_):
@@ -176,10 +181,22 @@ class BigramTrie:
         return begin, np.where(c < 0, begin, end)
 
     def lookup(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Codes (-log10 p * STEP) of pairs, or -1."""
-        c, w = self.contexts.find(context), self.words.find(word)
-        out = np.full(len(c), -1, np.int64)
-        ok = np.flatnonzero((c >= 0) & (w >= 0))
-        at = self.pairs.find(c[ok].astype(np.uint64) * np.uint64(self.words.size) + w[ok].astype(np.uint64))
-        out[ok[at >= 0]] = self.codes[at[at >= 0]]
+        """Codes (-log10 p * STEP) of pairs, or -1: each context leads through
+        its pointers to its own successors, and the word is searched among them.
+        The pairs of a context should stand together; it is found once then."""
+        out = np.full(len(context), -1, np.int64)
+        if not len(context) or not self.contexts.size:
+            return out
+        head = np.append(True, context[1:] != context[:-1])
+        run = np.cumsum(head) - 1
+        begin, end = (x[run] for x in self.successors(context[head]))
+        w = self.words.find(word)
+        ok = np.flatnonzero((begin < end) & (w >= 0))
+        rank = self.contexts.find(context[head])[run[ok]]
+        key = rank.astype(np.uint64) * np.uint64(self.words.size) + w[ok].astype(np.uint64)
+        at = self.pairs.successor(key, begin[ok], end[ok])
+        inside = at < end[ok]
+        ok, at, key = ok[inside], at[inside], key[inside]
+        same = self.pairs.values(at) == key
+        out[ok[same]] = self.codes[at[same]]
         return out

@@ -314,7 +314,7 @@ def score_texts(docs: DataFrame, train: Column | None = None, backoff: float = 0
     hot = _hot_words(slim, shards)
     n_train = hot[int(MARKS[0])]
     dealt = slim.mapInPandas(_dealer(shards, np.fromiter(hot, np.uint64, len(hot))), DEALT)
-    dealt = dealt.repartition(int(shards), "shard").sortWithinPartitions("shard")
+    dealt = dealt.repartitionById(int(shards), F.col("shard")).sortWithinPartitions("shard")  # a shard is a task
     out = shared_table(dealt.mapInPandas(_scorer(hot, backoff), SCORED))
 
     spark = docs.sparkSession

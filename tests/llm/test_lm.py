@@ -100,10 +100,35 @@ def test_trie_round_trip():
     known = {tuple(p) for p in pairs.tolist()}
     a, b = rng.choice(c, 2000), rng.choice(w, 2000)
     assert all((x >= 0) == (p in known) for x, p in zip(trie.lookup(a, b), zip(a.tolist(), b.tolist())))
+    shuffled = rng.permutation(len(pairs))
+    assert (trie.lookup(*pairs[shuffled].T) == np.rint(-logs * STEP)[shuffled]).all()
     begin, end = trie.successors(np.unique(pairs[:, 0]))
     assert begin[0] == 0 and (begin[1:] == end[:-1]).all() and end[-1] == len(pairs)
 
 
+def test_lookup_goes_through_the_pointers():
+    rng = np.random.default_rng(4)
+    pairs = np.unique(np.stack([rng.integers(1, 50, 900, dtype=np.uint64), rng.integers(1, 60, 900, dtype=np.uint64)], 1), axis=0)
+    trie = BigramTrie.build(pairs[:, 0], pairs[:, 1], -rng.random(len(pairs)))
+    want = trie.lookup(pairs[:, 0], pairs[:, 1])
+    assert (want >= 0).all()
+    first = np.flatnonzero(np.append(True, pairs[1:, 0] != pairs[:-1, 0]))
+    trie.pointers = EliasFano.build(np.append(first[1:], len(pairs)), len(pairs) + 1)  # every context leads to its neighbour's range
+    assert (trie.lookup(pairs[:, 0], pairs[:, 1]) < 0).all()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_search_within_a_range(seed):
+    rng = np.random.default_rng(seed)
+    v = np.unique(rng.integers(0, 5000, 700, dtype=np.uint64))
+    e = EliasFano.build(v, 5000)
+    a = rng.integers(0, len(v) + 1, 500)
+    b = np.minimum(a + rng.integers(0, 90, 500), len(v))
+    q = rng.integers(0, 5000, 500, dtype=np.uint64)
+    want = [i + int(np.searchsorted(v[i:j], x)) for i, j, x in zip(a, b, q)]
+    assert e.successor(q, a, b).tolist() == want
+
+
 def test_rows_of_a_shard_carry_their_own_texts_only(monkeypatch):
     from types import SimpleNamespace
     import pandas as pd
