@@ -11,9 +11,9 @@ Symbols are lower-cased letters; every run of other characters is one space.
 The labelled sample is bounded by two parameters, ``docs_per_lang`` and
 ``chars_per_doc``: per language and hash bucket of the id, a stretch of the
 document with the smallest id hash, at a hashed place of its text. Its size depends on the number of languages only, so it
-is bounded: the automata are built once, on the driver, as hash tables of their
-edges (at most three per symbol of the sample, whatever the alphabet), and
-broadcast. Everything that is classified is parsed whole: texts are laid out
+is bounded: the automata are built once, on the driver, and broadcast, as
+tables of all (state, symbol) where these are small and else as hash tables of
+their edges (at most three per symbol of the sample, whatever the alphabet). Everything that is classified is parsed whole: texts are laid out
 in lanes of ``LANE`` symbols and all lanes of a batch advance together, one
 look-up per symbol and language. A lane is first parsed as if a phrase began
 with it; then lanes are parsed again from the state in which the lane before
@@ -41,7 +41,9 @@ from pyspark.sql import functions as F
 from affinity.llm.common import ship_code
 
 LANE = 1024     # symbols of a lane
-BATCH = 1 << 20  # symbols parsed at once, or one text
+BATCH = 1 << 22  # symbols parsed at once, or one text
+FEW = 24        # so few lanes are parsed one by one
+TABLE_BYTES = 32 << 20  # a language's table of all (state, symbol) may be so large
 SPACE, UNKNOWN = 1, 2  # codes of the two symbols every alphabet has; 0 pads
 
 
@@ -95,9 +97,45 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return go
 
 
+class Table:
+    """An automaton's transitions for every (state, symbol): the next state, as
+    the offset of its row, and the phrases closed on the way, in one number."""
+
+    def __init__(self, go: list[dict[int, int]], width: int):
+        step = np.full((len(go), width), -1, np.int32)
+        for s, out in enumerate(go):
+            if out:
+                step[s, list(out)] = list(out.values())
+        opened, miss = np.maximum(step[0], 0), step < 0
+        closed = miss.astype(np.int8) + (miss & (opened == 0))
+        closed[0] = opened == 0  # at the start no phrase is open
+        self.cells = (np.where(miss, opened, step) * (width * 4) + closed).astype(np.int32).ravel()
+
+    def step(self, at: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next state, phrases closed): a symbol that does not go on closes the
+        open phrase and opens the next one, or, unseen, is one itself."""
+        cells = self.cells[at + symbols]
+        return cells >> 2, cells & 3
+
+    def one_by_one(self, symbols: list[int], true: int, guess: int) -> tuple[int, int | None]:
+        """Parse from two states at once until they agree: (phrases that the
+        first closes beyond the second, its state at the end or None if they met)."""
+        more, cells = 0, self.cells
+        for c in symbols:
+            a, b = int(cells[true + c]), int(cells[guess + c])
+            true, guess = a >> 2, b >> 2
+            more += (a & 3) - (b & 3)
+            if true == guess:
+                return more, None
+        return more, true
+
+    @property
+    def nbytes(self) -> int:
+        return self.cells.nbytes
+
+
 class Edges:
-    """An automaton's transitions as an open-addressing table: (state, symbol)
-    -> state, some 20 bytes an edge."""
+    """The same as an open-addressing table of the edges, some 20 bytes each."""
 
     EMPTY = -1
 
@@ -124,9 +162,7 @@ class Edges:
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def step(self, at: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(next state, phrases closed): a symbol that does not go on closes the
-        open phrase and opens the next one, or, unseen, is one itself."""
-        keys = at * self.width + symbols
+        keys = at.astype(np.int64) * self.width + symbols
         slot = self._slot(keys)
         found = self.keys[slot]
         more = np.flatnonzero((found != keys) & (found != self.EMPTY))
@@ -137,11 +173,9 @@ class Edges:
         miss = found != keys
         opened = self.start[symbols]
         closed = (miss & (at != 0)).astype(np.int64) + (miss & (opened == 0))
-        return np.where(miss, opened, self.ends[slot]).astype(np.int64), closed
+        return np.where(miss, opened, self.ends[slot]), closed
 
     def one_by_one(self, symbols: list[int], true: int, guess: int) -> tuple[int, int | None]:
-        """Parse from two states at once until they agree: (phrases that the
-        first closes beyond the second, its state at the end or None if they met)."""
         if not hasattr(self, "table"):
             some = self.keys != self.EMPTY
             self.table = dict(zip(self.keys[some].tolist(), self.ends[some].tolist()))
@@ -161,6 +195,10 @@ class Edges:
                 return more, None
         return more, true
 
+    @property
+    def nbytes(self) -> int:
+        return self.keys.nbytes + self.ends.nbytes + self.start.nbytes
+
 
 class Lanes:
     """Stretches of texts side by side, longest first: ``codes`` (symbol, lane),
@@ -176,21 +214,22 @@ class Lanes:
         self.last = np.ones(len(order), bool)
         self.last[self.before[self.before >= 0]] = False
         self.size = np.array([len(stretches[i][1]) for i in order])
-        self.codes = np.zeros((int(self.size.max()), len(order)), np.int64)
+        by_lane = np.zeros((len(order), int(self.size.max())), stretches[0][1].dtype)
         for k, i in enumerate(order):
-            self.codes[:self.size[k], k] = stretches[i][1]
+            by_lane[k, :self.size[k]] = stretches[i][1]
+        self.codes = np.ascontiguousarray(by_lane.T)
 
     def phrases(self, edges: Edges, n: int) -> np.ndarray:
         """Phrases of each of n texts."""
         lanes = len(self.size)
-        end, closed = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        end, closed = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
         active = np.searchsorted(-self.size, -np.arange(len(self.codes)), "left")  # lanes longer than r
         for r, m in enumerate(active):
             end[:m], more = edges.step(end[:m], self.codes[r, :m])
             closed[:m] += more
         true_end = end.copy()
         live = np.flatnonzero(self.before >= 0)
-        true, guess = end[self.before[live]], np.zeros(len(live), np.int64)
+        true, guess = end[self.before[live]], np.zeros(len(live), np.int32)
         open_before = true != 0  # after a closed phrase both parses are one
         live, true, guess = live[open_before], true[open_before], guess[open_before]
         apart: dict[int, int] = {}
@@ -199,7 +238,13 @@ class Lanes:
             ended = self.size[live] <= r
             apart.update(zip(live[ended].tolist(), true[ended].tolist()))
             live, true, guess = live[~ended], true[~ended], guess[~ended]
-            if not len(live):
+            if len(live) < FEW:
+                for lane, a, b in zip(live.tolist(), true.tolist(), guess.tolist()):
+                    more, state = edges.one_by_one(self.codes[r:self.size[lane], lane].tolist(), a, b)
+                    extra[lane] += more
+                    if state is not None:
+                        apart[lane] = state
+                live = live[:0]
                 break
             symbols = self.codes[r, live]
             true, a = edges.step(true, symbols)
@@ -207,7 +252,7 @@ class Lanes:
             extra[live] += a - b
             differ = true != guess
             live, true, guess = live[differ], true[differ], guess[differ]
-        apart.update(zip(live.tolist(), true.tolist()))
+        apart.update(zip(live.tolist(), true.tolist()))  # as long as the longest lane
         if apart:
             self._go_on(edges, apart, end, true_end, extra)
         closed += extra + (self.last & (true_end != 0))
@@ -255,7 +300,8 @@ class CrossParser:
             codes = _fold(text, self.table)
             if len(codes):
                 self.langs.append(lang)
-                self.parsers.append(Edges(suffix_automaton(codes.tolist()), 3 + len(seen)))
+                go, width = suffix_automaton(codes.tolist()), 3 + len(seen)
+                self.parsers.append((Table if len(go) * width * 4 <= TABLE_BYTES else Edges)(go, width))
                 self.weights.append(np.log2(len(codes) + 1))
 
     def costs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

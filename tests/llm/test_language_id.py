@@ -39,9 +39,10 @@ def test_long_text_is_read_whole():
     assert sizes[0] == len(text) and parser.predict([text])[0] == ["bb"]
 
 
-@pytest.mark.parametrize("lane", [1, 3, 7, 1024])
-def test_phrases_cross_lanes(lane, monkeypatch):
-    monkeypatch.setattr(L, "LANE", lane)
+@pytest.mark.parametrize("lane,few,table", [(1, 0, 0), (3, 0, 1 << 25), (7, 0, 0), (7, 5, 1 << 25), (1024, 0, 0), (50, 24, 0), (50, 24, 1 << 25)])
+def test_phrases_cross_lanes(lane, few, table, monkeypatch):
+    for name, value in (("LANE", lane), ("FEW", few), ("TABLE_BYTES", table)):
+        monkeypatch.setattr(L, name, value)
     rng = np.random.default_rng(lane)
     sample = (("aa", "abababab aaaaaaa bbab"), ("bb", "the quick brown fox " * 3), ("cc", "xyz"))
     parser = L.CrossParser(sample)
@@ -66,7 +67,7 @@ def test_large_alphabet_stays_small():
     rng = np.random.default_rng(9)
     letters = [chr(0x4E00 + i) for i in range(3000)]
     parser = L.CrossParser(tuple((f"l{k}", "".join(rng.choice(letters, 65_000))) for k in range(4)))
-    held = sum(e.keys.nbytes + e.ends.nbytes + e.start.nbytes for e in parser.parsers) + parser.table.nbytes
+    held = sum(e.nbytes for e in parser.parsers) + parser.table.nbytes
     assert held < 100e6 and parser.predict(["".join(rng.choice(letters, 500)), "xyz"])[0][0] in {"l0", "l1", "l2", "l3"}
 
 
