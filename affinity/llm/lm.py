@@ -13,8 +13,9 @@ numbers and flags of the texts that occur in them only. So a shard holds the
 postings of about ``SHARD_BYTES`` of text however large the corpus is. Its task
 counts the training pairs, builds the two-level trie (monotone pointers,
 quantised probabilities) in a memory-mapped file and looks up every pair of
-the shard by context-relative successor search. So model and queries meet in
-one shuffle, and nothing that grows with the corpus is broadcast or collected.
+the shard: its context's pointers give a range, and the word is searched there. So model and queries meet in
+one shuffle. What is broadcast and collected is the list of spread contexts
+(below), which grows with the number of shards.
 
 A context that would outgrow a shard (the start of a text, frequent words) is
 spread over all shards by its successor. Which contexts these are is counted
