@@ -5,25 +5,28 @@ place too. Places are dealt into buckets by the bucket of a q-gram and refined
 by the buckets of later offsets, as in bucket-pointer suffix sorting; a bucket
 with one member is finished and never looked at again. Two properties of the
 problem are used. Only the first ``width`` bytes of a suffix matter, so a
-bucket identifier can be a hash of the bytes it stands for, and the refinement
-to the next depth - the pair (own bucket, bucket at a later offset) - needs no
-exchange between tasks. And neighbouring places have nearly the same bytes, so
-places are kept as runs.
+bucket identifier can be a number that follows from the bytes it stands for: the
+refinement to the next depth - the pair (own bucket, bucket at a later offset) -
+needs the identifiers of one text only, and equal bytes meet by sorting on it.
+And neighbouring places have nearly the same bytes, so places are kept as runs.
 
 1. Buckets of 8-grams are refined to 16 and 32 bytes through the buckets at
    offsets 8 and 16. Each window of ``width`` bytes joins the smallest bucket
    identifier of the q-grams inside it; windows are equal only if these are.
    Consecutive windows with one identifier are a run (85 windows on average),
-   the only thing that is shuffled: bucket, a hash of all bytes of the run.
+   the only thing that is shuffled: bucket, and the bucket of all bytes of the
+   run, refined on from 32 bytes to 64, 128 and 256 and to the run's own length
+   by the bucket at the offset that is missing (``_refined``).
 2. A bucket with one run is finished: no repeat. A bucket whose runs all have
    the same bytes is finished: all its windows repeat.
 3. The other buckets are refined. Equal runs are one class with a count. The
    windows of a class are split into parts by their distance to the q-gram,
-   the new bucket of a part is the hash of the bytes that all of its windows
-   contain, and step 2 is applied to the parts; what stays open is split again
-   down to single windows. The bytes of a class, at most a window and a run,
-   are kept in a table of their own, so no text is read again and only hashes
-   are dealt out.
+   the new bucket of a part is that of the bytes that all of its windows
+   contain, again the pair of the buckets of lesser depth at its start and at a
+   later offset, and step 2 is applied to the parts; what stays open is refined
+   again, 158, 190, 198 and 200 bytes deep for a width of 200, down to single
+   windows. The bytes of a class, at most a window and a run, are kept in a table
+   of their own, so no text is read again and only identifiers are dealt out.
 
 Counts are partial aggregates and verdicts come back through equi-joins, so
 copies in any number, or a passage in a third of all documents, cost one row
@@ -42,7 +45,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +74,30 @@ def _gram_buckets(buf: np.ndarray) -> np.ndarray:
     return _refine(raw[:-16], raw[16:])
 
 
+def _bucket(grams: np.ndarray, place: np.ndarray, depth: int) -> np.ndarray:
+    """Bucket identifiers of the ``depth`` bytes (``Q`` doubled any number of
+    times) from each place: the pairs of those of half the depth."""
+    if depth == Q:
+        return grams[place]
+    half = depth // 2
+    return _refine(_bucket(grams, place, half), _bucket(grams, place + half, half))
+
+
+def _refined(grams: np.ndarray, place: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Bucket identifiers of the ``length`` bytes (at least ``Q``) from each
+    place: the bucket of the largest depth that fits, refined by the bucket of
+    that depth which ends where the bytes end, and by the length."""
+    out = np.empty(len(place), np.uint64)
+    depth, left = Q, np.arange(len(place))
+    while len(left):
+        here = left[length[left] < 2 * depth]
+        at, size = place[here], length[here]
+        out[here] = _refine(_refine(_bucket(grams, at, depth), _bucket(grams, at + size - depth, depth)), size.astype(np.uint64))
+        left = left[length[left] >= 2 * depth]
+        depth *= 2
+    return out
+
+
 def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     """Minimum of each ``n`` consecutive values."""
     step = 1
@@ -101,10 +127,10 @@ def _layout(texts: list[bytes], width: int) -> Iterator[tuple[bytes, np.ndarray]
 
 def text_runs(texts: list[bytes], width: int) -> Iterator[pd.DataFrame]:
     """The runs of all windows: text index, place of the q-gram, smallest and
-    largest distance from a window's start to it, bucket, hash of the bytes.
+    largest distance from a window's start to it, bucket, bucket of all bytes.
     The q-gram of a window is that of the smallest identifier (its upper 40
     bits), the leftmost of equals; both depend on the window's bytes alone."""
-    digest, low24 = xxhash.xxh3_64_digest, np.uint64(0xFFFFFF)
+    low24 = np.uint64(0xFFFFFF)
     for raw, marks in _layout(texts, width):
         grams = _gram_buckets(np.frombuffer(raw, np.uint8))
         best = _sliding_min((grams & ~low24) | np.arange(len(grams), dtype=np.uint64), width - Q + 1)
@@ -116,10 +142,9 @@ def text_runs(texts: list[bytes], width: int) -> Iterator[pd.DataFrame]:
         ok = np.flatnonzero(cut < marks[owner, 2] + marks[owner, 3])
         begin, end, owner = cut[ok], cut[ok + 1], owner[ok]
         place = (best[begin] & low24).astype(np.int64)
-        hashes = np.frombuffer(b"".join([digest(raw[a:b + width - 1]) for a, b in zip(begin.tolist(), end.tolist())]), ">u8")
         yield pd.DataFrame({"text": marks[owner, 0], "place": place - marks[owner, 2] + marks[owner, 1],
                             "near": (place - end + 1).astype(np.int32), "far": (place - begin).astype(np.int32),
-                            "bucket": grams[place].view(np.int64), "own": hashes.astype(np.uint64).view(np.int64)})
+                            "bucket": grams[place].view(np.int64), "own": _refined(grams, begin, end - begin + width - 1).view(np.int64)})
 
 
 RUN = "id long, tag long, place int, near int, far int, bucket long, own long"
@@ -219,28 +244,31 @@ def _names(schema: str) -> list[str]:
 
 def _splitter(span: int, width: int):
     """Cut parts at the multiples of ``span`` distances; the bucket of a part is
-    the hash of the bytes common to all windows at its cell's distances."""
+    that of the bytes common to all windows at its cell's distances."""
+    size = max(BLOCK // (2 * width), 1)  # rows that are laid out at once
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hash64 = xxhash.xxh3_64_intdigest
         for pdf in batches:
-            rows = []
-            for rb, ro, n, near, far, place, data in zip(*(pdf[c] for c in ("run_bucket", "run_own", "n", "near", "far", "place", "bytes"))):
-                # the q-gram stands at data[place]; the window at distance d starts at data[place - d]
-                for cell in range(near // span, far // span + 1):
-                    low, high = max(near, cell * span), min(far, (cell + 1) * span - 1)
-                    core = data[place - cell * span:place - ((cell + 1) * span - 1) + width]
-                    own = data[place - high:place - low + width]
-                    rows.append((rb, ro, n, low, high, _signed(hash64(core, cell)), _signed(hash64(own, low))))
-            yield pd.DataFrame(rows, columns=_names(PART))
+            for at in range(0, len(pdf), size):
+                rows = pdf.iloc[at:at + size]
+                grams = _gram_buckets(np.frombuffer(b"".join(rows["bytes"]), np.uint8))
+                begins = rows["bytes"].str.len().cumsum().shift(fill_value=0).to_numpy()
+                near, far = rows["near"].to_numpy(np.int64), rows["far"].to_numpy(np.int64)
+                cells = far // span - near // span + 1
+                row = np.repeat(np.arange(len(rows)), cells)
+                cell = np.arange(len(row)) - np.repeat(np.cumsum(cells) - cells, cells) + (near // span)[row]
+                low, high = np.maximum(near[row], cell * span), np.minimum(far[row], (cell + 1) * span - 1)
+                # the q-gram stands here; the window at distance d starts d before it
+                gram = (begins + rows["place"].to_numpy(np.int64))[row]
+                core = _refined(grams, gram - cell * span, np.full(len(row), width - span + 1))
+                own = _refined(grams, gram - high, width + high - low)
+                out = rows[["run_bucket", "run_own", "n"]].iloc[row].reset_index(drop=True)
+                yield out.assign(near=low, far=high, bucket=_refine(core, cell.astype(np.uint64)).view(np.int64),
+                                 own=_refine(own, low.astype(np.uint64)).view(np.int64))
 
     return split
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
 def remove_repeats(docs: DataFrame, width: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept): one row per row of ``docs``;
     ``kept`` is binary, the remaining bytes joined."""

@@ -1,8 +1,10 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from affinity.llm import repeats
 from affinity.llm.repeats import remove_repeats
 
 
@@ -40,8 +42,6 @@ def test_against_brute_force(rows_of, seed, width):
 
 
 def test_long_text_and_extra_columns(rows_of, monkeypatch):
-    from affinity.llm import repeats
-
     monkeypatch.setattr(repeats, "BLOCK", 1000)
     rnd = random.Random(1)
     long = "".join(rnd.choice("abcdefghij") for _ in range(5000))
@@ -52,3 +52,17 @@ def test_long_text_and_extra_columns(rows_of, monkeypatch):
     got = remove_repeats(rows_of(rows, "doc_id long, text string, place int, bucket string")).collect()
     assert sorted((r.doc_id, r.n_removed, r.n_spans) for r in got) == [(i, e[1], e[2]) for (i, *_), e in zip(rows, brute(texts, 200))]
     assert remove_repeats(rows_of(rows[:0], "doc_id long, text string, place int, bucket string")).count() == 0
+
+
+def test_refined_buckets_are_those_of_equal_bytes():
+    """At every depth two places share a bucket exactly if their bytes are equal."""
+    rnd = random.Random(3)
+    buf = bytes(rnd.choice(b"ab") for _ in range(1500)) + b"a" * 900 + b"ab" * 300
+    grams = repeats._gram_buckets(np.frombuffer(buf, np.uint8))
+    bytes_of, bucket_of = {}, {}
+    for size in (32, 33, 63, 64, 65, 127, 128, 158, 190, 200, 255, 256, 257, 368):
+        place = np.arange(len(buf) - size + 1)
+        for at, bucket in enumerate(repeats._refined(grams, place, np.full(len(place), size)).tolist()):
+            own = buf[at:at + size]
+            assert bytes_of.setdefault(bucket, own) == own
+            assert bucket_of.setdefault(own, bucket) == bucket
