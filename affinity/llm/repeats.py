@@ -30,7 +30,8 @@ And neighbouring places have nearly the same bytes, so places are kept as runs.
 
 Counts are partial aggregates and verdicts come back through equi-joins, so
 copies in any number, or a passage in a third of all documents, cost one row
-each and are never gathered or paired.
+each and are never gathered or paired. The rows of a bucket or class that holds
+more than its share are dealt over many tasks (``_met``).
 
 Defined results: a null text is empty; texts shorter than ``width`` bytes keep
 everything; matches never cross documents; each row counts as a document of its
@@ -53,6 +54,8 @@ from affinity.llm.common import shared_table, ship_code
 Q = 32            # bytes of the q-gram that names a bucket
 BLOCK = 1 << 20   # window starts that are laid out at once
 SPLIT = 4         # parts into which an open part is split
+HOT_KEYS = 512    # a key is hot if it holds over 1 / HOT_KEYS of the rows: fewer than that can be
+HOT_PARTS = 64    # tasks that the rows of a hot key are dealt to
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -160,14 +163,29 @@ def _spread(width: int) -> list[int]:
     return spans
 
 
+def _met(rows: DataFrame, keyed: DataFrame, on: list[str], size: str) -> DataFrame:
+    """``rows`` joined with ``keyed``, a written table whose column ``size`` says
+    how many of the rows have the key. The rows of a hot key are dealt by a hash
+    of the whole row, and the key's rows of ``keyed`` are repeated for each part."""
+    total = keyed.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) > max(total // HOT_KEYS, HOT_PARTS)
+    parts = F.when(hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    names = keyed.filter(hot).select(*on).distinct().withColumn("hot", F.lit(True))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_PARTS)).cast("int")).otherwise(0)
+    dealt = rows.join(F.broadcast(names), on, "left").withColumn("salt", salt).drop("hot")
+    return dealt.join(keyed.withColumn("salt", F.explode(parts)).drop(size), [*on, "salt"]).drop("salt")
+
+
 def _verdicts(rows: DataFrame) -> DataFrame:
-    """(bucket, own, m, open) of the classes that are not finished as unique: m
-    places have these bytes; open: the bucket has several classes, one of them
-    with a single member, and has to be refined."""
-    classes = rows.groupBy("bucket", "own").agg(F.sum("n").alias("m"))
-    buckets = classes.groupBy("bucket").agg(
-        (F.count("*") > 1).alias("mixed"), (F.count_if(F.col("m") == 1) > 0).alias("single")).filter("mixed OR NOT single")
-    return classes.join(buckets, "bucket").select("bucket", "own", "m", (F.col("mixed") & F.col("single")).alias("open"))
+    """(bucket, own, m, open, size) of the classes that are not finished as
+    unique: m places have these bytes, in ``size`` rows; open: the bucket has
+    several classes, one of them with a single member, and has to be refined."""
+    classes = shared_table(rows.groupBy("bucket", "own").agg(F.sum("n").alias("m"), F.count("*").alias("size")))
+    buckets = shared_table(classes.groupBy("bucket").agg(
+        (F.count("*") > 1).alias("mixed"), (F.count_if(F.col("m") == 1) > 0).alias("single"), F.count("*").alias("classes"))
+        .filter("mixed OR NOT single"))
+    return _met(classes, buckets, ["bucket"], "classes").select(
+        "bucket", "own", "m", (F.col("mixed") & F.col("single")).alias("open"), "size")
 
 
 def repeated_spans(docs: DataFrame, width: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,16 +214,17 @@ def repeated_spans(docs: DataFrame, width: int = 200, id_col: str = "doc_id", te
 
     # step 2 on whole runs: a bucket needs its number of runs and whether their bytes differ
     buckets = runs.groupBy("bucket").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high"))
-    live = buckets.filter("n > 1").select("bucket", (F.col("low") < F.col("high")).alias("mixed"))
-    found = shared_table(runs.join(live, "bucket"))
+    live = shared_table(buckets.filter("n > 1").select("bucket", "n", (F.col("low") < F.col("high")).alias("mixed")))
+    found = shared_table(_met(runs, live, ["bucket"], "n"))
     done = found.filter("NOT mixed").select("id", "tag", "place", "near", "far")
 
     # step 3: classes of the mixed buckets, with the bytes of one member
     classes = shared_table(found.filter("mixed").groupBy("bucket", "own").agg(
         F.count("*").alias("n"), F.first("id").alias("id"), F.first("tag").alias("tag"), F.first("place").alias("place"),
         F.first("near").alias("near"), F.first("far").alias("far")))
-    singles = classes.groupBy("bucket").agg(F.count_if(F.col("n") == 1).alias("s")).filter("s > 0").select("bucket")
-    opened = classes.join(singles, "bucket", "left_semi")
+    singles = shared_table(classes.groupBy("bucket").agg(F.count_if(F.col("n") == 1).alias("s"), F.count("*").alias("classes"))
+                           .filter("s > 0").select("bucket", "classes"))
+    opened = _met(classes, singles, ["bucket"], "classes")
     wanted = opened.groupBy("id", "tag").agg(F.collect_list(F.struct("bucket", "own", "n", "place", "near", "far")).alias("w"))
 
     def bytes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,16 +237,14 @@ def repeated_spans(docs: DataFrame, width: int = 200, id_col: str = "doc_id", te
                           .dropDuplicates(["run_bucket", "run_own"]))
     held = member.select("run_bucket", "run_own", F.col("far").alias("place"), "bytes")
     open_ = member.select("run_bucket", "run_own", "n", "near", "far")
-    repeated = classes.filter("n > 1").select(F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own"), "near", "far")
+    repeated = classes.filter("n > 1").select(F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own"), "near", "far", "n")
     for span in _spread(width)[1:]:
         parts = shared_table(open_.join(held, ["run_bucket", "run_own"]).mapInPandas(_splitter(span, width), PART))
-        # a table of its own: the join is then dealt by bucket and class, which spreads a hot bucket
-        verdicts = shared_table(_verdicts(parts))
-        judged = shared_table(parts.join(verdicts, ["bucket", "own"]))
-        repeated = repeated.union(judged.filter("m > 1").select("run_bucket", "run_own", "near", "far"))
+        judged = shared_table(_met(parts, shared_table(_verdicts(parts)), ["bucket", "own"], "size"))
+        repeated = repeated.union(judged.filter("m > 1").select("run_bucket", "run_own", "near", "far", "n"))
         open_ = judged.filter("open").select("run_bucket", "run_own", "n", "near", "far")
-    hits = found.filter("mixed").select("id", "tag", "place", F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own")).join(
-        repeated, ["run_bucket", "run_own"]).select("id", "tag", "place", "near", "far")
+    members = found.filter("mixed").select("id", "tag", "place", F.col("bucket").alias("run_bucket"), F.col("own").alias("run_own"))
+    hits = _met(members, repeated, ["run_bucket", "run_own"], "n").select("id", "tag", "place", "near", "far")
     # a text has less than 2**31 bytes: a range is packed into one number
     start, end = F.col("place") - F.col("far"), F.col("place") - F.col("near") + width
     packed = F.shiftleft(start.cast("long"), 32) + end

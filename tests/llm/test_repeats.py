@@ -33,8 +33,11 @@ def fixture(seed):
     return list(enumerate(docs)) + [(3, p), (None, p[:333]), (None, txt(260))]
 
 
-@pytest.mark.parametrize("seed,width", [(5, 200), (6, 200), (7, 40)])
-def test_against_brute_force(rows_of, seed, width):
+@pytest.mark.parametrize("seed,width,hot", [(5, 200, None), (6, 200, 3), (7, 40, None)])
+def test_against_brute_force(rows_of, seed, width, hot, monkeypatch):
+    if hot:  # every key of more than so many rows counts as hot
+        monkeypatch.setattr(repeats, "HOT_KEYS", 1 << 40)
+        monkeypatch.setattr(repeats, "HOT_PARTS", hot)
     rows = fixture(seed)
     got = remove_repeats(rows_of(rows), width).collect()
     want = [(i, *e) for (i, _), e in zip(rows, brute([(t or "").encode() for _, t in rows], width))]
