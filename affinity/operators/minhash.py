@@ -47,6 +47,8 @@ TOP_K = 100
 DESCENT = (31 / 32, 28 / 32, 24 / 32, 20 / 32, 17 / 32)
 # Signatures of a bucket that are joined with each other under one key.
 BLOCK = 2000
+# Rows whose hashes are computed at once.
+FOLD_ROWS = 8192
 # Largest item number: a * item + b must stay below 2**63 for every hash function.
 MAX_ITEM = (2**63 - 1 - PRIME) // PRIME
 
@@ -78,7 +80,7 @@ def min_set_size(df: DataFrame, n: int = MIN_ITEMS, user: str = "user_id",
 
 def signatures(df: DataFrame, user: str = "user_id", item: str = "item_id",
                n_hashes: int = NUM_HASHES, min_items: int = 0, engine: str = "numpy",
-               distinct_input: bool = False, number: str | None = None) -> DataFrame:
+               distinct_input: bool = False, number: str | None = None, grouped: bool = False) -> DataFrame:
     """M4: (user, n_items, sig array<int>, sig_key bigint).
 
     sig[i] = min over the user's items of (a_i * item + b_i) mod p. Null items
@@ -89,10 +91,13 @@ def signatures(df: DataFrame, user: str = "user_id", item: str = "item_id",
     apart by the items. A number beyond +-9e9 is an error.
 
     ``engine="numpy"``: each task folds its Arrow batches into per-user
-    partial minima (numpy, a bounded buffer), then a ``min`` aggregate merges
-    the partials by user. ``engine="sql"``: 128 ``min`` aggregates over the
+    partial minima (numpy, one batch held), then a ``min`` aggregate merges
+    the partials by user. The (user, number) rows are brought together by user
+    first, in partitions that Spark splits where a user is huge; ``grouped``
+    skips that for rows that mostly come user by user as they are.
+    ``engine="sql"``: 128 ``min`` aggregates over the
     rows, JVM only. Both are partial-then-final aggregations, so a user with a
-    huge set is spread over all map tasks. ``distinct_input`` skips the
+    huge set is spread over many map tasks. ``distinct_input`` skips the
     (user, item) de-duplication when the caller guarantees it.
     """
     rows = df.select(user, item)
@@ -102,6 +107,8 @@ def signatures(df: DataFrame, user: str = "user_id", item: str = "item_id",
         rows = rows.distinct()
     rows = rows.select(user, (F.expr(number) if number else F.col(item)).cast("bigint").alias("_x"))
     if engine == "numpy":
+        if not grouped:
+            rows = rows.hint("rebalance", user).sortWithinPartitions(user)
         partial = _numpy_partials(rows, user, "_x", n_hashes)
         agg = partial.groupBy(user).agg(
             F.sum("_n").alias("n_items"),
@@ -131,73 +138,81 @@ def signature_counts(df: DataFrame, user: str = "user_id", item: str = "item_id"
                     F.sum("n_big").alias("n_users_filtered"), F.count_if(F.col("n_big") > 0).alias("n_signatures_filtered"))
 
 
-# Bytes of per-user partial minima that a task keeps before it hands them on
-# (all of them are handed on; the bound is on memory, not on users).
-PARTIAL_BYTES = 32 << 20
-
-
 def _numpy_partials(rows: DataFrame, user: str, item: str, n_hashes: int) -> DataFrame:
     """Per task: (user, _n items, _s partial signature) folded over its batches.
-    Rows with a null item give the empty signature."""
+    Rows with a null item give the empty signature.
+
+    A batch gives a row for each run of rows of one user (rows in no order are
+    brought into runs first), and only its last run waits for the next batch.
+    So a task holds one batch, whatever the number of users, and rows that come
+    user by user give one partial row per user and task. An item number that
+    occurs often in a batch is hashed once.
+    """
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
     a, b = hash_params(n_hashes)
     user_type = rows.schema[user].dataType.simpleString()
-    most, limit = max(1, PARTIAL_BYTES // (8 * n_hashes)), MAX_ITEM
+    limit = MAX_ITEM
 
     def fold(batches):
-        av = np.asarray(a, dtype=np.int64)
-        bv = np.asarray(b, dtype=np.int64)
-        keys, counts, mins, held = [], [], [], 0
-
-        def compact():
-            u = np.concatenate(keys)
-            n = np.concatenate(counts)
-            m = np.concatenate(mins)
-            o = np.argsort(u, kind="stable")
-            u, n, m = u[o], n[o], m[o]
-            st = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
-            return u[st], np.add.reduceat(n, st), np.minimum.reduceat(m, st, axis=0)
-
-        def emit(u, n, m):
-            return pd.DataFrame({user: u, "_n": n, "_s": list(m.astype(np.int32))})
-
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            none = pdf[item].isna().to_numpy()
-            if none.any():
-                alone = np.unique(pdf[user].to_numpy()[none])
-                yield emit(alone, np.zeros(len(alone), np.int64), np.full((len(alone), n_hashes), PRIME))
-                pdf = pdf[~none]
-                if pdf.empty:
-                    continue
-            u = pdf[user].to_numpy()
-            x = pdf[item].to_numpy().astype(np.int64)
-            if np.abs(x).max() > limit:
+        av, bv = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
+
+        def out(users, counts, mins):
+            ends = pa.array(np.arange(len(counts) + 1, dtype=np.int32) * n_hashes)
+            return pa.RecordBatch.from_arrays(
+                [users, pa.array(counts), pa.ListArray.from_arrays(ends, pa.array(mins.ravel()))], names=[user, "_n", "_s"])
+
+        def runs(codes, x):
+            """Starts of the runs of equal codes, their lengths and minima."""
+            start = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            if x.max() > limit or x.min() < -limit:
                 raise ValueError(f"item numbers must be within +-{limit}")
-            o = np.argsort(u, kind="stable")
-            u, x = u[o], x[o]
-            st = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
-            for lo in range(0, len(x), 8192):  # bound the (rows x hashes) matrix
-                hi = min(len(x), lo + 8192)
-                h = (x[lo:hi, None] * av[None, :] + bv[None, :]) % PRIME
-                s2 = np.flatnonzero(np.r_[True, u[lo + 1:hi] != u[lo:hi - 1]])
-                keys.append(u[lo:hi][s2])
-                counts.append(np.diff(np.r_[s2, hi - lo]))
-                mins.append(np.minimum.reduceat(h, s2, axis=0))
-                held += len(s2)
-            if held > most:
-                cu, cn, cm = compact()
-                keys, counts, mins, held = [cu], [cn], [cm], len(cu)
-                if held > most:
-                    yield emit(cu, cn, cm)
-                    keys, counts, mins, held = [], [], [], 0
-        if held:
-            yield emit(*compact())
-
-    return rows.mapInPandas(fold, f"{user} {user_type}, _n bigint, _s array<int>")
+            seen, at = np.unique(x, return_inverse=True)
+            h = np.empty((len(seen), n_hashes), np.int32)
+            for i in range(0, len(seen), 256):  # in the processor's cache
+                h[i:i + 256] = (seen[i:i + 256, None] * av + bv) % PRIME
+            ends = np.r_[start[1:], len(x)]
+            if len(x) < 16 * len(start):
+                mins = np.minimum.reduceat(h[at], start, axis=0)
+            else:  # few long runs
+                mins = np.stack([h.take(at[i:j], axis=0).min(axis=0) for i, j in zip(start, ends)])
+            return start, ends - start, mins
+
+        last = None  # user (an array of one), count and minima of the last run
+        for whole in batches:
+            for lo in range(0, whole.num_rows, FOLD_ROWS):
+                batch = whole.slice(lo, FOLD_ROWS)
+                coded = pc.dictionary_encode(batch.column(0), null_encoding="encode")
+                names, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+                none = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+                if none.any():
+                    alone = np.unique(codes[none])
+                    yield out(names.take(pa.array(alone)), np.zeros(len(alone), np.int64),
+                              np.full((len(alone), n_hashes), PRIME, np.int32))
+                    codes = codes[~none]
+                    if not len(codes):
+                        continue
+                x = batch.column(1).drop_null().to_numpy()
+                if (codes[1:] < codes[:-1]).any():
+                    order = np.argsort(codes, kind="stable")
+                    codes, x = codes[order], x[order]
+                start, counts, mins = runs(codes, x)
+                users = names.take(pa.array(codes[start]))
+                if last is not None:
+                    if last[0].equals(users.slice(0, 1)):
+                        counts[0] += last[1]
+                        mins[0] = np.minimum(mins[0], last[2])
+                    else:
+                        yield out(last[0], np.array([last[1]]), last[2])
+                last = users.slice(len(users) - 1), counts[-1], mins[-1].copy()
+                if len(users) > 1:
+                    yield out(users.slice(0, len(users) - 1), counts[:-1], mins[:-1])
+        if last is not None:
+            yield out(last[0], np.array([last[1]]), last[2])
+
+    return rows.select(user, item).mapInArrow(fold, f"{user} {user_type}, _n bigint, _s array<int>")
 
 
 # ---------------------------------------------------------------- clusters (M5, M6)
@@ -565,7 +580,7 @@ def similar_pairs(df: DataFrame, user: str = "user_id", item: str = "item_id",
                   k: int = TOP_K, min_items: int = MIN_ITEMS, n_bands: int = N_BANDS,
                   rows: int = ROWS_PER_BAND, n_hashes: int = NUM_HASHES,
                   distinct_input: bool = False, persist_input: bool = False,
-                  number: str | None = None) -> DataFrame:
+                  number: str | None = None, grouped: bool = False) -> DataFrame:
     """Sets -> size filter -> signatures -> top-k pairs -> Jaccard.
 
     Signatures are checkpointed to the session's checkpoint folder: the pair
@@ -579,7 +594,7 @@ def similar_pairs(df: DataFrame, user: str = "user_id", item: str = "item_id",
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sigs = reliable_checkpoint(signatures(df, user, item, n_hashes, min_items=min_items,
-                                              distinct_input=distinct_input, number=number))
+                                              distinct_input=distinct_input, number=number, grouped=grouped))
         top = top_pairs(sigs, k, n_bands, rows, user)
         out = jaccard(top, df, user, item, sizes=sigs)
         # k rows; materialized so the persisted input can be released.

@@ -13,15 +13,15 @@ from affinity.sources import fixtures
 K = 100
 N_CLUSTERS = 10
 
-# builder, user column, number of an item (None: the item itself)
+# builder, user column, number of an item (None: the item itself), whether rows come user by user
 SOURCES = {
-    "events": (fixtures.event_items, "user_id", None),
-    "docs": (fixtures.doc_words, "doc_id", fixtures.WORD_NUMBER),
+    "events": (fixtures.event_items, "user_id", None, False),
+    "docs": (fixtures.doc_words, "doc_id", fixtures.WORD_NUMBER, True),
 }
 
 
 def _src(spark: SparkSession, sf_dir: str, name: str):
-    build, user, _ = SOURCES[name]
+    build, user = SOURCES[name][:2]
     return build(spark, sf_dir), user
 
 
@@ -29,7 +29,7 @@ def _sigs(spark: SparkSession, sf_dir: str, name: str):
     df, user = _src(spark, sf_dir, name)
     # Both derived tables are distinct (user, item) rows by construction.
     sigs = minhash.signatures(df, user, "item_id", min_items=minhash.MIN_ITEMS,
-                              distinct_input=True, number=SOURCES[name][2])
+                              distinct_input=True, number=SOURCES[name][2], grouped=SOURCES[name][3])
     return df, user, sigs
 
 
@@ -54,7 +54,8 @@ def signature_digest(spark, sf_dir, name):
 
 def signature_counts(spark, sf_dir, name):
     df, user = _src(spark, sf_dir, name)
-    return minhash.signature_counts(df, user, "item_id", distinct_input=True, number=SOURCES[name][2])
+    return minhash.signature_counts(df, user, "item_id", distinct_input=True, number=SOURCES[name][2],
+                                    grouped=SOURCES[name][3])
 
 
 def signature_clusters(spark, sf_dir, name):
@@ -93,8 +94,9 @@ def top_pairs(spark, sf_dir, name):
 
 def similar_pairs(spark, sf_dir, name):
     df, user = _src(spark, sf_dir, name)
-    return minhash.similar_pairs(df, user, "item_id", k=K, distinct_input=True,
-                                 persist_input=True, number=SOURCES[name][2])
+    # The words are read again for the pairs' documents alone: all of them are not kept.
+    return minhash.similar_pairs(df, user, "item_id", k=K, distinct_input=True, persist_input=name == "events",
+                                 number=SOURCES[name][2], grouped=SOURCES[name][3])
 
 
 def jaccard_summary(spark, sf_dir, name):

@@ -241,3 +241,45 @@ def test_hot_user_signature_spread(spark):
         assert partial.filter("user_id = 0").count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_fold_hands_on_a_row_per_run_and_keeps_a_batch(spark, monkeypatch):
+    """Rows that come user by user give one partial row per user and task, and a
+    user in the middle of a task is handed on at once."""
+    rows = [(u, u * 31 + j) for u in range(3000) for j in range(9)] + [(None, 7), (None, 8)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long").coalesce(1)
+    got = M._numpy_partials(df, "user_id", "item_id", 4).collect()
+    a, b = hash_params(4)
+    assert {r.user_id: (r._n, r._s) for r in got} == {
+        u: (len(x), [min((a[i] * v + b[i]) % PRIME for v in x) for i in range(4)])
+        for u, x in [(u, range(u * 31, u * 31 + 9)) for u in range(3000)] + [(None, (7, 8))]} and len(got) == 3001
+    spread = spark.createDataFrame([(i % 3000, i) for i in range(27000)], "user_id long, item_id long").repartition(6, "item_id")
+    plan = M.signatures(spread, distinct_input=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+
+
+def _documents(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def test_words_of_documents_need_no_shuffle(spark, tmp_path):
+    sf = _documents(spark, tmp_path, [(1, "A b a"), (2, None), (3, ""), (4, "c c")])
+    words = fixtures.doc_words(spark, sf)
+    assert sorted(map(tuple, words.collect())) == [(1, "a"), (1, "b"), (3, ""), (4, "c")]
+    assert "Exchange" not in words._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_repeated_and_missing_ids_are_distinct(spark, tmp_path):
+    sf = _documents(spark, tmp_path, [(1, "a b"), (1, "b c"), (2, "a a"), (None, "x"), (None, "x y"), (3, None), (3, "z")])
+    got = sorted(map(tuple, fixtures.doc_words(spark, sf).collect()), key=str)
+    assert got == sorted([(1, "a"), (1, "b"), (1, "c"), (2, "a"), (None, "x"), (None, "y"), (3, "z")], key=str)
+
+
+def test_similar_documents_are_not_kept_in_memory(spark, tmp_path, monkeypatch):
+    from affinity.plans import twins
+    sf = _documents(spark, tmp_path, [(i, f"a b c d {i % 3}") for i in range(12)])
+    kept = []
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda df, *level, f=type(spark.range(1)).persist: kept.append(df.columns) or f(df, *level))
+    rows = twins.similar_pairs(spark, sf, "docs").collect()
+    assert len(rows) == 66 and ["doc_id", "item_id"] not in kept
