@@ -114,3 +114,20 @@ def test_a_grid_goes_on_where_it_was_ended(spark, train, tmp_path, monkeypatch):
     assert best == alone[0] | {"ndcg": pytest.approx(alone[0]["ndcg"])} and best["ndcg"] > 0 and model.rank == best["rank"]
     by = lambda df: {(r["rank"], r.reg): pytest.approx((r.n_users, r.precision_at_k, r.ndcg_at_k, r.map_at_k)) for r in df.collect()}
     assert {p: m.expected for p, m in by(results).items()} == by(alone[1])
+
+
+def test_only_items_that_may_enter_a_list_are_sorted(monkeypatch):
+    """Items of equal norm cannot be pruned: all are multiplied, few are sorted, and the lists are exact."""
+    rng = np.random.default_rng(7)
+    items = rng.gamma(1.0, 1.0, size=(40_000, 8)).astype(np.float32).astype(float)
+    items = (items / np.sqrt((items ** 2).sum(axis=1))[:, None]).astype(np.float32).astype(float)
+    items[500:540] = items[0]  # equal scores
+    order = np.lexsort((np.arange(len(items)), -np.sqrt((items ** 2).sum(axis=1))))
+    users = rng.gamma(1.0, 1.0, size=(40, 8)).astype(np.float32).astype(float)
+    sorted_entries, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, axis=-1: sorted_entries.append(np.asarray(keys[0]).size) or lexsort(keys, axis=axis))
+    names, scores, blocks, done = products.best_of_chunk(
+        users, np.full((40, 20), -1, np.int64), np.full((40, 20), -np.inf, np.float32), order, items[order], -1.0)
+    monkeypatch.undo()
+    assert {u: list(zip(names[u].tolist(), scores[u].tolist())) for u in range(40)} == brute(users, items, 20)
+    assert sum(sorted_entries) < 0.2 * 40 * len(items) and blocks.min() == 40 and done.all()
