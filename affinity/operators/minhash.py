@@ -16,14 +16,19 @@ Scale notes
   into n_bands - t + 1 groups; such a pair agrees on every band of at least one
   group. Longer group keys make far smaller buckets than single bands. The
   top-k search goes down these levels, skips those that a bound on their pairs
-  rules out, and only counts the join on single bands, once, if all of them
-  together hold fewer than k pairs.
+  rules out. If all of them together hold fewer than k pairs, small tables
+  count the join on single bands, once; larger ones are searched on subsets of
+  2 to 4 bands (``_subsets``), whose buckets stay small where single bands
+  do not, at a threshold that a look at some of these buckets proposes and the
+  exact search confirms.
 * A bucket of many different signatures is joined block by block, each pair of
   blocks under a key of its own.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
 from collections.abc import Sequence
 
@@ -47,6 +52,8 @@ TOP_K = 100
 DESCENT = (31 / 32, 28 / 32, 24 / 32, 20 / 32, 17 / 32)
 # Signatures of a bucket that are joined with each other under one key.
 BLOCK = 2000
+# Joined rows of single bands up to which they are just counted.
+COUNTED = 10_000_000
 # Rows whose hashes are computed at once.
 FOLD_ROWS = 8192
 # Largest item number: a * item + b must stay below 2**63 for every hash function.
@@ -324,7 +331,7 @@ def _keyed(cl: DataFrame, n_bands: int, rows: int, n_groups: int | None = None)
                         F.xxhash64(F.col("_g.g"), F.col("_g.key")).alias("gk"))
 
 
-def _deal(keyed: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+def _deal(keyed: DataFrame, block: int, *carried: str) -> tuple[DataFrame, DataFrame]:
     """Both sides of the triangular join: every row stands on the low side for
     its own and all higher blocks of its bucket, and on the high side for its
     own and all lower ones."""
@@ -333,9 +340,9 @@ def _deal(keyed: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
     dealt = keyed.join(small_side(reliable_checkpoint(hot)), "gk", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
     dealt = dealt.withColumn("_b", F.pmod(F.xxhash64("rep", "g"), F.col("_blocks")).cast("int"))
     low = dealt.select("gk", "g", "key", F.col("_b").alias("lo"), F.explode(F.sequence("_b", F.col("_blocks") - 1)).alias("hi"),
-                       F.col("rep").alias("_r1"), F.col("n_users").alias("_n1"))
+                       F.col("rep").alias("_r1"), F.col("n_users").alias("_n1"), *[F.col(c).alias(f"{c}1") for c in carried])
     high = dealt.select("gk", "g", "key", F.explode(F.sequence(F.lit(0), "_b")).alias("lo"), F.col("_b").alias("hi"),
-                        F.col("rep").alias("_r2"), F.col("n_users").alias("_n2"))
+                        F.col("rep").alias("_r2"), F.col("n_users").alias("_n2"), *[F.col(c).alias(f"{c}2") for c in carried])
     return low, high
 
 
@@ -365,9 +372,14 @@ def _rep_pairs_counted(cl: DataFrame, n_bands: int, rows: int) -> DataFrame:
 
 def _rep_pairs_grouped(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFrame:
     """The same for more than half the bands: candidates agree on a whole group
-    of bands and are then compared signature by signature."""
-    keyed = _keyed(cl, n_bands, rows, n_bands - min_count + 1)
-    cand = _bucket_pairs(keyed).select("rep1", "rep2").distinct()
+    of bands, and those that their sketches leave are compared signature by signature."""
+    n = n_bands - min_count + 1
+    groups = [tuple(range((g * n_bands) // n, ((g + 1) * n_bands) // n)) for g in range(n)]
+    return _met_on(cl, groups, min_count, n_bands, rows)
+
+
+def _scored(cl: DataFrame, cand: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFrame:
+    """The candidates (rep1, rep2) that share at least ``min_count`` bands, compared signature by signature."""
     s1 = cl.select(F.col("rep").alias("rep1"), F.col("sig").alias("s1"),
                    F.col("n_users").alias("n1"))
     s2 = cl.select(F.col("rep").alias("rep2"), F.col("sig").alias("s2"),
@@ -378,6 +390,106 @@ def _rep_pairs_grouped(cl: DataFrame, min_count: int, n_bands: int, rows: int) -
     return scored.filter(F.col("count") >= min_count)
 
 
+def _subsets(n_bands: int, t: int, c: int) -> list[tuple[int, ...]]:
+    """Sets of ``c`` bands such that any ``t`` of the bands hold one of them
+    (c <= t): the bands are cut into (t - 1) div (c - 1) contiguous parts, so
+    that one part has at least c of the t, and all c-subsets of each part are taken."""
+    parts = n_bands if c == 1 else min(n_bands // c, (t - 1) // (c - 1))
+    bounds = [(p * n_bands) // parts for p in range(parts + 1)]
+    return [s for lo, hi in zip(bounds, bounds[1:]) for s in itertools.combinations(range(lo, hi), c)]
+
+
+def _sketched(cl: DataFrame, n_bands: int, rows: int) -> DataFrame:
+    """(rep, n_users, _h array<bigint>, _w array<bigint>): each band's hash, and a byte of each, eight to a word."""
+    def word(lo: int) -> Column:
+        byte = [F.shiftleft(F.col("_h")[j].bitwiseAND(F.lit(255)), 8 * (j - lo)) for j in range(lo, min(lo + 8, n_bands))]
+        return functools.reduce(lambda x, y: x.bitwiseOR(y), byte)
+
+    hashed = cl.select("rep", "n_users", F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)),
+                                                     lambda j: F.xxhash64(F.slice("sig", j * rows + 1, rows))).alias("_h"))
+    return hashed.withColumn("_w", F.array(*[word(lo) for lo in range(0, n_bands, 8)]))
+
+
+def _at_most_shared(w1: str, w2: str, n_bands: int) -> Column:
+    """Bands whose bytes are equal: never fewer than the bands shared."""
+    differ = F.lit(0)
+    for i in range((n_bands + 7) // 8):
+        x = F.col(w1)[i].bitwiseXOR(F.col(w2)[i])
+        for shift in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.lit(n_bands) - differ
+
+
+def _subset_pairs(sketched: DataFrame, subsets: Sequence[tuple[int, ...]], n_bands: int, block: int = BLOCK) -> DataFrame:
+    """(rep1, rep2, n1, n2, most): a row for each subset of bands in which two
+    signatures agree, with an upper bound of the bands they share. Only hashes
+    and sketches are shuffled; hot buckets are dealt block by block."""
+    key = F.array(*[F.xxhash64(F.lit(i), *[F.col("_h")[j] for j in s]) for i, s in enumerate(subsets)])
+    keyed = sketched.select(F.explode(key).alias("gk"), "rep", "n_users", "_w").withColumn("g", F.lit(0)).withColumn("key", F.lit(0))
+    low, high = _deal(keyed, block, "_w")
+    met = low.join(high, ["gk", "lo", "hi"]).filter((F.col("lo") < F.col("hi")) | (F.col("_r1") < F.col("_r2")))
+    swap = F.col("_r1") > F.col("_r2")
+    return met.select(F.least("_r1", "_r2").alias("rep1"), F.greatest("_r1", "_r2").alias("rep2"),
+                      F.when(swap, F.col("_n2")).otherwise(F.col("_n1")).alias("n1"),
+                      F.when(swap, F.col("_n1")).otherwise(F.col("_n2")).alias("n2"),
+                      _at_most_shared("_w1", "_w2", n_bands).alias("most"))
+
+
+def _rep_pairs_subsets(cl: DataFrame, min_count: int, c: int, n_bands: int, rows: int) -> DataFrame:
+    """Pairs of distinct signatures sharing >= min_count bands, found on subsets
+    of ``c`` bands and compared signature by signature."""
+    return _met_on(cl, _subsets(n_bands, min_count, c), min_count, n_bands, rows)
+
+
+def _met_on(cl: DataFrame, subsets: Sequence[tuple[int, ...]], min_count: int, n_bands: int, rows: int) -> DataFrame:
+    """Pairs that agree on one of the subsets and share >= min_count bands:
+    only those whose sketches allow it are joined with their signatures."""
+    found = _subset_pairs(_sketched(cl, n_bands, rows), subsets, n_bands).filter(F.col("most") >= min_count)
+    return _scored(cl, found.select("rep1", "rep2").distinct(), min_count, n_bands, rows)
+
+
+def _bucket_sums(cl: DataFrame, sizes: Sequence[int], n_bands: int, rows: int) -> dict[int, float]:
+    """For each c the pairs of signatures per group of c contiguous bands, on average."""
+    def hashes(c: int) -> Column:
+        return F.array(*[F.struct(F.lit(c).alias("c"), F.xxhash64(F.lit(j), F.slice("sig", j * rows + 1, c * rows)).alias("h"))
+                         for j in range(0, n_bands - c + 1, c)])
+
+    m = F.col("m").cast("double")
+    sums = cl.select(F.explode(F.concat(*map(hashes, sizes))).alias("k")).groupBy("k.c", "k.h").agg(
+        F.count(F.lit(1)).alias("m")).groupBy("c").agg(F.sum(m * (m - 1) / 2).alias("s")).collect()  # a row per size
+    return {r.c: r.s / len(range(0, n_bands - r.c + 1, r.c)) for r in sums}
+
+
+def _best_low_pairs(cl: DataFrame, need: int, n_bands: int, rows: int, keep) -> DataFrame | None:
+    """All pairs with at least t shared bands, for a t at or below which ``need``
+    user pairs lie, or None where counting single bands is the better way.
+
+    The pairs that agree on some groups of contiguous bands propose t by their
+    sketches; the exact search at t tells whether it is low enough.
+    """
+    sizes = [c for c in (1, 2, 3, 4) if c <= n_bands]
+    per_key = _bucket_sums(cl, sizes, n_bands, rows)
+    if per_key.get(1, 0) * n_bands <= COUNTED:
+        return None
+    n = cl.count()
+    probe = next((c for c in sizes[1:] if per_key[c] * (n_bands // c) <= 64 * n), sizes[-1])
+    groups = [tuple(range(j, j + probe)) for j in range(0, n_bands - probe + 1, probe)]
+    seen = _subset_pairs(_sketched(cl, n_bands, rows), groups, n_bands).groupBy("most").agg(F.sum(F.col("n1") * F.col("n2")).alias("w"))
+    t, total = 1, 0
+    for most, w in sorted(((r.most, r.w) for r in seen.collect()), reverse=True):  # n_bands rows
+        total += w
+        if total >= need:
+            t = most
+            break
+    for t in range(t, 1, -1):
+        cost = {c: len(_subsets(n_bands, t, c)) * (per_key[c] + 8 * n) for c in sizes if c <= t}
+        level = keep(_rep_pairs_subsets(cl, t, min(cost, key=cost.get), n_bands, rows))
+        if (level.agg(F.sum(F.col("n1") * F.col("n2"))).first()[0] or 0) >= need:
+            return level
+    return None
+
+
 def level_bounds(cl: DataFrame, levels: Sequence[int], n_bands: int, rows: int) -> dict[int, int]:
     """For each level t an upper bound of the number of user pairs between
     clusters that share at least t bands, without a join.
@@ -473,7 +585,8 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
     smallest members. Otherwise go down the levels of ``descent`` until the
     pairs with count >= t, weighted by group sizes, reach k; a level is only
     joined if its bound (``level_bounds``, one aggregate for all of them) lets it
-    reach k. If no level does, the join on single bands is counted once, and the
+    reach k. If no level does, lower ones are searched on subsets of bands
+    (``_best_low_pairs``); on small tables the join on single bands is counted once, and the
     largest t that reaches k is read from its counts. Each level is one job on
     the driver's order;
     ``sigs`` should be persisted or checkpointed by the caller. The k result
@@ -505,6 +618,8 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
                     break
                 cached.remove(level)
                 level.unpersist()
+            if rp is None:
+                rp = _best_low_pairs(cl, k - int(within_total), n_bands, rows, lambda df: cached.append(df.persist()) or cached[-1])
             if rp is None:
                 rp = _rep_pairs_counted(cl, n_bands, rows).persist()
                 cached.append(rp)

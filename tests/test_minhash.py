@@ -283,3 +283,25 @@ def test_similar_documents_are_not_kept_in_memory(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(spark.range(1)), "persist", lambda df, *level, f=type(spark.range(1)).persist: kept.append(df.columns) or f(df, *level))
     rows = twins.similar_pairs(spark, sf, "docs").collect()
     assert len(rows) == 66 and ["doc_id", "item_id"] not in kept
+
+
+@pytest.mark.parametrize("t", [1, 2, 3, 5, 8, 10, 16])
+def test_subsets_of_bands_meet_every_pair(t):
+    rng = np.random.default_rng(t)
+    for c in range(1, min(t, 4) + 1):
+        subsets = [set(s) for s in M._subsets(32, t, c)]
+        for _ in range(200):
+            shared = set(rng.choice(32, t, replace=False).tolist())
+            assert any(s <= shared for s in subsets), (t, c)
+
+
+def test_top_pairs_of_sets_that_share_few_bands(spark, monkeypatch):
+    """Independent sets of few items: no level is reached, single bands meet too often to be counted."""
+    rng = np.random.default_rng(5)
+    rows = [(u, int(i)) for u in range(220) for i in rng.choice(40, 18, replace=False)]
+    sigs = M.signatures(spark.createDataFrame(rows, "user_id int, item_id int"), min_items=3).persist()
+    brute = brute_pairs(sigs)
+    monkeypatch.setattr(M, "COUNTED", 100)
+    monkeypatch.setattr(M, "_rep_pairs_counted", lambda *a: pytest.fail("single bands were joined"))
+    top = [((r.user1, r.user2), r["count"]) for r in M.top_pairs(sigs, 25).collect()]
+    assert top == ordered_top(brute, 25) and 2 <= top[-1][1] <= 16
