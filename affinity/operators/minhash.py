@@ -54,6 +54,8 @@ DESCENT = (31 / 32, 28 / 32, 24 / 32, 20 / 32, 17 / 32)
 BLOCK = 2000
 # Joined rows of single bands up to which they are just counted.
 COUNTED = 10_000_000
+# Joined rows a signature up to which top_pairs joins a level on whole groups of bands.
+LEVEL_ROWS = 16
 # Rows whose hashes are computed at once.
 FOLD_ROWS = 8192
 # Largest item number: a * item + b must stay below 2**63 for every hash function.
@@ -400,21 +402,25 @@ def _subsets(n_bands: int, t: int, c: int) -> list[tuple[int, ...]]:
 
 
 def _sketched(cl: DataFrame, n_bands: int, rows: int) -> DataFrame:
-    """(rep, n_users, _h array<bigint>, _w array<bigint>): each band's hash, and a byte of each, eight to a word."""
+    """(rep, n_users, _h array<bigint>, _w0_, _w8_, ... bigint): each band's hash, and a byte of each, eight to a word."""
     def word(lo: int) -> Column:
         byte = [F.shiftleft(F.col("_h")[j].bitwiseAND(F.lit(255)), 8 * (j - lo)) for j in range(lo, min(lo + 8, n_bands))]
         return functools.reduce(lambda x, y: x.bitwiseOR(y), byte)
 
     hashed = cl.select("rep", "n_users", F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)),
                                                      lambda j: F.xxhash64(F.slice("sig", j * rows + 1, rows))).alias("_h"))
-    return hashed.withColumn("_w", F.array(*[word(lo) for lo in range(0, n_bands, 8)]))
+    return hashed.withColumns({w: word(8 * i) for i, w in enumerate(_words(n_bands))})
 
 
-def _at_most_shared(w1: str, w2: str, n_bands: int) -> Column:
+def _words(n_bands: int) -> list[str]:
+    return [f"_w{lo}_" for lo in range(0, n_bands, 8)]
+
+
+def _at_most_shared(n_bands: int) -> Column:
     """Bands whose bytes are equal: never fewer than the bands shared."""
     differ = F.lit(0)
-    for i in range((n_bands + 7) // 8):
-        x = F.col(w1)[i].bitwiseXOR(F.col(w2)[i])
+    for w in _words(n_bands):
+        x = F.col(f"{w}1").bitwiseXOR(F.col(f"{w}2"))
         for shift in (4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
         differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
@@ -426,14 +432,15 @@ def _subset_pairs(sketched: DataFrame, subsets: Sequence[tuple[int, ...]], n_ban
     signatures agree, with an upper bound of the bands they share. Only hashes
     and sketches are shuffled; hot buckets are dealt block by block."""
     key = F.array(*[F.xxhash64(F.lit(i), *[F.col("_h")[j] for j in s]) for i, s in enumerate(subsets)])
-    keyed = sketched.select(F.explode(key).alias("gk"), "rep", "n_users", "_w").withColumn("g", F.lit(0)).withColumn("key", F.lit(0))
-    low, high = _deal(keyed, block, "_w")
+    words = _words(n_bands)
+    keyed = sketched.select(F.explode(key).alias("gk"), "rep", "n_users", *words).withColumn("g", F.lit(0)).withColumn("key", F.lit(0))
+    low, high = _deal(keyed, block, *words)
     met = low.join(high, ["gk", "lo", "hi"]).filter((F.col("lo") < F.col("hi")) | (F.col("_r1") < F.col("_r2")))
     swap = F.col("_r1") > F.col("_r2")
     return met.select(F.least("_r1", "_r2").alias("rep1"), F.greatest("_r1", "_r2").alias("rep2"),
                       F.when(swap, F.col("_n2")).otherwise(F.col("_n1")).alias("n1"),
                       F.when(swap, F.col("_n1")).otherwise(F.col("_n2")).alias("n2"),
-                      _at_most_shared("_w1", "_w2", n_bands).alias("most"))
+                      _at_most_shared(n_bands).alias("most"))
 
 
 def _rep_pairs_subsets(cl: DataFrame, min_count: int, c: int, n_bands: int, rows: int) -> DataFrame:
@@ -492,7 +499,13 @@ def _best_low_pairs(cl: DataFrame, need: int, n_bands: int, rows: int, keep) ->
 
 def level_bounds(cl: DataFrame, levels: Sequence[int], n_bands: int, rows: int) -> dict[int, int]:
     """For each level t an upper bound of the number of user pairs between
-    clusters that share at least t bands, without a join.
+    clusters that share at least t bands, without a join."""
+    return {t: bound for t, (bound, _) in _level_sums(cl, levels, n_bands, rows).items()}
+
+
+def _level_sums(cl: DataFrame, levels: Sequence[int], n_bands: int, rows: int) -> dict[int, tuple[int, float]]:
+    """For each level t the bound of ``level_bounds`` and the pairs of clusters
+    that meet in the level's groups of bands.
 
     Such a pair agrees on a whole group of bands, so it is counted in that
     group's bucket: a bucket whose clusters have n_1, n_2, ... users holds
@@ -507,8 +520,10 @@ def level_bounds(cl: DataFrame, levels: Sequence[int], n_bands: int, rows: int)
     n = F.col("n_users").cast("double")  # a bound: the sums may exceed 64 bits
     sums = (cl.select("n_users", F.explode(keys).alias("k")).groupBy("k.t", "k.h")
             .agg(F.sum(n).alias("s"), F.sum(n * n).alias("q"), F.count(F.lit(1)).alias("m")).filter("m > 1"))
-    found = {r.t: r.bound for r in sums.groupBy("t").agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("bound")).collect()}
-    return {t: math.ceil(found.get(t, 0) * (1 + 1e-9)) for t in levels}
+    m = F.col("m").cast("double")
+    found = {r.t: (math.ceil(r.bound * (1 + 1e-9)), r.met) for r in sums.groupBy("t").agg(
+        F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("bound"), F.sum(m * (m - 1) / 2).alias("met")).collect()}
+    return {t: found.get(t, (0, 0.0)) for t in levels}
 
 
 def _first_members(mem: DataFrame, limit: int, user: str) -> DataFrame:
@@ -609,8 +624,11 @@ def top_pairs(sigs: DataFrame, k: int = TOP_K, n_bands: int = N_BANDS,
             mem = members(sigs, cl, user)
             rp = None
             levels = sorted({int(round(f * n_bands)) for f in descent if f * n_bands > n_bands / 2 and f < 1}, reverse=True)
-            bounds = level_bounds(cl, levels, n_bands, rows) if levels else {}
-            for t in (t for t in levels if within_total + bounds[t] >= k):
+            bounds = _level_sums(cl, levels, n_bands, rows) if levels else {}
+            n = cl.count() if levels else 0
+            for t in (t for t in levels if within_total + bounds[t][0] >= k):
+                if bounds[t][1] > max(COUNTED, LEVEL_ROWS * n):
+                    break  # the buckets of this level grow with the square of the table
                 level = _rep_pairs_grouped(cl, t, n_bands, rows).persist()
                 cached.append(level)
                 if within_total + weight(level) >= k:

@@ -305,3 +305,29 @@ def test_top_pairs_of_sets_that_share_few_bands(spark, monkeypatch):
     monkeypatch.setattr(M, "_rep_pairs_counted", lambda *a: pytest.fail("single bands were joined"))
     top = [((r.user1, r.user2), r["count"]) for r in M.top_pairs(sigs, 25).collect()]
     assert top == ordered_top(brute, 25) and 2 <= top[-1][1] <= 16
+
+
+def test_levels_whose_buckets_are_too_full_are_not_joined(spark, monkeypatch):
+    """A bound lets level 17 reach k, but its groups meet in more pairs than wanted."""
+    rng = np.random.default_rng(6)
+    rows = [(u, int(i)) for u in range(300) for i in rng.choice(40, 18, replace=False)]
+    sigs = M.signatures(spark.createDataFrame(rows, "user_id int, item_id int"), min_items=3).persist()
+    brute = brute_pairs(sigs)
+    assert M.level_bounds(M.clusters(sigs), [17], 32, 4)[17] >= 10
+    monkeypatch.setattr(M, "COUNTED", 5)
+    monkeypatch.setattr(M, "LEVEL_ROWS", 0, raising=False)
+    joined, grouped = [], M._rep_pairs_grouped
+    monkeypatch.setattr(M, "_rep_pairs_grouped", lambda cl, t, *a: joined.append(t) or grouped(cl, t, *a))
+    top = [((r.user1, r.user2), r["count"]) for r in M.top_pairs(sigs, 10).collect()]
+    assert top == ordered_top(brute, 10) and 17 not in joined
+
+
+def test_sketches_are_carried_as_plain_columns(spark):
+    """Arrays read in the join's condition made every pair some 30 times as dear."""
+    rows = [(u, (u * 7 + j * (1 + u % 3)) % 60) for u in range(40) for j in range(20)]
+    cl = M.clusters(M.signatures(spark.createDataFrame(rows, "user_id int, item_id int")))
+    sketched = M._sketched(cl, 32, 4)
+    assert [t for c, t in sketched.dtypes if c not in ("rep", "n_users", "_h")] == ["bigint"] * 4
+    most = {(r.rep1, r.rep2): r.most for r in M._subset_pairs(sketched, [(j,) for j in range(32)], 32).collect()}
+    exact = {(r.rep1, r.rep2): r["count"] for r in M._rep_pairs_counted(cl, 32, 4).collect()}
+    assert exact and exact.keys() == most.keys() and all(most[p] >= n for p, n in exact.items())
