@@ -2,8 +2,9 @@
 
 A pair's score is the number of LSH bands in which the two signatures are
 equal (1..n_bands). Everything is built from aggregates, joins and array
-expressions; the one Python step is the numpy fold of the default signature
-engine, which works on Arrow batches (``engine="sql"`` stays on the JVM).
+expressions; the Python steps are the numpy fold of the default signature
+engine (``engine="sql"`` stays on the JVM) and the comparison of the signatures
+of a bucket, both on Arrow batches.
 
 Scale notes
 * Signatures are minima over (user, item) rows, folded per task and merged by
@@ -23,6 +24,9 @@ Scale notes
   exact search confirms.
 * A bucket of many different signatures is joined block by block, each pair of
   blocks under a key of its own.
+* Where single bands are joined, a signature brings the hashes of all its bands
+  to each of its buckets, and a pair is counted in the first bucket that it
+  shares: signatures are shuffled, pairs are not.
 """
 
 from __future__ import annotations
@@ -52,6 +56,10 @@ TOP_K = 100
 DESCENT = (31 / 32, 28 / 32, 24 / 32, 20 / 32, 17 / 32)
 # Signatures of a bucket that are joined with each other under one key.
 BLOCK = 2000
+# The same where signatures are compared in numpy, which takes larger blocks: fewer copies of their rows.
+TILED = 16_384
+# Pairs compared at once, and the size of a bucket from which it is compared by tiles.
+TILE, TILED_FROM = 1 << 18, 32
 # Joined rows of single bands up to which they are just counted.
 COUNTED = 10_000_000
 # Joined rows a signature up to which top_pairs joins a level on whole groups of bands.
@@ -333,6 +341,10 @@ def _keyed(cl: DataFrame, n_bands: int, rows: int, n_groups: int | None = None)
                         F.xxhash64(F.col("_g.g"), F.col("_g.key")).alias("gk"))
 
 
+def _own_block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("rep", "g"), F.col(blocks)).cast("int")
+
+
 def _deal(keyed: DataFrame, block: int, *carried: str) -> tuple[DataFrame, DataFrame]:
     """Both sides of the triangular join: every row stands on the low side for
     its own and all higher blocks of its bucket, and on the high side for its
@@ -340,7 +352,7 @@ def _deal(keyed: DataFrame, block: int, *carried: str) -> tuple[DataFrame, DataF
     hot = keyed.groupBy("gk").agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > block).select(
         "gk", F.ceil(F.col("_m") / block).cast("int").alias("_blocks"))
     dealt = keyed.join(small_side(reliable_checkpoint(hot)), "gk", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-    dealt = dealt.withColumn("_b", F.pmod(F.xxhash64("rep", "g"), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_b", _own_block("_blocks"))
     low = dealt.select("gk", "g", "key", F.col("_b").alias("lo"), F.explode(F.sequence("_b", F.col("_blocks") - 1)).alias("hi"),
                        F.col("rep").alias("_r1"), F.col("n_users").alias("_n1"), *[F.col(c).alias(f"{c}1") for c in carried])
     high = dealt.select("gk", "g", "key", F.explode(F.sequence(F.lit(0), "_b")).alias("lo"), F.col("_b").alias("hi"),
@@ -366,10 +378,127 @@ def _bucket_pairs(keyed: DataFrame, block: int = BLOCK) -> DataFrame:
                       F.when(swap, F.col("_n1")).otherwise(F.col("_n2")).alias("n2"))
 
 
-def _rep_pairs_counted(cl: DataFrame, n_bands: int, rows: int) -> DataFrame:
-    """All pairs of distinct signatures that share a band, with the number of shared bands."""
-    return _bucket_pairs(_keyed(cl, n_bands, rows)).groupBy("rep1", "rep2").agg(
-        F.first("n1").alias("n1"), F.first("n2").alias("n2"), F.count(F.lit(1)).alias("count"))
+def _band_hash(sig: str, j: int, rows: int, salt: int) -> Column:
+    return F.xxhash64(F.lit(salt), F.lit(j), F.slice(sig, j * rows + 1, rows))
+
+
+def _told_apart(cl: DataFrame, n_bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(rep, n_users, _h array<bigint>) with a hash of each band, equal only for
+    equal bands, and (gk, _m): the hashes that several signatures have. A second
+    hash tells whether different bands share one; if so, all are hashed anew."""
+    for salt in itertools.count():
+        hashes = F.array(*[_band_hash("sig", j, rows, salt) for j in range(n_bands)])
+        hashed = cl.filter("rep IS NOT NULL").select("rep", "n_users", "sig", hashes.alias("_h"))
+        second = F.xxhash64("g", F.slice("sig", F.col("g") * rows + 1, F.lit(rows)), F.lit(salt))
+        shared = reliable_checkpoint(hashed.select("sig", F.posexplode("_h").alias("g", "gk")).select("gk", second.alias("_x")).groupBy("gk").agg(
+            F.count(F.lit(1)).alias("_m"), (F.min("_x") != F.max("_x")).alias("_clash")).filter("_m > 1"))
+        if shared.filter("_clash").isEmpty():
+            return hashed.drop("sig"), shared.drop("_clash")
+
+
+def _rep_pairs_counted(cl: DataFrame, n_bands: int, rows: int, block: int | None = None) -> DataFrame:
+    """All pairs of distinct signatures that share a band, with the number of shared bands.
+
+    Each signature is sent to those buckets of its bands that others share, with
+    the hashes of all its bands. So a pair is counted where it first meets and no
+    pair is shuffled. A hot bucket is cut into blocks as in ``_bucket_pairs``.
+    """
+    hashed, shared = _told_apart(cl, n_bands, rows)
+    sizes = shared.select("gk", F.ceil(F.col("_m") / (block or TILED)).cast("int").alias("_blocks"))
+    slim = hashed.select("rep", F.posexplode("_h").alias("g", "gk")).join(small_side(sizes), "gk")
+    dealt = slim.join(hashed, "rep").withColumn("_b", _own_block("_blocks")).withColumn(
+        "_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    n = int(cl.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # work grows with the square of a bucket: not by bytes
+    met = dealt.select("gk", F.least("_b", "_o").alias("lo"), F.greatest("_b", "_o").alias("hi"), (F.col("_b") > F.col("_o")).alias("high"),
+                       "g", "rep", "n_users", "_h").repartition(n, "gk", "lo", "hi").sortWithinPartitions("gk", "lo", "hi", "rep")
+    return _numpy_pairs(met, n_bands)
+
+
+def _numpy_pairs(met: DataFrame, n_bands: int) -> DataFrame:
+    """(rep1, rep2, n1, n2, count): pairs of the rows of each (gk, lo, hi), which
+    come one after the other in the order of ``rep``, one of each block if lo < hi,
+    whose first equal hash is that of band g.
+
+    A task holds one batch and the rows of one key (two blocks). Small buckets
+    are compared side by side, large ones by tiles of ``TILE`` pairs.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    rep_type = met.schema["rep"].dataType.simpleString()
+    tile, tiled_from = TILE, TILED_FROM
+
+    def compare(batches):
+        def pairs(rows, ends):
+            """(p, q, count) of the rows of whole keys."""
+            g, high, apart = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("g", "high", "apart"))
+            h = rows.column("_h").flatten().to_numpy().reshape(-1, n_bands)
+            start = np.r_[0, ends[:-1]]
+            size = ends - start
+            left = np.repeat(ends, size) - np.arange(len(g))  # rows of the key from this one on
+            few = np.repeat(size <= tiled_from, size)
+            for d in range(1, min(tiled_from, size.max())):
+                found = np.flatnonzero(few & (left > d))
+                for i in range(0, len(found), max(1, tile // n_bands)):
+                    p = found[i:i + max(1, tile // n_bands)]
+                    p = p[~apart[p] | (high[p] != high[p + d])]
+                    same = h[p] == h[p + d]
+                    first = same.argmax(axis=1) == g[p]
+                    if first.any():
+                        yield p[first], p[first] + d, same[first].sum(axis=1)
+            for lo, hi in zip(start[size > tiled_from], ends[size > tiled_from]):
+                band = g[lo]
+                code = np.stack([np.unique(h[lo:hi, j], return_inverse=True)[1] for j in range(n_bands)]).astype(
+                    np.int16 if hi - lo < 2 ** 15 else np.int32)
+                place = np.arange(hi - lo)
+                one, two = (place[~high[lo:hi]], place[high[lo:hi]]) if apart[lo] else (place, place)
+                if not len(one) or not len(two):
+                    continue
+                code1, code2 = code[:, one], code[:, two]
+                step = max(1, tile // len(two))
+                for i in range(0, len(one), step):
+                    off = 0 if apart[lo] else i  # columns before the tile's rows have been met
+                    part, others = code1[:, i:i + step, None], code2[:, None, off:]
+                    n = np.ones((part.shape[1], others.shape[2]), np.uint8 if n_bands < 256 else np.int32)
+                    same, seen = np.empty(n.shape, bool), np.zeros(n.shape, bool)
+                    for j in range(n_bands):
+                        if j != band:
+                            np.equal(part[j], others[j], out=same)
+                            if j < band:
+                                seen |= same
+                            else:
+                                n += same
+                    fresh = ~seen
+                    if not apart[lo]:
+                        fresh &= place[i:i + step, None] < place[None, off:]
+                    at = np.flatnonzero(fresh)
+                    p, q = one[i + at // n.shape[1]], two[off + at % n.shape[1]]
+                    if len(at):
+                        yield lo + np.minimum(p, q), lo + np.maximum(p, q), n.ravel()[at]
+
+        def out(rows, ends):
+            rep, users = rows.column("rep"), rows.column("n_users")
+            for p, q, n in pairs(rows, ends):
+                p, q = pa.array(p), pa.array(q)
+                yield pa.RecordBatch.from_arrays([rep.take(p), rep.take(q), users.take(p), users.take(q), pa.array(n.astype(np.int64))],
+                                                 names=["rep1", "rep2", "n1", "n2", "count"])
+
+        kept = []  # batches of a key that may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches([*kept, batch]).combine_chunks().to_batches()[0]
+            keys = [whole.column(c).to_numpy(zero_copy_only=False) for c in ("gk", "lo", "hi")]
+            ends = 1 + np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))
+            if len(ends):
+                yield from out(whole.slice(0, ends[-1]), ends)
+                whole = whole.slice(ends[-1])
+            kept = [whole]
+        if kept:
+            yield from out(kept[0], np.array([kept[0].num_rows]))
+
+    rows = met.withColumn("apart", F.col("lo") < F.col("hi"))
+    return rows.mapInArrow(compare, f"rep1 {rep_type}, rep2 {rep_type}, n1 bigint, n2 bigint, count bigint")
 
 
 def _rep_pairs_grouped(cl: DataFrame, min_count: int, n_bands: int, rows: int) -> DataFrame:

@@ -331,3 +331,51 @@ def test_sketches_are_carried_as_plain_columns(spark):
     most = {(r.rep1, r.rep2): r.most for r in M._subset_pairs(sketched, [(j,) for j in range(32)], 32).collect()}
     exact = {(r.rep1, r.rep2): r["count"] for r in M._rep_pairs_counted(cl, 32, 4).collect()}
     assert exact and exact.keys() == most.keys() and all(most[p] >= n for p, n in exact.items())
+
+
+def _dense(spark, users=240, items=30, size=16, seed=8):
+    rng = np.random.default_rng(seed)
+    rows = [(u, int(i)) for u in range(users) for i in rng.choice(items, size, replace=False)]
+    return M.signatures(spark.createDataFrame(rows, "user_id int, item_id int"), min_items=3).persist()
+
+
+@pytest.mark.parametrize("block, tile, tiled_from", [(None, 1 << 18, 32), (20, 64, 4), (7, 1 << 18, 1000), (None, 100, 2)])
+def test_counted_pairs_match_brute_force_by_any_tiles(spark, monkeypatch, block, tile, tiled_from):
+    monkeypatch.setattr(M, "TILE", tile)
+    monkeypatch.setattr(M, "TILED_FROM", tiled_from)
+    sigs = _dense(spark)
+    cl = M.clusters(sigs).persist()
+    reps = {r.rep for r in cl.collect()}
+    got = [((r.rep1, r.rep2), r["count"]) for r in M._rep_pairs_counted(cl, 32, 4, block).collect()]
+    assert len(got) == len(dict(got)) > 1000
+    assert dict(got) == {p: c for p, c in brute_pairs(sigs).items() if set(p) <= reps}
+
+
+def test_pairs_are_counted_where_they_meet_and_not_shuffled(spark):
+    """The last exchange moves signatures with their bands; no aggregate follows that would shuffle pairs."""
+    plan = M._rep_pairs_counted(M.clusters(_dense(spark)), 32, 4)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("MapInArrow")]
+    assert "Aggregate" not in above and "Join" not in above
+
+
+def test_bands_that_share_a_hash_are_hashed_anew(spark, monkeypatch):
+    real, salts = M._band_hash, []
+
+    def poor(sig, j, rows, salt):
+        salts.append(salt)
+        return F.pmod(real(sig, j, rows, salt), F.lit(5)) if salt == 0 else real(sig, j, rows, salt)
+
+    sigs = _dense(spark, 60)
+    monkeypatch.setattr(M, "_band_hash", poor)
+    cl = M.clusters(sigs).persist()
+    reps = {r.rep for r in cl.collect()}
+    got = {(r.rep1, r.rep2): r["count"] for r in M._rep_pairs_counted(cl, 32, 4).collect()}
+    assert set(salts) == {0, 1} and got == {p: c for p, c in brute_pairs(sigs).items() if set(p) <= reps}
+
+
+def test_counted_pairs_of_text_ids_and_none(spark):
+    assert M._rep_pairs_counted(M.clusters(_dense(spark, 5)).limit(0), 32, 4).count() == 0
+    cl = M.clusters(_dense(spark, 50))
+    ids = cl.withColumn("rep", F.concat(F.lit("u"), F.col("rep").cast("string")))
+    got = M._rep_pairs_counted(ids, 32, 4).collect()
+    assert got and all(r.rep1 < r.rep2 for r in got) and len(got) == M._rep_pairs_counted(cl, 32, 4).count()
