@@ -130,7 +130,7 @@ def als_study(split_df: DataFrame, implicit: bool = False, k: int = 100, seed: i
     else:
         best, grid, model = recommend.tune(train, val, recsys.EXPLICIT_RANKS, recsys.EXPLICIT_REGS,
                                            k=k, seed=seed, user=USER, item=ITEM, rating=RATING, ledger=ledger)
-    recs = recommend.recommend_als(model, k, USER, ITEM, users=test.select(USER).distinct())
+    recs = recommend.recommend_als(model, k, USER, ITEM, users=test.select(USER).distinct(), rows=False)
     return best, grid, recommend.evaluate(recs, test, k, USER, ITEM)
 
 
