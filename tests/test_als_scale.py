@@ -45,3 +45,12 @@ def test_points_of_a_grid_read_few_partitions(spark, train, monkeypatch):
     many = lambda df: df.repartition(40)
     recommend.tune(many(train), many(val), (2, 3), (0.1,), k=5, max_iter=2)
     assert len(seen) >= 2 and all(n <= 2 * spark.sparkContext.defaultParallelism and rows == len(RATINGS) for n, rows in seen)
+
+
+def test_blocks_are_fewer_than_cores_until_they_would_be_large(spark, train, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    model = recommend.fit_als(train, rank=2, reg=0.1, max_iter=2)
+    assert model.userFactors.rdd.getNumPartitions() == -(-cores // 2) < cores
+    assert recommend.als_blocks(train, 1) == cores and recommend.als_blocks(train, 100) == 1
+    monkeypatch.setattr(recommend, "RATINGS_PER_BLOCK", 50)
+    assert recommend.als_blocks(train, 2) == -(-len(RATINGS) // 50) > cores
