@@ -4,12 +4,13 @@ import threading
 import time
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 
 from affinity import session
-from affinity.operators import recommend
+from affinity.operators import products, recommend
 
-from test_products import RATINGS
+from test_products import RATINGS, brute, frame, lists
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +55,15 @@ def test_blocks_are_fewer_than_cores_until_they_would_be_large(spark, train, mon
     assert recommend.als_blocks(train, 1) == cores and recommend.als_blocks(train, 100) == 1
     monkeypatch.setattr(recommend, "RATINGS_PER_BLOCK", 50)
     assert recommend.als_blocks(train, 2) == -(-len(RATINGS) // 50) > cores
+
+
+@pytest.mark.parametrize("group_bytes", [1, products.GROUP_BYTES])
+def test_users_are_not_written_between_chunks(spark, monkeypatch, group_bytes):
+    written, real = [], products.reliable_checkpoint
+    monkeypatch.setattr(products, "reliable_checkpoint", lambda df: written.append(df.columns) or real(df))
+    monkeypatch.setattr(products, "GROUP_BYTES", group_bytes, raising=False)
+    rng = np.random.default_rng(4)
+    users, items = rng.normal(size=(1300, 4)), rng.normal(size=(300, 4))
+    got = lists(products.best_products(frame(spark, users), frame(spark, items), 7, chunk_bytes=4_000))
+    assert got == brute(users, items, 7)
+    assert all("user" not in c and "scores" not in c for c in written)
