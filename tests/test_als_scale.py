@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 
 from affinity import session
-from affinity.operators import products, recommend
+from affinity.operators import metrics, products, recommend
+from affinity.plans import recsys
 
 from test_products import RATINGS, brute, frame, lists
 
@@ -18,6 +19,10 @@ def train(spark):
     return spark.createDataFrame(RATINGS, "user_id int, item_id int, rating double").persist()
 
 
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_code_is_shipped_once_by_threads_that_come_together():
     sent = []
 
@@ -57,6 +62,31 @@ def test_blocks_are_fewer_than_cores_until_they_would_be_large(spark, train, mon
     assert recommend.als_blocks(train, 2) == -(-len(RATINGS) // 50) > cores
 
 
+@pytest.mark.parametrize("per_user", [False, True])
+def test_metrics_of_lists_are_those_of_rows(spark, per_user):
+    rng = np.random.default_rng(3)
+    got = {u: [int(i) for i in rng.permutation(60)[:rng.integers(1, 12)]] for u in range(40)} | {50: [1, 2], 51: []}
+    as_lists = spark.createDataFrame([(u, x) for u, x in got.items()], "user_id int, items array<int>")
+    as_rows = spark.createDataFrame([(u, r, i) for u, x in got.items() for r, i in enumerate(x, 1)], "user_id int, rank int, item_id int")
+    seen = [(int(u), int(i)) for u in range(45) for i in rng.permutation(60)[:rng.integers(1, 30)]]
+    truth = spark.createDataFrame(seen + seen[:50] + [(3, None), (None, 4), (51, 7)], "user_id int, item_id bigint")
+    one = metrics.ranking_metrics_lists(as_lists, truth, 8, digits=None, per_user=per_user).collect()
+    two = metrics.ranking_metrics(as_rows, truth, 8, digits=None, per_user=per_user).collect()
+    key = lambda r: r[0]
+    assert len(one) == len(two) == (40 if per_user else 1)
+    for a, b in zip(sorted(one, key=key), sorted(two, key=key)):
+        assert a.asDict() == pytest.approx(b.asDict())
+
+
+@pytest.mark.parametrize("implicit", [False, True])
+def test_lists_are_computed_once_for_their_metrics(spark, implicit):
+    split = ["train", "train", "test"]
+    s = spark.createDataFrame([(u, i, r, split[(u + 2 * i) % 3]) for u, i, r in RATINGS], "user_id int, item_id int, rating double, split string")
+    df = recsys.als_quality(s, implicit, rank=3, reg=0.1, k=5)
+    assert plan(df).count("MapInArrow") == 1
+    assert df.first().n_users == s.filter("split = 'test'").select("user_id").distinct().count()
+
+
 @pytest.mark.parametrize("group_bytes", [1, products.GROUP_BYTES])
 def test_users_are_not_written_between_chunks(spark, monkeypatch, group_bytes):
     written, real = [], products.reliable_checkpoint
