@@ -97,3 +97,16 @@ def test_users_are_not_written_between_chunks(spark, monkeypatch, group_bytes):
     got = lists(products.best_products(frame(spark, users), frame(spark, items), 7, chunk_bytes=4_000))
     assert got == brute(users, items, 7)
     assert all("user" not in c and "scores" not in c for c in written)
+
+
+def test_recommendations_are_judged_without_a_window(spark, monkeypatch):
+    rows = [(u, i, float(1 + (u * 3 + i) % 5), "train") for u in range(9) for i in range(7) if (u + i) % 4] + [(2, 99, 3.0, "test")]
+    s = spark.createDataFrame(rows, "user_id int, item_id int, rating double, split string")
+    monkeypatch.setattr(recsys, "fixture_splits", lambda spark, sf_dir: s)
+    df = recsys.als_recommendations(spark, "")
+    assert "Window" not in plan(df) and plan(df).count("MapInArrow") == 1
+    got = df.collect()
+    assert sorted(r.user_id for r in got) == list(range(9))
+    assert {(r.n_items, r.first_rank, r.last_rank, r.n_distinct, r.n_from_train, r.ordered) for r in got} == {(7, 1, 7, 7, 7, True)}
+    assert dict(df.dtypes) == {"user_id": "int", "n_items": "bigint", "first_rank": "int", "last_rank": "int", "n_distinct": "bigint",
+                               "n_from_train": "bigint", "ordered": "boolean"}
